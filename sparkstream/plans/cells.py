@@ -40,8 +40,8 @@ def as_long(df: DataFrame, name: str) -> Column:
 
 
 def fullest(df: DataFrame, group: Sequence[Column]) -> int:
-    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    counts = df.groupBy(*[c.alias(f"__g{i}") for i, c in enumerate(group)]).agg(F.count(F.lit(1)).alias("__rows"))
+    return counts.agg(F.max("__rows")).first()[0] or 0
 
 
 def measure_cells(
