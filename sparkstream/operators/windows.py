@@ -122,11 +122,9 @@ def cumulative_ticks(
     tick come first (map-side combined), so the carried rows number keys x ticks, not input rows.
     """
     midnight = f"{-utc_offset_hours % 24} hours"
-    per_tick = (
-        df.groupBy(*key, F.window(t, tick).alias("w"), F.window(t, "1 day", "1 day", midnight).start.alias("day_start"))
-        .agg(F.sum(value).alias("__sum"))
-        .select(*key, "day_start", F.col("w.end").alias("tick_end"), "__sum")
-    )
+    ticked = df.select(*key, F.col(t), value.alias("__v"), F.window(t, tick).end.alias("tick_end"))
+    dayed = ticked.select("*", F.window(t, "1 day", "1 day", midnight).start.alias("day_start"))
+    per_tick = dayed.groupBy(*key, "day_start", "tick_end").agg(F.sum("__v").alias("__sum"))
     day_end = per_tick.groupBy("day_start").agg(F.max("tick_end").alias("__day_last"))
     spine = (
         per_tick.groupBy(*key, "day_start")
