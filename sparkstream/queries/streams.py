@@ -1 +1,298 @@
-"""Streaming queries (filled in below)."""
+"""Streaming queries: each reads the tables as file streams, runs to the end of what is there, and
+returns what it wrote."""
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from sparkstream.operators import joins as jn
+from sparkstream.operators import windows as wn
+from sparkstream.operators.patterns import Pattern
+from sparkstream.plans.scan import running_count, running_sum
+from sparkstream.queries.basics import CENTS, cents
+from sparkstream.queries.joins import HOUR
+from sparkstream.queries.patterns import CLICKS, DAY, NEXT_PURCHASE, is_
+from sparkstream.queries.registry import query
+from sparkstream.session import scratch
+from sparkstream.sources.basic import from_rows, read_lines
+from sparkstream.sources.polled import polled_table
+from sparkstream.streaming import batches as bt
+from sparkstream.streaming import sinks as sk
+from sparkstream.streaming import stateful as st
+from sparkstream.streaming.runner import drain
+from sparkstream.tables import load, path_of, stream_events, stream_table
+
+
+def collected(spark, label, df, mode="append"):
+    """Run a stream into an exactly-once file log and read the log back."""
+    base = scratch(spark, label)
+    drain(sk.exactly_once(df, f"{base}/out", mode), f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out")
+
+
+def stream_of(spark, sf_dir, kind, cols):
+    rows = stream_events(spark, sf_dir).where(F.col("event_type") == kind)
+    return rows.select(*[F.col(old).alias(new) for new, old in cols.items()])
+
+
+@query(
+    f"""SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS window_start, CAST(count(*) AS BIGINT) AS n,
+    CAST(sum({CENTS}) AS BIGINT) AS total FROM events GROUP BY 1, 2
+    HAVING window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '2 hours' FROM events)"""
+)
+def stream_tumbling(spark, sf_dir):
+    """Day windows with a watermark of two hours: those the watermark has closed."""
+    sums = {"n": F.count("*"), "total": F.sum(cents())}
+    windows = wn.tumbling(stream_events(spark, sf_dir), ["event_type"], "ts", "1 day", sums, delay="2 hours")
+    return collected(spark, "tumbling", windows).select("event_type", "window_start", "n", "total")
+
+
+@query(
+    """SELECT v.user_id, v.event_id AS view_id, c.event_id AS click_id FROM events v JOIN events c ON v.user_id = c.user_id
+    AND time_bucket(INTERVAL '1 day', v.ts) = time_bucket(INTERVAL '1 day', c.ts)
+    WHERE v.event_type = 'view' AND c.event_type = 'click'"""
+)
+def stream_window_join(spark, sf_dir):
+    views = stream_of(spark, sf_dir, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
+    clicks = stream_of(spark, sf_dir, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
+    joined = jn.window_join(views, clicks, ["user_id"], "view_ts", "click_ts", "1 day", delay="1 hour")
+    return collected(spark, "window-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
+
+
+@query(
+    """SELECT v.user_id, v.event_id AS view_id, c.event_id AS click_id FROM events v JOIN events c
+    ON v.user_id = c.user_id AND c.ts BETWEEN v.ts - INTERVAL '2 hours' AND v.ts + INTERVAL '1 hour'
+    WHERE v.event_type = 'view' AND c.event_type = 'click'"""
+)
+def stream_interval_join(spark, sf_dir):
+    views = stream_of(spark, sf_dir, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
+    clicks = stream_of(spark, sf_dir, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
+    joined = jn.interval_join_stream(
+        views, clicks, ["user_id"], "view_ts", "click_ts", "'-2' HOURS", "'1' HOURS", "1 hour"
+    )
+    return collected(spark, "interval-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
+
+
+@query(
+    f"""SELECT user_id, CAST((pos - 1) // 5 AS BIGINT) AS window_no, CAST(sum({CENTS}) AS BIGINT) AS total FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events)
+    GROUP BY 1, 2 HAVING count(*) = 5"""
+)
+def stream_count_tumbling(spark, sf_dir):
+    rows = stream_events(spark, sf_dir).withColumn("cents", cents())
+    windows = st.count_tumbling_stream(rows, ["user_id"], ["ts", "event_id"], "cents", 5)
+    return collected(spark, "count-tumbling", windows).drop(sk.BATCH)
+
+
+@query(
+    """SELECT event_id, user_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS max_value FROM events"""
+)
+def stream_running_max(spark, sf_dir):
+    rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    best = st.running_max_stream(rows, ["user_id"], ["ts", "event_id"], "value", "max_value")
+    return collected(spark, "running-max", best).select("event_id", "user_id", "max_value")
+
+
+@query(
+    f"""SELECT event_id, user_id, CAST(count(*) OVER w AS BIGINT) AS n, CAST(sum({CENTS}) OVER w AS BIGINT) AS total
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)"""
+)
+def stream_running_sum(spark, sf_dir):
+    """Running values whose micro-batches go through the skew-safe scan."""
+    rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    base = scratch(spark, "running-sum")
+    outs = {"n": running_count(), "total": running_sum(cents())}
+    writer = bt.scan_stream(rows, ["user_id"], ["ts", "event_id"], outs, f"{base}/out", f"{base}/state")
+    drain(writer, f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "n", "total")
+
+
+@query(
+    f"""WITH r AS (SELECT user_id, event_id, CAST(count(*) OVER w AS BIGINT) AS n, CAST(sum({CENTS}) OVER w AS BIGINT) AS total
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    b AS (SELECT *, lag(n) OVER w AS pn, lag(total) OVER w AS pt FROM r WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+    SELECT user_id, event_id, TRUE AS is_add, n, total FROM b
+    UNION ALL SELECT user_id, event_id, FALSE AS is_add, pn, pt FROM b WHERE pn IS NOT NULL"""
+)
+def stream_changelog(spark, sf_dir):
+    rows = stream_events(spark, sf_dir).withColumn("cents", cents())
+    log = st.changelog_stream(rows, ["user_id"], ["event_id"], "cents")
+    return collected(spark, "changelog", log).drop(sk.BATCH)
+
+
+@query(
+    """WITH o AS (SELECT event_id // 2 AS item, date_trunc('milliseconds', ts) AS ms FROM events WHERE event_id % 2 = 0),
+    c AS (SELECT event_id // 2 AS item, date_trunc('milliseconds', ts) AS ms FROM events WHERE event_id % 2 = 1),
+    j AS (SELECT o.item, o.ms, c.ms AS done FROM o LEFT JOIN c ON o.item = c.item AND c.ms <= o.ms + INTERVAL '4 minutes'),
+    last AS (SELECT date_trunc('milliseconds', max(ts)) AS ms FROM events)
+    SELECT item, CASE WHEN done IS NULL THEN 'auto' ELSE 'reviewed' END AS status,
+      CAST(coalesce(done, j.ms + INTERVAL '4 minutes') AS TIMESTAMP) AS decided_at
+    FROM j, last WHERE done IS NOT NULL OR j.ms + INTERVAL '4 minutes' <= last.ms"""
+)
+def stream_deadlines(spark, sf_dir):
+    """Items answered within four minutes or decided by their timer; those still open have no row yet."""
+    rows = stream_events(spark, sf_dir).withColumn("item", F.expr("event_id div 2"))
+    opens = rows.where(F.col("event_id") % 2 == 0).select("item", F.col("ts").alias("opened"))
+    closes = rows.where(F.col("event_id") % 2 == 1).select("item", F.col("ts").alias("closed"))
+    decided = st.deadline_stream(opens, closes, ["item"], "opened", "closed", 240_000, "0 seconds")
+    return collected(spark, "deadlines", decided).drop(sk.BATCH)
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY user_id")
+def exactly_once_counts(spark, sf_dir):
+    """Events -> running counts -> a log in which every micro-batch appears once."""
+    counts = stream_events(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
+    log = collected(spark, "counts", counts, "update")
+    return sk.last_per_key(log, ["user_id"], [sk.BATCH]).select("user_id", "n")
+
+
+@query(
+    """SELECT user_id, event_id, event_type FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
+)
+def upsert_latest(spark, sf_dir):
+    """The latest event of every user, kept up to date batch by batch."""
+    base = scratch(spark, "upsert")
+    rows = stream_events(spark, sf_dir).select("user_id", "event_id", "event_type", "ts")
+    drain(sk.upsert(rows, f"{base}/log", ["user_id"], ["ts", "event_id"]), f"{base}/checkpoint")
+    return sk.latest_rows(spark, f"{base}/log", ["user_id"]).select("user_id", "event_id", "event_type")
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY user_id")
+def resumable_counts(spark, sf_dir):
+    """Counts over a drop folder, stopped and started again when more files arrive."""
+    base = scratch(spark, "resumable")
+    events = load(spark, sf_dir, "events").select("event_id", "user_id")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{base}/drop")
+        stream = spark.readStream.schema("event_id BIGINT, user_id BIGINT").parquet(f"{base}/drop")
+        counts = stream.groupBy("user_id").agg(F.count("*").alias("n"))
+        drain(sk.exactly_once(counts, f"{base}/out", "update"), f"{base}/checkpoint")
+    return sk.last_per_key(sk.read_batches(spark, f"{base}/out"), ["user_id"], [sk.BATCH]).select("user_id", "n")
+
+
+def _matched(spark, sf_dir, pattern, label):
+    base = scratch(spark, label)
+    writer = bt.match_stream(
+        stream_events(spark, sf_dir), pattern, ["user_id"], "ts", ["event_id"], HOUR, base, keep=["event_type"]
+    )
+    run = drain(writer, f"{base}/checkpoint")
+    bt.flush_matches(spark, pattern, ["user_id"], "ts", ["event_id"], base, run.lastProgress["batchId"], ["event_type"])
+    return base
+
+
+@query(
+    f"""SELECT user_id, event_id, CASE WHEN paid_at - ts < INTERVAL '1 day' THEN 'paid' ELSE 'timeout' END AS outcome
+    FROM ({NEXT_PURCHASE}) WHERE event_type = 'signup'"""
+)
+def stream_order_timeout(spark, sf_dir):
+    pattern = Pattern.begin("a", is_("signup")).followed_by("b", is_("purchase")).within(DAY)
+    base = _matched(spark, sf_dir, pattern, "order-timeout")
+    outcome = [("matches", "paid"), ("timeouts", "timeout")]
+    paid, late = (
+        sk.read_batches(spark, f"{base}/{name}").select(
+            "user_id", F.col("a_first.event_id").alias("event_id"), F.lit(label).alias("outcome")
+        )
+        for name, label in outcome
+    )
+    return paid.unionByName(late)
+
+
+@query(
+    f"""WITH {CLICKS} SELECT a.user_id, a.event_id AS first_id, b.event_id AS last_id
+    FROM clicks a JOIN clicks b ON a.user_id = b.user_id AND b.r >= a.r WHERE b.ts - a.ts < INTERVAL '1 day'"""
+)
+def stream_malice_runs(spark, sf_dir):
+    pattern = Pattern.begin("a", is_("click")).one_or_more().within(DAY)
+    base = _matched(spark, sf_dir, pattern, "malice-runs")
+    return sk.read_batches(spark, f"{base}/matches").select(
+        "user_id", F.col("a_first.event_id").alias("first_id"), F.col("a_last.event_id").alias("last_id")
+    )
+
+
+@query("SELECT e.event_id, e.user_id, c.c_name AS name FROM events e JOIN customer c ON e.user_id = c.c_custkey")
+def stream_enrich(spark, sf_dir):
+    """The customer table is read again for every micro-batch."""
+    base = scratch(spark, "enrich")
+
+    def users():
+        return load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
+
+    events = stream_events(spark, sf_dir).select("event_id", "user_id")
+    drain(bt.enrich_stream(events, users, ["user_id"], f"{base}/out"), f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "name")
+
+
+@query(
+    """SELECT event_id, 1 AS rule_id FROM events WHERE event_type = 'error' AND value > 10
+    UNION ALL SELECT event_id, 2 AS rule_id FROM events WHERE event_type IN ('view', 'click') AND value < 1"""
+)
+def stream_rules(spark, sf_dir):
+    base = scratch(spark, "rules")
+
+    def rules():
+        return from_rows(
+            spark,
+            [(1, "event_type = 'error' AND value > 10"), (2, "event_type IN ('view', 'click') AND value < 1")],
+            "rule_id INT, predicate STRING",
+        )
+
+    events = stream_events(spark, sf_dir).select("event_id", "event_type", "value")
+    drain(bt.rules_stream(events, rules, f"{base}/out"), f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").select("event_id", "rule_id")
+
+
+@query(
+    f"""SELECT day, event_type, total FROM (
+      SELECT time_bucket(INTERVAL '1 day', ts) AS day, event_type, CAST(sum({CENTS}) AS BIGINT) AS total,
+        row_number() OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts) ORDER BY sum({CENTS}) DESC, event_type) AS rn
+      FROM events GROUP BY 1, 2) WHERE rn <= 3"""
+)
+def stream_top3(spark, sf_dir):
+    """Complete results at every trigger, ranked per day: the last trigger's ranks."""
+    base = scratch(spark, "top3")
+    totals = wn.tumbling(stream_events(spark, sf_dir), ["event_type"], "ts", "1 day", {"total": F.sum(cents())})
+    writer = bt.top_n_stream(totals, ["window_start"], "total", ["event_type"], 3, f"{base}/out")
+    run = drain(writer, f"{base}/checkpoint")
+    last = spark.read.parquet(f"{base}/out/{sk.BATCH}={run.lastProgress['batchId']}")
+    return last.select(F.col("window_start").alias("day"), "event_type", "total")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS tag FROM orders")
+def stream_split(spark, sf_dir):
+    """One stream written to one folder per tag."""
+    base = scratch(spark, "split")
+    orders = stream_table(spark, sf_dir, "orders", "o_orderkey BIGINT")
+    rules = {"even": F.col("o_orderkey") % 2 == 0, "odd": F.col("o_orderkey") % 2 != 0}
+    drain(bt.split_stream(orders, rules, f"{base}/out"), f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").select("o_orderkey", "tag")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def polled_source(spark, sf_dir):
+    """A user-written source that re-reads a table at every poll; one poll."""
+    rows = polled_table(spark, path_of(sf_dir, "customer"), "c_custkey BIGINT, c_name STRING", every=86_400)
+    return collected(spark, "polled", rows).drop(sk.BATCH)
+
+
+@query("SELECT id, name, CAST(2 AS BIGINT) AS copies FROM (SELECT s_suppkey AS id, s_name AS name FROM supplier)")
+def insert_select(spark, sf_dir):
+    """INSERT INTO a table from itself: every row is there twice."""
+    table = f"person_{uuid.uuid4().hex[:10]}"
+    people = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
+    where = scratch(spark, table)
+    spark.sql(f"CREATE TABLE {table} (id BIGINT, name STRING) USING parquet LOCATION '{where}'")
+    sk.insert_into(people, table, writers=2)
+    spark.sql(f"INSERT INTO {table} SELECT * FROM {table}")
+    stored = spark.read.schema("id BIGINT, name STRING").parquet(where)
+    spark.sql(f"DROP TABLE {table}")
+    return stored.groupBy("id", "name").agg(F.count("*").alias("copies"))
+
+
+@query("SELECT c_name AS line, CAST(3 AS BIGINT) AS files FROM customer")
+def text_sink(spark, sf_dir):
+    """Text written by three tasks and read back, with the number of files."""
+    path = sk.write_text(load(spark, sf_dir, "customer").select("c_name"), scratch(spark, "text"), 3)
+    lines = read_lines(spark, path).withColumn("__f", F.input_file_name())
+    files = lines.agg(F.count_distinct("__f").alias("files"))
+    return lines.join(F.broadcast(files)).select("line", "files")

@@ -22,7 +22,6 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "6g",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "checkpoint"),
-            "spark.driver.extraJavaOptions": f"-Dderby.system.home={base / 'derby'}",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
