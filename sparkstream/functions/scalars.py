@@ -20,6 +20,15 @@ def guard(df: DataFrame, bad: Column, on: str = "fail", message: str = "bad reco
     return df.where(F.when(is_bad, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True)))
 
 
+def parsed_once(parse: Column) -> Column:
+    """A costly expression as the single element of an exploded array.
+
+    A filter on one of its fields is otherwise moved below the projection with its own copy of the
+    expression, and the text would be parsed once per copy.
+    """
+    return F.explode(F.array(parse))
+
+
 def lookup(col: str, name: str) -> Column:
     """A map entry; NULL when the key is missing."""
     return F.try_element_at(F.col(col), F.lit(name))

@@ -102,9 +102,10 @@ def _feed(spark, sf_dir):
 )
 def cdc_current(spark, sf_dir):
     """Snapshot rows and the logged changes since, folded into the current table."""
-    feed = _feed(spark, sf_dir)
-    snapshot = feed.where(F.col("op") == "r").select("after.*")
-    return cl.apply_changes(snapshot, ch.starting(feed, "earliest"), ["o_orderkey"])
+    snapshot = load(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    )
+    return cl.apply_changes(snapshot, ch.starting(_feed(spark, sf_dir), "earliest"), ["o_orderkey"])
 
 
 @query(

@@ -121,16 +121,16 @@ def stream_changelog(spark, sf_dir):
 
 
 @query(
-    """WITH o AS (SELECT event_id // 2 AS item, date_trunc('milliseconds', ts) AS ms FROM events WHERE event_id % 2 = 0),
-    c AS (SELECT event_id // 2 AS item, date_trunc('milliseconds', ts) AS ms FROM events WHERE event_id % 2 = 1),
-    j AS (SELECT o.item, o.ms, c.ms AS done FROM o LEFT JOIN c ON o.item = c.item AND c.ms <= o.ms + INTERVAL '4 minutes'),
-    last AS (SELECT date_trunc('milliseconds', max(ts)) AS ms FROM events)
+    """WITH o AS (SELECT event_id // 2 AS item, ts FROM events WHERE event_id % 2 = 0),
+    c AS (SELECT event_id // 2 AS item, ts AS done FROM events WHERE event_id % 2 = 1),
+    j AS (SELECT o.item, o.ts, c.done FROM o LEFT JOIN c ON o.item = c.item AND c.done <= o.ts + INTERVAL '4 minutes'),
+    marks AS (SELECT least(max(ts) FILTER (WHERE event_id % 2 = 0), max(ts) FILTER (WHERE event_id % 2 = 1)) AS mark FROM events)
     SELECT item, CASE WHEN done IS NULL THEN 'auto' ELSE 'reviewed' END AS status,
-      CAST(coalesce(done, j.ms + INTERVAL '4 minutes') AS TIMESTAMP) AS decided_at
-    FROM j, last WHERE done IS NOT NULL OR j.ms + INTERVAL '4 minutes' <= last.ms"""
+      coalesce(done, j.ts + INTERVAL '4 minutes') AS decided_at
+    FROM j, marks WHERE done IS NOT NULL OR j.ts + INTERVAL '4 minutes' < mark"""
 )
 def stream_deadlines(spark, sf_dir):
-    """Items answered within four minutes or decided by their timer; those still open have no row yet."""
+    """Items answered within four minutes or decided automatically; those still open have no row yet."""
     rows = stream_events(spark, sf_dir).withColumn("item", F.expr("event_id div 2"))
     opens = rows.where(F.col("event_id") % 2 == 0).select("item", F.col("ts").alias("opened"))
     closes = rows.where(F.col("event_id") % 2 == 1).select("item", F.col("ts").alias("closed"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkstream.functions.scalars import parsed_once
+
 SOURCE_DDL = "STRUCT<db: STRING, `table`: STRING, pos: BIGINT>"
 
 
@@ -20,7 +22,7 @@ def parse_changes(lines: DataFrame, row_ddl: str, col: str = "value") -> tuple[D
     """``(changes, bad)``: typed change records, and lines that are not JSON objects."""
     ddl = envelope(row_ddl) + ", _bad STRING"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
-    parsed = lines.withColumn("__r", F.from_json(col, ddl, options))
+    parsed = lines.withColumn("__r", parsed_once(F.from_json(col, ddl, options)))
     broken = F.col("__r").isNull() | F.col("__r._bad").isNotNull()
     good = parsed.where(~broken).select("__r.*").drop("_bad").withColumn("pos", F.col("source.pos"))
     return good, parsed.where(broken).select(*lines.columns)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkstream.functions.scalars import parsed_once
+
 TOPIC_DDL = "key STRING, value STRING, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 
 
@@ -48,7 +50,7 @@ def read_topic_files(spark: SparkSession, directory: str, streaming: bool = True
 def json_rows(topic: DataFrame, ddl: str, on_bad: str = "fail") -> DataFrame:
     """``value`` parsed by a DDL schema; ``on_bad`` is ``fail`` or ``null``."""
     mode = {"fail": "FAILFAST", "null": "PERMISSIVE"}[on_bad]
-    return topic.select(F.from_json("value", ddl, {"mode": mode}).alias("r")).select("r.*")
+    return topic.select(parsed_once(F.from_json("value", ddl, {"mode": mode})).alias("r")).select("r.*")
 
 
 def declare_table(spark: SparkSession, name: str, ddl: str, topic: DataFrame) -> DataFrame:

@@ -160,13 +160,14 @@ class Deadline(StatefulProcessor):
         pass
 
 
-def deadline_stream(
+def deadline_timers_stream(
     opens: DataFrame, closes: DataFrame, key: Sequence[str], open_t: str, close_t: str, wait_ms: int, delay: str
 ) -> DataFrame:
-    """Opened items answered within ``wait_ms`` of event time, or decided automatically when it is up.
+    """Opened items answered within ``wait_ms`` of event time, or decided by a timer when it is up.
 
     ``key`` must name one item (user and order, not only the user), so that items of a busy user are
-    spread over tasks. Times are kept in whole milliseconds, as timers are.
+    spread over tasks. The first of several answers counts. Times are kept in whole milliseconds, as
+    timers are. Calls Python once per item; :func:`deadline_stream` does not.
     """
     rows = opens.select(*key, F.col(open_t).alias("__t"), F.lit(False).alias("is_close")).unionByName(
         closes.select(*key, F.col(close_t).alias("__t"), F.lit(True).alias("is_close"))
@@ -175,3 +176,27 @@ def deadline_stream(
     return rows.groupBy(*key).transformWithStateInPandas(
         Deadline(key, wait_ms), f"{_key_ddl(rows, key)}, status STRING, decided_at TIMESTAMP", "Append", "EventTime"
     )
+
+
+def deadline_stream(
+    opens: DataFrame, closes: DataFrame, key: Sequence[str], open_t: str, close_t: str, wait_ms: int, delay: str
+) -> DataFrame:
+    """The same for items that are answered at most once, as a stream-stream outer join.
+
+    An open that found no close is emitted when the watermark has passed its deadline. State and
+    matching stay inside the JVM.
+    """
+    right = {k: f"__c_{k}" for k in key}
+    asked = opens.select(*key, F.col(open_t).alias("__open")).withWatermark("__open", delay)
+    answers = closes.select(*[F.col(k).alias(r) for k, r in right.items()], F.col(close_t).alias("__close"))
+    answers = answers.withWatermark("__close", delay)
+    cond = F.expr(f"__close >= __open AND __close <= __open + INTERVAL {wait_ms / 1000:f} SECONDS")
+    for k, r in right.items():
+        cond = cond & (F.col(k) == F.col(r))
+    joined = asked.join(answers, cond, "left_outer")
+    due = F.timestamp_micros(F.unix_micros("__open") + wait_ms * 1000)
+    return joined.select(
+        *key,
+        F.when(F.col("__close").isNull(), F.lit("auto")).otherwise(F.lit("reviewed")).alias("status"),
+        F.coalesce("__close", due).alias("decided_at"),
+    )
