@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkstream.plans.scan import Running, latest, scan
+from sparkstream.plans.cells import measure_cells
+from sparkstream.plans.scan import Running, latest, scan, settled
 
 IS_ADD = "is_add"
 
@@ -24,8 +25,9 @@ def to_changelog(
     """
     shown = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     state = F.struct(shown.alias("shown"), F.struct(*outs).alias("row"))
-    now = scan(df, key, order, outs).withColumn("__now", state)
-    both = scan(now, key, order, {"__prev": latest(F.col("__now"))}, inclusive=False).withColumns(
+    cells = measure_cells(df, key, order)
+    now = settled(scan(df, key, order, outs, cells=cells), cells).withColumn("__now", state)
+    both = scan(now, key, order, {"__prev": latest(F.col("__now"))}, inclusive=False, cells=cells).withColumns(
         {
             "__before": F.when(F.col("__prev.shown"), F.col("__prev.row")),
             "__after": F.when(F.col("__now.shown"), F.col("__now.row")),

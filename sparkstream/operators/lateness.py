@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkstream.plans.cells import measure_cells
-from sparkstream.plans.scan import Running, running_count, running_max, scan
+from sparkstream.plans.scan import Running, running_count, running_max, scan, settled
 
 ON_TIME, ALLOWED, LATE = "on_time", "allowed", "late"
 MILLI = "INTERVAL 1 MILLISECOND"
@@ -35,7 +35,7 @@ def watermark_trace(df: DataFrame, t: str, arrival: Sequence[str], delay: str, o
     the rows are too many for one task. NULL until a first row has been seen.
     """
     cells = measure_cells(df, [], arrival)
-    seen = scan(df, [], arrival, {out: running_max(F.col(t))}, inclusive=False, cells=cells)
+    seen = settled(scan(df, [], arrival, {out: running_max(F.col(t))}, inclusive=False, cells=cells), cells)
     return seen.withColumn(out, F.col(out) - _span(delay) - F.expr(MILLI))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkstream.plans.cells import measure_cells
-from sparkstream.plans.scan import latest, next_row, running_count, running_max, scan
+from sparkstream.plans.scan import latest, next_row, running_count, running_max, scan, settled
 
 MAX_COMBINATION = 5
 
@@ -143,23 +143,23 @@ def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, cells) -> DataF
     repeated = [i for i, s in enumerate(pattern.stages) if s.repeated]
     forward = {"__pos": running_count()}
     forward.update({f"__rank{i}": running_count(F.col(f"__ok{i}")) for i in repeated})
-    rows = scan(rows, key, order, forward, cells=cells)
+    rows = settled(scan(rows, key, order, forward, cells=cells), cells, "pattern")
     if repeated:
-        rows = scan(
-            rows, key, order, {f"__top{i}": running_max(F.col(f"__rank{i}")) for i in repeated},
-            reverse=True, cells=cells,
-        )
-        if breaks:
-            ends = {f"__end{i}": F.when(F.col(f"__brk{i}"), F.col(f"__rank{i}")) for i in repeated if f"__brk{i}" in breaks}
-            rows = next_row(rows, key, order, ends, cells)
-            rows = rows.withColumns({f"__top{i[5:]}": F.coalesce(F.col(i), F.col(f"__top{i[5:]}")) for i in ends})
+        ahead = {f"__top{i}": running_max(F.col(f"__rank{i}")) for i in repeated}
+        for name in breaks:
+            i = name.removeprefix("__brk")
+            ahead[f"__end{i}"] = latest(F.when(F.col(name), F.col(f"__rank{i}")))
+        rows = scan(rows, key, order, ahead, reverse=True, inclusive=False, cells=cells)
+        known = {i: [F.col(f"__end{i}")] if f"__brk{i}" in breaks else [] for i in repeated}
+        rows = rows.withColumns({f"__top{i}": F.coalesce(*known[i], f"__top{i}", f"__rank{i}") for i in repeated})
+        rows = settled(rows, cells, "pattern")
     rows = rows.withColumn("ev", F.struct(F.col("__pos").alias("pos"), *dict.fromkeys([*order, *keep])))
     found = {}
     for i, s in enumerate(pattern.stages[1:], start=1):
         here = _step(i, s, F.col(f"__ok{i}"))
         found[f"__next{i}"] = here if s.link == "next" else F.when(F.col(f"__ok{i}"), here)
     if found:
-        rows = next_row(rows, key, order, found, cells)
+        rows = settled(next_row(rows, key, order, found, cells), cells, "pattern")
     return rows
 
 
@@ -168,14 +168,18 @@ def _step(i: int, stage: Stage, hit: Column) -> Column:
     return F.struct(F.col("ev"), hit.alias("hit"), *extra)
 
 
-def _ranks_before(partials: DataFrame, events: DataFrame, key, t: str, i: int, limit: Column) -> DataFrame:
-    """Add ``__reach``: the rank of the last row of stage ``i`` that lies before ``limit``."""
+def _ranks_before(partials: DataFrame, events: DataFrame, key, t: str, i: int, limit: Column, cells) -> DataFrame:
+    """Add ``__reach``: the rank of the last row of stage ``i`` that lies before ``limit``.
+
+    Starts of the first stage are no more than the rows of their key, so small keys stay whole.
+    """
     probes = partials.withColumns({"__at": _micros(limit), "__kind": F.lit(0)})
     marks = events.where(F.col(f"__ok{i}")).select(
         *key, _micros(F.col(t)).alias("__at"), F.lit(1).alias("__kind"), F.col(f"__rank{i}").alias("__mark")
     )
     both = probes.unionByName(marks, allowMissingColumns=True)
-    reached = scan(both, key, ["__at", "__kind"], {"__reach": running_max(F.col("__mark"))})
+    layout = [] if i == 0 and not cells else None
+    reached = scan(both, key, ["__at", "__kind"], {"__reach": running_max(F.col("__mark"))}, cells=layout)
     return reached.where(F.col("__kind") == 0).drop("__at", "__kind", "__mark")
 
 
@@ -228,7 +232,7 @@ def match(
                 partial = partial.withColumn("__at", F.col(f"__m{i}.ev.pos")).join(here, [*key, "__at"])
             partial = partial.select(*key, "__t0", *done, f"__m{i}", *[c for c in nexts if c in partial.columns])
         else:
-            partial = _repeat(partial, events, s, i, key, t, limit, done, nexts)
+            partial = _repeat(partial, events, s, i, key, t, limit, done, nexts, cells)
             if limit is not None:
                 partial = partial.where(in_time(f"__m{i}.last"))
     rows = partial.withColumn(
@@ -259,13 +263,13 @@ def _stage_columns(s: Stage, i: int) -> list[Column]:
     ]
 
 
-def _repeat(partial, events, s: Stage, i: int, key, t: str, limit: int | None, done, nexts) -> DataFrame:
+def _repeat(partial, events, s: Stage, i: int, key, t: str, limit: int | None, done, nexts, cells) -> DataFrame:
     """Partial matches standing on the first row of a repetition -> one row per way to end it."""
     first, top = F.col("__f.rank"), F.col("__f.top")
     base = partial.select(*key, "__t0", *done, "__f")
     if limit is not None and (s.most is None or s.combine):
         end = F.timestamp_micros(_micros(F.col("__t0")) + limit)
-        base = _ranks_before(base, events, key, t, i, end)
+        base = _ranks_before(base, events, key, t, i, end, cells)
         top = F.least(top, F.col("__reach"))
     if s.combine:
         base = base.withColumns({"__top": top, "__ranks": F.array(first)})

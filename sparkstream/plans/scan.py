@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkstream.plans.cells import measure_cells
+from sparkstream.session import scratch
 
 CARRY = "__carry"
 CELL = "__cell"
@@ -126,6 +127,20 @@ def scan(
     )
 
 
+def settled(df: DataFrame, cells: Sequence[Column], label: str = "scan") -> DataFrame:
+    """``df`` written to the shared folder and read back, when keys are cut into cells.
+
+    A scan over cells reads its input twice (rows and totals). A chain of them would double the work
+    at each link; a written table stops that, is read column by column, and outlives lost executors.
+    With whole keys per task nothing is written.
+    """
+    if not cells:
+        return df
+    path = scratch(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def numbered(
     df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "pos", cells=None
 ) -> DataFrame:
