@@ -117,7 +117,7 @@ def stream_running_sum(spark, sf_dir):
 def stream_changelog(spark, sf_dir):
     rows = stream_events(spark, sf_dir).withColumn("cents", cents())
     log = st.changelog_stream(rows, ["user_id"], ["event_id"], "cents")
-    return collected(spark, "changelog", log).drop(sk.BATCH)
+    return collected(spark, "changelog", log).drop(sk.BATCH).withColumnRenamed("cnt", "n")
 
 
 @query(

@@ -108,8 +108,8 @@ class Changelog(StatefulProcessor):
         total = total0 + frame[self.value].to_numpy(dtype=np.int64).cumsum()
         self.last.update((int(n[-1]), int(total[-1])))
         base = {**_key_frame(key, self.key, len(frame)), **{o: frame[o] for o in self.order}}
-        add = pd.DataFrame({**base, "is_add": True, "n": n, "total": total})
-        drop = pd.DataFrame({**base, "is_add": False, "n": n - 1, "total": np.concatenate([[total0], total[:-1]])})
+        add = pd.DataFrame({**base, "is_add": True, "cnt": n, "total": total})
+        drop = pd.DataFrame({**base, "is_add": False, "cnt": n - 1, "total": np.concatenate([[total0], total[:-1]])})
         yield pd.concat([drop if known else drop.iloc[1:], add], ignore_index=True)
 
     def close(self) -> None:
@@ -120,7 +120,7 @@ def changelog_stream(df: DataFrame, key: Sequence[str], order: Sequence[str], va
     rows = df.select(*key, *order, value)
     schema = T.StructType(
         [rows.schema[c] for c in [*key, *order]]
-        + [T.StructField("is_add", T.BooleanType()), T.StructField("n", T.LongType()), T.StructField("total", T.LongType())]
+        + [T.StructField("is_add", T.BooleanType()), T.StructField("cnt", T.LongType()), T.StructField("total", T.LongType())]
     )
     return rows.groupBy(*key).transformWithStateInPandas(Changelog(key, order, value), schema, "Append", "None")
 

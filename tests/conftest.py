@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
