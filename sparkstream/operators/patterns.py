@@ -1,10 +1,10 @@
 """Event patterns per key: sequences, repetitions, time limits, timeouts.
 
-A pattern is matched set-wise. Every row gets its place in the key's order; for each stage a reverse
-scan finds the next row that can continue there; a repetition is a stretch of ranks among the rows
-that satisfy its condition. A match is then built stage by stage with equality joins on
-``(key, place)`` or ``(key, rank)``, so the work follows the number of matches, no group is gathered
-in one task, and no pairs are tried and thrown away. All matches are returned (no skipping).
+A pattern is matched set-wise. For each stage a reverse scan hands every row the next row that can
+continue there; a repetition is a stretch of ranks among the rows that satisfy its condition. A match
+is then built stage by stage with equality joins on ``(key, order)`` or ``(key, rank)``, so the work
+follows the number of matches, no group is gathered in one task, and no pairs are tried and thrown
+away. A pattern of two single events needs one scan and no join. All matches are returned.
 """
 
 from __future__ import annotations
@@ -136,15 +136,15 @@ def _micros(col: Column) -> Column:
 
 
 def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, cells) -> DataFrame:
-    """Events with their place, each stage's rank and run end, and the row that continues each stage."""
+    """Events with each repetition's rank and run end, and the row that continues each stage."""
     oks = {f"__ok{i}": s.accepts for i, s in enumerate(pattern.stages)}
     breaks = {f"__brk{i}": s.breaks for i, s in enumerate(pattern.stages) if s.repeated and s.breaks is not None}
     rows = df.select(*dict.fromkeys([*key, *order, *keep]), *[c.alias(n) for n, c in {**oks, **breaks}.items()])
     repeated = [i for i, s in enumerate(pattern.stages) if s.repeated]
-    forward = {"__pos": running_count()}
-    forward.update({f"__rank{i}": running_count(F.col(f"__ok{i}")) for i in repeated})
-    rows = settled(scan(rows, key, order, forward, cells=cells), cells, "pattern")
+    several_uses = bool(repeated) or len(pattern.stages) > 2
     if repeated:
+        ranks = {f"__rank{i}": running_count(F.col(f"__ok{i}")) for i in repeated}
+        rows = settled(scan(rows, key, order, ranks, cells=cells), cells, "pattern")
         ahead = {f"__top{i}": running_max(F.col(f"__rank{i}")) for i in repeated}
         for name in breaks:
             i = name.removeprefix("__brk")
@@ -153,13 +153,15 @@ def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, cells) -> DataF
         known = {i: [F.col(f"__end{i}")] if f"__brk{i}" in breaks else [] for i in repeated}
         rows = rows.withColumns({f"__top{i}": F.coalesce(*known[i], f"__top{i}", f"__rank{i}") for i in repeated})
         rows = settled(rows, cells, "pattern")
-    rows = rows.withColumn("ev", F.struct(F.col("__pos").alias("pos"), *dict.fromkeys([*order, *keep])))
+    rows = rows.withColumn("ev", F.struct(*dict.fromkeys([*order, *keep])))
     found = {}
     for i, s in enumerate(pattern.stages[1:], start=1):
         here = _step(i, s, F.col(f"__ok{i}"))
         found[f"__next{i}"] = here if s.link == "next" else F.when(F.col(f"__ok{i}"), here)
     if found:
-        rows = settled(next_row(rows, key, order, found, cells), cells, "pattern")
+        rows = next_row(rows, key, order, found, cells)
+        if several_uses:
+            rows = settled(rows, cells, "pattern")
     return rows
 
 
@@ -183,6 +185,17 @@ def _ranks_before(partials: DataFrame, events: DataFrame, key, t: str, i: int, l
     return reached.where(F.col("__kind") == 0).drop("__at", "__kind", "__mark")
 
 
+def _relevant(stages) -> Column:
+    """Rows that some stage takes or that end a repetition; no others matter to relaxed patterns."""
+    cond = stages[0].accepts
+    for s in stages[1:]:
+        cond = cond | s.accepts
+    for s in stages:
+        if s.stop is not None:
+            cond = cond | F.coalesce(s.stop, F.lit(False))
+    return cond
+
+
 def match(
     df: DataFrame, pattern: Pattern, key: Sequence[str], order: Sequence[str], keep: Sequence[str] = (),
     t: str | None = None, cells: list[Column] | None = None,
@@ -190,7 +203,7 @@ def match(
     """All matches of ``pattern`` in each key's rows taken in ``order``.
 
     ``order`` is a total order: event time with an id, or an arrival number. ``t`` (by default the
-    first order column) is what ``within`` measures. ``keep`` names further columns to carry into the
+    first order column) is what ``within`` measures. Rows without a key or an order take no part. ``keep`` names further columns to carry into the
     event structs. ``key=[]`` matches over the whole input as one sequence.
     """
     pattern.check()
@@ -199,10 +212,12 @@ def match(
     if t not in order and t not in keep:
         keep = [t, *keep]
     stages = pattern.stages
-    if key:
-        df = df.dropna(subset=key)
+    df = df.dropna(subset=[*key, *order])
+    if all(s.link != "next" and not s.strict for s in stages):
+        df = df.where(_relevant(stages))
     if cells is None:
-        cells = measure_cells(df, key, order)
+        ordered = len(stages) > 1 or stages[0].repeated
+        cells = measure_cells(df, key, order) if ordered else []
     events = _prepared(df, pattern, key, order, keep, cells)
     limit = pattern.within_us
     nexts = [f"__next{i}" for i in range(1, len(stages))]
@@ -228,15 +243,16 @@ def match(
         if not s.repeated:
             partial = partial.withColumn(f"__m{i}", F.struct("__f.ev", F.col("__f.ev").alias("last"), F.lit(1).cast("long").alias("n")))
             if 0 < i < len(stages) - 1:
-                here = events.select(*key, F.col("__pos").alias("__at"), *nexts)
-                partial = partial.withColumn("__at", F.col(f"__m{i}.ev.pos")).join(here, [*key, "__at"])
+                place = {f"__at_{o}": F.col(f"__m{i}.ev.{o}") for o in order}
+                here = events.select(*key, *[F.col(o).alias(f"__at_{o}") for o in order], *nexts)
+                partial = partial.withColumns(place).join(here, [*key, *place])
             partial = partial.select(*key, "__t0", *done, f"__m{i}", *[c for c in nexts if c in partial.columns])
         else:
             partial = _repeat(partial, events, s, i, key, t, limit, done, nexts, cells)
             if limit is not None:
                 partial = partial.where(in_time(f"__m{i}.last"))
     rows = partial.withColumn(
-        "match_id", F.concat_ws("-", *[c for i in range(len(stages)) for c in _id_parts(stages[i], i)])
+        "match_id", F.concat_ws("-", *[c for i in range(len(stages)) for c in _id_parts(stages[i], i, order)])
     )
     named = [c for i, s in enumerate(stages) for c in _stage_columns(s, i)]
     rows = rows.select(*key, "match_id", *named, *[f"__m{i}" for i in range(len(stages))])
@@ -249,10 +265,12 @@ def match(
     return Matches(rows, timeouts, events, tuple(key), pattern)
 
 
-def _id_parts(s: Stage, i: int) -> list[Column]:
+def _id_parts(s: Stage, i: int, order) -> list[Column]:
+    """What tells a stage's events apart within a key: their order values, or their ranks."""
     if s.combine:
         return [F.concat_ws(".", F.transform(f"__m{i}.ranks", lambda r: r.cast("string")))]
-    return [F.col(f"__m{i}.ev.pos").cast("string"), F.col(f"__m{i}.last.pos").cast("string")]
+    ends = ("ev", "last") if s.repeated else ("ev",)
+    return [F.col(f"__m{i}.{end}.{o}").cast("string") for end in ends for o in order]
 
 
 def _stage_columns(s: Stage, i: int) -> list[Column]:
