@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkstream.plans.cells import fullest, measure_cells, rows_per_cell
+from sparkstream.plans.cells import WHOLE_KEYS, fullest, measure_cells, rows_per_cell
 from sparkstream.plans.scan import numbered, running_max as max_so_far, running_sum as sum_so_far, scan
 
 FOLD_BLOCK = 1000
@@ -58,8 +58,8 @@ def keyed_reduce(
     until one value per key is left. No array holds more than ``block`` values, whatever the key.
     """
     remaining = fullest(df, [F.col(k) for k in key])
-    cells = [] if remaining <= rows_per_cell(df) else measure_cells(df, key, order)
-    level = numbered(df.where(F.col(value).isNotNull()), key, order, "__pos", cells).select(
+    layout = WHOLE_KEYS if remaining <= rows_per_cell(df) else measure_cells(df, key, order)
+    level = numbered(df.where(F.col(value).isNotNull()), key, order, "__pos", layout).select(
         *key, F.col(value).alias(out), "__pos"
     )
     while True:

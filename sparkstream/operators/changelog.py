@@ -25,9 +25,9 @@ def to_changelog(
     """
     shown = F.lit(True) if keep is None else F.coalesce(keep, F.lit(False))
     state = F.struct(shown.alias("shown"), F.struct(*outs).alias("row"))
-    cells = measure_cells(df, key, order)
-    now = settled(scan(df, key, order, outs, cells=cells), cells).withColumn("__now", state)
-    both = scan(now, key, order, {"__prev": latest(F.col("__now"))}, inclusive=False, cells=cells).withColumns(
+    layout = measure_cells(df, key, order)
+    now = settled(scan(df, key, order, outs, layout=layout), bool(layout.cells)).withColumn("__now", state)
+    both = scan(now, key, order, {"__prev": latest(F.col("__now"))}, inclusive=False, layout=layout).withColumns(
         {
             "__before": F.when(F.col("__prev.shown"), F.col("__prev.row")),
             "__after": F.when(F.col("__now.shown"), F.col("__now.row")),

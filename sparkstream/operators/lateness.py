@@ -34,8 +34,9 @@ def watermark_trace(df: DataFrame, t: str, arrival: Sequence[str], delay: str, o
     The order is global, so the running maximum goes through cells of the arrival order whenever
     the rows are too many for one task. NULL until a first row has been seen.
     """
-    cells = measure_cells(df, [], arrival)
-    seen = settled(scan(df, [], arrival, {out: running_max(F.col(t))}, inclusive=False, cells=cells), cells)
+    layout = measure_cells(df, [], arrival)
+    seen = scan(df, [], arrival, {out: running_max(F.col(t))}, inclusive=False, layout=layout)
+    seen = settled(seen, layout.large)
     return seen.withColumn(out, F.col(out) - _span(delay) - F.expr(MILLI))
 
 

@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkstream.plans.cells import measure_cells
+from sparkstream.plans.cells import WHOLE_KEYS, Layout, measure_cells
 from sparkstream.plans.scan import latest, next_row, running_count, running_max, scan, settled
 
 MAX_COMBINATION = 5
@@ -135,7 +136,7 @@ def _micros(col: Column) -> Column:
     return F.unix_micros(col)
 
 
-def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, cells) -> DataFrame:
+def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, layout) -> DataFrame:
     """Events with each repetition's rank and run end, and the row that continues each stage."""
     oks = {f"__ok{i}": s.accepts for i, s in enumerate(pattern.stages)}
     breaks = {f"__brk{i}": s.breaks for i, s in enumerate(pattern.stages) if s.repeated and s.breaks is not None}
@@ -144,25 +145,23 @@ def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, cells) -> DataF
     several_uses = bool(repeated) or len(pattern.stages) > 2
     if repeated:
         ranks = {f"__rank{i}": running_count(F.col(f"__ok{i}")) for i in repeated}
-        rows = settled(scan(rows, key, order, ranks, cells=cells), cells, "pattern")
+        rows = settled(scan(rows, key, order, ranks, layout=layout), bool(layout.cells), "pattern")
         ahead = {f"__top{i}": running_max(F.col(f"__rank{i}")) for i in repeated}
         for name in breaks:
             i = name.removeprefix("__brk")
             ahead[f"__end{i}"] = latest(F.when(F.col(name), F.col(f"__rank{i}")))
-        rows = scan(rows, key, order, ahead, reverse=True, inclusive=False, cells=cells)
+        rows = scan(rows, key, order, ahead, reverse=True, inclusive=False, layout=layout)
         known = {i: [F.col(f"__end{i}")] if f"__brk{i}" in breaks else [] for i in repeated}
         rows = rows.withColumns({f"__top{i}": F.coalesce(*known[i], f"__top{i}", f"__rank{i}") for i in repeated})
-        rows = settled(rows, cells, "pattern")
+        rows = settled(rows, bool(layout.cells), "pattern")
     rows = rows.withColumn("ev", F.struct(*dict.fromkeys([*order, *keep])))
     found = {}
     for i, s in enumerate(pattern.stages[1:], start=1):
         here = _step(i, s, F.col(f"__ok{i}"))
         found[f"__next{i}"] = here if s.link == "next" else F.when(F.col(f"__ok{i}"), here)
     if found:
-        rows = next_row(rows, key, order, found, cells)
-        if several_uses:
-            rows = settled(rows, cells, "pattern")
-    return rows
+        rows = next_row(rows, key, order, found, layout)
+    return settled(rows, several_uses and layout.large, "pattern")
 
 
 def _step(i: int, stage: Stage, hit: Column) -> Column:
@@ -170,7 +169,7 @@ def _step(i: int, stage: Stage, hit: Column) -> Column:
     return F.struct(F.col("ev"), hit.alias("hit"), *extra)
 
 
-def _ranks_before(partials: DataFrame, events: DataFrame, key, t: str, i: int, limit: Column, cells) -> DataFrame:
+def _ranks_before(partials: DataFrame, events: DataFrame, key, t: str, i: int, limit: Column, layout) -> DataFrame:
     """Add ``__reach``: the rank of the last row of stage ``i`` that lies before ``limit``.
 
     Starts of the first stage are no more than the rows of their key, so small keys stay whole.
@@ -180,25 +179,20 @@ def _ranks_before(partials: DataFrame, events: DataFrame, key, t: str, i: int, l
         *key, _micros(F.col(t)).alias("__at"), F.lit(1).alias("__kind"), F.col(f"__rank{i}").alias("__mark")
     )
     both = probes.unionByName(marks, allowMissingColumns=True)
-    layout = [] if i == 0 and not cells else None
-    reached = scan(both, key, ["__at", "__kind"], {"__reach": running_max(F.col("__mark"))}, cells=layout)
+    layout = WHOLE_KEYS if i == 0 and not layout.cells else None
+    reached = scan(both, key, ["__at", "__kind"], {"__reach": running_max(F.col("__mark"))}, layout=layout)
     return reached.where(F.col("__kind") == 0).drop("__at", "__kind", "__mark")
 
 
 def _relevant(stages) -> Column:
     """Rows that some stage takes or that end a repetition; no others matter to relaxed patterns."""
-    cond = stages[0].accepts
-    for s in stages[1:]:
-        cond = cond | s.accepts
-    for s in stages:
-        if s.stop is not None:
-            cond = cond | F.coalesce(s.stop, F.lit(False))
-    return cond
+    conds = [c for s in stages for c in (s.cond, s.stop) if c is not None]
+    return reduce(lambda a, b: a | b, conds)
 
 
 def match(
     df: DataFrame, pattern: Pattern, key: Sequence[str], order: Sequence[str], keep: Sequence[str] = (),
-    t: str | None = None, cells: list[Column] | None = None,
+    t: str | None = None, layout: Layout | None = None,
 ) -> Matches:
     """All matches of ``pattern`` in each key's rows taken in ``order``.
 
@@ -212,13 +206,14 @@ def match(
     if t not in order and t not in keep:
         keep = [t, *keep]
     stages = pattern.stages
-    df = df.dropna(subset=[*key, *order])
+    for name in [*key, *order]:
+        df = df.where(F.col(name).isNotNull())
     if all(s.link != "next" and not s.strict for s in stages):
         df = df.where(_relevant(stages))
-    if cells is None:
+    if layout is None:
         ordered = len(stages) > 1 or stages[0].repeated
-        cells = measure_cells(df, key, order) if ordered else []
-    events = _prepared(df, pattern, key, order, keep, cells)
+        layout = measure_cells(df, key, order) if ordered else WHOLE_KEYS
+    events = _prepared(df, pattern, key, order, keep, layout)
     limit = pattern.within_us
     nexts = [f"__next{i}" for i in range(1, len(stages))]
 
@@ -248,7 +243,7 @@ def match(
                 partial = partial.withColumns(place).join(here, [*key, *place])
             partial = partial.select(*key, "__t0", *done, f"__m{i}", *[c for c in nexts if c in partial.columns])
         else:
-            partial = _repeat(partial, events, s, i, key, t, limit, done, nexts, cells)
+            partial = _repeat(partial, events, s, i, key, t, limit, done, nexts, layout)
             if limit is not None:
                 partial = partial.where(in_time(f"__m{i}.last"))
     rows = partial.withColumn(
@@ -281,13 +276,13 @@ def _stage_columns(s: Stage, i: int) -> list[Column]:
     ]
 
 
-def _repeat(partial, events, s: Stage, i: int, key, t: str, limit: int | None, done, nexts, cells) -> DataFrame:
+def _repeat(partial, events, s: Stage, i: int, key, t: str, limit: int | None, done, nexts, layout) -> DataFrame:
     """Partial matches standing on the first row of a repetition -> one row per way to end it."""
     first, top = F.col("__f.rank"), F.col("__f.top")
     base = partial.select(*key, "__t0", *done, "__f")
     if limit is not None and (s.most is None or s.combine):
         end = F.timestamp_micros(_micros(F.col("__t0")) + limit)
-        base = _ranks_before(base, events, key, t, i, end, cells)
+        base = _ranks_before(base, events, key, t, i, end, layout)
         top = F.least(top, F.col("__reach"))
     if s.combine:
         base = base.withColumns({"__top": top, "__ranks": F.array(first)})

@@ -35,8 +35,8 @@ def split_by(df: DataFrame, rules: Mapping[str, Column], rest: str = REST) -> di
 
 
 def to_one(df: DataFrame) -> DataFrame:
-    """All rows in one task: for small final results only."""
-    return df.coalesce(1)
+    """All rows in one task: for small final results only. What comes before stays parallel."""
+    return df.repartition(1)
 
 
 def replicate(df: DataFrame, n: int, out: str = "copy") -> DataFrame:

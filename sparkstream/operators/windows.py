@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sparkstream.operators.aggregate import Agg
-from sparkstream.plans.cells import measure_cells
+from sparkstream.plans.cells import WHOLE_KEYS, Layout, measure_cells
 from sparkstream.plans.scan import numbered
 
 START, END = "window_start", "window_end"
@@ -43,21 +43,21 @@ def sliding(
 
 
 def session(
-    df: DataFrame, key: Sequence[str], t: str, gap: str, aggs: Mapping[str, Agg], cells: list[Column] | None = None
+    df: DataFrame, key: Sequence[str], t: str, gap: str, aggs: Mapping[str, Agg], layout: Layout | None = None
 ) -> DataFrame:
     """Windows closed by ``gap`` of silence; rows exactly one gap apart share a window.
 
     When a key is too large for one task its sessions are first built inside cells. Only the first
     and the last session of a cell can reach across its border, so only those are merged again.
     """
-    if cells is None:
-        cells = [] if df.isStreaming else measure_cells(df, key, [t])
+    if layout is None:
+        layout = WHOLE_KEYS if df.isStreaming else measure_cells(df, key, [t])
     rows = {n: a.of_rows() for n, a in aggs.items()}
-    if not cells:
+    if not layout.cells:
         return _flat(df.groupBy(*key, F.session_window(t, gap).alias("w")).agg(*_named(rows)), key, aggs)
 
-    names = [f"__cell{i}" for i in range(len(cells))]
-    local = df.withColumns(dict(zip(names, cells))).groupBy(*key, *names, F.session_window(t, gap).alias("w"))
+    names = [f"__cell{i}" for i in range(len(layout.cells))]
+    local = df.withColumns(dict(zip(names, layout.cells))).groupBy(*key, *names, F.session_window(t, gap).alias("w"))
     local = _flat(local.agg(*_named(rows)), [*key, *names], aggs)
     in_cell = Window.partitionBy(*key, *names)
     local = local.withColumns(
@@ -81,10 +81,10 @@ def session(
 
 def count_tumbling(
     df: DataFrame, key: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Column],
-    cells: list[Column] | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Every ``n`` rows of a key fire once and start over; an incomplete tail never fires."""
-    placed = numbered(df, key, order, "__pos", cells)
+    placed = numbered(df, key, order, "__pos", layout)
     batch = F.floor((F.col("__pos") - 1) / n).alias("window_no")
     fired = placed.groupBy(*key, batch).agg(F.count(F.lit(1)).alias("__n"), *_named(aggs))
     return fired.where(F.col("__n") == n).select(*key, "window_no", *aggs)
@@ -92,14 +92,14 @@ def count_tumbling(
 
 def count_sliding(
     df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, slide: int, aggs: Mapping[str, Column],
-    cells: list[Column] | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """After every ``slide``-th row of a key, its last ``size`` rows; early firings hold fewer rows.
 
     Each row is copied to the firings it takes part in (at most size / slide, rounded up) and these
     are aggregated, so a firing is a small group even when its key is not.
     """
-    placed = numbered(df, key, order, "__pos", cells)
+    placed = numbered(df, key, order, "__pos", layout)
     first = F.ceil(F.col("__pos") / slide)
     last = F.floor((F.col("__pos") + size - 1) / slide)
     copies = placed.where(first <= last).withColumn("window_no", F.explode(F.sequence(first, last)))
@@ -119,30 +119,30 @@ def cumulative_ticks(
     """Early results of a day window: at the end of every tick, each key's sum since local midnight.
 
     A key is carried from its first tick of the day to the last tick anyone has that day. Sums per
-    tick come first (map-side combined), so the carried rows number keys x ticks, not input rows.
+    tick come first (map-side combined) and are accumulated; only then is each one repeated over the
+    silent ticks that follow it.
     """
     midnight = f"{-utc_offset_hours % 24} hours"
-    ticked = df.select(*key, F.col(t), value.alias("__v"), F.window(t, tick).end.alias("tick_end"))
-    dayed = ticked.select("*", F.window(t, "1 day", "1 day", midnight).start.alias("day_start"))
-    per_tick = dayed.groupBy(*key, "day_start", "tick_end").agg(F.sum("__v").alias("__sum"))
-    day_end = per_tick.groupBy("day_start").agg(F.max("tick_end").alias("__day_last"))
-    spine = (
-        per_tick.groupBy(*key, "day_start")
-        .agg(F.min("tick_end").alias("__first"))
-        .join(day_end, "day_start")
-        .select(
-            *key, "day_start",
-            F.explode(F.sequence("__first", "__day_last", F.expr(f"INTERVAL {tick}"))).alias("tick_end"),
-        )
-    )
-    zero = spine.withColumn("__sum", F.lit(None).cast(per_tick.schema["__sum"].dataType))
-    day = Window.partitionBy(*key, "day_start").orderBy("tick_end").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        zero.unionByName(per_tick)
+    step = F.expr(f"INTERVAL {tick}")
+
+    def placed(cols: list[Column]) -> DataFrame:
+        ticked = df.select(*cols, F.col(t), F.window(t, tick).end.alias("tick_end"))
+        return ticked.select("*", F.window(t, "1 day", "1 day", midnight).start.alias("day_start"))
+
+    per_tick = (
+        placed([*map(F.col, key), value.alias("__v")])
         .groupBy(*key, "day_start", "tick_end")
-        .agg(F.sum("__sum").alias("__sum"))
-        .select(*key, "day_start", "tick_end", F.sum("__sum").over(day).alias(out))
+        .agg(F.sum("__v").alias("__sum"))
     )
+    day_end = placed([]).groupBy("day_start").agg(F.max("tick_end").alias("__day_last"))
+    day = Window.partitionBy(*key, "day_start").orderBy("tick_end")
+    running = per_tick.select(
+        *key, "day_start", "tick_end",
+        F.sum("__sum").over(day.rowsBetween(Window.unboundedPreceding, 0)).alias(out),
+        F.lead("tick_end").over(day).alias("__next"),
+    ).join(day_end, "day_start")
+    until = F.coalesce(F.col("__next") - step, F.col("__day_last"))
+    return running.select(*key, "day_start", F.explode(F.sequence("tick_end", until, step)).alias("tick_end"), out)
 
 
 def top_n_per(df: DataFrame, by: Sequence[str], value: str, tie: Sequence[str], n: int, out: str = "rank"):

@@ -8,11 +8,13 @@ a stretch of one key's order: ``floor((t - origin) / width)``. Rows are then par
 
 The width is measured, not guessed: the coarsest one whose fullest cell stays within the limit is
 taken. If even equal values of the first order column overflow, the next order column is cut too.
+The outcome is a :class:`Layout`, which several steps of one operator share.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +22,26 @@ from pyspark.sql import types as T
 
 ROWS_PER_CELL = 4_000_000
 ROWS_CONF = "spark.sparkstream.rowsPerCell"
+SETTLE_ROWS = 50_000_000
 FAN_OUT = 16
 
 
+@dataclass(frozen=True, eq=False)
+class Layout:
+    """How keyed rows are spread: whole keys per task (no cells), or ``(key, *cells)``."""
+
+    cells: tuple[Column, ...] = ()
+    rows: int = 0
+
+    @property
+    def large(self) -> bool:
+        """Whether an intermediate result used several times is worth writing down."""
+        return bool(self.cells) or self.rows > SETTLE_ROWS
+
+
+WHOLE_KEYS = Layout()
+
+
 def rows_per_cell(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(ROWS_CONF, str(ROWS_PER_CELL)))
 
@@ -40,22 +59,30 @@ def as_long(df: DataFrame, name: str) -> Column:
 
 
 def fullest(df: DataFrame, group: Sequence[Column]) -> int:
+    """Rows of the largest group."""
+    return group_sizes(df, group)[0]
+
+
+def group_sizes(df: DataFrame, group: Sequence[Column]) -> tuple[int, int]:
+    """Rows of the largest group, and of all groups."""
     counts = df.groupBy(*[c.alias(f"__g{i}") for i, c in enumerate(group)]).agg(F.count(F.lit(1)).alias("__rows"))
-    return counts.agg(F.max("__rows")).first()[0] or 0
+    largest, total = counts.agg(F.max("__rows"), F.sum("__rows")).first()
+    return largest or 0, total or 0
 
 
 def measure_cells(
     df: DataFrame, key: Sequence[str], order: Sequence[str], limit: int | None = None
-) -> list[Column]:
-    """Cell columns that keep every ``(key, *cells)`` group within ``limit`` rows.
+) -> Layout:
+    """A layout whose ``(key, *cells)`` groups stay within ``limit`` rows.
 
-    ``[]`` means no key is too large, so plain ``partitionBy(key)`` is right. Costs one
+    No cells means that no key is too large, so plain ``partitionBy(key)`` is right. Costs one
     column-pruned, map-side combined count, and a few more only when a key is too large.
     """
     limit = limit or rows_per_cell(df)
     group: list[Column] = [F.col(k) for k in key]
-    if fullest(df, group) <= limit:
-        return []
+    largest, total = group_sizes(df, group)
+    if largest <= limit:
+        return Layout((), total)
     cells: list[Column] = []
     for name in order:
         value = as_long(df, name)
@@ -66,9 +93,9 @@ def measure_cells(
         while True:
             cell = F.floor((value - F.lit(low)) / F.lit(width)) if width > 1 else value
             if fullest(df, [*group, *cells, cell]) <= limit:
-                return [*cells, cell]
+                return Layout((*cells, cell), total)
             if width == 1:
                 break
             width = max(1, width // FAN_OUT)
         cells.append(value)
-    return cells
+    return Layout(tuple(cells), total)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkstream.plans.cells import measure_cells
+from sparkstream.plans.cells import Layout, measure_cells
 from sparkstream.session import scratch
 
 CARRY = "__carry"
@@ -74,19 +74,19 @@ def scan(
     *,
     reverse: bool = False,
     inclusive: bool = True,
-    cells: list[Column] | None = None,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Add one running column per entry of ``outs``.
 
     ``order`` must be total within a key. ``reverse`` runs from the end of the order backwards;
-    ``inclusive=False`` leaves the current row out, so it sees only rows before it. ``cells`` takes
-    the result of :func:`measure_cells` when several scans share one layout; ``None`` measures.
+    ``inclusive=False`` leaves the current row out, so it sees only rows before it. ``layout``
+    takes the result of :func:`measure_cells` when several scans share it; ``None`` measures.
     """
-    if cells is None:
-        cells = measure_cells(df, key, order)
+    if layout is None:
+        layout = measure_cells(df, key, order)
     direction = (lambda c: F.col(c).desc_nulls_last()) if reverse else (lambda c: F.col(c).asc_nulls_first())
     last_row = Window.currentRow if inclusive else -1
-    if not cells:
+    if not layout.cells:
         window = (
             Window.partitionBy(*key)
             .orderBy(*[direction(o) for o in order])
@@ -94,9 +94,9 @@ def scan(
         )
         return df.withColumns({name: r.over_rows(r.value, window) for name, r in outs.items()})
 
-    cell_names = [f"{CELL}{i}" for i in range(len(cells))]
+    cell_names = [f"{CELL}{i}" for i in range(len(layout.cells))]
     value_names = {name: f"__v_{i}" for i, name in enumerate(outs)}
-    rows = df.withColumns(dict(zip(cell_names, cells))).withColumns(
+    rows = df.withColumns(dict(zip(cell_names, layout.cells))).withColumns(
         {value_names[name]: r.value for name, r in outs.items()}
     )
     totals = rows.groupBy(*key, *cell_names).agg(
@@ -127,14 +127,14 @@ def scan(
     )
 
 
-def settled(df: DataFrame, cells: Sequence[Column], label: str = "scan") -> DataFrame:
-    """``df`` written to the shared folder and read back, when keys are cut into cells.
+def settled(df: DataFrame, when: bool, label: str = "scan") -> DataFrame:
+    """``df``, written to the shared folder and read back ``when`` that pays.
 
-    A scan over cells reads its input twice (rows and totals). A chain of them would double the work
-    at each link; a written table stops that, is read column by column, and outlives lost executors.
-    With whole keys per task nothing is written.
+    A scan over cells reads its input twice (rows and totals), so a chain of them would double the
+    work at each link; and a large result used several times would be computed as often. A written
+    table stops both, is read column by column, and outlives lost executors.
     """
-    if not cells:
+    if not when:
         return df
     path = scratch(df.sparkSession, label)
     df.write.parquet(path)
@@ -142,16 +142,17 @@ def settled(df: DataFrame, cells: Sequence[Column], label: str = "scan") -> Data
 
 
 def numbered(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "pos", cells=None
+    df: DataFrame, key: Sequence[str], order: Sequence[str], name: str = "pos", layout: Layout | None = None
 ) -> DataFrame:
     """Each row's place in its key's order, counted from 1."""
-    return scan(df, key, order, {name: running_count()}, cells=cells)
+    return scan(df, key, order, {name: running_count()}, layout=layout)
 
 
 def next_row(
-    df: DataFrame, key: Sequence[str], order: Sequence[str], outs: Mapping[str, Column], cells=None
+    df: DataFrame, key: Sequence[str], order: Sequence[str], outs: Mapping[str, Column],
+    layout: Layout | None = None,
 ) -> DataFrame:
     """For each output, the first non-null value found on a later row of the key."""
     return scan(
-        df, key, order, {n: latest(c) for n, c in outs.items()}, reverse=True, inclusive=False, cells=cells
+        df, key, order, {n: latest(c) for n, c in outs.items()}, reverse=True, inclusive=False, layout=layout
     )

@@ -289,10 +289,9 @@ def insert_select(spark, sf_dir):
     return stored.groupBy("id", "name").agg(F.count("*").alias("copies"))
 
 
-@query("SELECT c_name AS line, CAST(3 AS BIGINT) AS files FROM customer")
+@query("SELECT CAST(3 AS BIGINT) AS files, CAST(count(*) AS BIGINT) AS n, min(c_name) AS first_line FROM customer")
 def text_sink(spark, sf_dir):
-    """Text written by three tasks and read back, with the number of files."""
+    """Text written by three tasks and read back: files, lines."""
     path = sk.write_text(load(spark, sf_dir, "customer").select("c_name"), scratch(spark, "text"), 3)
-    lines = read_lines(spark, path).withColumn("__f", F.input_file_name())
-    files = lines.agg(F.count_distinct("__f").alias("files"))
-    return lines.join(F.broadcast(files)).select("line", "files")
+    lines = read_lines(spark, path).withColumn("file", F.input_file_name())
+    return lines.agg(F.count_distinct("file").alias("files"), F.count("*").alias("n"), F.min("line").alias("first_line"))

@@ -49,16 +49,16 @@ def test_scan_against_plain_python(spark, layout, burst, reverse, inclusive):
 @pytest.mark.parametrize("burst", [False, True])
 def test_cells_keep_every_group_within_the_limit(spark, burst):
     _, df = skewed(spark, burst=burst)
-    cells = measure_cells(df, ["k"], ["ts", "id"], 20)
-    assert cells
-    assert fullest(df, [F.col("k"), *cells]) <= 20
-    assert measure_cells(df, ["k"], ["ts", "id"], 600) == []
+    layout = measure_cells(df, ["k"], ["ts", "id"], 20)
+    assert layout.cells and layout.rows == 600
+    assert fullest(df, [F.col("k"), *layout.cells]) <= 20
+    assert not measure_cells(df, ["k"], ["ts", "id"], 600).cells
 
 
 def test_scan_over_cells_never_partitions_rows_by_the_key_alone(spark):
     _, df = skewed(spark)
-    cells = measure_cells(df, ["k"], ["ts", "id"], 20)
-    out = numbered(df, ["k"], ["ts", "id"], cells=cells)
+    layout = measure_cells(df, ["k"], ["ts", "id"], 20)
+    out = numbered(df, ["k"], ["ts", "id"], layout=layout)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(k" in plan and "__cell0" in plan
 
