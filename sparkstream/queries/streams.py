@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from sparkstream.operators import joins as jn
 from sparkstream.operators import windows as wn
+from sparkstream.operators.aggregate import Agg
 from sparkstream.operators.patterns import Pattern
-from sparkstream.plans.scan import running_count, running_sum
+from sparkstream.plans.scan import running_count, running_max, running_sum
 from sparkstream.queries.basics import CENTS, cents
 from sparkstream.queries.joins import HOUR
 from sparkstream.queries.patterns import CLICKS, DAY, NEXT_PURCHASE, is_
@@ -79,18 +80,23 @@ def stream_interval_join(spark, sf_dir):
     GROUP BY 1, 2 HAVING count(*) = 5"""
 )
 def stream_count_tumbling(spark, sf_dir):
-    rows = stream_events(spark, sf_dir).withColumn("cents", cents())
-    windows = st.count_tumbling_stream(rows, ["user_id"], ["ts", "event_id"], "cents", 5)
-    return collected(spark, "count-tumbling", windows).drop(sk.BATCH)
+    base = scratch(spark, "count-tumbling")
+    rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", cents().alias("cents"))
+    total = {"total": Agg("sum", F.col("cents"))}
+    writer = bt.count_tumbling_batches(rows, ["user_id"], ["ts", "event_id"], 5, total, f"{base}/out", f"{base}/state")
+    drain(writer, f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH)
 
 
 @query(
     """SELECT event_id, user_id, max(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS max_value FROM events"""
 )
 def stream_running_max(spark, sf_dir):
+    base = scratch(spark, "running-max")
     rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
-    best = st.running_max_stream(rows, ["user_id"], ["ts", "event_id"], "value", "max_value")
-    return collected(spark, "running-max", best).select("event_id", "user_id", "max_value")
+    outs = {"max_value": running_max(F.col("value"))}
+    drain(bt.scan_stream(rows, ["user_id"], ["ts", "event_id"], outs, f"{base}/out", f"{base}/state"), f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "max_value")
 
 
 @query(
@@ -115,9 +121,12 @@ def stream_running_sum(spark, sf_dir):
     UNION ALL SELECT user_id, event_id, FALSE AS is_add, pn, pt FROM b WHERE pn IS NOT NULL"""
 )
 def stream_changelog(spark, sf_dir):
-    rows = stream_events(spark, sf_dir).withColumn("cents", cents())
-    log = st.changelog_stream(rows, ["user_id"], ["event_id"], "cents")
-    return collected(spark, "changelog", log).drop(sk.BATCH).withColumnRenamed("cnt", "n")
+    base = scratch(spark, "changelog")
+    rows = stream_events(spark, sf_dir).select("user_id", "event_id", "value")
+    outs = {"n": running_count(), "total": running_sum(cents())}
+    writer = bt.changelog_batches(rows, ["user_id"], ["event_id"], outs, f"{base}/out", f"{base}/state")
+    drain(writer, f"{base}/checkpoint")
+    return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH)
 
 
 @query(
@@ -155,7 +164,8 @@ def upsert_latest(spark, sf_dir):
     base = scratch(spark, "upsert")
     rows = stream_events(spark, sf_dir).select("user_id", "event_id", "event_type", "ts")
     drain(sk.upsert(rows, f"{base}/log", ["user_id"], ["ts", "event_id"]), f"{base}/checkpoint")
-    return sk.latest_rows(spark, f"{base}/log", ["user_id"]).select("user_id", "event_id", "event_type")
+    latest = sk.latest_rows(spark, f"{base}/log", ["user_id"], ["ts", "event_id"])
+    return latest.select("user_id", "event_id", "event_type")
 
 
 @query("SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY user_id")

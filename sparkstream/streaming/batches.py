@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from sparkstream.operators.aggregate import Agg
+from sparkstream.operators.changelog import IS_ADD, to_changelog
 from sparkstream.operators.joins import enrich
 from sparkstream.operators.patterns import Matches, Pattern, match
 from sparkstream.operators.rules import match_rules
 from sparkstream.operators.windows import top_n_per
-from sparkstream.plans.scan import Running, scan
-from sparkstream.streaming.sinks import BATCH, last_per_key, read_batches, write_batch
+from sparkstream.plans.scan import Running, running_count, scan
+from sparkstream.streaming.sinks import BATCH, FOLD_EVERY, last_per_key, log_before, write_batch
 
 
 def enrich_stream(
@@ -60,6 +62,42 @@ def top_n_stream(totals: DataFrame, by: Sequence[str], value: str, tie: Sequence
     return totals.writeStream.outputMode("complete").foreachBatch(on_batch)
 
 
+FIRST = "__first"
+
+
+def _with_carried(batch: DataFrame, key, outs: Mapping[str, Running], state: str, batch_id: int) -> DataFrame:
+    """The batch's rows with their values in columns named like the outputs' inputs, and for every key
+    of the batch that is known from earlier batches one row before the first, holding its last values."""
+    rows = batch.withColumns({_value(n): r.value for n, r in outs.items()}).withColumn(FIRST, F.lit(1))
+    if batch_id == 0:
+        return rows
+    earlier = log_before(batch.sparkSession, state, batch_id)
+    known = earlier.join(batch.select(*key).distinct(), list(key), "left_semi")
+    carried = last_per_key(known, key, [BATCH]).drop(BATCH).withColumn(FIRST, F.lit(0))
+    return rows.unionByName(carried, allowMissingColumns=True)
+
+
+def _value(name: str) -> str:
+    return f"__s_{name}"
+
+
+def _of_values(outs: Mapping[str, Running]) -> dict[str, Running]:
+    return {n: Running(r.kind, F.col(_value(n))) for n, r in outs.items()}
+
+
+def _remember(done: DataFrame, key, order, outs, state: str, batch_id: int) -> None:
+    last = last_per_key(done.select(*key, *order, *outs), key, order)
+    stored = last.select(*key, *[F.col(n).alias(_value(n)) for n in outs])
+    if batch_id and batch_id % FOLD_EVERY == 0:
+        older = log_before(done.sparkSession, state, batch_id).unionByName(stored.withColumn(BATCH, F.lit(batch_id)))
+        stored = last_per_key(older, key, [BATCH]).drop(BATCH)
+    write_batch(stored, state, batch_id)
+
+
+def _written(spark, path: str, batch_id: int) -> DataFrame:
+    return spark.read.parquet(f"{path}/{BATCH}={batch_id}")
+
+
 def scan_stream(
     df: DataFrame, key: Sequence[str], order: Sequence[str], outs: Mapping[str, Running], path: str, state: str
 ) -> DataStreamWriter:
@@ -68,23 +106,58 @@ def scan_stream(
     Each micro-batch goes through the skew-safe :func:`scan`; each key's last values enter it as a row
     before the first. Only keys present in the batch are looked up in the stored state.
     """
-    names = {name: f"__s_{i}" for i, name in enumerate(outs)}
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.withColumns({names[n]: r.value for n, r in outs.items()}).withColumn("__first", F.lit(1))
-        if batch_id > 0:
-            earlier = read_batches(spark, state).where(F.col(BATCH) < batch_id)
-            known = last_per_key(earlier.join(batch.select(*key).distinct(), list(key), "left_semi"), key, [BATCH])
-            carried = known.drop(BATCH).withColumn("__first", F.lit(0))
-            rows = rows.unionByName(carried, allowMissingColumns=True)
-        done = scan(
-            rows, key, ["__first", *order], {n: Running(r.kind, F.col(names[n])) for n, r in outs.items()}
-        ).where(F.col("__first") == 1)
+        rows = _with_carried(batch, key, outs, state, batch_id)
+        done = scan(rows, key, [FIRST, *order], _of_values(outs)).where(F.col(FIRST) == 1)
         write_batch(done.select(*batch.columns, *outs), path, batch_id)
-        written = spark.read.parquet(f"{path}/{BATCH}={batch_id}")
-        last = last_per_key(written.select(*key, *order, *outs), key, order)
-        write_batch(last.select(*key, *[F.col(n).alias(s) for n, s in names.items()]), state, batch_id)
+        _remember(_written(batch.sparkSession, path, batch_id), key, order, outs, state, batch_id)
+
+    return df.writeStream.foreachBatch(on_batch)
+
+
+def changelog_batches(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], outs: Mapping[str, Running], path: str, state: str
+) -> DataStreamWriter:
+    """The change log of running aggregates over a stream, for keys of any size."""
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = _with_carried(batch, key, outs, state, batch_id)
+        log = to_changelog(rows, key, [FIRST, *order], _of_values(outs)).where(F.col(FIRST) == 1).drop(FIRST)
+        write_batch(log, path, batch_id)
+        adds = _written(batch.sparkSession, path, batch_id).where(F.col(IS_ADD))
+        _remember(adds, key, order, outs, state, batch_id)
+
+    return df.writeStream.foreachBatch(on_batch)
+
+
+def count_tumbling_batches(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Agg], path: str, state: str
+) -> DataStreamWriter:
+    """Count windows over a stream, for keys of any size.
+
+    Rows are numbered across micro-batches by the running count; a window that is not full yet waits as
+    one row of partial aggregates (``open`` under the state folder) and is merged with the next batch.
+    """
+    count = {"pos": running_count()}
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = _with_carried(batch, key, count, f"{state}/pos", batch_id)
+        placed = scan(rows, key, [FIRST, *order], _of_values(count)).where(F.col(FIRST) == 1)
+        write_batch(placed.select(*batch.columns, "pos"), f"{state}/rows", batch_id)
+        placed = _written(spark, f"{state}/rows", batch_id)
+        _remember(placed, key, order, count, f"{state}/pos", batch_id)
+        parts = placed.groupBy(*key, F.floor((F.col("pos") - 1) / n).alias("window_no")).agg(
+            F.count(F.lit(1)).alias("__n"), *[a.of_rows().alias(name) for name, a in aggs.items()]
+        )
+        if batch_id:
+            waiting = _written(spark, f"{state}/open", batch_id - 1)
+            parts = parts.unionByName(waiting).groupBy(*key, "window_no").agg(
+                F.sum("__n").alias("__n"), *[a.of_parts(name).alias(name) for name, a in aggs.items()]
+            )
+        write_batch(parts.where(F.col("__n") == n).drop("__n"), path, batch_id)
+        write_batch(parts.where(F.col("__n") < n), f"{state}/open", batch_id)
 
     return df.writeStream.foreachBatch(on_batch)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 BATCH = "batch_id"
+FOLD_EVERY = 50
 
 
 def show_sink(df: DataFrame, label: str = "", rows: int = 20) -> DataStreamWriter | None:
@@ -62,36 +63,42 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 
 
 def upsert(df: DataFrame, path: str, key: Sequence[str], order: Sequence[str], mode: str = "append") -> DataStreamWriter:
-    """Latest row per key, kept as a log of per-batch changes.
-
-    A micro-batch is reduced to one row per key (map-side first) and written as its own partition, so
-    the cost follows the batch and not the size of the store. :func:`latest_rows` folds the log, and
-    :func:`compact` rewrites it when it has grown long.
-    """
+    """Latest row per key by ``order``, kept as a log of per-batch changes (see :func:`append_to_log`)."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(last_per_key(batch, key, order), path, batch_id)
+        append_to_log(batch, path, key, order, batch_id)
 
     return df.writeStream.outputMode(mode).foreachBatch(on_batch)
 
 
-def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    rest = [c for c in df.columns if c not in key]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("__last")
-    return df.groupBy(*key).agg(best).select(*key, "__last.*")
+def append_to_log(rows: DataFrame, path: str, key: Sequence[str], order: Sequence[str], batch_id: int) -> None:
+    """One row per key of this batch, as partition ``batch_id`` of the log.
+
+    The cost follows the batch and not the size of the store. Every ``FOLD_EVERY`` batches the
+    partition holds all keys instead, so readers never look further back than the last such one.
+    """
+    if batch_id and batch_id % FOLD_EVERY == 0:
+        rows = log_before(rows.sparkSession, path, batch_id).drop(BATCH).unionByName(rows)
+    write_batch(last_per_key(rows, key, order), path, batch_id)
 
 
-def latest_rows(spark: SparkSession, path: str, key: Sequence[str]) -> DataFrame:
-    """The current row of every key."""
-    return last_per_key(read_batches(spark, path), key, [BATCH]).drop(BATCH)
+def log_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The part of a log that describes the state just before a batch; other partitions are pruned."""
+    folded = (batch_id - 1) // FOLD_EVERY * FOLD_EVERY
+    return read_batches(spark, path).where((F.col(BATCH) >= folded) & (F.col(BATCH) < batch_id))
 
 
-def compact(spark: SparkSession, path: str, key: Sequence[str], target: str, upto: int) -> None:
-    """The log up to a batch folded into one partition of a new folder, later batches carried over."""
+def latest_rows(spark: SparkSession, path: str, key: Sequence[str], order: Sequence[str] = (BATCH,)) -> DataFrame:
+    """The current row of every key; by default the one of the latest batch."""
     log = read_batches(spark, path)
-    folded = last_per_key(log.where(F.col(BATCH) <= upto), key, [BATCH]).withColumn(BATCH, F.lit(upto))
-    later = log.where(F.col(BATCH) > upto)
-    folded.unionByName(later).write.partitionBy(BATCH).parquet(target)
+    last = log.agg(F.max(BATCH)).first()[0]
+    return last_per_key(log.where(F.col(BATCH) >= last // FOLD_EVERY * FOLD_EVERY), key, order).drop(BATCH)
+
+
+def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    rest = [c for c in df.columns if c not in key]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("__last")
+    return df.groupBy(*key).agg(best).select(*key, "__last.*")
 
 
 def per_connection(

@@ -1,7 +1,8 @@
 """Operators that keep state per key between micro-batches.
 
-The rows of a key that arrive in one micro-batch are taken in the given order; the size of a
-micro-batch (files or records per trigger) bounds what is held at once. State lives in RocksDB.
+Rows of a key are taken as they arrive, one Arrow batch at a time and in the given order within each,
+so no key is ever held whole. Where the order of all rows matters exactly, or one key has a large
+share of them, use the micro-batch forms in :mod:`sparkstream.streaming.batches`. State is in RocksDB.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
-def _in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+def _in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> Iterator[pd.DataFrame]:
+    for chunk in rows:
+        if len(chunk):
+            yield chunk.sort_values(list(order), kind="stable", ignore_index=True)
 
 
 def _key_frame(key: tuple, names: Sequence[str], n: int) -> dict:
@@ -38,20 +41,21 @@ class CountWindows(StatefulProcessor):
         self.state = handle.getValueState("open", "fired BIGINT, held BIGINT, total BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        values = _in_order(rows, self.order)[self.value].to_numpy(dtype=np.int64)
         fired, held, total = self.state.get() if self.state.exists() else (0, 0, 0)
-        window = (held + np.arange(len(values))) // self.n
-        sums = np.zeros(int(window[-1]) + 1, dtype=np.int64)
-        np.add.at(sums, window, values)
-        sums[0] += total
-        seen = held + len(values)
-        done = int(seen // self.n)
-        open_total = int(sums[done]) if done < len(sums) else 0
-        self.state.update((int(fired + done), int(seen % self.n), open_total))
-        if done:
-            yield pd.DataFrame(
-                {**_key_frame(key, self.key, done), "window_no": fired + np.arange(done), "total": sums[:done]}
-            )
+        for chunk in _in_order(rows, self.order):
+            values = chunk[self.value].to_numpy(dtype=np.int64)
+            window = (held + np.arange(len(values))) // self.n
+            sums = np.zeros(int(window[-1]) + 1, dtype=np.int64)
+            np.add.at(sums, window, values)
+            sums[0] += total
+            done, held = divmod(held + len(values), self.n)
+            total = int(sums[done]) if done < len(sums) else 0
+            if done:
+                yield pd.DataFrame(
+                    {**_key_frame(key, self.key, done), "window_no": fired + np.arange(done), "total": sums[:done]}
+                )
+            fired += done
+        self.state.update((fired, held, total))
 
     def close(self) -> None:
         pass
@@ -74,13 +78,14 @@ class RunningMax(StatefulProcessor):
         self.best = handle.getValueState("best", "value DOUBLE")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, self.order)
-        best = frame[self.value].cummax()
-        if self.best.exists():
-            best = best.clip(lower=self.best.get()[0])
-        self.best.update((float(best.iloc[-1]),))
-        frame[self.out] = best
-        yield frame
+        top = self.best.get()[0] if self.best.exists() else None
+        for chunk in _in_order(rows, self.order):
+            best = chunk[self.value].cummax()
+            if top is not None:
+                best = best.clip(lower=top)
+            top = float(best.iloc[-1])
+            yield chunk.assign(**{self.out: best})
+        self.best.update((top,))
 
     def close(self) -> None:
         pass
@@ -101,16 +106,17 @@ class Changelog(StatefulProcessor):
         self.last = handle.getValueState("last", "n BIGINT, total BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        frame = _in_order(rows, self.order)
-        known = self.last.exists()
-        n0, total0 = self.last.get() if known else (0, 0)
-        n = n0 + np.arange(1, len(frame) + 1)
-        total = total0 + frame[self.value].to_numpy(dtype=np.int64).cumsum()
-        self.last.update((int(n[-1]), int(total[-1])))
-        base = {**_key_frame(key, self.key, len(frame)), **{o: frame[o] for o in self.order}}
-        add = pd.DataFrame({**base, "is_add": True, "cnt": n, "total": total})
-        drop = pd.DataFrame({**base, "is_add": False, "cnt": n - 1, "total": np.concatenate([[total0], total[:-1]])})
-        yield pd.concat([drop if known else drop.iloc[1:], add], ignore_index=True)
+        n0, total0 = self.last.get() if self.last.exists() else (0, 0)
+        for chunk in _in_order(rows, self.order):
+            n = n0 + np.arange(1, len(chunk) + 1)
+            total = total0 + chunk[self.value].to_numpy(dtype=np.int64).cumsum()
+            base = {**_key_frame(key, self.key, len(chunk)), **{o: chunk[o] for o in self.order}}
+            add = pd.DataFrame({**base, "is_add": True, "cnt": n, "total": total})
+            before = np.concatenate([[total0], total[:-1]])
+            drop = pd.DataFrame({**base, "is_add": False, "cnt": n - 1, "total": before})
+            yield pd.concat([drop if n0 else drop.iloc[1:], add], ignore_index=True)
+            n0, total0 = int(n[-1]), int(total[-1])
+        self.last.update((n0, total0))
 
     def close(self) -> None:
         pass
@@ -142,7 +148,9 @@ class Deadline(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for row in _in_order(rows, ["ms", "is_close"]).itertuples():
+        # one item has one open and few closes, so its rows are few; closes may be seen first
+        rows = pd.concat(list(rows), ignore_index=True).sort_values(["ms", "is_close"], kind="stable")
+        for row in rows.itertuples():
             if not row.is_close:
                 self.opened.update((int(row.ms),))
                 self.handle.registerTimer(int(row.ms) + self.wait_ms)

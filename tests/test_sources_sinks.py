@@ -163,15 +163,16 @@ def test_insert_from_itself_doubles_rows(spark):
     assert src.catalog_table(spark, "people").count() == 4
 
 
-def test_compacted_log_keeps_the_latest(spark, tmp_path):
-    log, small = str(tmp_path / "log"), str(tmp_path / "small")
-    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 3)]]):
-        sk.write_batch(spark.createDataFrame(rows, "k STRING, v INT"), log, batch)
-    sk.compact(spark, log, ["k"], small, upto=1)
-    want = [("a", 2), ("b", 1), ("c", 3)]
-    assert sorted(tuple(r) for r in sk.latest_rows(spark, log, ["k"]).collect()) == want
-    assert sorted(tuple(r) for r in sk.latest_rows(spark, small, ["k"]).collect()) == want
-    assert spark.read.parquet(small).count() == 3
+def test_log_is_folded_and_keeps_the_latest(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sk, "FOLD_EVERY", 3)
+    log = str(tmp_path / "log")
+    batches = [[("a", 1)], [("b", 5)], [("a", 2)], [("c", 3)], [("b", 4)], [("d", 9)]]
+    for batch, rows in enumerate(batches):
+        sk.append_to_log(spark.createDataFrame(rows, "k STRING, v INT"), log, ["k"], ["v"], batch)
+    got = sk.latest_rows(spark, log, ["k"], ["v"])
+    assert sorted(tuple(r) for r in got.collect()) == [("a", 2), ("b", 5), ("c", 3), ("d", 9)]
+    assert spark.read.parquet(f"{log}/batch_id=3").count() == 3
+    assert sorted(r.k for r in sk.log_before(spark, log, 5).select("k").distinct().collect()) == ["a", "b", "c"]
 
 
 def test_custom_source_batch(spark, tmp_path):

@@ -106,13 +106,36 @@ def test_changelog_with_state(spark, feed, tmp_path):
     assert got_rows == sorted(key(r) for r in want.select("k", "n", "is_add", "total").collect())
 
 
-@pytest.mark.parametrize("limit", ["1000000", "10"])
-def test_scan_over_micro_batches(spark, feed, tmp_path, limit):
-    spark.conf.set(ROWS_CONF, limit)
+@pytest.fixture(params=["whole", "cells"])
+def small_folds(request, spark, monkeypatch):
+    """Fold the state log every second batch, with and without keys cut into cells."""
+    monkeypatch.setattr(sk, "FOLD_EVERY", 2)
+    monkeypatch.setattr(bt, "FOLD_EVERY", 2)
+    if request.param == "cells":
+        spark.conf.set(ROWS_CONF, "10")
+    yield
+    spark.conf.unset(ROWS_CONF)
+
+
+def test_count_windows_over_micro_batches(spark, feed, tmp_path, small_folds):
+    aggs = {"total": ag.Agg("sum", F.col("v")), "top": ag.Agg("max", F.col("v"))}
+    writer = bt.count_tumbling_batches(stream(spark, feed), ["k"], ["t", "n"], 7, aggs, f"{tmp_path}/o", f"{tmp_path}/s")
+    drain(writer, f"{tmp_path}/ckpt")
+    want = wn.count_tumbling(feed[0], ["k"], ["t", "n"], 7, {"total": F.sum("v"), "top": F.max("v")})
+    same(sk.read_batches(spark, f"{tmp_path}/o").drop(sk.BATCH), want)
+
+
+def test_changelog_over_micro_batches(spark, feed, tmp_path, small_folds):
+    outs = {"c": running_count(), "total": running_sum(F.col("v"))}
+    rows = stream(spark, feed, 2).select("k", "t", "n", "v")
+    drain(bt.changelog_batches(rows, ["k"], ["t", "n"], outs, f"{tmp_path}/o", f"{tmp_path}/s"), f"{tmp_path}/ckpt")
+    same(sk.read_batches(spark, f"{tmp_path}/o").drop(sk.BATCH), to_changelog(feed[0], ["k"], ["t", "n"], outs))
+
+
+def test_scan_over_micro_batches(spark, feed, tmp_path, small_folds):
     outs = {"c": running_count(), "total": running_sum(F.col("v")), "top": running_max(F.col("v"))}
     writer = bt.scan_stream(stream(spark, feed, 2).select("k", "t", "n", "v"), ["k"], ["t", "n"], outs, f"{tmp_path}/o", f"{tmp_path}/s")
     drain(writer, f"{tmp_path}/ckpt")
-    spark.conf.unset(ROWS_CONF)
     want = ag.scan(feed[0].select("k", "t", "n", "v"), ["k"], ["t", "n"], outs)
     same(sk.read_batches(spark, f"{tmp_path}/o").drop(sk.BATCH), want)
 
@@ -153,7 +176,7 @@ PATTERNS = {
 def test_patterns_over_a_stream(spark, feed, tmp_path, name):
     pattern, keep = PATTERNS[name](), ["kind"]
     base = str(tmp_path / name)
-    writer = bt.match_stream(stream(spark, feed), pattern, ["k"], "t", ["n"], 4 * SEC, base, keep)
+    writer = bt.match_stream(stream(spark, feed, 2), pattern, ["k"], "t", ["n"], 4 * SEC, base, keep)
     query = drain(writer, f"{base}/ckpt")
     bt.flush_matches(spark, pattern, ["k"], "t", ["n"], base, query.lastProgress["batchId"], keep)
     want = match(feed[0], pattern, ["k"], ["t", "n"], keep)
@@ -265,7 +288,7 @@ def test_update_mode_counts_and_upserts(spark, feed, tmp_path):
     same(final, feed[0].groupBy("k").agg(F.count("*").alias("c")))
     rows = stream(spark, feed, 2).select("k", "n", "v")
     drain(sk.upsert(rows, f"{tmp_path}/up", ["k"], ["n"]), f"{tmp_path}/ckpt2")
-    same(sk.latest_rows(spark, f"{tmp_path}/up", ["k"]), sk.last_per_key(feed[0].select("k", "n", "v"), ["k"], ["n"]))
+    same(sk.latest_rows(spark, f"{tmp_path}/up", ["k"], ["n"]), sk.last_per_key(feed[0].select("k", "n", "v"), ["k"], ["n"]))
 
 
 def test_split_stream_writes_each_row_once(spark, feed, tmp_path):
