@@ -20,14 +20,15 @@ from sparkstream.sources.polled import polled_table
 from sparkstream.streaming import batches as bt
 from sparkstream.streaming import sinks as sk
 from sparkstream.streaming import stateful as st
-from sparkstream.streaming.runner import drain
+from sparkstream.streaming.runner import drain, sized_state
 from sparkstream.tables import load, path_of, stream_events, stream_table
 
 
-def collected(spark, label, df, mode="append"):
-    """Run a stream into an exactly-once file log and read the log back."""
+def collected(spark, sf_dir, label, df, mode="append"):
+    """Run a stream over the events into an exactly-once file log and read the log back."""
     base = scratch(spark, label)
-    drain(sk.exactly_once(df, f"{base}/out", mode), f"{base}/checkpoint")
+    with sized_state(spark, load(spark, sf_dir, "events").count()):
+        drain(sk.exactly_once(df, f"{base}/out", mode), f"{base}/checkpoint")
     return sk.read_batches(spark, f"{base}/out")
 
 
@@ -45,7 +46,7 @@ def stream_tumbling(spark, sf_dir):
     """Day windows with a watermark of two hours: those the watermark has closed."""
     sums = {"n": F.count("*"), "total": F.sum(cents())}
     windows = wn.tumbling(stream_events(spark, sf_dir), ["event_type"], "ts", "1 day", sums, delay="2 hours")
-    return collected(spark, "tumbling", windows).select("event_type", "window_start", "n", "total")
+    return collected(spark, sf_dir, "tumbling", windows).select("event_type", "window_start", "n", "total")
 
 
 @query(
@@ -57,7 +58,7 @@ def stream_window_join(spark, sf_dir):
     views = stream_of(spark, sf_dir, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
     clicks = stream_of(spark, sf_dir, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
     joined = jn.window_join(views, clicks, ["user_id"], "view_ts", "click_ts", "1 day", delay="1 hour")
-    return collected(spark, "window-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
+    return collected(spark, sf_dir, "window-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
 
 
 @query(
@@ -71,7 +72,7 @@ def stream_interval_join(spark, sf_dir):
     joined = jn.interval_join_stream(
         views, clicks, ["user_id"], "view_ts", "click_ts", "'-2' HOURS", "'1' HOURS", "1 hour"
     )
-    return collected(spark, "interval-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
+    return collected(spark, sf_dir, "interval-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
 
 
 @query(
@@ -144,14 +145,14 @@ def stream_deadlines(spark, sf_dir):
     opens = rows.where(F.col("event_id") % 2 == 0).select("item", F.col("ts").alias("opened"))
     closes = rows.where(F.col("event_id") % 2 == 1).select("item", F.col("ts").alias("closed"))
     decided = st.deadline_stream(opens, closes, ["item"], "opened", "closed", 240_000, "0 seconds")
-    return collected(spark, "deadlines", decided).drop(sk.BATCH)
+    return collected(spark, sf_dir, "deadlines", decided).drop(sk.BATCH)
 
 
 @query("SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY user_id")
 def exactly_once_counts(spark, sf_dir):
     """Events -> running counts -> a log in which every micro-batch appears once."""
     counts = stream_events(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
-    log = collected(spark, "counts", counts, "update")
+    log = collected(spark, sf_dir, "counts", counts, "update")
     return sk.last_per_key(log, ["user_id"], [sk.BATCH]).select("user_id", "n")
 
 
@@ -173,11 +174,12 @@ def resumable_counts(spark, sf_dir):
     """Counts over a drop folder, stopped and started again when more files arrive."""
     base = scratch(spark, "resumable")
     events = load(spark, sf_dir, "events").select("event_id", "user_id")
-    for half in (0, 1):
-        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{base}/drop")
-        stream = spark.readStream.schema("event_id BIGINT, user_id BIGINT").parquet(f"{base}/drop")
-        counts = stream.groupBy("user_id").agg(F.count("*").alias("n"))
-        drain(sk.exactly_once(counts, f"{base}/out", "update"), f"{base}/checkpoint")
+    with sized_state(spark, events.count()):
+        for half in (0, 1):
+            events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{base}/drop")
+            stream = spark.readStream.schema("event_id BIGINT, user_id BIGINT").parquet(f"{base}/drop")
+            counts = stream.groupBy("user_id").agg(F.count("*").alias("n"))
+            drain(sk.exactly_once(counts, f"{base}/out", "update"), f"{base}/checkpoint")
     return sk.last_per_key(sk.read_batches(spark, f"{base}/out"), ["user_id"], [sk.BATCH]).select("user_id", "n")
 
 
@@ -263,7 +265,8 @@ def stream_top3(spark, sf_dir):
     base = scratch(spark, "top3")
     totals = wn.tumbling(stream_events(spark, sf_dir), ["event_type"], "ts", "1 day", {"total": F.sum(cents())})
     writer = bt.top_n_stream(totals, ["window_start"], "total", ["event_type"], 3, f"{base}/out")
-    run = drain(writer, f"{base}/checkpoint")
+    with sized_state(spark, load(spark, sf_dir, "events").count()):
+        run = drain(writer, f"{base}/checkpoint")
     last = spark.read.parquet(f"{base}/out/{sk.BATCH}={run.lastProgress['batchId']}")
     return last.select(F.col("window_start").alias("day"), "event_type", "total")
 
@@ -282,7 +285,7 @@ def stream_split(spark, sf_dir):
 def polled_source(spark, sf_dir):
     """A user-written source that re-reads a table at every poll; one poll."""
     rows = polled_table(spark, path_of(sf_dir, "customer"), "c_custkey BIGINT, c_name STRING", every=86_400)
-    return collected(spark, "polled", rows).drop(sk.BATCH)
+    return collected(spark, sf_dir, "polled", rows).drop(sk.BATCH)
 
 
 @query("SELECT id, name, CAST(2 AS BIGINT) AS copies FROM (SELECT s_suppkey AS id, s_name AS name FROM supplier)")

@@ -6,13 +6,19 @@ own and survives a restart: a trigger in a new interval reads the table once, by
 
 from __future__ import annotations
 
+import sys
 import time
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 
+# Tasks get these classes with the job, whether or not the package is installed where they run.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 class FilePart(InputPartition):
     def __init__(self, path: str):
         self.path = path

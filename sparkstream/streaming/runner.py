@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -17,6 +18,23 @@ def drain(writer: DataStreamWriter, checkpoint: str) -> StreamingQuery:
     return query
 
 
+@contextmanager
+def sized_state(spark: SparkSession, rows: int, rows_per_partition: int = 1_000_000) -> Iterator[int]:
+    """Start streams inside with as many state partitions as ``rows`` need.
+
+    The number is fixed when a stateful query first starts and adaptive execution does not change it.
+    It is never raised above the session's shuffle partitions nor lowered below its parallelism.
+    """
+    name = "spark.sql.shuffle.partitions"
+    configured = spark.conf.get(name)
+    needed = max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
+    spark.conf.set(name, str(min(int(configured), needed)))
+    try:
+        yield int(spark.conf.get(name))
+    finally:
+        spark.conf.set(name, configured)
+
+
 def run_stream(
     start: Callable[[], StreamingQuery], retries: int = 3, wait_seconds: float = 5.0
 ) -> StreamingQuery:

@@ -7,16 +7,22 @@ share of them, use the micro-batch forms in :mod:`sparkstream.streaming.batches`
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 
+# Tasks get these classes with the job, whether or not the package is installed where they run.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def _in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> Iterator[pd.DataFrame]:
     for chunk in rows:
         if len(chunk):
