@@ -98,6 +98,12 @@ def _written(spark, path: str, batch_id: int) -> DataFrame:
     return spark.read.parquet(f"{path}/{BATCH}={batch_id}")
 
 
+def _landed(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """The micro-batch written down once, so that its several uses do not read the source each time."""
+    write_batch(batch, path, batch_id)
+    return _written(batch.sparkSession, path, batch_id)
+
+
 def scan_stream(
     df: DataFrame, key: Sequence[str], order: Sequence[str], outs: Mapping[str, Running], path: str, state: str
 ) -> DataStreamWriter:
@@ -108,10 +114,11 @@ def scan_stream(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = _with_carried(batch, key, outs, state, batch_id)
+        batch = _landed(batch, f"{state}/arrived", batch_id)
+        rows = _with_carried(batch, key, outs, f"{state}/last", batch_id)
         done = scan(rows, key, [FIRST, *order], _of_values(outs)).where(F.col(FIRST) == 1)
         write_batch(done.select(*batch.columns, *outs), path, batch_id)
-        _remember(_written(batch.sparkSession, path, batch_id), key, order, outs, state, batch_id)
+        _remember(_written(batch.sparkSession, path, batch_id), key, order, outs, f"{state}/last", batch_id)
 
     return df.writeStream.foreachBatch(on_batch)
 
@@ -122,11 +129,12 @@ def changelog_batches(
     """The change log of running aggregates over a stream, for keys of any size."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = _with_carried(batch, key, outs, state, batch_id)
+        batch = _landed(batch, f"{state}/arrived", batch_id)
+        rows = _with_carried(batch, key, outs, f"{state}/last", batch_id)
         log = to_changelog(rows, key, [FIRST, *order], _of_values(outs)).where(F.col(FIRST) == 1).drop(FIRST)
         write_batch(log, path, batch_id)
         adds = _written(batch.sparkSession, path, batch_id).where(F.col(IS_ADD))
-        _remember(adds, key, order, outs, state, batch_id)
+        _remember(adds, key, order, outs, f"{state}/last", batch_id)
 
     return df.writeStream.foreachBatch(on_batch)
 
@@ -143,6 +151,7 @@ def count_tumbling_batches(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = _landed(batch, f"{state}/arrived", batch_id)
         rows = _with_carried(batch, key, count, f"{state}/pos", batch_id)
         placed = scan(rows, key, [FIRST, *order], _of_values(count)).where(F.col(FIRST) == 1)
         write_batch(placed.select(*batch.columns, "pos"), f"{state}/rows", batch_id)
@@ -171,7 +180,7 @@ def match_stream(
     Rows wait until the watermark (largest time seen - delay) has passed them. Each micro-batch matches
     the rows released so far that are young enough to matter, and keeps the matches that this batch
     completed. Rows older than watermark - within are forgotten. Under ``path``:
-    ``matches``, ``timeouts`` and ``late`` hold the outputs, ``buffer`` and ``marks`` the state.
+    ``matches``, ``timeouts`` and ``late`` hold the outputs, ``arrived``, ``buffer`` and ``marks`` the state.
     """
     if pattern.within_us is None:
         raise ValueError("a pattern over a stream needs within")
@@ -184,7 +193,7 @@ def match_stream(
         if batch_id > 0:
             before = spark.read.parquet(f"{path}/marks/{BATCH}={batch_id - 1}").first()[0]
             held = spark.read.parquet(f"{path}/buffer/{BATCH}={batch_id - 1}")
-        fresh = batch.select(*cols)
+        fresh = _landed(batch.select(*cols), f"{path}/arrived", batch_id)
         newest = fresh.agg(F.max(F.unix_micros(t))).first()[0]
         mark = max((m for m in (before, None if newest is None else newest - delay_us) if m is not None), default=None)
         spark.createDataFrame([(mark,)], "mark BIGINT").write.mode("overwrite").parquet(f"{path}/marks/{BATCH}={batch_id}")

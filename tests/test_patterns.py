@@ -106,10 +106,6 @@ def test_relaxed_run_reaches_over_other_events(spark, layout):
     assert got == [("a3", "a4"), ("a4", "a5"), ("a5", "a7")]
 
 
-def brute(events, step_ok, within):
-    return [c for c in step_ok(events) if c[-1][0] - c[0][0] < within]
-
-
 def test_combinations_against_brute_force(spark, layout):
     rng = random.Random(3)
     rows = sorted({(rng.randrange(60), rng.choice("ab")) for _ in range(40)})
