@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sparkstream.llm import neardup, pieces
-from sparkstream.llm.common import table
+from sparkstream.llm import langid, linecrf, neardup, pieces
+from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,15 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return linecrf.judge(docs, linecrf.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.learn(docs, ~held_out(F.col("doc_id"))))
