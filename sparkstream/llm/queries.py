@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import langid, linecrf, neardup, pieces
+from sparkstream.llm import langid, leaks, linecrf, neardup, pieces
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.learn(docs, ~held_out(F.col("doc_id"))))
+
+
+@query()
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
