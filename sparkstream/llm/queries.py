@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import langid, leaks, linecrf, neardup, pieces
+from sparkstream.llm import langid, leaks, licences, linecrf, neardup, pieces, urlrules
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,43 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Rules of the registered query: host, path, verdict.
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+@query(
+    """
+    WITH cut AS (
+      SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages
+    ), split AS (
+      SELECT page_id,
+        coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+      FROM cut
+    ), rules(h, p, v) AS (
+      VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+             ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+    )
+    SELECT page_id, host, path,
+      (SELECT arg_max(h || p, length(h || p)) FROM rules
+       WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+      coalesce((SELECT arg_max(v, length(h || p)) FROM rules
+       WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
+    FROM split
+    """
+)
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlrules.judge(table(spark, sf_dir, "pages"), urlrules.rule_table(spark, URL_RULES), ["page_id"])
+
+
+@query(licences.scan_sql())
+def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
