@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import langid, leaks, licences, linecrf, neardup, pieces, urlrules
+from sparkstream.llm import htmltext, langid, leaks, licences, linecrf, neardup, pieces, urlrules
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,8 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(licences.scan_sql())
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
