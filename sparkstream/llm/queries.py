@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, neardup, pieces, urlrules
+from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, neardup, packing, pieces, urlrules
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 PIECE_MODEL = "piece_bpe_32k.model"
+RANKS = "byte_bpe_50k.tiktoken"
+#: The id after the last rank of that file ends a text, and fills rows up.
+RANKS_END = 50256
 
 
 def query(sql: str | None = None):
@@ -118,3 +121,8 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = chat.with_probe(table(spark, sf_dir, "conversations"))
     turns = chat.canonical_turns(chat.table_records(rows, ["conv_id", "turn"]), ["conv_id", "turn"])
     return chat.digests(chat.formatted(turns, ["conv_id", "turn", "place"]), ["turn", "place"])
+
+
+@query()
+def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), end=RANKS_END, pad=RANKS_END)
