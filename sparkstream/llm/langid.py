@@ -205,7 +205,7 @@ def keep_known(docs: DataFrame, model: Model, least: float = 0.5, switch: float
     """The rows whose text has a language with a score of at least ``least``; columns are unchanged, nothing is shuffled."""
 
     @F.pandas_udf("boolean")
-    def clear(texts):
+    def clear(texts: pd.Series) -> pd.Series:
         found, share = _documents([t if isinstance(t, str) else None for t in texts], model, switch)
         return pd.Series((share >= least) & (np.array(found, dtype=object) != UNKNOWN), dtype=bool)
 

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -174,6 +175,36 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     return fit_crf([t for _, t, _ in got], [g for _, _, g in got])
 
 
+def measure(texts: list[str | None], model: Crf, share: float) -> tuple[list[list[int]], np.ndarray, np.ndarray, np.ndarray]:
+    """Of every text: the five base counts (as columns), whether the base rules fail, the verdict, the content share."""
+    counts: list[list[int]] = [[] for _ in range(5)]
+    failed, sizes, lengths, features = [], [], [], []
+    for text in texts:
+        text = text or ""
+        words = WORD.findall(text)
+        repeats = repeated_words(words)
+        lines, copied = lines_of(text)
+        failed.append(len(words) < 50 or 100 * repeats > 50 * len(words))
+        got = (len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)), sum(copied), repeats)
+        for column, value in zip(counts, got):
+            column.append(value)
+        lengths.append(len(lines))
+        if lines:
+            features.append(matrix(lines, copied))
+            sizes += [len(WORD.findall(line)) for line in lines]
+    shares = np.zeros(len(texts))
+    if features:
+        emit = np.zeros((len(sizes), 2))
+        emit[:, CONTENT] = np.concatenate(features) @ model.weights
+        content = viterbi(emit, np.array(lengths, dtype=np.int64), model.move) == CONTENT
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        size = np.array(sizes, dtype=np.float64)
+        every = np.bincount(owner, size, len(texts))
+        shares = np.bincount(owner, size * content, len(texts)) / np.maximum(every, 1)
+    failed = np.array(failed, dtype=bool)
+    return counts, failed, ~failed & (shares >= share), shares
+
+
 def judge(docs: DataFrame, model: Crf, share: float = 0.5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Base counts, content share and verdict of every row, in one pass without a shuffle.
 
@@ -182,39 +213,11 @@ def judge(docs: DataFrame, model: Crf, share: float = 0.5, doc_id: str = "doc_id
     ``share``. Null and empty texts have no words, so the base rules fail; repeated rows give repeated rows; columns
     other than id and text are not read.
     """
-    weights, move = model
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            rows, sizes, lengths, failed, features = [], [], [], [], []
-            for value in batch.column(1):
-                text = value.as_py() or ""
-                words = WORD.findall(text)
-                repeats = repeated_words(words)
-                lines, copied = lines_of(text)
-                bad = len(words) < 50 or 100 * repeats > 50 * len(words)
-                for column, got in zip(
-                    out, (len(words), sum(map(len, words)), sum(map(text.count, SYMBOLS)), sum(copied), repeats, bad)
-                ):
-                    column.append(got)
-                lengths.append(len(lines))
-                if lines:
-                    features.append(matrix(lines, copied))
-                    sizes += [len(WORD.findall(line)) for line in lines]
-            lengths = np.array(lengths, dtype=np.int64)
-            shares = np.zeros(batch.num_rows)
-            if features:
-                emit = np.zeros((len(sizes), 2))
-                emit[:, CONTENT] = np.concatenate(features) @ weights
-                content = viterbi(emit, lengths, move) == CONTENT
-                size = np.array(sizes, dtype=np.float64)
-                owner = np.repeat(np.arange(len(lengths)), lengths)
-                every = np.bincount(owner, size, len(lengths))
-                shares = np.bincount(owner, size * content, len(lengths)) / np.maximum(every, 1)
-            keep = ~np.array(out[5], dtype=bool) & (shares >= share)
+            counts, failed, keep, shares = measure(batch.column(1).to_pylist(), model, share)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *[pa.array(c, pa.int64()) for c in out[:5]], pa.array(out[5], pa.bool_()), pa.array(keep), pa.array(shares)],
+                [batch.column(0), *[pa.array(c, pa.int64()) for c in counts], pa.array(failed), pa.array(keep), pa.array(shares)],
                 names=[c.split()[0] for c in SCHEMA.split(", ")],
             )
 
@@ -225,25 +228,10 @@ def judge(docs: DataFrame, model: Crf, share: float = 0.5, doc_id: str = "doc_id
 
 def keep_good(docs: DataFrame, model: Crf, share: float = 0.5, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, with their columns unchanged; no shuffle, rows are judged alone."""
-    weights, move = model
 
     @F.pandas_udf("boolean")
-    def verdict(texts):
-        import pandas as pd
-
-        out = []
-        for text in texts:
-            words = WORD.findall(text) if isinstance(text, str) else []
-            if len(words) < 50 or 100 * repeated_words(words) > 50 * len(words):
-                out.append(False)
-                continue
-            lines, copied = lines_of(text)
-            emit = np.zeros((len(lines), 2))
-            emit[:, CONTENT] = matrix(lines, copied) @ weights
-            content = viterbi(emit, np.array([len(lines)]), move) == CONTENT
-            size = np.array([len(WORD.findall(line)) for line in lines], dtype=np.float64)
-            out.append(bool((size * content).sum() / size.sum() >= share))
-        return pd.Series(out, dtype=bool)
+    def verdict(texts: pd.Series) -> pd.Series:
+        return pd.Series(measure([t if isinstance(t, str) else None for t in texts], model, share)[2], dtype=bool)
 
     ready(docs.sparkSession)
     mark = fresh(docs, "__kept")

@@ -7,6 +7,7 @@ import re
 from collections.abc import Iterator
 
 import ahocorasick
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -203,7 +204,7 @@ def encode_column(docs: DataFrame, model_file: str, text: str = "text", into: st
     """``docs`` with the ids of ``text`` in an array column. Null and empty texts get the end id alone."""
 
     @F.pandas_udf("array<int>")
-    def ids(texts):
+    def ids(texts: pd.Series) -> pd.Series:
         enc = encoder(model_file)
         return texts.map(lambda t: enc.encode(t if isinstance(t, str) else None))
 
@@ -215,7 +216,7 @@ def decode_column(docs: DataFrame, model_file: str, ids: str = "ids", into: str
     """``docs`` with the text of an id array; null and empty arrays give an empty text."""
 
     @F.pandas_udf("string")
-    def text(values):
+    def text(values: pd.Series) -> pd.Series:
         enc = encoder(model_file)
         return values.map(lambda v: enc.decode([int(x) for x in v]) if v is not None and len(v) else "")
 
@@ -223,8 +224,8 @@ def decode_column(docs: DataFrame, model_file: str, ids: str = "ids", into: str
     return docs.withColumn(into, text(F.col(ids)))
 
 
-def digests(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per input row: id, number of ids, digest of the ids, digest of the decoded text. No shuffle.
+def digests(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """One row per input row: id, number of ids, digest of the ids, digest of the decoded text; the ids if asked for. No shuffle.
 
     Null and empty texts: the end id alone, which decodes to an empty text. Repeated rows give repeated rows; other
     columns are not read. Texts are encoded whole, whatever their length.
@@ -234,17 +235,20 @@ def digests(docs: DataFrame, model_file: str, doc_id: str = "doc_id", text: str
         enc = encoder(model_file)
         sha = hashlib.sha256
         for batch in batches:
-            counts, first, second = [], [], []
+            counts, first, second, every = [], [], [], []
             for value in batch.column(1):
                 ids = enc.encode(value.as_py())
                 counts.append(len(ids))
+                if with_ids:
+                    every.append(ids)
                 first.append(sha(enc.shown(ids).encode()).hexdigest())
                 second.append(sha(enc.decode(ids).encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns, names = [*columns, pa.array(every, pa.list_(pa.int32()))], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     ready(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, SCHEMA + ", ids array<int>" * with_ids)
