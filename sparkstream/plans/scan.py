@@ -16,11 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sparkstream.plans.cells import Layout, measure_cells
+from sparkstream.plans.cells import WHOLE_KEYS, Layout, cells_per_task, measure_cells
 from sparkstream.session import scratch
 
 CARRY = "__carry"
 CELL = "__cell"
+#: Cells of cells of cells: every level has fewer rows than the one before, so this many are never reached.
+MAX_DEPTH = 8
 
 
 @dataclass(frozen=True, eq=False)
@@ -38,10 +40,8 @@ class Running:
     def cell_total(self, order: Sequence[str], reverse: bool) -> Column:
         """The value one cell hands to those after it."""
         if self.kind == "last":
-            tagged = F.when(
-                self.value.isNotNull(), F.struct(*[F.col(o) for o in order], self.value.alias("v"))
-            )
-            return (F.min(tagged) if reverse else F.max(tagged))["v"]
+            place = F.when(self.value.isNotNull(), F.struct(*[F.col(o) for o in order]))
+            return F.min_by(self.value, place) if reverse else F.max_by(self.value, place)
         return {"sum": F.sum, "max": F.max, "min": F.min}[self.kind](self.value)
 
 
@@ -75,6 +75,7 @@ def scan(
     reverse: bool = False,
     inclusive: bool = True,
     layout: Layout | None = None,
+    depth: int = 0,
 ) -> DataFrame:
     """Add one running column per entry of ``outs``.
 
@@ -105,14 +106,17 @@ def scan(
             for name, r in outs.items()
         ]
     )
-    earlier = (
-        Window.partitionBy(*key)
-        .orderBy(*[direction(c) for c in cell_names])
-        .rowsBetween(Window.unboundedPreceding, -1)
+    # the cells of a key are a sequence again, and go through the same scan: if they are too many for one task, in
+    # cells of their own
+    totals = settled(totals, True, "carry").toDF(*key, *[f"{c}_{depth}" for c in cell_names], *value_names.values())
+    placed = [f"{c}_{depth}" for c in cell_names]
+    carried = {f"{v}_c": Running(outs[name].kind, F.col(v)) for name, v in value_names.items()}
+    spread = WHOLE_KEYS if depth >= MAX_DEPTH else measure_cells(totals, key, placed, cells_per_task(totals))
+    carries = (
+        scan(totals, key, placed, carried, reverse=reverse, inclusive=False, layout=spread, depth=depth + 1)
+        .select(*key, *[F.col(p).alias(c) for p, c in zip(placed, cell_names)], *[F.col(f"{v}_c").alias(v) for v in value_names.values()])
+        .withColumn(CARRY, F.lit(0))
     )
-    carries = totals.withColumns(
-        {v: outs[name].over_rows(F.col(v), earlier) for name, v in value_names.items()}
-    ).withColumn(CARRY, F.lit(0))
     within = (
         Window.partitionBy(*key, *cell_names)
         .orderBy(F.col(CARRY), *[direction(o) for o in order])

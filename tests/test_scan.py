@@ -1,11 +1,13 @@
 """The keyed scan: same answers with whole keys and with cells, whatever the skew."""
 
+import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from sparkstream.plans.cells import ROWS_CONF, fullest, measure_cells
+from sparkstream.plans.cells import CELLS_CONF, ROWS_CONF, fullest, measure_cells
 from sparkstream.plans.scan import latest, next_row, numbered, running_count, running_max, running_sum, scan
 from sparkstream.plans.sizes import broadcast_if_small
 
@@ -55,6 +57,46 @@ def test_cells_keep_every_group_within_the_limit(spark, burst):
     assert not measure_cells(df, ["k"], ["ts", "id"], 600).cells
 
 
+def test_orders_of_any_type(spark, layout):
+    """Texts, fractions with NaN and infinities, decimals, booleans: cut into cells where keys are large."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(120):
+        text = "".join(rng.choice("ab") for _ in range(rng.randrange(6)))
+        number = rng.choice([rng.random() * 1e6, 0.1, float("nan"), float("inf"), -float("inf"), -3.5])
+        rows.append((rng.choice([0, 0, 1]), text, number, Decimal(rng.randrange(50)) / 4, rng.random() < 0.5, i))
+    df = spark.createDataFrame(rows, "k INT, s STRING, f DOUBLE, d DECIMAL(10,2), b BOOLEAN, id INT")
+    for name, at in (("s", 1), ("f", 2), ("d", 3), ("b", 4)):
+        place = lambda r: (math.inf, 1) if r[at] != r[at] else (r[at], 0)
+        key = (lambda r: (*place(r), r[5])) if name == "f" else (lambda r: (r[at], r[5]))
+        got = {r.id: r.pos for r in numbered(df, ["k"], [name, "id"]).collect()}
+        want = {}
+        for k in (0, 1):
+            want |= {r[5]: i + 1 for i, r in enumerate(sorted((r for r in rows if r[0] == k), key=key))}
+        assert got == want, name
+
+
+def test_carry_of_a_map_and_of_many_cells(spark):
+    """A burst makes narrow cells: their totals are too many for one task as well, and are cut again."""
+    rows = [(i, 1_000_000 + i % 40 if i < 400 else i * 5000) for i in range(1200)]
+    df = spark.createDataFrame(rows, "id INT, t BIGINT").withColumn("m", F.when(F.col("id") % 3 == 0, F.create_map(F.lit("x"), F.col("id"))))
+    spark.conf.set(ROWS_CONF, "15")
+    spark.conf.set(CELLS_CONF, "15")
+    try:
+        layout = measure_cells(df, [], ["t", "id"])
+        assert df.select(*layout.cells).distinct().count() > 15
+        out = scan(df, [], ["t", "id"], {"n": running_count(), "m_": latest(F.col("m"))}, layout=layout)
+        got = {r.id: (r.n, r.m_["x"] if r.m_ else None) for r in out.collect()}
+    finally:
+        spark.conf.unset(ROWS_CONF)
+        spark.conf.unset(CELLS_CONF)
+    want, last = {}, None
+    for n, (i, _) in enumerate(sorted(rows, key=lambda r: (r[1], r[0])), 1):
+        last = i if i % 3 == 0 else last
+        want[i] = (n, last)
+    assert got == want
+
+
 def test_scan_over_cells_never_partitions_rows_by_the_key_alone(spark):
     _, df = skewed(spark)
     layout = measure_cells(df, ["k"], ["ts", "id"], 20)
@@ -83,3 +125,5 @@ def test_broadcast_only_below_the_bound(spark):
     df = spark.range(100)
     assert hinted(broadcast_if_small(df, 100))
     assert not hinted(broadcast_if_small(df, 99))
+    wide = df.withColumn("text", F.repeat(F.lit("x"), 1000))
+    assert hinted(broadcast_if_small(wide, 100)) and not hinted(broadcast_if_small(wide, 100, max_bytes=50_000))
