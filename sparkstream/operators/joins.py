@@ -47,20 +47,27 @@ def interval_join(
 
 
 def interval_join_stream(
-    left: DataFrame, right: DataFrame, key: Sequence[str], left_t: str, right_t: str, low: str, high: str, delay: str
+    left: DataFrame, right: DataFrame, key: Sequence[str], left_t: str, right_t: str, low: str, high: str, delay: str,
+    stretch_us: int = 3_600_000_000,
 ) -> DataFrame:
     """The streaming form: Spark's own stream-stream join, with watermarks to drop old state.
 
-    ``low`` and ``high`` are interval texts such as ``-2 seconds`` and ``1 second``.
+    ``low`` and ``high`` are interval texts such as ``'-2' SECONDS`` and ``'1' SECOND``. The key is joined together
+    with the stretch of time the right row lies in, so a busy key is spread; a left row is held once for each stretch
+    that its interval reaches.
     """
+    width = F.lit(stretch_us)
+    ends = [F.floor(F.unix_micros(F.expr(f"{left_t} + INTERVAL {x}")) / width) for x in (low, high)]
+    left = left.withColumn("__b", F.explode(F.sequence(*ends)))
+    right = right.withColumn("__rb", F.floor(F.unix_micros(right_t) / width))
     right_key = {k: f"__r_{k}" for k in key}
     lefts = left.withWatermark(left_t, delay)
     rights = right.withColumnsRenamed(right_key).withWatermark(right_t, delay)
-    same: Column = F.lit(True)
+    same: Column = F.col("__b") == F.col("__rb")
     for k, r in right_key.items():
         same = same & (F.col(k) == F.col(r))
     inside = F.expr(f"{right_t} BETWEEN {left_t} + INTERVAL {low} AND {left_t} + INTERVAL {high}")
-    return lefts.join(rights, same & inside).drop(*right_key.values())
+    return lefts.join(rights, same & inside).drop("__b", "__rb", *right_key.values())
 
 
 def enrich(events: DataFrame, dim: DataFrame, key: Sequence[str], how: str = "inner") -> DataFrame:
@@ -82,6 +89,10 @@ def enrich_as_of(
     """
     fields = [c for c in versions.columns if c not in key and c != valid_from]
     version = F.struct(*fields)
+    # of versions with the same start the one with the greatest fields counts
+    versions = versions.groupBy(*key, valid_from).agg(F.max_by(version, F.to_json(version)).alias("__v")).select(
+        *key, valid_from, "__v.*"
+    )
     marks = versions.select(*key, F.col(valid_from).alias(t), version.alias("__dim"), F.lit(0).alias("__is_event"))
     rows = events.withColumn("__is_event", F.lit(1)).unionByName(marks, allowMissingColumns=True)
     seen = scan(rows, key, [t, "__is_event", *order], {"__seen": latest(F.col("__dim"))})

@@ -28,26 +28,42 @@ def with_arrival_time(df: DataFrame, out: str = "arrived_at") -> DataFrame:
     return df.withColumn(out, F.current_timestamp()).withWatermark(out, "0 seconds")
 
 
-def watermark_trace(df: DataFrame, t: str, arrival: Sequence[str], delay: str, out: str = "watermark"):
+def watermark_trace(
+    df: DataFrame, t: str, arrival: Sequence[str], delay: str, out: str = "watermark", seen: Column | None = None
+):
     """Each row with the watermark in force when it arrived: max earlier time - delay - 1 ms.
 
+    ``seen`` is the largest time of rows before the first one, if there were any.
+
     The order is global, so the running maximum goes through cells of the arrival order whenever
     the rows are too many for one task. NULL until a first row has been seen.
     """
     layout = measure_cells(df, [], arrival)
-    seen = scan(df, [], arrival, {out: running_max(F.col(t))}, inclusive=False, layout=layout)
-    seen = settled(seen, layout.large)
-    return seen.withColumn(out, F.col(out) - _span(delay) - F.expr(MILLI))
+    traced = scan(df, [], arrival, {out: running_max(F.col(t))}, inclusive=False, layout=layout)
+    traced = settled(traced, layout.large)
+    newest = F.col(out) if seen is None else F.greatest(F.col(out), seen)
+    return traced.withColumn(out, watermark_at(newest, delay))
+
 
+def watermark_at(newest: Column, delay: str) -> Column:
+    return newest - _span(delay) - F.expr(MILLI)
 
-def classify(df: DataFrame, t: str, arrival: Sequence[str], size: str, delay: str, lateness: str) -> DataFrame:
+
+def is_open(watermark: Column, lateness: str | None = None) -> Column:
+    """Whether a window still takes rows at a watermark: on time, or within the allowed lateness."""
+    last_instant = F.col("window_end") - F.expr(MILLI)
+    return watermark.isNull() | (watermark < (last_instant if lateness is None else last_instant + _span(lateness)))
+
+
+def classify(
+    df: DataFrame, t: str, arrival: Sequence[str], size: str, delay: str, lateness: str, seen: Column | None = None
+) -> DataFrame:
     """Window bounds and ``status`` of each row: on time, late but allowed, or too late."""
-    traced = watermark_trace(df, t, arrival, delay)
+    traced = watermark_trace(df, t, arrival, delay, seen=seen)
     bounds = F.window(t, size)
     traced = traced.withColumns({"window_start": bounds.start, "window_end": bounds.end})
-    last_instant = F.col("window_end") - F.expr(MILLI)
-    open_ = F.col("watermark").isNull() | (F.col("watermark") < last_instant)
-    kept = F.col("watermark") < last_instant + _span(lateness)
+    open_ = is_open(F.col("watermark"))
+    kept = is_open(F.col("watermark"), lateness)
     return traced.withColumn(
         "status", F.when(open_, F.lit(ON_TIME)).when(kept, F.lit(ALLOWED)).otherwise(F.lit(LATE))
     )

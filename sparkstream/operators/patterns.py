@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 from sparkstream.plans.cells import WHOLE_KEYS, Layout, measure_cells
 from sparkstream.plans.scan import latest, next_row, running_count, running_max, scan, settled
 
-MAX_COMBINATION = 5
-
 
 @dataclass(frozen=True, eq=False)
 class Stage:
@@ -32,6 +30,7 @@ class Stage:
     strict: bool = False
     combine: bool = False
     stop: Column | None = None
+    limit: int = 5
 
     @property
     def repeated(self) -> bool:
@@ -82,9 +81,9 @@ class Pattern:
         """No other row of the key inside the repetition."""
         return self._last(strict=True)
 
-    def allow_combinations(self) -> Pattern:
-        """Rows of the repetition may be left out: every increasing choice is a match."""
-        return self._last(combine=True)
+    def allow_combinations(self, limit: int = 5) -> Pattern:
+        """Rows of the repetition may be left out: every increasing choice of up to ``limit`` rows is a match."""
+        return self._last(combine=True, limit=limit)
 
     def until(self, stop: Column) -> Pattern:
         """The repetition ends before a row that satisfies ``stop``."""
@@ -96,11 +95,10 @@ class Pattern:
 
     def check(self) -> None:
         for s in self.stages:
-            if s.combine and (s.most is None or s.most > MAX_COMBINATION):
-                raise ValueError(f"allow_combinations needs times(n, m) with m <= {MAX_COMBINATION}")
-            unbounded = s.repeated and s.most is None and s.breaks is None
-            if self.within_us is None and (unbounded or (s.combine and s.breaks is None)):
-                raise ValueError(f"stage {s.name} needs within, until, consecutive or an upper count")
+            if s.combine and (s.most is None or s.most > s.limit):
+                raise ValueError(f"allow_combinations needs times(n, m) with m <= {s.limit}; give a larger limit if that is meant")
+            if self.within_us is None and ((s.repeated and s.most is None) or s.combine):
+                raise ValueError(f"stage {s.name} needs within or an upper count: a run has quadratically many matches")
 
 
 @dataclass(frozen=True)

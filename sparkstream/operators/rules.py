@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from itertools import batched
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_RULES = 5_000
+RULES_PER_PASS = 2_000
 # Words a rule may use besides the columns of its input.
 ALLOWED = frozenset(
     "and or not is null in like between true false element_at try_element_at "
@@ -17,10 +18,16 @@ ALLOWED = frozenset(
 
 
 def check_rule(predicate: str, columns: Iterable[str]) -> None:
-    """Refuse a rule that names anything but the input's columns and the allowed words."""
-    bare = re.sub(r"'[^']*'", " ", predicate)
-    if re.search(r"[;`\"\\]|--|/\*", bare):
+    """Refuse a rule that names anything but the input's columns and the allowed words.
+
+    Backslashes and double quotes are refused inside literals as well: with them the end of a literal is where SQL sees
+    it and nowhere else, and what lies outside of the literals is all that SQL reads as names.
+    """
+    if predicate is None:
+        raise ValueError("a rule has no predicate")
+    if re.search(r'[\\"`;]|--|/\*', predicate) or predicate.count("'") % 2:
         raise ValueError(f"rule has characters that are not allowed: {predicate}")
+    bare = re.sub(r"'[^']*'", " ", predicate)
     names = {w.lower() for w in re.findall(r"[A-Za-z_][A-Za-z_0-9]*", bare)}
     unknown = names - ALLOWED - {c.lower() for c in columns}
     if unknown:
@@ -34,16 +41,19 @@ def tag_condition(tags: str, name: str) -> str:
 def match_rules(df: DataFrame, rules: DataFrame, rule_id: str = "rule_id", predicate: str = "predicate") -> DataFrame:
     """One row per (input row, rule it satisfies); a missing tag or field satisfies nothing.
 
-    The rule set is configuration and is read by the driver, up to a checked number of rules. Input
-    rows are read once, whatever the number of rules.
+    The rule set is configuration: conditions become part of the plan. Input rows are read once for every
+    ``RULES_PER_PASS`` rules, however many rules there are.
     """
-    loaded = rules.select(rule_id, predicate).limit(MAX_RULES + 1).collect()
-    if len(loaded) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
-    for row in loaded:
-        check_rule(row[predicate], df.columns)
     kind = rules.schema[rule_id].dataType
-    if not loaded:
-        return df.withColumn(rule_id, F.lit(None).cast(kind)).where(F.lit(False))
-    hits = F.array(*[F.when(F.expr(row[predicate]), F.lit(row[rule_id]).cast(kind)) for row in loaded])
-    return df.withColumn(rule_id, F.explode(F.filter(hits, lambda hit: hit.isNotNull())))
+    found = None
+    for some in batched(_checked(rules.select(rule_id, predicate), df.columns), RULES_PER_PASS):
+        hits = F.array(*[F.when(F.expr(text), F.lit(name).cast(kind)) for name, text in some])
+        part = df.withColumn(rule_id, F.explode(F.filter(hits, lambda hit: hit.isNotNull())))
+        found = part if found is None else found.unionByName(part)
+    return df.withColumn(rule_id, F.lit(None).cast(kind)).where(F.lit(False)) if found is None else found
+
+
+def _checked(rules: DataFrame, columns: list[str]) -> Iterator[tuple]:
+    for row in rules.toLocalIterator():
+        check_rule(row[1], columns)
+        yield row[0], row[1]

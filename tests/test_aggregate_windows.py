@@ -1,7 +1,7 @@
 """Aggregates and windows on small inputs with known answers."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -12,20 +12,21 @@ from sparkstream.operators import routing as rt
 from sparkstream.operators import windows as wn
 from sparkstream.sources.basic import sequence
 
-CITIES = [
-    ("north", 1), ("south", 2), ("north", 6), ("south", 8), ("north", 3),
-    ("north", 9), ("south", 5), ("south", 1), ("south", 2), ("south", 4),
-]
 
 
-def cities(spark):
-    return spark.createDataFrame([(i, c, v) for i, (c, v) in enumerate(CITIES)], "n INT, city STRING, v BIGINT")
+def keyed(spark, seed=17, n=60):
+    """(number, key, value) with a third of the rows on one key."""
+    rng = random.Random(seed)
+    rows = [(i, rng.choice("xxyz"), rng.randrange(100)) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "n INT, k STRING, v BIGINT")
 
 
 def test_word_count(spark):
-    df = spark.createDataFrame([("hello me you her",), ("hello me you",), ("hello me",), ("hello",)], "line STRING")
+    rng = random.Random(14)
+    lines = [" ".join(rng.choice(["tea", "oak", "sun"]) for _ in range(rng.randint(1, 6))) for _ in range(30)]
+    df = spark.createDataFrame([(x,) for x in lines], "line STRING")
     counts = ag.keyed_sum(tx.split_pairs(df, "line"), ["word"], F.col("cnt"), "cnt")
-    assert {r.word: r.cnt for r in counts.collect()} == {"hello": 4, "me": 3, "you": 2, "her": 1}
+    assert {r.word: r.cnt for r in counts.collect()} == Counter(w for x in lines for w in x.split(" "))
 
 
 def test_token_edges(spark):
@@ -44,27 +45,28 @@ def test_exclude_keeps_null_and_takes_a_table(spark):
 
 
 def test_text_filters(spark):
-    df = spark.createDataFrame([("success a",), ("fail b",), ("wew1111rwere",)], "m STRING")
-    assert tx.keep_containing(df, "m", "success").count() == 1
-    assert tx.has_match(df, "m", r"\d+").first().m == "wew1111rwere"
-    assert tx.has_prefix(df, "m", "f").first().m == "fail b"
+    df = spark.createDataFrame([("warm rain",), ("grey fog",), ("hail 42 mm",)], "m STRING")
+    assert tx.keep_containing(df, "m", "rain").count() == 1
+    assert tx.has_match(df, "m", r"\d+").first().m == "hail 42 mm"
+    assert tx.has_prefix(df, "m", "g").first().m == "grey fog"
     assert spark.range(5, 6).select(tx.binary_text("id").alias("b")).first().b == "101"
 
 
 def test_max_and_whole_row_of_the_max(spark):
-    df = cities(spark)
-    assert {r.city: r["max"] for r in ag.keyed_max(df, ["city"], "v").collect()} == {"north": 9, "south": 8}
-    tied = spark.createDataFrame([(2, "k", 5), (1, "k", 5), (3, "k", None), (4, "j", None)], "n INT, city STRING, v BIGINT")
-    best = {r.city: r.n for r in ag.keyed_max_by(tied, ["city"], "v", ["n"]).collect()}
+    rows, df = keyed(spark)
+    assert {r.k: r["max"] for r in ag.keyed_max(df, ["k"], "v").collect()} == {k: max(v for _, x, v in rows if x == k) for k in "xyz"}
+    tied = spark.createDataFrame([(2, "k", 5), (1, "k", 5), (3, "k", None), (4, "j", None)], "n INT, k STRING, v BIGINT")
+    best = {r.k: r.n for r in ag.keyed_max_by(tied, ["k"], "v", ["n"]).collect()}
     assert best == {"k": 1, "j": 4}
 
 
 def test_running_max_and_sum(spark, layout):
-    rows = ag.running_max(cities(spark), ["city"], F.col("v"), ["n"]).orderBy("n").collect()
-    assert [r["max"] for r in rows if r.city == "north"] == [1, 6, 6, 9]
-    assert [r["max"] for r in rows if r.city == "south"] == [2, 8, 8, 8, 8, 8]
-    sums = ag.running_sum(cities(spark), ["city"], F.col("v"), ["n"]).orderBy("n").collect()
-    assert [r.total for r in sums if r.city == "north"] == [1, 7, 10, 19]
+    rows, df = keyed(spark)
+    tops = ag.running_max(df, ["k"], F.col("v"), ["n"]).collect()
+    sums = ag.running_sum(df, ["k"], F.col("v"), ["n"]).collect()
+    before = lambda r: [v for n, k, v in rows if k == r.k and n <= r.n]
+    assert all(r["max"] == max(before(r)) for r in tops) and all(r.total == sum(before(r)) for r in sums)
+    assert len(tops) == len(sums) == len(rows)
 
 
 def test_tree_reduce_keeps_order(spark, layout):
@@ -74,8 +76,9 @@ def test_tree_reduce_keeps_order(spark, layout):
 
 
 def test_xor_finds_the_missing_value(spark):
-    df = spark.createDataFrame(list(zip(range(1, 11), [1, 2, 3, 4, 6, 7, 8, 9, 10, 0])), "a INT, b INT")
-    assert ag.xor_diff(df, "a", "b").first().missing == 5
+    whole, gone = list(range(20, 51)), 33
+    df = spark.createDataFrame(list(zip(whole, [*(x for x in whole if x != gone), 0])), "a INT, b INT")
+    assert ag.xor_diff(df, "a", "b").first().missing == gone
 
 
 def test_sequence_filter_and_rebalance(spark):
@@ -94,13 +97,10 @@ def test_split_is_a_partition_of_the_input(spark):
 
 
 def test_union_and_connect(spark):
-    words = spark.createDataFrame([("a",), ("b",), ("c",)], "w STRING")
-    assert rt.union(words, words).count() == 6
-    numbers = sequence(spark, 1, 3)
-    mixed = rt.connect_map(
-        words, numbers, F.concat(F.lit("String:"), "w"), F.concat(F.lit("Long:"), F.col("value").cast("string"))
-    )
-    assert sorted(r.value for r in mixed.collect()) == ["Long:1", "Long:2", "Long:3", "String:a", "String:b", "String:c"]
+    words = spark.createDataFrame([("fir",), ("elm",)], "w STRING")
+    assert rt.union(words, words).count() == 4
+    mixed = rt.connect_map(words, sequence(spark, 7, 9), F.upper("w"), (F.col("value") * 2).cast("string"))
+    assert sorted(r.value for r in mixed.collect()) == ["14", "16", "18", "ELM", "FIR"]
 
 
 def test_placement(spark):
@@ -120,11 +120,18 @@ def timed(spark, rows, ddl):
     return spark.createDataFrame(rows, ddl).withColumn("t", F.timestamp_seconds("s"))
 
 
-def test_tumbling_one_window(spark):
-    cars = [(9, 3), (9, 2), (9, 7), (4, 9), (2, 6), (1, 5), (2, 3), (5, 7), (5, 4)]
-    df = timed(spark, [(k, c, 1) for k, c in cars], "k INT, c INT, s BIGINT")
-    got = wn.tumbling(df, ["k"], "t", "5 seconds", {"total": F.sum("c")}).collect()
-    assert {r.k: r.total for r in got} == {9: 12, 4: 9, 2: 9, 1: 5, 5: 11}
+def test_tumbling_against_plain_python(spark):
+    rng = random.Random(41)
+    rows = [(rng.randrange(4), rng.randrange(50), rng.randrange(60)) for _ in range(90)]
+    df = timed(spark, rows, "k INT, c INT, s BIGINT")
+    got = wn.tumbling(df, ["k"], "t", "7 seconds", {"total": F.sum("c")}).collect()
+    want = Counter()
+    for k, c, s in rows:
+        want[k, s // 7 * 7] += c
+    at = lambda r: int(r.window_start.timestamp())
+    first = min(map(at, got))
+    shift = (first - 0) % 7  # windows are counted from the epoch, which 7 seconds divide from 0 on
+    assert shift == 0 and {(r.k, at(r)): r.total for r in got} == want
 
 
 def test_sliding_covers_each_row_twice(spark):
@@ -162,16 +169,21 @@ def test_sessions_across_cells_against_plain_python(spark, layout):
 
 
 def test_count_windows(spark, layout):
-    rows = [(1, 5), (1, 5), (2, 5), (2, 5), (1, 5)]
-    df = spark.createDataFrame([(i, k, c) for i, (k, c) in enumerate(rows)], "n INT, k INT, c INT")
-    assert wn.count_tumbling(df, ["k"], ["n"], 5, {"total": F.sum("c")}).count() == 0
-    fired = wn.count_sliding(df, ["k"], ["n"], 5, 3, {"total": F.sum("c")}).collect()
-    assert [(r.k, r.total) for r in fired] == [(1, 15)]
-    seven = spark.createDataFrame(list(enumerate([3, 2, 7, 9, 6, 5, 4])), "n INT, c INT").withColumn("k", F.lit(1))
-    sums = wn.count_sliding(seven, ["k"], ["n"], 5, 3, {"total": F.sum("c")}).orderBy("window_no").collect()
-    assert [r.total for r in sums] == [12, 29]
-    gaps = wn.count_sliding(seven, ["k"], ["n"], 2, 3, {"total": F.sum("c")}).orderBy("window_no").collect()
-    assert [r.total for r in gaps] == [9, 11]
+    rows, df = keyed(spark, 19)
+    for size, slide in ((5, 5), (5, 3), (2, 3), (4, 1)):
+        want = {}
+        for k in "xyz":
+            values = [v for _, x, v in rows if x == k]
+            for w in range(1, len(values) // slide + 1):
+                want[k, w] = sum(values[max(0, w * slide - size) : w * slide])
+        fired = wn.count_sliding(df, ["k"], ["n"], size, slide, {"total": F.sum("v")}).collect()
+        assert {(r.k, r.window_no): r.total for r in fired} == want
+    whole = wn.count_tumbling(df, ["k"], ["n"], 4, {"total": F.sum("v")}).collect()
+    want = {}
+    for k in "xyz":
+        values = [v for _, x, v in rows if x == k]
+        want |= {(k, w): sum(values[w * 4 : w * 4 + 4]) for w in range(len(values) // 4)}
+    assert {(r.k, r.window_no): r.total for r in whole} == want
 
 
 def test_local_day_and_running_dashboard(spark):
@@ -192,5 +204,7 @@ def test_money_and_lookup(spark):
     df = spark.createDataFrame([("1.005",), ("2.675",)], "m STRING")
     got = df.select(sc.money_round(F.col("m").cast("decimal(10,3)")).alias("r")).collect()
     assert [str(r.r) for r in got] == ["1.01", "2.68"]
+    near = spark.createDataFrame([(0.0049999999,), (0.005,), (-0.0149999,)], "m DOUBLE")
+    assert [str(r[0]) for r in near.select(sc.money_round(F.col("m"))).collect()] == ["0.00", "0.01", "-0.01"]
     tags = spark.createDataFrame([({"a": "x"},)], "tags MAP<STRING, STRING>")
     assert tags.select(sc.lookup("tags", "a").alias("a"), sc.lookup("tags", "b").alias("b")).first() == ("x", None)

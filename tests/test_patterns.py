@@ -1,4 +1,4 @@
-"""Pattern matching against hand-derived answers, with whole keys and with keys cut into cells."""
+"""Pattern matching against plain searches, with whole keys and with keys cut into cells."""
 
 import random
 from collections import Counter
@@ -7,10 +7,10 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
+from sparkstream.operators import rules as rl
 from sparkstream.operators.patterns import Pattern, match
-from sparkstream.operators.rules import check_rule, match_rules
 
-BASE = 1_558_430_000_000
+BASE = 1_700_000_000_000
 SEC = 1_000_000
 
 
@@ -18,92 +18,118 @@ def timed(spark, rows, ddl):
     return spark.createDataFrame(rows, ddl).withColumn("t", F.timestamp_millis("ms"))
 
 
-def secs(ts):
-    return int(ts.timestamp()) - BASE // 1000
+def seeded(spark, seed, kinds="pqrs", n=140, keys=3, step=4):
+    """(number, key, kind, second, level) in time order, as rows and as a DataFrame."""
+    rng = random.Random(seed)
+    rows, now = [], 0
+    for i in range(n):
+        now += rng.randrange(step)
+        rows.append((i, rng.randrange(keys), rng.choice(kinds), now, rng.randrange(10)))
+    df = timed(spark, [(i, k, v, BASE + s * 1000, x) for i, k, v, s, x in rows], "n INT, k INT, v STRING, ms BIGINT, x INT")
+    return rows, df
 
 
-def test_login_fail_twice_in_a_row(spark, layout):
-    rows = [(1, "fail", 842), (1, "fail", 843), (1, "fail", 844), (2, "success", 845), (1, "fail", 847)]
-    df = timed(spark, [(u, s, BASE + m * 1000) for u, s, m in rows], "id INT, status STRING, ms BIGINT")
-    fail = F.col("status") == "fail"
-    found = match(df, Pattern.begin("a", fail).next("b", fail).within(2 * SEC), ["id"], ["t"]).rows
-    got = sorted((secs(r.a_first.t), secs(r.b_first.t)) for r in found.collect())
-    assert got == [(842, 843), (843, 844)]
+def per_key(rows):
+    out = {}
+    for row in rows:
+        out.setdefault(row[1], []).append(row)
+    return list(out.values())
 
 
-def test_order_timeout(spark, layout):
-    rows = [
-        (1, "create", 842), (2, "create", 843), (2, "other", 845), (2, "pay", 850),
-        (1, "pay", 1920), (3, "create", 1920),
-    ]
-    df = timed(spark, [(o, s, BASE + m * 1000) for o, s, m in rows], "orderId INT, status STRING, ms BIGINT")
-    pattern = (
-        Pattern.begin("create", F.col("status") == "create")
-        .followed_by("pay", F.col("status") == "pay")
-        .within(15 * 60 * SEC)
-    )
-    found = match(df, pattern, ["orderId"], ["t"])
-    assert [r.orderId for r in found.rows.collect()] == [2]
-    assert sorted(r.orderId for r in found.timeouts.collect()) == [1, 3]
-
-
-def malice(spark):
-    rows = [(1, 842), (1, 843), (1, 845), (1, 850), (1, 851), (2, 851), (1, 852)]
-    return timed(spark, [(u, "TMD", BASE + m * 1000) for u, m in rows], "id INT, msg STRING, ms BIGINT")
-
-
-def test_one_or_more_within(spark, layout):
-    p = Pattern.begin("a", F.col("msg") == "TMD").one_or_more().within(10 * SEC)
-    found = match(malice(spark), p, ["id"], ["t"])
-    assert Counter(r.id for r in found.rows.collect()) == {1: 20, 2: 1}
-    sizes = found.members().groupBy("id", "match_id").count().groupBy().sum("count").first()[0]
-    assert sizes == found.rows.agg(F.sum("a_n")).first()[0]
+def is_(kind):
+    return F.col("v") == kind
 
 
-def test_times_four_to_five(spark, layout):
-    p = Pattern.begin("a", F.col("msg") == "TMD").times(4, 5).within(10 * SEC)
-    rows = match(malice(spark), p, ["id"], ["t"]).rows.collect()
-    assert sorted((secs(r.a_first.t), r.a_n) for r in rows) == [(842, 4), (842, 5), (843, 4), (843, 5), (845, 4)]
-
-
-def test_until(spark, layout):
-    rows = [
-        ("1", "fail", 8), ("1", "fail", 9), ("1", "fail", 10), ("1", "fail", 10), ("2", "success", -1),
-        ("3", "fail", 5), ("3", "fail", 6), ("4", "fail", 6), ("4", "fail", 7), ("4", "fail", 8),
-        ("5", "success", 8), ("5", "success", 9), ("5", "success", 10), ("6", "fail", 6), ("6", "fail", 8),
-        ("7", "fail", 5), ("6", "fail", 10), ("6", "fail", 9),
+def test_next_within(spark, layout):
+    rows, df = seeded(spark, 21)
+    found = match(df, Pattern.begin("a", is_("p")).next("b", is_("p")).within(5 * SEC), ["k"], ["t", "n"]).rows
+    got = sorted((r.a_first.n, r.b_first.n) for r in found.collect())
+    want = sorted(
+        (a[0], b[0]) for seq in per_key(rows) for a, b in zip(seq, seq[1:]) if a[2] == b[2] == "p" and b[3] - a[3] < 5
+    )
+    assert got == want and want
+
+
+def test_followed_by_and_timeouts(spark, layout):
+    rows, df = seeded(spark, 22)
+    found = match(df, Pattern.begin("a", is_("p")).followed_by("b", is_("q")).within(12 * SEC), ["k"], ["t", "n"])
+    done, late = [], []
+    for seq in per_key(rows):
+        for i, a in enumerate(seq):
+            if a[2] == "p":
+                b = next((b for b in seq[i + 1 :] if b[2] == "q"), None)
+                if b and b[3] - a[3] < 12:
+                    done.append((a[0], b[0]))
+                else:
+                    late.append(a[0])
+    assert sorted((r.a_first.n, r.b_first.n) for r in found.rows.collect()) == sorted(done) and done
+    assert sorted(r.a_first.n for r in found.timeouts.collect()) == sorted(late) and late
+
+
+def runs_of(rows, accepts, span, sizes=None, stop=None, strict=False):
+    """(first, last, count) of all stretches of accepted rows of a key, among which no row that ends a run lies."""
+    out = []
+    for seq in per_key(rows):
+        for i, a in enumerate(seq):
+            if not accepts(a) or (stop and stop(a)):
+                continue
+            count = 0
+            for b in seq[i:]:
+                if (stop and stop(b)) or (strict and not accepts(b)) or b[3] - a[3] >= span:
+                    break
+                if accepts(b):
+                    count += 1
+                    if sizes is None or count in sizes:
+                        out.append((a[0], b[0], count))
+    return sorted(out)
+
+
+def test_one_or_more_times_and_until(spark, layout):
+    rows, df = seeded(spark, 23)
+    accepts, high = (lambda r: r[2] == "p"), (lambda r: r[4] > 7)
+    base = Pattern.begin("a", is_("p"))
+    cases = [
+        (base.one_or_more().within(20 * SEC), runs_of(rows, accepts, 20)),
+        (base.times(3, 4).within(40 * SEC), runs_of(rows, accepts, 40, {3, 4})),
+        (base.one_or_more().until(F.col("x") > 7).within(60 * SEC), runs_of(rows, accepts, 60, None, high)),
+        (base.one_or_more().consecutive().within(30 * SEC), runs_of(rows, accepts, 30, None, None, True)),
     ]
-    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n INT, id STRING, status STRING, cnt INT")
-    p = Pattern.begin("a", F.col("status") == "fail").one_or_more().until(F.col("cnt") > 8)
-    found = match(df, p, ["id"], ["n"]).rows.collect()
-    assert Counter(r.id for r in found) == {"1": 1, "3": 3, "4": 6, "6": 3, "7": 1}
-
-
-def letters(spark):
-    seq = ["c1", "d2", "a3", "a4", "a5", "d6", "a7", "b8"]
-    return spark.createDataFrame(list(enumerate(seq)), "n INT, v STRING")
-
-
-def starts(letter):
-    return F.substring("v", 1, 1) == letter
+    for pattern, want in cases:
+        found = match(df, pattern, ["k"], ["t", "n"], keep=["x"])
+        assert sorted((r.a_first.n, r.a_last.n, r.a_n) for r in found.rows.collect()) == want and want
+    assert found.members().count() == sum(c for *_, c in want)
 
 
-def test_consecutive_run_between_two_events(spark, layout):
+def test_run_between_two_events(spark, layout):
+    rows, df = seeded(spark, 24, keys=2)
     p = (
-        Pattern.begin("c", starts("c")).followed_by("a", starts("a")).one_or_more().consecutive()
-        .followed_by("b", starts("b"))
+        Pattern.begin("a", is_("p")).followed_by("m", is_("q")).one_or_more().consecutive()
+        .followed_by("b", is_("r")).within(40 * SEC)
     )
-    found = match(letters(spark), p, [], ["n"], keep=["v"])
-    got = sorted((r.c_first.v, r.a_first.v, r.a_last.v, r.a_n, r.b_first.v) for r in found.rows.collect())
-    assert got == [("c1", "a3", "a3", 1, "b8"), ("c1", "a3", "a4", 2, "b8"), ("c1", "a3", "a5", 3, "b8")]
-    members = found.members().where("stage = 'a'").groupBy("match_id").agg(F.array_sort(F.collect_list("ev.v")).alias("vs"))
-    assert sorted(r.vs for r in members.collect()) == [["a3"], ["a3", "a4"], ["a3", "a4", "a5"]]
+    got = sorted((r.a_first.n, r.m_first.n, r.m_last.n, r.b_first.n) for r in match(df, p, ["k"], ["t", "n"]).rows.collect())
+    want = []
+    for seq in per_key(rows):
+        for i, a in enumerate(seq):
+            start = next((j for j in range(i + 1, len(seq)) if seq[j][2] == "q"), None) if a[2] == "p" else None
+            if start is None:
+                continue
+            for last in range(start, len(seq)):
+                if seq[last][2] != "q":
+                    break
+                end = next((b for b in seq[last + 1 :] if b[2] == "r"), None)
+                if end and end[3] - a[3] < 40:
+                    want.append((a[0], seq[start][0], seq[last][0], end[0]))
+    assert got == sorted(want) and want
 
 
-def test_relaxed_run_reaches_over_other_events(spark, layout):
-    p = Pattern.begin("a", starts("a")).times(2).followed_by("b", starts("b"))
-    got = sorted((r.a_first.v, r.a_last.v) for r in match(letters(spark), p, [], ["n"], keep=["v"]).rows.collect())
-    assert got == [("a3", "a4"), ("a4", "a5"), ("a5", "a7")]
+def test_payload_without_an_order(spark, layout):
+    """A map can ride along with the rows, though maps have no order."""
+    rows, df = seeded(spark, 25)
+    tagged = df.withColumn("tags", F.create_map(F.lit("level"), F.col("x")))
+    found = match(tagged, Pattern.begin("a", is_("p")).followed_by("b", is_("q")).within(30 * SEC), ["k"], ["t", "n"], keep=["tags"])
+    level = {r[0]: r[4] for r in rows}
+    got = found.rows.collect()
+    assert got and all(r.a_first.tags["level"] == level[r.a_first.n] and r.b_first.tags["level"] == level[r.b_first.n] for r in got)
 
 
 def test_combinations_against_brute_force(spark, layout):
@@ -130,7 +156,6 @@ def test_long_chain_against_brute_force(spark, layout):
     df = spark.createDataFrame(
         [(i, u, v, BASE + (i * 5 + s) * 1000) for i, u, v, s in rows], "n INT, id INT, v STRING, ms BIGINT"
     ).withColumn("t", F.timestamp_millis("ms"))
-    is_ = lambda v: F.col("v") == v
     p = Pattern.begin("a", is_("a")).followed_by("b", is_("b")).next("c", is_("c")).followed_by("d", is_("a")).within(200 * SEC)
     found = match(df, p, ["id"], ["t", "n"])
     got = sorted((r.a_first.n, r.b_first.n, r.c_first.n, r.d_first.n) for r in found.rows.collect())
@@ -159,24 +184,47 @@ def test_long_chain_against_brute_force(spark, layout):
 
 
 def test_unbounded_repetition_is_refused(spark):
-    df = malice(spark)
+    df = seeded(spark, 26, n=5)[1]
+    base = Pattern.begin("a", is_("p"))
+    for pattern in (base.one_or_more(), base.one_or_more().until(F.col("x") > 5), base.one_or_more().consecutive()):
+        with pytest.raises(ValueError):
+            match(df, pattern, ["k"], ["t", "n"])
     with pytest.raises(ValueError):
-        match(df, Pattern.begin("a", F.col("msg") == "TMD").one_or_more(), ["id"], ["t"])
+        base.times(2, 7).allow_combinations().within(SEC).check()
+    base.times(2, 7).allow_combinations(limit=7).within(SEC).check()
 
 
-def test_rules_as_data(spark):
-    rows = [
-        ({"cluster_name": f"node-x{i}"}, {"load5": float(j)}) for i in (1, 2, 3) for j in (1, 2, 3)
-    ] + [({}, {"load5": 3.0}), ({"cluster_name": "node-x3"}, {})]
+def test_rules_as_data(spark, monkeypatch):
+    rng = random.Random(31)
+    rows = [({"zone": rng.choice("uvw")} if rng.random() < 0.9 else {}, {"heat": float(rng.randrange(6))}) for _ in range(60)]
     df = spark.createDataFrame(rows, "tags MAP<STRING, STRING>, fields MAP<STRING, DOUBLE>")
-    rules = spark.createDataFrame(
-        [
-            (1, "try_element_at(tags, 'cluster_name') = 'node-x3' AND try_element_at(fields, 'load5') = 3"),
-            (2, "try_element_at(tags, 'cluster_name') = 'node-x2' AND try_element_at(fields, 'load5') = 2"),
-        ],
-        "rule_id INT, predicate STRING",
-    )
-    got = match_rules(df, rules).groupBy("rule_id").count().collect()
-    assert {r.rule_id: r["count"] for r in got} == {1: 1, 2: 1}
-    with pytest.raises(ValueError):
-        check_rule("java_method('x', 'y') = 1", df.columns)
+    wanted = [(i, z, h) for i, (z, h) in enumerate((z, h) for z in "uvw" for h in range(6))]
+    texts = [(i, f"try_element_at(tags, 'zone') = '{z}' AND try_element_at(fields, 'heat') = {h}") for i, z, h in wanted]
+    rules = spark.createDataFrame(texts, "rule_id INT, predicate STRING")
+    want = Counter(i for i, z, h in wanted for tags, fields in rows if tags.get("zone") == z and fields["heat"] == h)
+    for per_pass in (2_000, 4):
+        monkeypatch.setattr(rl, "RULES_PER_PASS", per_pass)
+        assert {r.rule_id: r["count"] for r in rl.match_rules(df, rules).groupBy("rule_id").count().collect()} == want
+    assert rl.match_rules(df, rules.limit(0)).count() == 0
+
+
+def test_rules_that_reach_outside_are_refused(spark):
+    call = 'java_method("java.lang.System", "getProperty", "user.name")'
+    refused = [
+        "java_method('x', 'y') = 1",
+        f"'\\'' = '' OR {call} = {call} AND '' = ''",
+        "k = 'a\\\\' OR x = 'b'",
+        'k = "v"',
+        "k = `v`",
+        "k = 'open",
+        "k = 'a' -- rest",
+        "k = 'a' /* rest */",
+        "k = r'a\\'",
+        "x'41' = k",
+        "k = (SELECT 1)",
+        None,
+    ]
+    for predicate in refused:
+        with pytest.raises(ValueError):
+            rl.check_rule(predicate, ["k", "v"])
+    rl.check_rule("k = 'it''s' AND v IN ('a; b', 'c')".replace(";", ","), ["k", "v"])
