@@ -49,8 +49,8 @@ def money(col: str | Column) -> Column:
 
 
 def money_round(col: Column) -> Column:
-    """Two places, half up; exact because the input is taken as a decimal."""
-    return F.round(col.cast("decimal(38,6)"), 2)
+    """Two places, half up, in one rounding: the input is taken as a decimal with eighteen places."""
+    return F.round(col.cast("decimal(38,18)"), 2).cast("decimal(38,2)")
 
 
 def line_total(count: str, price: str) -> Column:

@@ -41,9 +41,15 @@ def _fields(ddl: str) -> list[T.StructField]:
 
 
 def parse_delimited(df: DataFrame, ddl: str, sep: str = ",", col: str = "line") -> DataFrame:
-    """Delimited lines as typed columns; a value that does not parse fails the job."""
+    """Delimited lines as typed columns; a missing field, or a value that does not parse, fails the job."""
     parts = F.split(col, _quoted(sep))
-    return df.select(*[F.get(parts, i).cast(f.dataType).alias(f.name) for i, f in enumerate(_fields(ddl))])
+    short = F.raise_error(F.concat(F.lit("a field is missing: "), F.coalesce(F.col(col), F.lit("NULL"))))
+    return df.select(
+        *[
+            F.when(F.coalesce(F.size(parts), F.lit(-1)) > i, F.get(parts, i).cast(f.dataType)).otherwise(short).alias(f.name)
+            for i, f in enumerate(_fields(ddl))
+        ]
+    )
 
 
 def parse_delimited_or_set_aside(

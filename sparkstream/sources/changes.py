@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,14 @@ from sparkstream.functions.scalars import parsed_once
 SOURCE_DDL = "STRUCT<db: STRING, `table`: STRING, pos: BIGINT>"
 
 
+class Feed(NamedTuple):
+    """What a change feed holds: row changes, lines that are no change records, and schema events."""
+
+    rows: DataFrame
+    bad: DataFrame
+    schema_events: DataFrame
+
+
 def envelope(row_ddl: str) -> str:
     """The schema of a change record whose row has the columns of ``row_ddl``."""
     row = ", ".join(part.strip().replace(" ", ": ", 1) for part in row_ddl.split(","))
@@ -64,10 +73,11 @@ def starting(changes: DataFrame, start: str = "initial", at: int | None = None)
 def read_changes(
     spark: SparkSession, path: str, row_ddl: str, tables: Sequence[str] | None = None, start: str = "initial",
     at: int | None = None, streaming: bool = False,
-) -> DataFrame:
-    """Row changes from a directory of JSON lines."""
+) -> Feed:
+    """A change feed from a directory of JSON lines. Bad lines belong to no table and no time, so all are given."""
     lines = (spark.readStream if streaming else spark.read).text(path)
-    good, _ = parse_changes(lines, row_ddl)
+    good, bad = parse_changes(lines, row_ddl)
     if tables:
         good = of_tables(good, tables)
-    return starting(split_schema_changes(good)[0], start, at)
+    rows, schema_events = split_schema_changes(good)
+    return Feed(starting(rows, start, at), bad, starting(schema_events, start, at))

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkstream.plans.scan import numbered
+from sparkstream.sources.polled import polled as poll
 
-MAX_PREDICATES = 10_000
 EVEN_LOW, EVEN_HIGH = 0.05, 1000.0
 CHUNK_SIZE, FETCH_SIZE = 8096, 1024
 
@@ -26,7 +29,7 @@ def read_jdbc(
     if partition_col is None or partitions <= 1:
         return reader.load()
     if bounds is None:
-        bounds = reader.load().agg(F.min(partition_col), F.max(partition_col)).first()
+        bounds = key_span(spark, options, partition_col)[:2]
     if bounds[0] is None:
         return reader.load()
     return (
@@ -38,6 +41,14 @@ def read_jdbc(
     )
 
 
+def key_span(spark: SparkSession, options: dict[str, str], key: str) -> tuple:
+    """Least and greatest key and the number of rows, asked of the database itself in one query."""
+    asked = {k: v for k, v in options.items() if k not in ("dbtable", "query")}
+    source = options["dbtable"] if "dbtable" in options else f"({options['query']}) AS asked"
+    sql = f"SELECT min({key}) AS low, max({key}) AS high, count(*) AS n FROM {source}"
+    return tuple(spark.read.format("jdbc").options(**asked).option("query", sql).load().first())
+
+
 def polled(
     ticks: DataFrame, read: Callable[[], DataFrame], handle: Callable[[DataFrame, int], None], every: str, checkpoint: str
 ):
@@ -46,31 +57,24 @@ def polled(
     ``ticks`` is the stream that drives the triggers (for example the ``rate`` source).
     """
 
-    def on_batch(_: DataFrame, batch_id: int) -> None:
-        handle(read(), batch_id)
+    return poll(ticks, read, handle).trigger(processingTime=every).option("checkpointLocation", checkpoint).start()
 
-    return (
-        ticks.writeStream.foreachBatch(on_batch)
-        .trigger(processingTime=every)
-        .option("checkpointLocation", checkpoint)
-        .start()
-    )
 
-
-def key_ranges(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFrame:
+def key_ranges(df: DataFrame, key: str, size: int = CHUNK_SIZE, span: tuple | None = None) -> DataFrame:
     """Half-open key ranges ``[low, high)`` of about ``size`` rows, the outer ends open (NULL).
 
-    Evenly spread keys (span / rows between 0.05 and 1000) are cut by arithmetic, inside one range
-    expression; others at every ``size``-th key in order.
+    Evenly spread whole-number keys (span / rows between 0.05 and 1000) are cut by arithmetic, inside one
+    range expression; others, and keys of any other type that has an order, at every ``size``-th key.
+    ``span`` gives least key, greatest key and rows where they are known, as for a database table.
     """
-    low, high, rows = df.agg(F.min(key), F.max(key), F.count(key)).first()
+    low, high, rows = span or df.agg(F.min(key), F.max(key), F.count(key)).first()
     spark = df.sparkSession
     ddl = f"chunk BIGINT, low {df.schema[key].dataType.simpleString()}, high {df.schema[key].dataType.simpleString()}"
     if rows == 0 or rows <= size:
         return spark.createDataFrame([(0, None, None)], ddl)
     kind = df.schema[key].dataType
-    factor = (high - low + 1) / rows
-    if EVEN_LOW < factor < EVEN_HIGH:
+    if isinstance(kind, T.IntegralType) and EVEN_LOW < (high - low + 1) / rows < EVEN_HIGH:
+        factor = (high - low + 1) / rows
         step = max(int(factor * size), 1)
         cuts = (high - low) // step
         chunk = F.col("id")
@@ -89,26 +93,32 @@ def key_ranges(df: DataFrame, key: str, size: int = CHUNK_SIZE) -> DataFrame:
 
 
 def range_predicates(ranges: DataFrame, key: str) -> list[str]:
-    """One SQL predicate per range, for a JDBC read. At most 10 000: use larger ranges beyond."""
-    rows = ranges.orderBy("chunk").limit(MAX_PREDICATES + 1).collect()
-    if len(rows) > MAX_PREDICATES:
-        raise ValueError(f"more than {MAX_PREDICATES} ranges; raise the range size")
+    """One SQL predicate per range, for a JDBC read; each range becomes a task, so the driver names them all."""
     predicates = []
-    for row in rows:
-        parts = [] if row.low is None else [f"{key} >= {row.low}"]
+    for row in ranges.orderBy("chunk").toLocalIterator():
+        parts = [] if row.low is None else [f"{key} >= {sql_literal(row.low)}"]
         if row.high is not None:
-            parts.append(f"{key} < {row.high}")
+            parts.append(f"{key} < {sql_literal(row.high)}")
         predicates.append(" AND ".join(parts) or "1 = 1")
     return predicates
 
 
+def sql_literal(value) -> str:
+    """A bound as SQL: numbers as they are, dates, times and text in quotes."""
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    text = value.isoformat(" ") if isinstance(value, datetime) else str(value)
+    return "'" + text.replace("'", "''") + "'"
+
+
 def chunked_read(spark: SparkSession, options: dict[str, str], key: str, size: int = CHUNK_SIZE) -> DataFrame:
     """A JDBC table read range by range, one task per range."""
     table = read_jdbc(spark, options)
     properties = {"fetchsize": str(FETCH_SIZE)}
     properties.update({k: v for k, v in options.items() if k not in ("url", "dbtable")})
     return spark.read.jdbc(
-        options["url"], options["dbtable"], predicates=range_predicates(key_ranges(table, key, size), key),
+        options["url"], options["dbtable"],
+        predicates=range_predicates(key_ranges(table, key, size, key_span(spark, options, key)), key),
         properties=properties,
     )
 

@@ -1,99 +1,22 @@
-"""A user-written source: a table that is read whole again at every poll.
-
-The position of the stream is the number of the current poll interval, so it needs no memory of its
-own and survives a restart: a trigger in a new interval reads the table once, by one task per file.
-"""
+"""A table that is read whole again at every trigger, with Spark's own readers."""
 
 from __future__ import annotations
 
-import sys
-import time
-from collections.abc import Iterator
+from collections.abc import Callable
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
-
-
-# Tasks get these classes with the job, whether or not the package is installed where they run.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-class FilePart(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
-
-
-def _files(path: str) -> list[str]:
-    from pyarrow import fs
-
-    system, root = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
-    prefix = path[: -len(root)] if "://" in path and path.endswith(root) else ""
-    info = system.get_file_info(root)
-    if info.is_file:
-        return [path]
-    found = system.get_file_info(fs.FileSelector(root, recursive=True))
-    return [prefix + f.path for f in found if f.is_file and not f.base_name.startswith(("_", "."))]
-
-
-def _read(part: FilePart, columns: list[str]) -> Iterator:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    system, path = fs.FileSystem.from_uri(part.path) if "://" in part.path else (fs.LocalFileSystem(), part.path)
-    with pq.ParquetFile(system.open_input_file(path)) as table:
-        yield from table.iter_batches(columns=columns)
-
-
-class _Reader(DataSourceReader):
-    def __init__(self, path: str, columns: list[str]):
-        self.path, self.columns = path, columns
-
-    def partitions(self) -> list[InputPartition]:
-        return [FilePart(f) for f in _files(self.path)]
-
-    def read(self, partition: FilePart) -> Iterator:
-        return _read(partition, self.columns)
-
-
-class _PollReader(DataSourceStreamReader):
-    def __init__(self, path: str, columns: list[str], every: float):
-        self.path, self.columns, self.every = path, columns, every
-
-    def initialOffset(self) -> dict:
-        return {"poll": 0}
-
-    def latestOffset(self) -> dict:
-        return {"poll": int(time.time() // self.every)}
-
-    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
-        return [FilePart(f) for f in _files(self.path)] if end["poll"] > start["poll"] else []
-
-    def read(self, partition: FilePart) -> Iterator:
-        return _read(partition, self.columns)
-
-    def commit(self, end: dict) -> None:
-        pass
-
-
-class PolledTable(DataSource):
-    """``format("polled_table")`` with options ``path`` and ``every`` (seconds) and a schema."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "polled_table"
+from pyspark.sql.streaming import DataStreamWriter
 
-    def schema(self) -> str:
-        raise ValueError("polled_table needs a schema")
 
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(self.options["path"], schema.names)
+def ticks(spark: SparkSession, per_second: int = 1) -> DataFrame:
+    """A stream that has something new whenever it is asked, to drive the polls."""
+    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
 
-    def streamReader(self, schema) -> DataSourceStreamReader:
-        return _PollReader(self.options["path"], schema.names, float(self.options.get("every", "5")))
 
+def polled(driver: DataFrame, read: Callable[[], DataFrame], handle: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+    """At every trigger of ``driver`` hand ``read()``, the table as it is now, to ``handle(table, batch_id)``.
 
-def polled_table(spark: SparkSession, path: str, ddl: str, every: float = 5, streaming: bool = True) -> DataFrame:
-    spark.dataSource.register(PolledTable)
-    reader = spark.readStream if streaming else spark.read
-    return reader.format("polled_table").schema(ddl).option("path", path).option("every", str(every)).load()
+    Trigger and checkpoint are set on the writer. A trigger that is repeated after a failure reads again under
+    the same number, so a handler that writes by number (:func:`~sparkstream.streaming.sinks.write_batch`) stays exact.
+    """
+    return driver.writeStream.foreachBatch(lambda _, batch_id: handle(read(), batch_id))

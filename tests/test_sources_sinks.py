@@ -12,7 +12,6 @@ from sparkstream.operators import changelog as cl
 from sparkstream.sources import basic as src
 from sparkstream.sources import changes as ch
 from sparkstream.sources import jdbc, topics
-from sparkstream.sources.polled import polled_table
 from sparkstream.streaming import sinks as sk
 
 
@@ -43,8 +42,9 @@ def test_delimited_lines(spark, tmp_path):
     df = spark.createDataFrame([("9,3",), ("4,9",)], "line STRING")
     assert src.parse_delimited(df, "sensor STRING, n INT").collect() == [("9", 3), ("4", 9)]
     broken = spark.createDataFrame([("9,x",), ("4",), ("1,2",)], "line STRING")
-    with pytest.raises(Exception):
-        src.parse_delimited(broken, "sensor STRING, n INT").collect()
+    for one in (broken.where("line = '9,x'"), broken.where("line = '4'")):
+        with pytest.raises(Exception):
+            src.parse_delimited(one, "sensor STRING, n INT").collect()
     good, bad = src.parse_delimited_or_set_aside(broken, "sensor STRING, n INT")
     assert good.collect() == [("1", 2)] and sorted(r.line for r in bad.collect()) == ["4", "9,x"]
     piped = spark.createDataFrame([("a|1",)], "line STRING")
@@ -146,12 +146,30 @@ def test_ranges_cover_every_key_once(spark, layout):
     assert sum(keys.where(p).count() for p in texts) == 300
 
 
+def test_ranges_of_other_key_types(spark, layout):
+    texts = spark.range(50).select(F.format_string("key'%03d", "id").alias("id"))
+    times = spark.range(50).select(F.timestamp_seconds(F.col("id") * 1000).alias("id"))
+    for keys in (texts, times):
+        cuts = jdbc.key_ranges(keys, "id", 20)
+        assert cuts.count() == 3
+        assert [keys.where(p).count() for p in jdbc.range_predicates(cuts, "id")] == [20, 20, 10]
+    many = spark.range(10_500).select(F.col("id").alias("chunk"), F.col("id").alias("low"), (F.col("id") + 1).alias("high"))
+    assert len(jdbc.range_predicates(many, "k")) == 10_500
+
+
+def test_feed_with_bad_lines_and_schema_events(spark, tmp_path):
+    (tmp_path / "feed.json").write_text("\n".join(FEED))
+    feed_ = ch.read_changes(spark, str(tmp_path), ROW, ["shop.people"], "offset", 4)
+    assert sorted(r.pos for r in feed_.rows.collect()) == [4, 5, 7]
+    assert [r.value for r in feed_.bad.collect()] == ["{broken"] and [r.pos for r in feed_.schema_events.collect()] == [8]
+
+
 def test_text_sink_writer_count(spark, tmp_path):
-    lines = spark.createDataFrame([("hello me",), ("hello",), ("me",), ("you",)], "line STRING")
+    lines = spark.createDataFrame([("one two",), ("three",), ("four",), ("five",)], "line STRING")
     for n in (1, 2):
         target = sk.write_text(lines, str(tmp_path / f"out{n}"), n)
         assert len([f for f in os.listdir(target) if f.startswith("part-")]) == n
-        assert sorted(r.line for r in src.read_lines(spark, target).collect()) == ["hello", "hello me", "me", "you"]
+        assert sorted(r.line for r in src.read_lines(spark, target).collect()) == ["five", "four", "one two", "three"]
     stamped = sk.write_text(lines, str(tmp_path / "out"), 1, datetime(2021, 5, 6, 7, 8, 9))
     assert stamped.endswith("out-20210506070809")
 
@@ -175,13 +193,6 @@ def test_log_is_folded_and_keeps_the_latest(spark, tmp_path, monkeypatch):
     assert sorted(r.k for r in sk.log_before(spark, log, 5).select("k").distinct().collect()) == ["a", "b", "c"]
 
 
-def test_custom_source_batch(spark, tmp_path):
-    path = str(tmp_path / "students")
-    spark.createDataFrame([(i, f"s{i}", 20) for i in range(10)], "id INT, name STRING, age INT").repartition(3).write.parquet(path)
-    table = polled_table(spark, path, "id INT, name STRING", streaming=False)
-    assert table.count() == 10 and table.rdd.getNumPartitions() == 3
-
-
 def test_show_sink_prints_a_label(spark, capsys):
     sk.show_sink(spark.range(1), "odd:")
     assert "odd:" in capsys.readouterr().out
