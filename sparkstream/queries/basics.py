@@ -1,14 +1,18 @@
 """Text, scalar, routing and aggregate queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkstream.functions import scalars as sc
 from sparkstream.functions import text as tx
 from sparkstream.operators import aggregate as ag
 from sparkstream.operators import routing as rt
+from sparkstream.plans.scan import settled
 from sparkstream.queries.registry import query
 from sparkstream.sources import basic as src
-from sparkstream.tables import as_views, load
+from sparkstream.streaming import sinks as sk
+from sparkstream.tables import load, path_of
 
 BANNED = ["the", "of", "and", "la", "le"]
 
@@ -161,10 +165,10 @@ def quarantine(spark, sf_dir):
     UNION ALL SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal < 100"""
 )
 def union_all_sql(spark, sf_dir):
-    as_views(spark, sf_dir, ["supplier", "customer"])
     return spark.sql(
-        "SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_acctbal > 5000 "
-        "UNION ALL SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal < 100"
+        "SELECT s_suppkey AS id, s_name AS name FROM {sellers} WHERE s_acctbal > 5000 "
+        "UNION ALL SELECT c_custkey AS id, c_name AS name FROM {buyers} WHERE c_acctbal < 100",
+        sellers=load(spark, sf_dir, "supplier"), buyers=load(spark, sf_dir, "customer"),
     )
 
 
@@ -214,6 +218,72 @@ def rebalance_skew(spark, sf_dir):
     )
 
 
+@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS partitions FROM lineitem")
+def global_placement(spark, sf_dir):
+    """A small result in one partition: the counts of all tasks."""
+    counts = rt.to_one(rt.partition_counts(load(spark, sf_dir, "lineitem")))
+    return counts.groupBy(F.spark_partition_id()).agg(F.sum("n").alias("n")).agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("partitions")
+    )
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, TRUE AS unmoved FROM lineitem")
+def forward_rows(spark, sf_dir):
+    """Rows that stay in the partitions they are read in."""
+    before = load(spark, sf_dir, "lineitem").withColumn("was", F.spark_partition_id())
+    after = rt.forward(before).select((F.spark_partition_id() == F.col("was")).alias("same"))
+    return after.agg(F.count("*").alias("n_rows"), F.every("same").alias("unmoved"))
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(4 AS BIGINT) AS partitions, TRUE AS mixed FROM lineitem")
+def shuffle_random(spark, sf_dir):
+    """Random placement: all partitions get about the same share."""
+    counts = rt.partition_counts(rt.shuffle(load(spark, sf_dir, "lineitem").select("l_orderkey"), 4))
+    share = F.max(F.abs(F.col("n") * 4 - F.lit(0)))
+    return counts.agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("partitions"), (share <= 1.2 * F.sum("n") + 8).alias("mixed")
+    )
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(2 AS BIGINT) AS partitions FROM lineitem")
+def rescale_rows(spark, sf_dir):
+    """Eight partitions brought to two without another shuffle."""
+    dealt = rt.rebalance(load(spark, sf_dir, "lineitem").select("l_orderkey"), 8)
+    counts = rt.partition_counts(rt.rescale(dealt, 2))
+    return counts.agg(F.sum("n").alias("n_rows"), F.count("*").alias("partitions"))
+
+
+@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey BETWEEN (SELECT min(o_orderkey) FROM orders) AND (SELECT min(o_orderkey) + 999 FROM orders)")
+def sequence_lookup(spark, sf_dir):
+    """Whole numbers between two ends, both included, looked up as order keys."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    low = orders.agg(F.min("o_orderkey")).first()[0] or 0
+    return src.sequence(spark, low, low + 999, "o_orderkey").join(orders, "o_orderkey")
+
+
+@query("SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1")
+def catalog_counts(spark, sf_dir):
+    """A table of the session's catalog, declared over the data where it lies."""
+    name = f"orders_{uuid.uuid4().hex[:10]}"
+    spark.catalog.createTable(name, path=path_of(sf_dir, "orders"), source="parquet", schema=load(spark, sf_dir, "orders").schema)
+    counts = kept_rows(src.catalog_table(spark, name).groupBy("o_orderstatus").agg(F.count("*").alias("n")))
+    spark.sql(f"DROP TABLE {name}")
+    return counts
+
+
+def kept_rows(df):
+    return settled(df, True, "counts")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS n, max(o_totalprice) AS top FROM orders")
+def shown_table(spark, sf_dir):
+    """Rows printed with a label in front; what was printed first is part of the whole."""
+    orders = load(spark, sf_dir, "orders")
+    top = orders.agg(F.count("*").alias("n"), F.max("o_totalprice").alias("top"))
+    sk.show_sink(top, "orders: ")
+    return top
+
+
 @query("SELECT CAST(i AS INT) AS copy, CAST(count(*) AS BIGINT) AS n FROM nation, range(3) AS r(i) GROUP BY i")
 def replicate_rows(spark, sf_dir):
     return rt.replicate(load(spark, sf_dir, "nation"), 3).groupBy("copy").agg(F.count("*").alias("n"))
@@ -322,9 +392,9 @@ def count_max_min(spark, sf_dir):
 
 @query("SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS cnt FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1")
 def sql_group(spark, sf_dir):
-    as_views(spark, sf_dir, ["orders"])
     return spark.sql(
-        "SELECT o_orderstatus, count(*) AS cnt FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY o_orderstatus"
+        "SELECT o_orderstatus, count(*) AS cnt FROM {placed} WHERE o_orderpriority = '1-URGENT' GROUP BY o_orderstatus",
+        placed=load(spark, sf_dir, "orders"),
     )
 
 

@@ -1,5 +1,7 @@
 """Change-log, change-data and key-range queries."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sparkstream.operators import changelog as cl
@@ -10,6 +12,7 @@ from sparkstream.sources import changes as ch
 from sparkstream.sources import topics
 from sparkstream.sources.basic import as_view
 from sparkstream.sources.jdbc import key_ranges
+from sparkstream.session import scratch
 from sparkstream.tables import load
 
 RUNNING = f"""running AS (SELECT user_id, event_id, CAST(count(*) OVER w AS BIGINT) AS n, CAST(sum({CENTS}) OVER w AS BIGINT) AS total
@@ -154,17 +157,95 @@ def key_chunks_uneven(spark, sf_dir):
     return key_ranges(sparse, "key", 1000)
 
 
+@query(
+    """WITH k AS (SELECT c_name AS name, row_number() OVER (ORDER BY c_name) AS r FROM (SELECT DISTINCT c_name FROM customer)),
+    c AS (SELECT (r - 1) // 100 AS chunk, name AS low FROM k WHERE r > 1 AND (r - 1) % 100 = 0 UNION ALL SELECT 0, NULL)
+    SELECT CAST(chunk AS BIGINT) AS chunk, low, lead(low) OVER (ORDER BY chunk) AS high FROM c"""
+)
+def key_chunks_text(spark, sf_dir):
+    """Ranges of a text key."""
+    return key_ranges(load(spark, sf_dir, "customer"), "c_name", 100)
+
+
+#: What a feed holds besides row changes: a line cut short, and a change of a table's columns.
+CUT_SHORT = '{"before": null, "after": {"o_orderkey": '
+COLUMN_ADDED = '{"source": {"db": "shop", "table": "orders_0", "pos": %d}, "ts_ms": %d, "ddl": "ALTER TABLE orders_0 ADD COLUMN note TEXT"}'
+
+
+def feed_files(spark, sf_dir):
+    """The feed written as text once; every hundredth order key adds a cut line and, if even, a schema event."""
+    orders = load(spark, sf_dir, "orders").where(F.col("o_orderkey") % 100 == 0)
+    cut = orders.select(F.concat(F.lit(CUT_SHORT), "o_orderkey").alias("value"))
+    added = orders.where(F.col("o_orderkey") % 200 == 0).select(
+        F.format_string(COLUMN_ADDED, F.col("o_orderkey") * 10 + 2, F.lit(2)).alias("value")
+    )
+    path = scratch(spark, "feed")
+    feed_lines(spark, sf_dir).unionByName(cut).unionByName(added).write.text(path)
+    return path
+
+
+@query(
+    f"""WITH {FEED}, last_ AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ts_ms DESC) AS rn FROM feed)
+    SELECT o_orderkey, a_status AS o_orderstatus, a_cents AS cents FROM last_ WHERE rn = 1 AND op <> 'd'"""
+)
+def cdc_files_current(spark, sf_dir):
+    """A feed of text files, snapshot rows included, folded into the current table."""
+    feed = ch.read_changes(spark, feed_files(spark, sf_dir), ROW_DDL)
+    none = load(spark, sf_dir, "orders").where(F.lit(False)).select(
+        "o_orderkey", "o_orderstatus", F.lit(0).cast("long").alias("cents")
+    )
+    return cl.apply_changes(none, feed.rows, ["o_orderkey"])
+
+
+@query(f"SELECT '{CUT_SHORT}' || o_orderkey AS line FROM orders WHERE o_orderkey % 100 = 0")
+def cdc_bad_lines(spark, sf_dir):
+    """Lines of a feed that are no change records."""
+    return ch.read_changes(spark, feed_files(spark, sf_dir), ROW_DDL).bad.select(F.col("value").alias("line"))
+
+
+@query("SELECT 'orders_0' AS tab, o_orderkey * 10 + 2 AS pos FROM orders WHERE o_orderkey % 200 = 0")
+def cdc_schema_events(spark, sf_dir):
+    """Changes of table columns, as an output of their own."""
+    feed = ch.read_changes(spark, feed_files(spark, sf_dir), ROW_DDL, ["shop.orders_0"], "earliest")
+    return feed.schema_events.select(F.col("source.table").alias("tab"), F.col("source.pos").alias("pos"))
+
+
+STARTS = {"initial": None, "earliest": None, "never": None, "timestamp": 3, "offset": 20_003, "latest": 20_003}
+
+
+@query(
+    f"""WITH {FEED}, log_ AS (SELECT *, o_orderkey * 10 + ts_ms AS pos FROM feed)
+    SELECT 'initial' AS start, CAST(count(*) AS BIGINT) AS n FROM log_
+    UNION ALL SELECT 'earliest', count(*) FROM log_ WHERE op <> 'r' UNION ALL SELECT 'never', count(*) FROM log_ WHERE op <> 'r'
+    UNION ALL SELECT 'timestamp', count(*) FROM log_ WHERE op <> 'r' AND ts_ms >= 3
+    UNION ALL SELECT 'offset', count(*) FROM log_ WHERE op <> 'r' AND pos >= 20003
+    UNION ALL SELECT 'latest', count(*) FROM log_ WHERE op <> 'r' AND pos > 20003"""
+)
+def cdc_start_modes(spark, sf_dir):
+    """How many row changes each start mode reads of the same feed, two tables by name."""
+    path, counts = feed_files(spark, sf_dir), None
+    for start, at in STARTS.items():
+        rows = ch.read_changes(spark, path, ROW_DDL, ["shop.orders_0", "shop.orders_1"], start, at).rows
+        one = rows.agg(F.count("*").alias("n")).select(F.lit(start).alias("start"), "n")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
 @query("SELECT user_id, event_id AS page_id, event_type AS status FROM events WHERE event_type = 'purchase'")
 def json_topic_filter(spark, sf_dir):
     """A table declared by DDL over JSON messages, filtered in SQL."""
     events = load(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("page_id"), F.col("event_type").alias("status"))
-    topics.declare_table(
-        spark, "page_status", "user_id BIGINT, page_id BIGINT, status STRING", topics.json_values(events)
-    )
-    return spark.sql("SELECT user_id, page_id, status FROM page_status WHERE status = 'purchase'")
+    name = f"page_status_{uuid.uuid4().hex[:10]}"
+    topics.declare_table(spark, name, "user_id BIGINT, page_id BIGINT, status STRING", topics.json_values(events))
+    bought = spark.sql(f"SELECT user_id, page_id, status FROM {name} WHERE status = 'purchase'")
+    spark.catalog.dropTempView(name)
+    return bought
 
 
 @query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal > 9000")
 def view_over_table(spark, sf_dir):
-    as_view(load(spark, sf_dir, "customer"), "buyers", {"id": "c_custkey", "name": "c_name", "balance": "c_acctbal"})
-    return spark.sql("SELECT id, name FROM buyers WHERE balance > 9000")
+    name = f"buyers_{uuid.uuid4().hex[:10]}"
+    as_view(load(spark, sf_dir, "customer"), name, {"id": "c_custkey", "name": "c_name", "balance": "c_acctbal"})
+    rich = spark.sql(f"SELECT id, name FROM {name} WHERE balance > 9000")
+    spark.catalog.dropTempView(name)
+    return rich

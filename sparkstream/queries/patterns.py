@@ -138,11 +138,12 @@ def malice_members(spark, sf_dir):
     hits AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM runs
       WHERE event_type = 'click' AND value <= 20)
     SELECT a.user_id, a.event_id AS first_id, b.event_id AS last_id, CAST(b.r - a.r + 1 AS BIGINT) AS n
-    FROM hits a JOIN hits b ON a.user_id = b.user_id AND a.run = b.run AND b.r >= a.r"""
+    FROM hits a JOIN hits b ON a.user_id = b.user_id AND a.run = b.run AND b.r >= a.r
+    WHERE b.ts - a.ts < INTERVAL '5 days'"""
 )
 def until_runs(spark, sf_dir):
-    """One or more clicks, until any event with a value above 20."""
-    pattern = Pattern.begin("a", is_("click")).one_or_more().until(F.col("value") > 20)
+    """One or more clicks within five days, until any event with a value above 20."""
+    pattern = Pattern.begin("a", is_("click")).one_or_more().until(F.col("value") > 20).within(5 * DAY)
     rows = found(spark, sf_dir, pattern).rows
     return rows.select(
         "user_id", F.col("a_first.event_id").alias("first_id"), F.col("a_last.event_id").alias("last_id"),

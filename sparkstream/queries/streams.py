@@ -8,45 +8,74 @@ from pyspark.sql import functions as F
 from sparkstream.operators import joins as jn
 from sparkstream.operators import windows as wn
 from sparkstream.operators.aggregate import Agg
+from sparkstream.operators.lateness import with_arrival_time
 from sparkstream.operators.patterns import Pattern
 from sparkstream.plans.scan import running_count, running_max, running_sum
 from sparkstream.queries.basics import CENTS, cents
 from sparkstream.queries.joins import HOUR
 from sparkstream.queries.patterns import CLICKS, DAY, NEXT_PURCHASE, is_
 from sparkstream.queries.registry import query
+from sparkstream.queries.timewindows import FIRINGS, LATE_ROWS, arrivals
 from sparkstream.session import scratch
-from sparkstream.sources.basic import from_rows, read_lines
-from sparkstream.sources.polled import polled_table
+from sparkstream.sources.basic import from_rows, read_lines, stream_lines
+from sparkstream.sources.polled import polled, ticks
 from sparkstream.streaming import batches as bt
 from sparkstream.streaming import sinks as sk
 from sparkstream.streaming import stateful as st
-from sparkstream.streaming.runner import drain, sized_state
-from sparkstream.tables import load, path_of, stream_events, stream_table
+from sparkstream.streaming.runner import drain, run_stream
+from sparkstream.tables import load, stream_table
 
+#: Files the events are delivered in, one per micro-batch, and how much later than their time rows may come.
+DELIVERIES, DISORDER = 6, 6
 
-def collected(spark, sf_dir, label, df, mode="append"):
-    """Run a stream over the events into an exactly-once file log and read the log back."""
+
+def delivered(spark, sf_dir, in_order=False, events=None, t="ts"):
+    """The events (or other rows with a time ``t``) as a stream of several micro-batches, every row in one of them.
+
+    The table is written again as files that hold a stretch of delivery time each. A row is delivered up to six hours
+    after its time, by its id, so files hold rows older than the newest of the file before; with ``in_order`` it is
+    delivered at once. A watermark of six hours therefore loses nothing.
+    """
+    events = load(spark, sf_dir, "events") if events is None else events
+    late = F.lit(0) if in_order else F.pmod("event_id", F.lit(DISORDER + 1)) * 3_600_000_000
+    placed = events.withColumn("due", F.unix_micros(t) + late)
+    low, high = placed.agg(F.min("due"), F.max("due")).first()
+    path = scratch(spark, "delivered")
+    width = ((high or 0) - (low or 0)) // DELIVERIES + 1
+    for k in range(DELIVERIES):
+        part = placed.where(F.floor((F.col("due") - (low or 0)) / width) == k)
+        part.drop("due").coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def ran(query, least=DELIVERIES):
+    """The query, after a look at whether it really ran in several micro-batches."""
+    if query.lastProgress["batchId"] < least - 1:
+        raise AssertionError(f"{query.lastProgress['batchId'] + 1} micro-batches instead of {least}")
+    return query
+
+
+def collected(spark, label, df, mode="append", least=DELIVERIES):
+    """Run a stream into an exactly-once file log and read the log back."""
     base = scratch(spark, label)
-    with sized_state(spark, load(spark, sf_dir, "events").count()):
-        drain(sk.exactly_once(df, f"{base}/out", mode), f"{base}/checkpoint")
+    ran(drain(sk.exactly_once(df, f"{base}/out", mode), f"{base}/checkpoint"), least)
     return sk.read_batches(spark, f"{base}/out")
 
 
-def stream_of(spark, sf_dir, kind, cols):
-    rows = stream_events(spark, sf_dir).where(F.col("event_type") == kind)
-    return rows.select(*[F.col(old).alias(new) for new, old in cols.items()])
+def stream_of(rows, kind, cols):
+    return rows.where(F.col("event_type") == kind).select(*[F.col(old).alias(new) for new, old in cols.items()])
 
 
 @query(
     f"""SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS window_start, CAST(count(*) AS BIGINT) AS n,
     CAST(sum({CENTS}) AS BIGINT) AS total FROM events GROUP BY 1, 2
-    HAVING window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '2 hours' FROM events)"""
+    HAVING window_start + INTERVAL '1 day' <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '6 hours' FROM events)"""
 )
 def stream_tumbling(spark, sf_dir):
-    """Day windows with a watermark of two hours: those the watermark has closed."""
+    """Day windows with a watermark of six hours: those the watermark has closed."""
     sums = {"n": F.count("*"), "total": F.sum(cents())}
-    windows = wn.tumbling(stream_events(spark, sf_dir), ["event_type"], "ts", "1 day", sums, delay="2 hours")
-    return collected(spark, sf_dir, "tumbling", windows).select("event_type", "window_start", "n", "total")
+    windows = wn.tumbling(delivered(spark, sf_dir), ["event_type"], "ts", "1 day", sums, delay="6 hours")
+    return collected(spark, "tumbling", windows).select("event_type", "window_start", "n", "total")
 
 
 @query(
@@ -55,10 +84,11 @@ def stream_tumbling(spark, sf_dir):
     WHERE v.event_type = 'view' AND c.event_type = 'click'"""
 )
 def stream_window_join(spark, sf_dir):
-    views = stream_of(spark, sf_dir, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
-    clicks = stream_of(spark, sf_dir, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
-    joined = jn.window_join(views, clicks, ["user_id"], "view_ts", "click_ts", "1 day", delay="1 hour")
-    return collected(spark, sf_dir, "window-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
+    rows = delivered(spark, sf_dir)
+    views = stream_of(rows, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
+    clicks = stream_of(rows, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
+    joined = jn.window_join(views, clicks, ["user_id"], "view_ts", "click_ts", "1 day", delay="6 hours")
+    return collected(spark, "window-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
 
 
 @query(
@@ -67,12 +97,13 @@ def stream_window_join(spark, sf_dir):
     WHERE v.event_type = 'view' AND c.event_type = 'click'"""
 )
 def stream_interval_join(spark, sf_dir):
-    views = stream_of(spark, sf_dir, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
-    clicks = stream_of(spark, sf_dir, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
+    rows = delivered(spark, sf_dir)
+    views = stream_of(rows, "view", {"user_id": "user_id", "view_id": "event_id", "view_ts": "ts"})
+    clicks = stream_of(rows, "click", {"user_id": "user_id", "click_id": "event_id", "click_ts": "ts"})
     joined = jn.interval_join_stream(
-        views, clicks, ["user_id"], "view_ts", "click_ts", "'-2' HOURS", "'1' HOURS", "1 hour"
+        views, clicks, ["user_id"], "view_ts", "click_ts", "'-2' HOURS", "'1' HOURS", "6 hours"
     )
-    return collected(spark, sf_dir, "interval-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
+    return collected(spark, "interval-join", joined.select("user_id", "view_id", "click_id")).drop(sk.BATCH)
 
 
 @query(
@@ -82,10 +113,10 @@ def stream_interval_join(spark, sf_dir):
 )
 def stream_count_tumbling(spark, sf_dir):
     base = scratch(spark, "count-tumbling")
-    rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", cents().alias("cents"))
+    rows = delivered(spark, sf_dir, in_order=True).select("user_id", "ts", "event_id", cents().alias("cents"))
     total = {"total": Agg("sum", F.col("cents"))}
     writer = bt.count_tumbling_batches(rows, ["user_id"], ["ts", "event_id"], 5, total, f"{base}/out", f"{base}/state")
-    drain(writer, f"{base}/checkpoint")
+    ran(drain(writer, f"{base}/checkpoint"))
     return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH)
 
 
@@ -94,9 +125,9 @@ def stream_count_tumbling(spark, sf_dir):
 )
 def stream_running_max(spark, sf_dir):
     base = scratch(spark, "running-max")
-    rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    rows = delivered(spark, sf_dir, in_order=True).select("user_id", "ts", "event_id", "value")
     outs = {"max_value": running_max(F.col("value"))}
-    drain(bt.scan_stream(rows, ["user_id"], ["ts", "event_id"], outs, f"{base}/out", f"{base}/state"), f"{base}/checkpoint")
+    ran(drain(bt.scan_stream(rows, ["user_id"], ["ts", "event_id"], outs, f"{base}/out", f"{base}/state"), f"{base}/checkpoint"))
     return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "max_value")
 
 
@@ -106,28 +137,28 @@ def stream_running_max(spark, sf_dir):
 )
 def stream_running_sum(spark, sf_dir):
     """Running values whose micro-batches go through the skew-safe scan."""
-    rows = stream_events(spark, sf_dir).select("user_id", "ts", "event_id", "value")
+    rows = delivered(spark, sf_dir, in_order=True).select("user_id", "ts", "event_id", "value")
     base = scratch(spark, "running-sum")
     outs = {"n": running_count(), "total": running_sum(cents())}
     writer = bt.scan_stream(rows, ["user_id"], ["ts", "event_id"], outs, f"{base}/out", f"{base}/state")
-    drain(writer, f"{base}/checkpoint")
+    ran(drain(writer, f"{base}/checkpoint"))
     return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "n", "total")
 
 
 @query(
-    f"""WITH r AS (SELECT user_id, event_id, CAST(count(*) OVER w AS BIGINT) AS n, CAST(sum({CENTS}) OVER w AS BIGINT) AS total
-      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
-    b AS (SELECT *, lag(n) OVER w AS pn, lag(total) OVER w AS pt FROM r WINDOW w AS (PARTITION BY user_id ORDER BY event_id))
+    f"""WITH r AS (SELECT user_id, ts, event_id, CAST(count(*) OVER w AS BIGINT) AS n, CAST(sum({CENTS}) OVER w AS BIGINT) AS total
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    b AS (SELECT *, lag(n) OVER w AS pn, lag(total) OVER w AS pt FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
     SELECT user_id, event_id, TRUE AS is_add, n, total FROM b
     UNION ALL SELECT user_id, event_id, FALSE AS is_add, pn, pt FROM b WHERE pn IS NOT NULL"""
 )
 def stream_changelog(spark, sf_dir):
     base = scratch(spark, "changelog")
-    rows = stream_events(spark, sf_dir).select("user_id", "event_id", "value")
+    rows = delivered(spark, sf_dir, in_order=True).select("user_id", "ts", "event_id", "value")
     outs = {"n": running_count(), "total": running_sum(cents())}
-    writer = bt.changelog_batches(rows, ["user_id"], ["event_id"], outs, f"{base}/out", f"{base}/state")
-    drain(writer, f"{base}/checkpoint")
-    return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH)
+    writer = bt.changelog_batches(rows, ["user_id"], ["ts", "event_id"], outs, f"{base}/out", f"{base}/state")
+    ran(drain(writer, f"{base}/checkpoint"))
+    return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH, "ts")
 
 
 @query(
@@ -137,22 +168,22 @@ def stream_changelog(spark, sf_dir):
     marks AS (SELECT least(max(ts) FILTER (WHERE event_id % 2 = 0), max(ts) FILTER (WHERE event_id % 2 = 1)) AS mark FROM events)
     SELECT item, CASE WHEN done IS NULL THEN 'auto' ELSE 'reviewed' END AS status,
       coalesce(done, j.ts + INTERVAL '4 minutes') AS decided_at
-    FROM j, marks WHERE done IS NOT NULL OR j.ts + INTERVAL '4 minutes' < mark"""
+    FROM j, marks WHERE done IS NOT NULL OR j.ts + INTERVAL '4 minutes' < mark - INTERVAL '6 hours'"""
 )
 def stream_deadlines(spark, sf_dir):
     """Items answered within four minutes or decided automatically; those still open have no row yet."""
-    rows = stream_events(spark, sf_dir).withColumn("item", F.expr("event_id div 2"))
+    rows = delivered(spark, sf_dir).withColumn("item", F.expr("event_id div 2"))
     opens = rows.where(F.col("event_id") % 2 == 0).select("item", F.col("ts").alias("opened"))
     closes = rows.where(F.col("event_id") % 2 == 1).select("item", F.col("ts").alias("closed"))
-    decided = st.deadline_stream(opens, closes, ["item"], "opened", "closed", 240_000, "0 seconds")
-    return collected(spark, sf_dir, "deadlines", decided).drop(sk.BATCH)
+    decided = st.deadline_stream(opens, closes, ["item"], "opened", "closed", 240_000, "6 hours")
+    return collected(spark, "deadlines", decided).drop(sk.BATCH)
 
 
 @query("SELECT user_id, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY user_id")
 def exactly_once_counts(spark, sf_dir):
     """Events -> running counts -> a log in which every micro-batch appears once."""
-    counts = stream_events(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
-    log = collected(spark, sf_dir, "counts", counts, "update")
+    counts = delivered(spark, sf_dir).groupBy("user_id").agg(F.count("*").alias("n"))
+    log = collected(spark, "counts", counts, "update")
     return sk.last_per_key(log, ["user_id"], [sk.BATCH]).select("user_id", "n")
 
 
@@ -163,8 +194,8 @@ def exactly_once_counts(spark, sf_dir):
 def upsert_latest(spark, sf_dir):
     """The latest event of every user, kept up to date batch by batch."""
     base = scratch(spark, "upsert")
-    rows = stream_events(spark, sf_dir).select("user_id", "event_id", "event_type", "ts")
-    drain(sk.upsert(rows, f"{base}/log", ["user_id"], ["ts", "event_id"]), f"{base}/checkpoint")
+    rows = delivered(spark, sf_dir).select("user_id", "event_id", "event_type", "ts")
+    ran(drain(sk.upsert(rows, f"{base}/log", ["user_id"], ["ts", "event_id"]), f"{base}/checkpoint"))
     latest = sk.latest_rows(spark, f"{base}/log", ["user_id"], ["ts", "event_id"])
     return latest.select("user_id", "event_id", "event_type")
 
@@ -174,21 +205,20 @@ def resumable_counts(spark, sf_dir):
     """Counts over a drop folder, stopped and started again when more files arrive."""
     base = scratch(spark, "resumable")
     events = load(spark, sf_dir, "events").select("event_id", "user_id")
-    with sized_state(spark, events.count()):
-        for half in (0, 1):
-            events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{base}/drop")
-            stream = spark.readStream.schema("event_id BIGINT, user_id BIGINT").parquet(f"{base}/drop")
-            counts = stream.groupBy("user_id").agg(F.count("*").alias("n"))
-            drain(sk.exactly_once(counts, f"{base}/out", "update"), f"{base}/checkpoint")
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(f"{base}/drop")
+        stream = spark.readStream.schema("event_id BIGINT, user_id BIGINT").parquet(f"{base}/drop")
+        counts = stream.groupBy("user_id").agg(F.count("*").alias("n"))
+        drain(sk.exactly_once(counts, f"{base}/out", "update"), f"{base}/checkpoint")
     return sk.last_per_key(sk.read_batches(spark, f"{base}/out"), ["user_id"], [sk.BATCH]).select("user_id", "n")
 
 
 def _matched(spark, sf_dir, pattern, label):
     base = scratch(spark, label)
     writer = bt.match_stream(
-        stream_events(spark, sf_dir), pattern, ["user_id"], "ts", ["event_id"], HOUR, base, keep=["event_type"]
+        delivered(spark, sf_dir), pattern, ["user_id"], "ts", ["event_id"], DISORDER * HOUR, base, keep=["event_type"]
     )
-    run = drain(writer, f"{base}/checkpoint")
+    run = ran(drain(writer, f"{base}/checkpoint"))
     bt.flush_matches(spark, pattern, ["user_id"], "ts", ["event_id"], base, run.lastProgress["batchId"], ["event_type"])
     return base
 
@@ -230,8 +260,8 @@ def stream_enrich(spark, sf_dir):
     def users():
         return load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
 
-    events = stream_events(spark, sf_dir).select("event_id", "user_id")
-    drain(bt.enrich_stream(events, users, ["user_id"], f"{base}/out"), f"{base}/checkpoint")
+    events = delivered(spark, sf_dir).select("event_id", "user_id")
+    ran(drain(bt.enrich_stream(events, users, ["user_id"], f"{base}/out"), f"{base}/checkpoint"))
     return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "name")
 
 
@@ -249,8 +279,8 @@ def stream_rules(spark, sf_dir):
             "rule_id INT, predicate STRING",
         )
 
-    events = stream_events(spark, sf_dir).select("event_id", "event_type", "value")
-    drain(bt.rules_stream(events, rules, f"{base}/out"), f"{base}/checkpoint")
+    events = delivered(spark, sf_dir).select("event_id", "event_type", "value")
+    ran(drain(bt.rules_stream(events, rules, f"{base}/out"), f"{base}/checkpoint"))
     return sk.read_batches(spark, f"{base}/out").select("event_id", "rule_id")
 
 
@@ -261,14 +291,124 @@ def stream_rules(spark, sf_dir):
       FROM events GROUP BY 1, 2) WHERE rn <= 3"""
 )
 def stream_top3(spark, sf_dir):
-    """Complete results at every trigger, ranked per day: the last trigger's ranks."""
+    """Days whose totals changed are ranked again at every trigger; each day has its latest ranks."""
     base = scratch(spark, "top3")
-    totals = wn.tumbling(stream_events(spark, sf_dir), ["event_type"], "ts", "1 day", {"total": F.sum(cents())})
-    writer = bt.top_n_stream(totals, ["window_start"], "total", ["event_type"], 3, f"{base}/out")
-    with sized_state(spark, load(spark, sf_dir, "events").count()):
-        run = drain(writer, f"{base}/checkpoint")
-    last = spark.read.parquet(f"{base}/out/{sk.BATCH}={run.lastProgress['batchId']}")
-    return last.select(F.col("window_start").alias("day"), "event_type", "total")
+    totals = wn.tumbling(delivered(spark, sf_dir), ["event_type"], "ts", "1 day", {"total": F.sum(cents())}, delay="6 hours")
+    totals = totals.select(F.col("window_start").alias("day"), "event_type", "total")
+    writer = bt.top_n_stream(totals, ["day"], ["event_type"], "total", ["event_type"], 3, base)
+    ran(drain(writer, f"{base}/checkpoint"))
+    return bt.current_ranks(spark, base, ["day"]).select("day", "event_type", "total")
+
+
+@query(
+    f"""SELECT event_type, time_bucket(INTERVAL '1 day', ts + INTERVAL '8 hours') - INTERVAL '8 hours' AS day_start,
+    CAST(sum({CENTS}) AS BIGINT) AS total FROM events GROUP BY 1, 2"""
+)
+def stream_day_to_date(spark, sf_dir):
+    """Each category's sum since local midnight, given again at every trigger in which it changed: the last ones given."""
+    rows = delivered(spark, sf_dir).withWatermark("ts", "6 hours")
+    day = F.window("ts", "1 day", "1 day", "16 hours")
+    sums = rows.groupBy("event_type", day.alias("w")).agg(F.sum(cents()).alias("total"))
+    log = collected(spark, "day-to-date", sums.select("event_type", F.col("w.start").alias("day_start"), "total"), "update")
+    return sk.last_per_key(log, ["event_type", "day_start"], [sk.BATCH]).drop(sk.BATCH)
+
+
+@query(
+    f"""WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL '12 hours' THEN 0 ELSE 1 END AS fresh
+      FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+    s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS no FROM g)
+    SELECT user_id, min(ts) AS first_ts, CAST(count(*) AS BIGINT) AS n, CAST(sum({CENTS}) AS BIGINT) AS total
+    FROM s GROUP BY user_id, no
+    HAVING max(ts) + INTERVAL '12 hours' <= (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '6 hours' FROM events)"""
+)
+def stream_session(spark, sf_dir):
+    """Sessions of a user, ended by twelve silent hours, as the watermark closes them."""
+    rows = delivered(spark, sf_dir).withWatermark("ts", "6 hours")
+    found = rows.groupBy("user_id", F.session_window("ts", "12 hours").alias("w")).agg(
+        F.count("*").alias("n"), F.sum(cents()).alias("total")
+    )
+    return collected(spark, "session", found.select("user_id", F.col("w.start").alias("first_ts"), "n", "total")).drop(sk.BATCH)
+
+
+@query(
+    f"""WITH n AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+    c AS (SELECT *, unnest(generate_series((pos + 1) // 2, (pos + 4) // 2)) AS window_no FROM n)
+    SELECT user_id, window_no, CAST(sum({CENTS}) AS BIGINT) AS total FROM c GROUP BY user_id, window_no
+    HAVING max(pos) = window_no * 2"""
+)
+def stream_count_sliding(spark, sf_dir):
+    """The last five rows of a user, at every second row."""
+    base = scratch(spark, "count-sliding")
+    rows = delivered(spark, sf_dir, in_order=True).select("user_id", "ts", "event_id", cents().alias("cents"))
+    total = {"total": Agg("sum", F.col("cents"))}
+    writer = bt.count_sliding_batches(rows, ["user_id"], ["ts", "event_id"], 5, 2, total, f"{base}/out", f"{base}/state")
+    ran(drain(writer, f"{base}/checkpoint"))
+    return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH)
+
+
+@query("SELECT word, CAST(count(*) AS BIGINT) AS n FROM (SELECT unnest(string_split(o_orderpriority, '-')) AS word FROM orders) GROUP BY word")
+def stream_line_words(spark, sf_dir):
+    """Lines that arrive in a folder, split into words, counted as they come."""
+    base = scratch(spark, "lines")
+    orders = load(spark, sf_dir, "orders")
+    for k in range(3):
+        orders.where(F.col("o_orderkey") % 3 == k).select("o_orderpriority").coalesce(1).write.mode("append").text(f"{base}/lines")
+    words = stream_lines(spark, f"{base}/lines", files_per_batch=1).select(F.explode(F.split("line", "-")).alias("word"))
+    log = collected(spark, "words", words.groupBy("word").agg(F.count("*").alias("n")), "update", 3)
+    return sk.last_per_key(log, ["word"], [sk.BATCH]).drop(sk.BATCH)
+
+
+@query("SELECT event_type, CAST(count(*) AS BIGINT) AS n, TRUE AS stamped FROM events GROUP BY event_type")
+def stream_arrival_counts(spark, sf_dir):
+    """Rows stamped as they arrive: nothing is late, whatever its own time says."""
+    rows = with_arrival_time(delivered(spark, sf_dir), "seen_at")
+    seen = rows.groupBy("event_type").agg(F.count("*").alias("n"), F.every(F.col("seen_at") >= F.col("ts")).alias("stamped"))
+    log = collected(spark, "arrival", seen, "update")
+    return sk.last_per_key(log, ["event_type"], [sk.BATCH]).drop(sk.BATCH)
+
+
+@query("SELECT event_id, user_id FROM events")
+def stream_restarted(spark, sf_dir):
+    """A job that fails in its third micro-batch after writing, is started again, and has every row once."""
+    base, failures = scratch(spark, "restarted"), []
+    rows = delivered(spark, sf_dir).select("event_id", "user_id")
+
+    def on_batch(batch, batch_id):
+        sk.write_batch(batch, f"{base}/out", batch_id)
+        if batch_id == 2 and not failures:
+            failures.append(batch_id)
+            raise RuntimeError("lost after writing")
+
+    def start():
+        writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/checkpoint")
+        return writer.trigger(availableNow=True).start()
+
+    ran(run_stream(start, retries=2, wait_seconds=0.1))
+    return sk.read_batches(spark, f"{base}/out").drop(sk.BATCH)
+
+
+def _late_stream(spark, sf_dir):
+    base = scratch(spark, "lateness")
+    rows = delivered(spark, sf_dir, True, arrivals(spark, sf_dir), "arrival")
+    writer = bt.lateness_stream(
+        rows, ["user_id"], "ts", ["arrival", "event_id"], "2 hours", "8 hours", "4 hours", F.col("cents"), base
+    )
+    run = ran(drain(writer, f"{base}/checkpoint"))
+    bt.flush_windows(spark, ["user_id"], base, run.lastProgress["batchId"])
+    return base
+
+
+@query(FIRINGS)
+def stream_lateness_firings(spark, sf_dir):
+    """Windows of a stream that fire once and again for every allowed late row."""
+    return sk.read_batches(spark, f"{_late_stream(spark, sf_dir)}/firings").drop(sk.BATCH)
+
+
+@query(LATE_ROWS)
+def stream_late_rows(spark, sf_dir):
+    """Rows of a stream that came too late for their window."""
+    late = sk.read_batches(spark, f"{_late_stream(spark, sf_dir)}/late")
+    return late.select("event_id", "user_id", "ts", "arrival", "watermark")
 
 
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS tag FROM orders")
@@ -283,9 +423,15 @@ def stream_split(spark, sf_dir):
 
 @query("SELECT c_custkey, c_name FROM customer")
 def polled_source(spark, sf_dir):
-    """A user-written source that re-reads a table at every poll; one poll."""
-    rows = polled_table(spark, path_of(sf_dir, "customer"), "c_custkey BIGINT, c_name STRING", every=86_400)
-    return collected(spark, sf_dir, "polled", rows).drop(sk.BATCH)
+    """A table read again at every trigger; the last reading."""
+    base = scratch(spark, "polled")
+
+    def read():
+        return load(spark, sf_dir, "customer").select("c_custkey", "c_name")
+
+    writer = polled(ticks(spark), read, lambda rows, batch_id: sk.write_batch(rows, f"{base}/out", batch_id))
+    run = drain(writer, f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out/{sk.BATCH}={run.lastProgress['batchId']}")
 
 
 @query("SELECT id, name, CAST(2 AS BIGINT) AS copies FROM (SELECT s_suppkey AS id, s_name AS name FROM supplier)")

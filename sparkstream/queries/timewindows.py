@@ -7,7 +7,7 @@ from sparkstream.operators import windows as wn
 from sparkstream.operators.aggregate import Agg, tick_total
 from sparkstream.queries.basics import CENTS, cents
 from sparkstream.queries.registry import query
-from sparkstream.tables import as_views, load
+from sparkstream.tables import load
 
 DAY_SUMS = f"""SELECT event_type, time_bucket(INTERVAL '1 day', ts) AS window_start,
     time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end,
@@ -83,10 +83,10 @@ def window_rows(spark, sf_dir):
     CAST(count(event_id) AS BIGINT) AS cnt, max(value) AS max_value, min(value) AS min_value FROM events GROUP BY 1, 2"""
 )
 def sql_tumble(spark, sf_dir):
-    as_views(spark, sf_dir, ["events"])
     return spark.sql(
         "SELECT user_id, window.start AS window_start, count(event_id) AS cnt, max(value) AS max_value, "
-        "min(value) AS min_value FROM events GROUP BY user_id, window(ts, '5 days')"
+        "min(value) AS min_value FROM {seen} GROUP BY user_id, window(ts, '5 days')",
+        seen=load(spark, sf_dir, "events"),
     )
 
 
@@ -150,7 +150,7 @@ ARRIVALS = f"""arrivals AS (
       ELSE 'late' END AS status FROM traced)"""
 
 
-def _arrivals(spark, sf_dir):
+def arrivals(spark, sf_dir):
     """Events with an arrival time derived from their id, so that many come out of order."""
     hours = (F.col("event_id") * 37) % 20
     return load(spark, sf_dir, "events").select(
@@ -161,24 +161,23 @@ def _arrivals(spark, sf_dir):
 
 @query(f"WITH {ARRIVALS} SELECT event_id, watermark FROM placed")
 def watermark_trace(spark, sf_dir):
-    traced = lt.watermark_trace(_arrivals(spark, sf_dir), "ts", ["arrival", "event_id"], "8 hours")
+    traced = lt.watermark_trace(arrivals(spark, sf_dir), "ts", ["arrival", "event_id"], "8 hours")
     return traced.select("event_id", "watermark")
 
 
 @query(f"WITH {ARRIVALS} SELECT event_id, window_start, status FROM placed")
 def lateness_status(spark, sf_dir):
-    placed = lt.classify(_arrivals(spark, sf_dir), "ts", ["arrival", "event_id"], "2 hours", "8 hours", "4 hours")
+    placed = lt.classify(arrivals(spark, sf_dir), "ts", ["arrival", "event_id"], "2 hours", "8 hours", "4 hours")
     return placed.select("event_id", "window_start", "status")
 
 
 def _with_lateness(spark, sf_dir):
     return lt.tumbling_with_lateness(
-        _arrivals(spark, sf_dir), ["user_id"], "ts", ["arrival", "event_id"], "2 hours", "8 hours", "4 hours", F.col("cents")
+        arrivals(spark, sf_dir), ["user_id"], "ts", ["arrival", "event_id"], "2 hours", "8 hours", "4 hours", F.col("cents")
     )
 
 
-@query(
-    f"""WITH {ARRIVALS},
+FIRINGS = f"""WITH {ARRIVALS},
     first AS (SELECT user_id, window_start, window_end, sum(cents) AS s FROM placed WHERE status = 'on_time' GROUP BY 1, 2, 3),
     again AS (SELECT p.user_id, p.window_start, p.window_end,
       row_number() OVER w AS firing, coalesce(f.s, 0) + sum(p.cents) OVER w AS total
@@ -186,11 +185,16 @@ def _with_lateness(spark, sf_dir):
       WINDOW w AS (PARTITION BY p.user_id, p.window_start ORDER BY p.arrival, p.event_id))
     SELECT user_id, window_start, window_end, CAST(0 AS BIGINT) AS firing, CAST(s AS BIGINT) AS total FROM first
     UNION ALL SELECT user_id, window_start, window_end, CAST(firing AS BIGINT), CAST(total AS BIGINT) FROM again"""
-)
+
+
+@query(FIRINGS)
 def lateness_firings(spark, sf_dir):
     return _with_lateness(spark, sf_dir)[0]
 
 
-@query(f"WITH {ARRIVALS} SELECT event_id, user_id, ts, arrival, watermark FROM placed WHERE status = 'late'")
+LATE_ROWS = f"WITH {ARRIVALS} SELECT event_id, user_id, ts, arrival, watermark FROM placed WHERE status = 'late'"
+
+
+@query(LATE_ROWS)
 def late_rows(spark, sf_dir):
     return _with_lateness(spark, sf_dir)[1].select("event_id", "user_id", "ts", "arrival", "watermark")

@@ -8,18 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sparkstream.operators.aggregate import Agg
 from sparkstream.operators.changelog import IS_ADD, to_changelog
 from sparkstream.operators.joins import enrich
+from sparkstream.operators.lateness import ALLOWED, LATE, ON_TIME, classify, is_open, watermark_at
 from sparkstream.operators.patterns import Matches, Pattern, match
 from sparkstream.operators.rules import match_rules
 from sparkstream.operators.windows import top_n_per
 from sparkstream.plans.scan import Running, running_count, scan
-from sparkstream.streaming.sinks import BATCH, FOLD_EVERY, last_per_key, log_before, write_batch
+from sparkstream.streaming.sinks import BATCH, FOLD_EVERY, append_to_log, last_per_key, log_before, read_batches, write_batch
 
 
 def enrich_stream(
@@ -53,16 +54,36 @@ def split_stream(df: DataFrame, rules: Mapping[str, object], path: str) -> DataS
     return df.writeStream.foreachBatch(on_batch)
 
 
-def top_n_stream(totals: DataFrame, by: Sequence[str], value: str, tie: Sequence[str], n: int, path: str) -> DataStreamWriter:
-    """Ranks within each trigger's complete result (ranking is not allowed on the stream itself)."""
+def top_n_stream(
+    totals: DataFrame, by: Sequence[str], key: Sequence[str], value: str, tie: Sequence[str], n: int, path: str
+) -> DataStreamWriter:
+    """Ranks within the groups ``by`` whose totals changed (ranking is not allowed on the stream itself).
+
+    ``totals`` has one current value per ``by`` and ``key``. Each trigger hands over the changed ones; they go to a log
+    of current values (``values``), and only the groups they touch are ranked again (``ranks``, by trigger).
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(top_n_per(batch, by, value, tie, n), path, batch_id)
+        spark = batch.sparkSession
+        changed = _landed(batch, f"{path}/changed", batch_id).withColumn(ORDER, F.lit(batch_id))
+        append_to_log(changed, f"{path}/values", [*by, *key], [ORDER], batch_id)
+        known = log_before(spark, f"{path}/values", batch_id + 1).drop(BATCH)
+        touched = known.join(changed.select(*by).distinct(), list(by), "left_semi")
+        current = last_per_key(touched, [*by, *key], [ORDER]).drop(ORDER)
+        write_batch(top_n_per(current, by, value, tie, n), f"{path}/ranks", batch_id)
+
+    return totals.writeStream.outputMode("update").foreachBatch(on_batch)
 
-    return totals.writeStream.outputMode("complete").foreachBatch(on_batch)
+
+def current_ranks(spark, path: str, by: Sequence[str]) -> DataFrame:
+    """The latest ranks of every group that :func:`top_n_stream` has ranked."""
+    ranks = read_batches(spark, f"{path}/ranks")
+    last = ranks.groupBy(*by).agg(F.max(BATCH).alias(BATCH))
+    return ranks.join(last, [*by, BATCH]).drop(BATCH)
 
 
 FIRST = "__first"
+ORDER = "__order"
 
 
 def _with_carried(batch: DataFrame, key, outs: Mapping[str, Running], state: str, batch_id: int) -> DataFrame:
@@ -171,6 +192,110 @@ def count_tumbling_batches(
     return df.writeStream.foreachBatch(on_batch)
 
 
+def count_sliding_batches(
+    df: DataFrame, key: Sequence[str], order: Sequence[str], size: int, slide: int, aggs: Mapping[str, Agg], path: str, state: str
+) -> DataStreamWriter:
+    """The last ``size`` rows of a key at every ``slide``-th row, over a stream.
+
+    Rows are numbered across micro-batches. What windows of later rows still need, the last ``size`` rows of every key,
+    waits under ``tail``; a batch joins it for the keys it brings.
+    """
+    count = {"pos": running_count()}
+    names = list(dict.fromkeys([*key, *order, *[f"__a{i}" for i in range(len(aggs))]]))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.withColumns({f"__a{i}": a.value for i, a in enumerate(aggs.values())}).select(*names)
+        batch = _landed(batch, f"{state}/arrived", batch_id)
+        rows = _with_carried(batch, key, count, f"{state}/pos", batch_id)
+        placed = scan(rows, key, [FIRST, *order], _of_values(count)).where(F.col(FIRST) == 1)
+        write_batch(placed.select(*names, "pos"), f"{state}/rows", batch_id)
+        placed = _written(spark, f"{state}/rows", batch_id)
+        _remember(placed, key, order, count, f"{state}/pos", batch_id)
+        new = placed.withColumn("__new", F.lit(True))
+        if batch_id:
+            new = new.unionByName(_written(spark, f"{state}/tail", batch_id - 1).withColumn("__new", F.lit(False)))
+        # a row is in the windows that end at the next multiples of slide, up to size - 1 rows on
+        first = F.ceil(F.col("pos") / slide)
+        last = F.floor((F.col("pos") + size - 1) / slide)
+        copies = new.where(first <= last).withColumn("window_no", F.explode(F.sequence(first, last)))
+        made = {name: Agg(a.kind, F.col(f"__a{i}")) for i, (name, a) in enumerate(aggs.items())}
+        fired = copies.groupBy(*key, "window_no").agg(
+            F.max("pos").alias("__last"), F.bool_or("__new").alias("__now"), *[a.of_rows().alias(n) for n, a in made.items()]
+        )
+        done = fired.where((F.col("__last") == F.col("window_no") * slide) & F.col("__now"))
+        # a window that ended before has no new row, so it does not fire again
+        write_batch(done.select(*key, "window_no", *aggs), path, batch_id)
+        # of every key the rows that lie behind its last one by less than size
+        end = new.groupBy(*key).agg(F.max("pos").alias("__end"))
+        tail = new.join(end, list(key)).where(F.col("pos") > F.col("__end") - size).select(*names, "pos")
+        write_batch(tail, f"{state}/tail", batch_id)
+
+    return df.writeStream.foreachBatch(on_batch)
+
+
+def lateness_stream(
+    df: DataFrame, key: Sequence[str], t: str, arrival: Sequence[str], size: str, delay: str, lateness: str, value: Column,
+    path: str, out: str = "total",
+) -> DataStreamWriter:
+    """Tumbling windows that fire again for allowed late rows, and rows that come too late, over a stream.
+
+    The same results as :func:`~sparkstream.operators.lateness.tumbling_with_lateness` over all rows in arrival order;
+    micro-batches must follow that order. Under ``path``: ``firings`` and ``late`` hold the outputs; ``windows`` the sums
+    of windows that wait for the watermark, or may be revised; ``marks`` the largest time seen. Rows without a time
+    go to ``late``. Windows are dropped from the state when no allowed row can come any more.
+    """
+    group = [*key, "window_start", "window_end"]
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _written(spark, f"{path}/marks", batch_id - 1).first()[0] if batch_id else None
+        rows = _landed(batch.withColumn("__v", value), f"{path}/arrived", batch_id)
+        newest = rows.agg(F.max(t)).first()[0]
+        mark = max((m for m in (before, newest) if m is not None), default=None)
+        write_batch(spark.createDataFrame([(mark,)], "mark TIMESTAMP"), f"{path}/marks", batch_id)
+        timed = rows.where(F.col(t).isNotNull())
+        placed = classify(timed, t, arrival, size, delay, lateness, F.lit(before).cast("timestamp"))
+        placed = _landed(placed, f"{path}/placed", batch_id)
+        late = placed.where(F.col("status") == LATE).drop("__v", "status")
+        untimed = rows.where(F.col(t).isNull()).drop("__v")
+        write_batch(late.unionByName(untimed, allowMissingColumns=True), f"{path}/late", batch_id)
+        held = _written(spark, f"{path}/windows", batch_id - 1) if batch_id else None
+        watermark = watermark_at(F.lit(mark).cast("timestamp"), delay)
+        _fire(placed, held, group, arrival, watermark, lateness, out, path, batch_id)
+
+    return df.writeStream.foreachBatch(on_batch)
+
+
+def flush_windows(spark, key: Sequence[str], path: str, last_batch: int, out: str = "total") -> None:
+    """End of the stream: windows that still wait for the watermark fire."""
+    waiting = _written(spark, f"{path}/windows", last_batch).where(F.col("__firing").isNull())
+    fired = waiting.select(*key, "window_start", "window_end", F.lit(0).cast("long").alias("firing"), F.col("__v").alias(out))
+    write_batch(fired, f"{path}/firings", last_batch + 1)
+
+
+def _fire(placed, held, group, arrival, watermark, lateness, out, path, batch_id) -> None:
+    sums = placed.where(F.col("status") == ON_TIME).groupBy(*group).agg(F.sum("__v").alias("__v"))
+    if held is not None:
+        waiting = held.where(F.col("__firing").isNull()).select(*group, "__v")
+        sums = sums.unionByName(waiting).groupBy(*group).agg(F.sum("__v").alias("__v"))
+    sums = sums.withColumn("__open", is_open(watermark))
+    first = sums.where(~F.col("__open")).select(*group, "__v", F.lit(0).cast("long").alias("__inc"), F.lit(True).alias("__said"))
+    again = placed.where(F.col("status") == ALLOWED).select(
+        *group, *arrival, "__v", F.lit(1).cast("long").alias("__inc"), F.lit(True).alias("__said")
+    )
+    rows = again.unionByName(first, allowMissingColumns=True)
+    if held is not None:  # what was fired before enters as the row before the first
+        known = held.where(F.col("__firing").isNotNull()).select(*group, "__v", F.col("__firing").alias("__inc"), F.lit(False).alias("__said"))
+        rows = rows.unionByName(known, allowMissingColumns=True)
+    outs = {out: Running("sum", F.col("__v")), "firing": Running("sum", F.col("__inc"))}
+    fired = _landed(scan(rows, group, list(arrival), outs), f"{path}/fired", batch_id)
+    write_batch(fired.where("__said").select(*group, "firing", out), f"{path}/firings", batch_id)
+    last = fired.groupBy(*group).agg(F.max_by(out, "firing").alias("__v"), F.max("firing").alias("__firing"))
+    waiting = sums.where(F.col("__open")).select(*group, "__v", F.lit(None).cast("long").alias("__firing"))
+    write_batch(waiting.unionByName(last.where(is_open(watermark, lateness))), f"{path}/windows", batch_id)
+
+
 def match_stream(
     events: DataFrame, pattern: Pattern, key: Sequence[str], t: str, tie: Sequence[str], delay_us: int, path: str,
     keep: Sequence[str] = (), select: Callable[[DataFrame], DataFrame] | None = None,
@@ -198,8 +323,10 @@ def match_stream(
         mark = max((m for m in (before, None if newest is None else newest - delay_us) if m is not None), default=None)
         spark.createDataFrame([(mark,)], "mark BIGINT").write.mode("overwrite").parquet(f"{path}/marks/{BATCH}={batch_id}")
         at = F.unix_micros(t)
-        on_time = fresh if before is None else fresh.where(at > before)
-        write_batch(fresh.where(F.lit(False) if before is None else at <= before), f"{path}/late", batch_id)
+        # a row without a time can never be released: it is set aside with the late ones
+        in_time = at.isNotNull() if before is None else F.coalesce(at > before, F.lit(False))
+        on_time = fresh.where(in_time)
+        write_batch(fresh.where(~in_time), f"{path}/late", batch_id)
         rows = on_time if held is None else held.unionByName(on_time)
         _advance(rows, pattern, key, order, keep, t, before, mark, path, batch_id, select)
         kept = rows if mark is None else rows.where(at > mark - pattern.within_us)

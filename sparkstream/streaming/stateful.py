@@ -1,203 +1,19 @@
-"""Operators that keep state per key between micro-batches.
-
-Rows of a key are taken as they arrive, one Arrow batch at a time and in the given order within each,
-so no key is ever held whole. Where the order of all rows matters exactly, or one key has a large
-share of them, use the micro-batch forms in :mod:`sparkstream.streaming.batches`. State is in RocksDB.
-"""
+"""Deadlines over streams, with Spark's own join state."""
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-
-# Tasks get these classes with the job, whether or not the package is installed where they run.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _in_order(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> Iterator[pd.DataFrame]:
-    for chunk in rows:
-        if len(chunk):
-            yield chunk.sort_values(list(order), kind="stable", ignore_index=True)
-
-
-def _key_frame(key: tuple, names: Sequence[str], n: int) -> dict:
-    return {name: [part] * n for name, part in zip(names, key)}
-
-
-def _key_ddl(df: DataFrame, key: Sequence[str]) -> str:
-    return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in key)
-
-
-class CountWindows(StatefulProcessor):
-    """Every ``n`` rows of a key give one sum."""
-
-    def __init__(self, key, order, value, n):
-        self.key, self.order, self.value, self.n = list(key), list(order), value, n
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("open", "fired BIGINT, held BIGINT, total BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        fired, held, total = self.state.get() if self.state.exists() else (0, 0, 0)
-        for chunk in _in_order(rows, self.order):
-            values = chunk[self.value].to_numpy(dtype=np.int64)
-            window = (held + np.arange(len(values))) // self.n
-            sums = np.zeros(int(window[-1]) + 1, dtype=np.int64)
-            np.add.at(sums, window, values)
-            sums[0] += total
-            done, held = divmod(held + len(values), self.n)
-            total = int(sums[done]) if done < len(sums) else 0
-            if done:
-                yield pd.DataFrame(
-                    {**_key_frame(key, self.key, done), "window_no": fired + np.arange(done), "total": sums[:done]}
-                )
-            fired += done
-        self.state.update((fired, held, total))
-
-    def close(self) -> None:
-        pass
-
-
-def count_tumbling_stream(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, n: int) -> DataFrame:
-    """Count windows over a stream; an incomplete window waits for more rows."""
-    return df.select(*key, *order, value).groupBy(*key).transformWithStateInPandas(
-        CountWindows(key, order, value, n), f"{_key_ddl(df, key)}, window_no BIGINT, total BIGINT", "Append", "None"
-    )
-
-
-class RunningMax(StatefulProcessor):
-    """Each row with the maximum of its key so far."""
-
-    def __init__(self, order, value, out):
-        self.order, self.value, self.out = list(order), value, out
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("best", "value DOUBLE")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        top = self.best.get()[0] if self.best.exists() else None
-        for chunk in _in_order(rows, self.order):
-            best = chunk[self.value].cummax()
-            if top is not None:
-                best = best.clip(lower=top)
-            top = float(best.iloc[-1])
-            yield chunk.assign(**{self.out: best})
-        self.best.update((top,))
-
-    def close(self) -> None:
-        pass
-
-
-def running_max_stream(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, out: str = "max") -> DataFrame:
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-    return df.groupBy(*key).transformWithStateInPandas(RunningMax(order, value, out), schema, "Append", "None")
-
-
-class Changelog(StatefulProcessor):
-    """Count and sum per key as withdraw / add rows."""
-
-    def __init__(self, key, order, value):
-        self.key, self.order, self.value = list(key), list(order), value
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "n BIGINT, total BIGINT")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n0, total0 = self.last.get() if self.last.exists() else (0, 0)
-        for chunk in _in_order(rows, self.order):
-            n = n0 + np.arange(1, len(chunk) + 1)
-            total = total0 + chunk[self.value].to_numpy(dtype=np.int64).cumsum()
-            base = {**_key_frame(key, self.key, len(chunk)), **{o: chunk[o] for o in self.order}}
-            add = pd.DataFrame({**base, "is_add": True, "cnt": n, "total": total})
-            before = np.concatenate([[total0], total[:-1]])
-            drop = pd.DataFrame({**base, "is_add": False, "cnt": n - 1, "total": before})
-            yield pd.concat([drop if n0 else drop.iloc[1:], add], ignore_index=True)
-            n0, total0 = int(n[-1]), int(total[-1])
-        self.last.update((n0, total0))
-
-    def close(self) -> None:
-        pass
-
-
-def changelog_stream(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str) -> DataFrame:
-    rows = df.select(*key, *order, value)
-    schema = T.StructType(
-        [rows.schema[c] for c in [*key, *order]]
-        + [T.StructField("is_add", T.BooleanType()), T.StructField("cnt", T.LongType()), T.StructField("total", T.LongType())]
-    )
-    return rows.groupBy(*key).transformWithStateInPandas(Changelog(key, order, value), schema, "Append", "None")
-
-
-class Deadline(StatefulProcessor):
-    """One opened item: answered in time, or decided by its timer."""
-
-    def __init__(self, key, wait_ms):
-        self.key, self.wait_ms = list(key), wait_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.opened = handle.getValueState("opened", "ms BIGINT")
-
-    def _decide(self, key, status, at_ms) -> pd.DataFrame:
-        self.opened.clear()
-        return pd.DataFrame(
-            {**_key_frame(key, self.key, 1), "status": [status], "decided_at": [pd.Timestamp(at_ms, unit="ms", tz="UTC")]}
-        )
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        # one item has one open and few closes, so its rows are few; closes may be seen first
-        rows = pd.concat(list(rows), ignore_index=True).sort_values(["ms", "is_close"], kind="stable")
-        for row in rows.itertuples():
-            if not row.is_close:
-                self.opened.update((int(row.ms),))
-                self.handle.registerTimer(int(row.ms) + self.wait_ms)
-            elif self.opened.exists():
-                due = self.opened.get()[0] + self.wait_ms
-                if row.ms <= due:
-                    self.handle.deleteTimer(due)
-                    yield self._decide(key, "reviewed", int(row.ms))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.opened.exists():
-            yield self._decide(key, "auto", expiredTimerInfo.getExpiryTimeInMs())
-
-    def close(self) -> None:
-        pass
-
-
-def deadline_timers_stream(
-    opens: DataFrame, closes: DataFrame, key: Sequence[str], open_t: str, close_t: str, wait_ms: int, delay: str
-) -> DataFrame:
-    """Opened items answered within ``wait_ms`` of event time, or decided by a timer when it is up.
-
-    ``key`` must name one item (user and order, not only the user), so that items of a busy user are
-    spread over tasks. The first of several answers counts. Times are kept in whole milliseconds, as
-    timers are. Calls Python once per item; :func:`deadline_stream` does not.
-    """
-    rows = opens.select(*key, F.col(open_t).alias("__t"), F.lit(False).alias("is_close")).unionByName(
-        closes.select(*key, F.col(close_t).alias("__t"), F.lit(True).alias("is_close"))
-    )
-    rows = rows.withWatermark("__t", delay).withColumn("ms", F.unix_millis("__t"))
-    return rows.groupBy(*key).transformWithStateInPandas(
-        Deadline(key, wait_ms), f"{_key_ddl(rows, key)}, status STRING, decided_at TIMESTAMP", "Append", "EventTime"
-    )
 
 
 def deadline_stream(
     opens: DataFrame, closes: DataFrame, key: Sequence[str], open_t: str, close_t: str, wait_ms: int, delay: str
 ) -> DataFrame:
-    """The same for items that are answered at most once, as a stream-stream outer join.
+    """Opened items answered within ``wait_ms`` of event time, or decided when it is up: a stream-stream outer join.
 
-    An open that found no close is emitted when the watermark has passed its deadline. State and
+    ``key`` must name one item, which is answered at most once. An open that found no close is emitted when the watermark has passed its deadline. State and
     matching stay inside the JVM.
     """
     right = {k: f"__c_{k}" for k in key}

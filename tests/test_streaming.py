@@ -1,6 +1,7 @@
 """Streams fed file by file give what the batch operators give; restarts neither lose nor repeat rows."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,13 +10,13 @@ from sparkstream.operators import aggregate as ag
 from sparkstream.operators import joins as jn
 from sparkstream.operators import windows as wn
 from sparkstream.operators.changelog import to_changelog
-from sparkstream.operators.lateness import with_arrival_time, with_event_time
+from sparkstream.operators.lateness import tumbling_with_lateness, with_arrival_time, with_event_time
 from sparkstream.operators.patterns import Pattern, match
 from sparkstream.plans.cells import ROWS_CONF
 from sparkstream.plans.scan import running_count, running_max, running_sum
 from sparkstream.sources.basic import stream_lines
 from sparkstream.sources.changes import read_changes
-from sparkstream.sources.polled import polled_table
+from sparkstream.sources.polled import polled, ticks
 from sparkstream.sources.topics import read_topic_files
 from sparkstream.streaming import batches as bt
 from sparkstream.streaming import sinks as sk
@@ -85,27 +86,6 @@ def test_stream_joins(spark, feed, tmp_path):
     same(run(windowed, tmp_path, "w"), jn.window_join(bl, br, ["k"], "at", "bt", "15 seconds").select("k", "a", "b"))
 
 
-def test_count_windows(spark, feed, tmp_path):
-    got = run(st.count_tumbling_stream(stream(spark, feed), ["k"], ["t", "n"], "v", 7), tmp_path, "c")
-    same(got, wn.count_tumbling(feed[0], ["k"], ["t", "n"], 7, {"total": F.sum("v")}))
-
-
-def test_running_max_with_state(spark, feed, tmp_path):
-    got = run(st.running_max_stream(stream(spark, feed).select("k", "t", "n", "v"), ["k"], ["t", "n"], "v"), tmp_path, "m")
-    want = ag.running_max(feed[0], ["k"], F.col("v"), ["t", "n"]).select("k", "t", "n", "v", F.col("max").cast("double").alias("max"))
-    same(got, want)
-
-
-def test_changelog_with_state(spark, feed, tmp_path):
-    got = run(st.changelog_stream(stream(spark, feed), ["k"], ["n"], "v"), tmp_path, "l")
-    outs = {"n_rows": running_count(), "total": running_sum(F.col("v"))}
-    want = to_changelog(feed[0], ["k"], ["n"], outs)
-    assert got.count() == want.count()
-    key = lambda r: (r[0], r[1], r[2], r[3])
-    got_rows = sorted(key(r) for r in got.toDF("k", "ord", "is_add", "cnt", "total").select("k", "ord", "is_add", "total").collect())
-    assert got_rows == sorted(key(r) for r in want.select("k", "n", "is_add", "total").collect())
-
-
 @pytest.fixture(params=["whole", "cells"])
 def small_folds(request, spark, monkeypatch):
     """Fold the state log every second batch, with and without keys cut into cells."""
@@ -146,18 +126,13 @@ def item_streams(df):
     return opens, closes
 
 
-def test_deadline_timers_and_outer_join_agree(spark, feed, tmp_path):
-    timers = run(st.deadline_timers_stream(*item_streams(stream(spark, feed, 3)), ["item"], "o", "c", 3000, "0 seconds"), tmp_path, "t")
-    joined = run(st.deadline_stream(*item_streams(stream(spark, feed, 3)), ["item"], "o", "c", 3000, "0 seconds"), tmp_path, "j")
+def test_deadlines_as_an_outer_join(spark, feed, tmp_path):
+    got = run(st.deadline_stream(*item_streams(stream(spark, feed, 3)), ["item"], "o", "c", 3000, "0 seconds"), tmp_path, "j")
     opens, closes = item_streams(feed[0])
-    want = {}
     answers = {r.item: r.c for r in closes.collect()}
-    for r in opens.collect():
-        late = (answers[r.item] - r.o).total_seconds() > 3
-        want[r.item] = "auto" if late else "reviewed"
-    for got in (timers, joined):
-        rows = {r.item: r.status for r in got.collect()}
-        assert len(rows) >= len(want) - 2 and all(want[i] == s for i, s in rows.items())
+    want = {r.item: "auto" if (answers[r.item] - r.o).total_seconds() > 3 else "reviewed" for r in opens.collect()}
+    rows = {r.item: r.status for r in got.collect()}
+    assert len(rows) >= len(want) - 2 and all(want[i] == s for i, s in rows.items())
 
 
 def is_(kind):
@@ -194,13 +169,14 @@ def test_rows_behind_the_pattern_watermark_are_set_aside(spark, tmp_path):
     drop, base = str(tmp_path / "drop"), str(tmp_path / "out")
     rows = [[(1, 100), (2, 101)], [(3, 50), (4, 102)]]
     pattern = Pattern.begin("x", F.col("n") > 0).next("y", F.col("n") > 0).within(10 * SEC)
+    rows[0].append((9, None))  # without a time
     for part in rows:
         df = spark.createDataFrame(part, "n BIGINT, s BIGINT").select("n", F.lit(1).alias("k"), F.timestamp_seconds("s").alias("t"))
         df.coalesce(1).write.mode("append").parquet(drop)
         source = spark.readStream.schema("n BIGINT, k INT, t TIMESTAMP").parquet(drop)
         query = drain(bt.match_stream(source, pattern, ["k"], "t", ["n"], 0, base), f"{base}-ckpt")
     bt.flush_matches(spark, pattern, ["k"], "t", ["n"], base, query.lastProgress["batchId"])
-    assert [r.n for r in sk.read_batches(spark, f"{base}/late").collect()] == [3]
+    assert sorted(r.n for r in sk.read_batches(spark, f"{base}/late").collect()) == [3, 9]
     pairs = sorted((r.x_first.n, r.y_first.n) for r in sk.read_batches(spark, f"{base}/matches").collect())
     assert pairs == [(1, 2), (2, 4)]
 
@@ -231,12 +207,40 @@ def test_rules_are_read_again(spark, feed, tmp_path):
     assert got == {"r1": early.where("kind = 'a' AND v > 25").count(), "r2": late.where("kind = 'b'").count()}
 
 
-def test_top_n_of_complete_results(spark, feed, tmp_path):
-    totals = wn.tumbling(stream(spark, feed, 3), ["kind"], "t", "100 seconds", {"total": F.sum("v")})
-    query = drain(bt.top_n_stream(totals, ["window_start"], "total", ["kind"], 2, f"{tmp_path}/t"), f"{tmp_path}/ckpt")
-    last = spark.read.parquet(f"{tmp_path}/t/{sk.BATCH}={query.lastProgress['batchId']}")
-    want = wn.top_n_per(wn.tumbling(feed[0], ["kind"], "t", "100 seconds", {"total": F.sum("v")}), ["window_start"], "total", ["kind"], 2)
-    same(last, want)
+def test_top_n_of_changed_groups(spark, feed, tmp_path, small_folds):
+    totals = wn.tumbling(stream(spark, feed), ["kind"], "t", "100 seconds", {"total": F.sum("v")}, delay="5 seconds")
+    totals = totals.select("window_start", "kind", "total")
+    drain(bt.top_n_stream(totals, ["window_start"], ["kind"], "total", ["kind"], 2, f"{tmp_path}/t"), f"{tmp_path}/ckpt")
+    batch = wn.tumbling(feed[0], ["kind"], "t", "100 seconds", {"total": F.sum("v")})
+    want = wn.top_n_per(batch, ["window_start"], "total", ["kind"], 2).select("window_start", "kind", "total", "rank")
+    same(bt.current_ranks(spark, f"{tmp_path}/t", ["window_start"]), want)
+
+
+def test_sliding_count_windows_over_micro_batches(spark, feed, tmp_path, small_folds):
+    for size, slide in ((7, 3), (3, 7)):
+        aggs, base = {"total": ag.Agg("sum", F.col("v"))}, f"{tmp_path}/{size}"
+        writer = bt.count_sliding_batches(stream(spark, feed), ["k"], ["t", "n"], size, slide, aggs, f"{base}/o", f"{base}/s")
+        drain(writer, f"{base}/ckpt")
+        want = wn.count_sliding(feed[0], ["k"], ["t", "n"], size, slide, {"total": F.sum("v")})
+        same(sk.read_batches(spark, f"{base}/o").drop(sk.BATCH), want)
+
+
+def test_allowed_lateness_over_micro_batches(spark, tmp_path, small_folds):
+    """Rows up to 20 seconds out of order, by arrival: the same firings and late rows as over all rows at once."""
+    rng = random.Random(29)
+    rows = [(i, rng.randrange(3), 100 + i - rng.randrange(20), rng.randrange(50)) for i in range(150)]
+    df = spark.createDataFrame([*rows], "n BIGINT, k INT, s BIGINT, v BIGINT").withColumn("t", F.timestamp_seconds("s")).drop("s")
+    base = str(tmp_path)
+    for part in range(5):
+        df.where(F.col("n").between(part * 30, part * 30 + 29)).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    source = spark.readStream.schema("n BIGINT, k INT, v BIGINT, t TIMESTAMP").option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    how = (["k"], "t", ["n"], "4 seconds", "3 seconds", "5 seconds", F.col("v"))
+    query = drain(bt.lateness_stream(source, *how, base), f"{base}/ckpt")
+    bt.flush_windows(spark, ["k"], base, query.lastProgress["batchId"])
+    firings, late = tumbling_with_lateness(df, *how)
+    same(sk.read_batches(spark, f"{base}/firings").drop(sk.BATCH), firings)
+    ids = lambda d: sorted(r.n for r in d.select("n").collect())
+    assert ids(sk.read_batches(spark, f"{base}/late")) == ids(late) and ids(late)
 
 
 def test_restart_resumes_without_loss_or_repeats(spark, feed, tmp_path):
@@ -327,17 +331,23 @@ def test_line_topic_and_change_streams(spark, tmp_path):
     changes = tmp_path / "changes"
     changes.mkdir()
     (changes / "a.json").write_text('{"before": null, "after": {"id": 1}, "op": "c", "ts_ms": 1, "source": {"db": "d", "table": "t", "pos": 1}}\n')
-    got = run(read_changes(spark, str(changes), "id BIGINT", ["d.t"], "earliest", streaming=True), tmp_path, "c")
+    got = run(read_changes(spark, str(changes), "id BIGINT", ["d.t"], "earliest", streaming=True).rows, tmp_path, "c")
     assert got.select("after.id").first().id == 1
 
 
-def test_polled_table_reads_again_in_a_new_interval(spark, tmp_path):
-    path = str(tmp_path / "students")
-    spark.createDataFrame([(i, f"s{i}") for i in range(5)], "id INT, name STRING").write.parquet(path)
-    for _ in range(2):
-        rows = polled_table(spark, path, "id INT, name STRING", every=0.05)
-        drain(sk.exactly_once(rows, f"{tmp_path}/out"), f"{tmp_path}/ckpt")
-    assert sk.read_batches(spark, f"{tmp_path}/out").count() == 10
+def test_polled_table_reads_again_at_every_trigger(spark, tmp_path):
+    path = str(tmp_path / "items")
+
+    def read():
+        return spark.read.schema("id INT").parquet(path)
+
+    for n in (5, 3):
+        spark.range(n).select(F.col("id").cast("int")).write.mode("append").parquet(path)
+        handle = lambda rows, batch_id: sk.write_batch(rows, f"{tmp_path}/out", batch_id)
+        time.sleep(1.2)
+        drain(polled(ticks(spark), read, handle), f"{tmp_path}/ckpt")
+    sizes = sk.read_batches(spark, f"{tmp_path}/out").groupBy(sk.BATCH).count().orderBy(sk.BATCH).collect()
+    assert (sizes[0]["count"], sizes[-1]["count"]) == (5, 8)
 
 
 def test_event_and_arrival_time_marks(spark, feed, tmp_path):
