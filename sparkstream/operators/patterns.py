@@ -134,7 +134,7 @@ def _micros(col: Column) -> Column:
     return F.unix_micros(col)
 
 
-def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, layout) -> DataFrame:
+def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, layout, settle) -> DataFrame:
     """Events with each repetition's rank and run end, and the row that continues each stage."""
     oks = {f"__ok{i}": s.accepts for i, s in enumerate(pattern.stages)}
     breaks = {f"__brk{i}": s.breaks for i, s in enumerate(pattern.stages) if s.repeated and s.breaks is not None}
@@ -159,7 +159,7 @@ def _prepared(df: DataFrame, pattern: Pattern, key, order, keep, layout) -> Data
         found[f"__next{i}"] = here if s.link == "next" else F.when(F.col(f"__ok{i}"), here)
     if found:
         rows = next_row(rows, key, order, found, layout)
-    return settled(rows, several_uses and layout.large, "pattern")
+    return settled(rows, several_uses and (settle or layout.large), "pattern")
 
 
 def _step(i: int, stage: Stage, hit: Column) -> Column:
@@ -190,13 +190,15 @@ def _relevant(stages) -> Column:
 
 def match(
     df: DataFrame, pattern: Pattern, key: Sequence[str], order: Sequence[str], keep: Sequence[str] = (),
-    t: str | None = None, layout: Layout | None = None,
+    t: str | None = None, layout: Layout | None = None, settle: bool = True,
 ) -> Matches:
     """All matches of ``pattern`` in each key's rows taken in ``order``.
 
     ``order`` is a total order: event time with an id, or an arrival number. ``t`` (by default the
     first order column) is what ``within`` measures. Rows without a key or an order take no part. ``keep`` names further columns to carry into the
-    event structs. ``key=[]`` matches over the whole input as one sequence.
+    event structs. ``key=[]`` matches over the whole input as one sequence. A pattern that uses its events
+    several times writes them to the shared folder once, so that the input is read once; ``settle=False`` leaves
+    that out where the input is small and already written, as in a micro-batch.
     """
     pattern.check()
     key, order, keep = list(key), list(order), list(keep)
@@ -211,7 +213,7 @@ def match(
     if layout is None:
         ordered = len(stages) > 1 or stages[0].repeated
         layout = measure_cells(df, key, order) if ordered else WHOLE_KEYS
-    events = _prepared(df, pattern, key, order, keep, layout)
+    events = _prepared(df, pattern, key, order, keep, layout, settle)
     limit = pattern.within_us
     nexts = [f"__next{i}" for i in range(1, len(stages))]
 

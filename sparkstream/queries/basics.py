@@ -153,9 +153,10 @@ def parse_delimited(spark, sf_dir):
 )
 def quarantine(spark, sf_dir):
     """Good rows and the lines set aside."""
-    good, bad = src.parse_delimited_or_set_aside(_lines(spark, sf_dir), "sensor BIGINT, amount INT")
-    both = good.select(F.lit("good").alias("kind"), F.concat_ws(",", "sensor", "amount").alias("detail")).unionByName(
-        bad.select(F.lit("bad").alias("kind"), F.col("line").alias("detail"))
+    marked = src.parse_delimited_marked(_lines(spark, sf_dir), "sensor BIGINT, amount INT")
+    bad = F.col(src.BAD_LINE)
+    both = marked.select(
+        F.when(bad.isNull(), "good").otherwise("bad").alias("kind"), F.coalesce(bad, F.concat_ws(",", "sensor", "amount")).alias("detail")
     )
     return both.groupBy("kind", "detail").agg(F.count("*").alias("n"))
 

@@ -172,22 +172,24 @@ CUT_SHORT = '{"before": null, "after": {"o_orderkey": '
 COLUMN_ADDED = '{"source": {"db": "shop", "table": "orders_0", "pos": %d}, "ts_ms": %d, "ddl": "ALTER TABLE orders_0 ADD COLUMN note TEXT"}'
 
 
-def feed_files(spark, sf_dir):
-    """The feed written as text once; every hundredth order key adds a cut line and, if even, a schema event."""
+def feed_files(spark, sf_dir, files=None):
+    """The feed written as text once, dealt to ``files`` files; every hundredth order key adds a cut line and, if even, a schema event."""
     orders = load(spark, sf_dir, "orders").where(F.col("o_orderkey") % 100 == 0)
     cut = orders.select(F.concat(F.lit(CUT_SHORT), "o_orderkey").alias("value"))
     added = orders.where(F.col("o_orderkey") % 200 == 0).select(
         F.format_string(COLUMN_ADDED, F.col("o_orderkey") * 10 + 2, F.lit(2)).alias("value")
     )
     path = scratch(spark, "feed")
-    feed_lines(spark, sf_dir).unionByName(cut).unionByName(added).write.text(path)
+    lines = feed_lines(spark, sf_dir).unionByName(cut).unionByName(added)
+    (lines.repartition(files) if files else lines).write.text(path)
     return path
 
 
-@query(
-    f"""WITH {FEED}, last_ AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ts_ms DESC) AS rn FROM feed)
+CURRENT = f"""WITH {FEED}, last_ AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ts_ms DESC) AS rn FROM feed)
     SELECT o_orderkey, a_status AS o_orderstatus, a_cents AS cents FROM last_ WHERE rn = 1 AND op <> 'd'"""
-)
+
+
+@query(CURRENT)
 def cdc_files_current(spark, sf_dir):
     """A feed of text files, snapshot rows included, folded into the current table."""
     feed = ch.read_changes(spark, feed_files(spark, sf_dir), ROW_DDL)

@@ -12,12 +12,14 @@ from sparkstream.operators.lateness import with_arrival_time
 from sparkstream.operators.patterns import Pattern
 from sparkstream.plans.scan import running_count, running_max, running_sum
 from sparkstream.queries.basics import CENTS, cents
+from sparkstream.queries.changes import CURRENT, ROW_DDL, feed_files
 from sparkstream.queries.joins import HOUR
 from sparkstream.queries.patterns import CLICKS, DAY, NEXT_PURCHASE, is_
 from sparkstream.queries.registry import query
 from sparkstream.queries.timewindows import FIRINGS, LATE_ROWS, arrivals
 from sparkstream.session import scratch
 from sparkstream.sources.basic import from_rows, read_lines, stream_lines
+from sparkstream.sources.changes import read_changes
 from sparkstream.sources.polled import polled, ticks
 from sparkstream.streaming import batches as bt
 from sparkstream.streaming import sinks as sk
@@ -411,6 +413,19 @@ def stream_late_rows(spark, sf_dir):
     return late.select("event_id", "user_id", "ts", "arrival", "watermark")
 
 
+@query(CURRENT)
+def stream_cdc_current(spark, sf_dir):
+    """A change feed merged batch by batch into the current rows; changes of a row may come in any order of files."""
+    base = scratch(spark, "cdc")
+    feed = read_changes(spark, feed_files(spark, sf_dir, DELIVERIES), ROW_DDL, streaming=True, files_per_batch=1)
+    rows = feed.rows.select(
+        F.coalesce("after.o_orderkey", "before.o_orderkey").alias("o_orderkey"), "op", "pos", "after.o_orderstatus", "after.cents"
+    )
+    ran(drain(sk.upsert(rows, f"{base}/log", ["o_orderkey"], ["pos"]), f"{base}/checkpoint"))
+    latest = sk.latest_rows(spark, f"{base}/log", ["o_orderkey"], ["pos"]).where("op <> 'd'")
+    return latest.select("o_orderkey", "o_orderstatus", "cents")
+
+
 @query("SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS tag FROM orders")
 def stream_split(spark, sf_dir):
     """One stream written to one folder per tag."""

@@ -40,6 +40,9 @@ def _fields(ddl: str) -> list[T.StructField]:
     return T.StructType.fromDDL(ddl).fields
 
 
+BAD_LINE = "bad_line"
+
+
 def parse_delimited(df: DataFrame, ddl: str, sep: str = ",", col: str = "line") -> DataFrame:
     """Delimited lines as typed columns; a missing field, or a value that does not parse, fails the job."""
     parts = F.split(col, _quoted(sep))
@@ -55,14 +58,24 @@ def parse_delimited(df: DataFrame, ddl: str, sep: str = ",", col: str = "line")
 def parse_delimited_or_set_aside(
     df: DataFrame, ddl: str, sep: str = ",", col: str = "line"
 ) -> tuple[DataFrame, DataFrame]:
-    """``(rows, bad)``: typed rows, and the lines in which a field is missing or does not parse."""
-    parts = F.split(col, _quoted(sep))
+    """``(rows, bad)``: typed rows, and the lines in which a field is missing or does not parse.
+
+    Each of the two reads the input; :func:`parse_delimited_marked` has both in one pass.
+    """
+    typed = parse_delimited_marked(df, ddl, sep, col)
+    names = [f.name for f in _fields(ddl)]
+    return typed.where(F.col(BAD_LINE).isNull()).select(*names), typed.where(F.col(BAD_LINE).isNotNull()).select(F.col(BAD_LINE).alias(col))
+
+
+def parse_delimited_marked(df: DataFrame, ddl: str, sep: str = ",", col: str = "line") -> DataFrame:
+    """Every line as typed columns and ``bad_line``: the line itself where a field is missing or does not parse, else null."""
     fields = _fields(ddl)
-    typed = df.withColumns({f.name: F.get(parts, i).try_cast(f.dataType) for i, f in enumerate(fields)})
+    split = df.select(F.col(col).alias(BAD_LINE), F.split(col, _quoted(sep)).alias("__parts"))
+    typed = split.select(BAD_LINE, *[F.get("__parts", i).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
     whole = F.lit(True)
     for f in fields:
         whole = whole & F.col(f.name).isNotNull()
-    return typed.where(whole).select(*[f.name for f in fields]), typed.where(~whole).select(col)
+    return typed.withColumn(BAD_LINE, F.when(~whole, F.coalesce(BAD_LINE, F.lit(""))))
 
 
 def _quoted(sep: str) -> str:

@@ -72,10 +72,10 @@ def starting(changes: DataFrame, start: str = "initial", at: int | None = None)
 
 def read_changes(
     spark: SparkSession, path: str, row_ddl: str, tables: Sequence[str] | None = None, start: str = "initial",
-    at: int | None = None, streaming: bool = False,
+    at: int | None = None, streaming: bool = False, files_per_batch: int = 100,
 ) -> Feed:
     """A change feed from a directory of JSON lines. Bad lines belong to no table and no time, so all are given."""
-    lines = (spark.readStream if streaming else spark.read).text(path)
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path) if streaming else spark.read.text(path)
     good, bad = parse_changes(lines, row_ddl)
     if tables:
         good = of_tables(good, tables)

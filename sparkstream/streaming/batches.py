@@ -348,7 +348,7 @@ def _advance(rows, pattern, key, order, keep, t, before, mark, path, batch_id, s
     """Match the rows up to ``mark`` (all when None) and write what became final after ``before``."""
     at = F.unix_micros(t)
     released = rows if mark is None else rows.where(at <= mark)
-    result: Matches = match(released, pattern, key, order, keep, t=t)
+    result: Matches = match(released, pattern, key, order, keep, t=t, settle=False)
     last_stage = pattern.stages[-1].name
     done = result.rows
     if before is not None:
