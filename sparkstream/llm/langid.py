@@ -47,9 +47,14 @@ class Model(NamedTuple):
     scripts: np.ndarray
 
 
+def _lettered(word: str) -> bool:
+    """Whether there is a letter at all: the pattern takes superscript and Roman numerals, too."""
+    return word.isalpha() or any(map(str.isalpha, word))
+
+
 def words_of(text: str | None) -> list[str]:
     """Lower-cased runs of letters."""
-    return LETTERS.findall(text.lower()) if text else []
+    return [w for w in LETTERS.findall(text.lower()) if _lettered(w)] if text else []
 
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -179,7 +184,7 @@ def spans(docs: DataFrame, model: Model, switch: float = SWITCH, doc_id: str = "
         for batch in batches:
             ids, starts, stops, names = [], [], [], []
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                places = [m.span() for m in LETTERS.finditer(value or "")]
+                places = [m.span() for m in LETTERS.finditer(value or "") if _lettered(m[0])]
                 if not places or not model.languages:
                     continue
                 found = [value[a:b].lower() for a, b in places]

@@ -220,6 +220,8 @@ def test_language_scripts_and_odd_rows(spark):
     assert langid.word_scores(["dog", "cobaka", "собака"], model)[2, 0] < -1000
     got = {r["doc_id"]: r for r in langid.predict(odd_docs(spark), model).where("doc_id is not null").collect()}
     assert [got[i]["lang_pred"] for i in range(3)] == ["und"] * 3 and got[3]["lang_pred"] == "en"
+    marks = spark.createDataFrame([(1, "1234 ²³ _ ½ !!")], "doc_id bigint, text string")
+    assert langid.predict(marks, model).first()["lang_pred"] == "und" and langid.spans(marks, model).count() == 0
     assert langid.predict(docs.limit(0), model).count() == 0
     none = langid.learn(docs.limit(0), F.lit(True))
     assert {r["lang_pred"] for r in langid.predict(odd_docs(spark), none).collect()} == {"und"}
