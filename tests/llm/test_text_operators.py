@@ -229,6 +229,29 @@ def test_language_scripts_and_odd_rows(spark):
     assert kept.columns == odd_docs(spark).columns and kept.where("text is null or trim(text) = ''").count() == 0
 
 
+def test_languages_that_were_not_learned(spark, sf_dir):
+    from sparkstream.tables import load
+
+    docs = load(spark, sf_dir, "documents").where("length(text) > 200")
+    model = langid.learn(docs, ~held_out(F.col("doc_id")) & (F.col("lang") != "es"))
+    held = docs.where(held_out(F.col("doc_id")))
+    known, other = held.where("lang <> 'es'"), held.where("lang = 'es'")
+    assert other.count() >= 5 and langid.keep_known(other, model).count() == 0
+    assert langid.keep_known(known, model).count() >= 0.97 * known.count()
+    rng = random.Random(6)
+    noise = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(120))
+    german = docs.where("lang = 'de' and not text like '%!!%'").orderBy("doc_id").first()["text"][:200]
+    cyrillic = "кошка и собака бежали "
+    texts = [cyrillic * 9, "日本語 中文 한국어", noise, german, german + " " + cyrillic * 20, cyrillic + german[:30]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(rows, model).collect()}
+    assert got[0] == got[1] == ("und", 0.0)
+    assert got[3][0] == "de" and got[3][1] > 0.9 and got[4][0] == "de" and got[4][1] < 0.5
+    assert [r["doc_id"] for r in langid.keep_known(rows, model).collect() if r["doc_id"] < 5] == [3]
+    spans = langid.spans(rows.where("doc_id in (0, 5)"), model).collect()
+    assert [(s["doc_id"], s["lang"]) for s in spans] == [(5, "de")] and spans[0]["start"] == len(cyrillic)
+
+
 # ---------------------------------------------------------------- urls
 
 
