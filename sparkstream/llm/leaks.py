@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -16,8 +17,10 @@ from sparkstream.llm.common import fresh, mix, ready
 SCHEMA = "doc_id bigint, item_id bigint, start bigint, stop bigint, edits bigint"
 #: Characters of benchmark text that one pass over the documents takes along.
 BLOCK_CHARS = 4_000_000
-#: Items longer than this are searched by windows of this length, half overlapping, so parts of items are found too.
+#: Items longer than this are searched by windows of this length, half overlapping.
 WINDOW = 120
+#: Parts of items are found by windows of this length, one every so many characters.
+PART, STEP = 60, 10
 #: Characters between texts that are searched as one: more than a window with its band.
 GAP = 4 * WINDOW
 GROUP_CHARS = 1_500_000
@@ -76,26 +79,44 @@ def banded_edits(pattern: str, text: str, low: int, high: int, most: int) -> tup
     return (int(cost[best]), int(begin[best]), int(diagonal[best] + len(pattern))) if cost[best] <= most else None
 
 
+class Strip(NamedTuple):
+    """An item's text and its windows: their length, where they start, the edits each may have."""
+
+    item: int
+    text: str
+    size: int
+    starts: np.ndarray
+    edits: int
+
+
+def _starts(length: int, size: int, step: int) -> np.ndarray:
+    return np.append(np.arange(0, length - size, step), length - size)
+
+
+def strips(item: int, text: str, rate: float) -> list[Strip]:
+    """What is searched of an item: the whole or its long windows, and its parts. Parts of an item that is also searched
+    as a whole must occur as they are."""
+    length = len(text)
+    size = min(length, WINDOW)
+    out = [Strip(item, text, size, _starts(length, size, WINDOW // 2), budget_of(size, rate))] if length else []
+    if length > PART:
+        most = budget_of(PART, rate) if length > WINDOW else 0
+        out.append(Strip(item, text, PART, _starts(length, PART, STEP), most))
+    return out
+
+
 class Index:
-    """Windows of benchmark items with the positions of their q-grams, for one block of items."""
+    """Strips of benchmark items with the positions of their q-grams, for one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float) -> None:
-        self.windows: list[tuple[int, str, int]] = []
-        for item, text in items:
-            length = len(text)
-            if not length:
-                continue
-            starts = [0] if length <= WINDOW else [*range(0, length - WINDOW, WINDOW // 2), length - WINDOW]
-            for s in starts:
-                self.windows.append((item, text[s : s + WINDOW], budget_of(min(length, WINDOW), rate)))
-        sizes = np.array([len(w) for _, w, _ in self.windows], dtype=np.int64)
-        edits = np.array([k for *_, k in self.windows], dtype=np.int64)
-        self.sizes, self.edits = sizes, edits
-        grams = [gram_size(int(m), int(k)) for m, k in zip(sizes, edits)]
+        self.strips = [x for item, text in items for x in strips(item, text, rate)]
+        sizes = np.array([x.size for x in self.strips], dtype=np.int64)
+        edits = np.array([x.edits for x in self.strips], dtype=np.int64)
+        grams = [gram_size(x.size, budget_of(x.size, rate)) for x in self.strips]
         self.by_q: dict[int, tuple] = {}
         for q in sorted(set(grams)):
             mine = [i for i, g in enumerate(grams) if g == q]
-            codes = [gram_codes(self.windows[i][1], q) for i in mine]
+            codes = [gram_codes(self.strips[i].text, q) for i in mine]
             code = np.concatenate(codes)
             owner = np.repeat(mine, [len(c) for c in codes])
             place = np.concatenate([np.arange(len(c)) for c in codes])
@@ -109,10 +130,11 @@ class Index:
         #: Bands are two budgets wide and overlap by one, so every stretch within the budget lies in one band.
         self.band = np.maximum(1, 2 * edits + 1)
 
-    def candidates(self, text: str) -> list[tuple[int, int, int]]:
-        """(window, lowest and highest diagonal) where a band shares as many q-grams as the lemma asks for."""
+    def candidates(self, text: str) -> list[tuple[int, int, int, int]]:
+        """(strip, start of the window in it, lowest and highest diagonal of the window) where a band shares as many
+        q-grams with a window as the lemma asks for; long windows first."""
         letters = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        found: list[tuple[int, int, int]] = []
+        found: set[tuple[int, int, int, int]] = set()
         for q, (flags, value, first, owner, place) in self.by_q.items():
             codes = rolling(letters, q)
             at = np.flatnonzero(flags[(codes >> np.uint64(44)).astype(np.int64)])
@@ -126,52 +148,68 @@ class Index:
                 continue
             count = first[row + 1] - first[row]
             spot = np.repeat(first[row], count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            window, where = owner[spot], np.repeat(at, count)
-            diagonal = where - place[spot]
-            width = self.band[window]
+            strip, where = owner[spot], np.repeat(at, count)
+            inside = place[spot]
+            diagonal = where - inside
+            width = self.band[strip]
             for shift in (0, 1):  # two layers of bands, each shifted by half a width
                 layer = (diagonal + shift * (width // 2)) // width
-                packed = window.astype(np.int64) * (1 << 40) + (layer + (1 << 38))
+                packed = strip.astype(np.int64) * (1 << 40) + (layer + (1 << 38))
                 bands, n = np.unique(packed, return_counts=True)
-                w = bands >> 40
-                b = (bands & ((1 << 40) - 1)) - (1 << 38)
-                for j in np.flatnonzero(n >= self.need[w]):
-                    low = int(b[j] * self.band[w[j]] - shift * (self.band[w[j]] // 2))
-                    found.append((int(w[j]), low, low + int(self.band[w[j]]) - 1))
-        return found
+                bands = bands[n >= self.need[bands >> 40]]
+                if not len(bands):
+                    continue
+                row = np.searchsorted(bands, packed)
+                row[row == len(bands)] = 0
+                mine = np.flatnonzero(bands[row] == packed)
+                mine = mine[np.lexsort((inside[mine], row[mine]))]
+                cuts = np.searchsorted(row[mine], np.arange(len(bands) + 1))
+                for j, band in enumerate(bands.tolist()):
+                    w = band >> 40
+                    places, starts = inside[mine[cuts[j] : cuts[j + 1]]], self.strips[w].starts
+                    shared = np.searchsorted(places, starts + self.strips[w].size - q + 1) - np.searchsorted(places, starts)
+                    wide = int(self.band[w])
+                    low = ((band & ((1 << 40) - 1)) - (1 << 38)) * wide - shift * (wide // 2)
+                    for s in starts[shared >= self.need[w]].tolist():
+                        found.add((w, s, low + s, low + s + wide - 1))
+        return sorted(found, key=lambda x: (-self.strips[x[0]].size, x))
 
     def search(self, texts: list[str]) -> list[tuple[int, int, int, int, int]]:
         """(place in ``texts``, item, start, stop, edits): of each item the verified stretches, overlapping ones as one
-        with the fewest edits. The texts are searched as one, with gaps that no band can bridge."""
+        with the fewest edits of its longest windows. The texts are searched as one, with gaps that no band can bridge."""
         gap = "\0" * GAP
         whole = gap + gap.join(texts) + gap
         begin = np.cumsum([GAP] + [len(t) + GAP for t in texts])
-        spots: dict[tuple[int, int], set[tuple[int, int, int]]] = {}
-        for window, low, high in self.candidates(whole):
-            item, pattern, most = self.windows[window]
+        spots: dict[tuple[int, int], set[tuple[int, int, int, int]]] = {}
+        for strip, s, low, high in self.candidates(whole):
+            item, text, size, _, most = self.strips[strip]
+            pattern = text[s : s + size]
             low, high = low - most, high + most
-            middle = (low + high + len(pattern)) // 2
+            middle = (low + high + size) // 2
             place = int(np.searchsorted(begin, middle + GAP // 2, side="right")) - 1
             place = min(max(place, 0), len(texts) - 1)
             first = int(begin[place])
+            here = spots.get((place, item), ())
+            if any(size < m and start + first - most <= low + most and high - most + size <= stop + first + most for start, stop, m, _ in here):
+                continue  # inside a stretch that a longer window has given
             # the stretch of this text that the band covers
-            a, b = max(0, low - first), min(len(texts[place]), high - first + len(pattern))
+            a, b = max(0, low - first), min(len(texts[place]), high - first + size)
             if a >= b:
                 continue
             got = banded_edits(pattern, texts[place][a:b], low - first - a, high - first - a, most)
             if got:
-                spots.setdefault((place, item), set()).add((got[1] + a, got[2] + a, got[0]))
+                spots.setdefault((place, item), set()).add((got[1] + a, got[2] + a, size, got[0]))
         out = []
         for (place, item), found in spots.items():
-            ordered = sorted(found)
-            now = list(ordered[0])
-            for start, stop, edits in ordered[1:]:
-                if start <= now[1]:
-                    now = [now[0], max(now[1], stop), min(now[2], edits)]
+            now = None
+            for start, stop, size, edits in sorted(found):
+                if now and start <= now[1]:
+                    now = [now[0], max(now[1], stop), min(now[2], (-size, edits))]
                 else:
-                    out.append((place, item, *now))
-                    now = [start, stop, edits]
-            out.append((place, item, *now))
+                    if now:
+                        out.append((place, item, now[0], now[1], now[2][1]))
+                    now = [start, stop, (-size, edits)]
+            out.append((place, item, now[0], now[1], now[2][1]))
         return out
 
 
@@ -203,7 +241,10 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, doc_id: str
 
     Both sides are compared in lower case with white space as single blanks; ``start`` and ``stop`` count code points
     of that form. An item of up to 120 characters is found if a stretch of the document is within ``rate`` edits a
-    character of it, a longer one if that holds for one of its windows of 120 characters, which overlap by half.
+    character of it, or if the document holds one of its parts of 60 characters as it is; a longer one if a stretch is
+    within ``rate`` edits a character of one of its windows of 120 characters, which overlap by half, or of one of its
+    parts of 60. A part begins every 10 characters, so each excerpt of 69 characters holds one. ``edits`` are those of
+    the longest windows found.
 
     The benchmark is the query set: its items are held against all documents in blocks of at most ``BLOCK_CHARS``
     characters, one pass without a shuffle each; an item longer than that is a block of its own. Items or documents

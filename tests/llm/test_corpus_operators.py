@@ -187,6 +187,24 @@ def test_leaks_of_parts_blocks_and_nothing(spark, monkeypatch):
     assert leaks.without_leaks(df, bench).count() == 2
 
 
+def test_leaks_of_excerpts_at_every_offset(spark):
+    rng = random.Random(15)
+    prose = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    items = [(i, leaks.plain("x" + prose(n) + "x")) for i, n in enumerate((95, 117, 200, 388))]
+    docs = []
+    for i, item in items:
+        for n in (70, 85, 100, 119, 150):
+            docs += [(i, prose(90) + " " + item[at : at + n] + " " + prose(90)) for at in range(len(item) - n + 1)]
+    # of a long item, an excerpt with an edit in every twenty characters is one, too
+    for at in range(0, 300, 7):
+        part = items[3][1][at : at + 80]
+        docs.append((3, prose(90) + "".join("#" if k % 20 == 10 else c for k, c in enumerate(part)) + prose(90)))
+    docs.append((-1, prose(90) + items[3][1][100:145] + prose(90)))  # too little of it
+    df = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(docs)], "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leaks.find(df, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(k, i) for k, (i, _) in enumerate(docs) if i >= 0}
+
+
 def test_registered_leaks_hold_every_exact_passage(spark, sf_dir):
     from sparkstream.llm.queries import op3_decontamination
 
