@@ -43,6 +43,9 @@ CHROME_WORDS = frozenset(
     "toolbar widget widgets sitemap skip complementary contentinfo search searchbox reply replies disclaimer paywall outbrain taboola".split()
 )
 
+# Parts of such names that say what is beside or around a container, or in which state it is.
+AROUND_WORDS = frozenset("has no not with without fixed sticky open closed active visible enabled result results".split())
+
 # Frequent words of the languages at hand.
 STOP_WORDS = frozenset(
     "the of and to in a is that for it as was with on be by this are from or an which at not have but has they were will "
@@ -64,7 +67,7 @@ class Rules(NamedTuple):
 
 class Block(NamedTuple):
     text: str
-    zone: str  # main, chrome or page
+    zone: str  # main, chrome, named (chrome by a class or id) or page
     zone_id: int
     links: int  # characters inside links
     heading: bool
@@ -73,24 +76,35 @@ class Block(NamedTuple):
 BAD, UNSURE, GOOD = 0, 1, 2
 
 
-def _is_chrome(name: str, rest: str) -> bool:
+def _is_chrome(name: str, rest: str, parts: bool = True) -> str:
+    """Why a container is none of the text: ``state`` if it is hidden or its role says so, ``name`` if a class or id does,
+    or the first or last part of one if ``parts`` count; else an empty string."""
+    why = ""
     for key, *values in ATTRIBUTE.findall(rest):
         key, value = key.lower(), "".join(values).lower()
-        if key in ("class", "id", "role"):
+        if key == "role":
+            if CHROME_WORDS.intersection(value.split()):
+                return "state"
+        elif key in ("class", "id"):
             for token in value.split():
-                if token.startswith(("has-", "no-", "with-", "without-")):  # says what is around, not what it is
-                    continue
-                if token in CHROME_WORDS or (key != "role" and CHROME_WORDS.intersection(re.split(r"[-_]+", token))):
-                    return True
+                pieces = [x for x in re.split(r"[-_]+", token) if x]
+                if token in CHROME_WORDS:
+                    why = "name"
+                elif parts and pieces and not AROUND_WORDS.intersection(pieces) and (pieces[0] in CHROME_WORDS or pieces[-1] in CHROME_WORDS):
+                    why = "name"
         elif key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
+            return "state"
         elif key == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return "state"
+    return why
+
 
+def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
+    """The text blocks of a page in order. A block ends at any tag that is not inline; white space inside is one space.
 
-def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page in order. A block ends at any tag that is not inline; white space inside is one space."""
+    A main element is never chrome by its own name or that of a container, nor is an article that lies in no other. An
+    article inside a container that is chrome by its name has a zone below zero: it is the text if the page has no other.
+    ``parts_count`` says whether parts of class and id names make a container chrome."""
     out: list[Block] = []
     # open containers: (name, zone, zone id, inside main)
     stack: list[tuple[str, str, int]] = [("", "page", 0)]
@@ -158,20 +172,24 @@ def blocks_of(page: str) -> list[Block]:
             stack.append((name, "dropped", zones))
         elif zone == "dropped":
             stack.append((name, zone, zone_id))
-        elif _is_chrome(name, rest) and name not in ("body", "html"):
+        elif name != "html" and (why := _is_chrome(name, rest, parts_count)) and not (
+            why == "name" and (name == "main" or (name == "article" and all(x[0] != "article" for x in stack)))
+        ):
             zones += 1
-            stack.append((name, "chrome", zones))
+            stack.append((name, "chrome" if why == "state" or zone == "chrome" else "named", zones))
         elif name == "header" and zone == "main":
             stack.append((name, "lead", zone_id))
         elif name in CHROME:
             zones += 1
-            stack.append((name, "soft" if name in ("form", "header") and zone != "chrome" else "chrome", zones))
-        elif name in MAIN and zone in ("page", "soft", "main"):
+            stack.append((name, "soft" if name in ("form", "header") and zone not in ("chrome", "named") else "chrome", zones))
+        elif name in MAIN and zone in ("page", "soft", "main", "named"):
             if zone == "main":
                 stack.append((name, zone, zone_id))
+            elif zone == "named" and any(x[0] in MAIN for x in stack):  # a comment, or what else is named inside the text
+                stack.append((name, zone, zone_id))
             else:
                 zones += 1
-                stack.append((name, "main", zones))
+                stack.append((name, "main", -zones if zone == "named" and name == "article" else zones))
         elif name not in ("p", "li", "dt", "dd", "tr", "td", "th", "html"):
             stack.append((name, zone, zone_id))
     close()
@@ -181,7 +199,7 @@ def blocks_of(page: str) -> list[Block]:
 def first_pass(block: Block, rules: Rules) -> int:
     """What a block's own figures say: containers around the article and link lists are out, running text with enough
     stop words is in, the rest is unsure; outside the article long text without stop words is out as well."""
-    if block.zone in ("chrome", "soft"):
+    if block.zone in ("chrome", "named", "soft"):
         return BAD
     length = len(block.text)
     dense = block.links / length
@@ -231,10 +249,18 @@ def second_pass(blocks: list[Block], labels: list[int]) -> list[bool]:
 def main_text(page: str | None, rules: Rules = Rules()) -> str:
     """The main text: kept blocks in page order with one space between. Null and empty pages give an empty text."""
     blocks = blocks_of(page or "")
-    if any(b.zone == "main" for b in blocks):  # a page that names its article has the rest around it
-        blocks = [b for b in blocks if b.zone == "main"]
-    kept = second_pass(blocks, [first_pass(b, rules) for b in blocks])
-    return " ".join(b.text for b, k in zip(blocks, kept) if k)
+    kept = _kept(blocks, rules)
+    lost = any(b.zone == "named" and len(b.text) >= rules.short for b in blocks)
+    if lost and not any(b.zone == "main" or len(b.text) >= rules.short for b in kept):  # then parts of names are no ground to drop running text
+        kept = _kept(blocks_of(page or "", False), rules) or kept
+    return " ".join(b.text for b in kept)
+
+
+def _kept(blocks: list[Block], rules: Rules) -> list[Block]:
+    article = [b for b in blocks if b.zone == "main"]  # a page that names its article has the rest around it
+    blocks = [b for b in article if b.zone_id > 0] or article or blocks
+    keep = second_pass(blocks, [first_pass(b, rules) for b in blocks])
+    return [b for b, k in zip(blocks, keep) if k]
 
 
 def extract(pages: DataFrame, keep: list[str], markup: str = "html", rules: Rules = Rules()) -> DataFrame:

@@ -118,6 +118,23 @@ def test_pages_without_an_article():
         assert htmltext.main_text(page) in ("", "<")
 
 
+def test_wrappers_named_after_what_is_beside_them():
+    long = "This is the text of the page, and it is as long as it has to be for the rules to see what it is."
+    junk = '<div class="related-posts"><article><p>' + long.replace("text", "teaser") + "</p></article></div>"
+    for name in ("elementor-widget-container", "page-with-sidebar", "right-sidebar", "content-sidebar-wrap", "header-fixed",
+                 "search-results", "widget", "nav-open", "sidebar_left"):
+        assert htmltext.main_text(f'<div class="{name}"><article><p>{long}</p></article></div>') == long, name
+        assert htmltext.main_text(f'<div id="{name}"><main><p>{long}</p></main></div>{junk}') == long, name
+        if name != "widget":
+            assert htmltext.main_text(f'<h1>Top</h1><div class="{name}"><p>{long}</p></div>').endswith(long), name
+    for tag in ("main", "article"):
+        assert htmltext.main_text(f'<{tag} class="site-main social share-post"><p>{long}</p></{tag}>{junk}') == long
+    comments = '<ol class="comment-list"><li><article class="comment-body"><p>' + long.replace("text", "comment") + "</p></article></ol>"
+    assert htmltext.main_text(f"<main><article><p>{long}</p></article>{comments}</main>") == long
+    assert htmltext.main_text(f"<div><p>{long}</p></div>{comments.replace('article', 'div')}") == long
+    assert htmltext.main_text(f'<div class="page" hidden><article><p>{long}</p></article></div>') == ""
+
+
 def test_second_pass_takes_the_nearest_label():
     block = htmltext.Block("x", "page", 0, 0, False)
     good, bad, open_ = htmltext.GOOD, htmltext.BAD, htmltext.UNSURE
