@@ -61,8 +61,9 @@ class Rules(NamedTuple):
 
     link_density: float = 0.4
     short: int = 70
-    stop_low: float = 0.12
     stop_high: float = 0.25
+    #: A page is judged by stop words if so much of its running text has many of them.
+    known: float = 0.25
 
 
 class Block(NamedTuple):
@@ -196,9 +197,15 @@ def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
     return [b for b in out if b.zone != "dropped"]
 
 
-def first_pass(block: Block, rules: Rules) -> int:
+def _stops(block: Block) -> float:
+    words = WORD.findall(block.text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def first_pass(block: Block, rules: Rules, known: bool = True) -> int:
     """What a block's own figures say: containers around the article and link lists are out, running text with enough
-    stop words is in, the rest is unsure; outside the article long text without stop words is out as well."""
+    stop words is in, the rest is unsure; outside the article long text without any stop word is out as well. On a page
+    in no ``known`` language length and links alone decide, and all running text is in."""
     if block.zone in ("chrome", "named", "soft"):
         return BAD
     length = len(block.text)
@@ -206,11 +213,10 @@ def first_pass(block: Block, rules: Rules) -> int:
     if length >= rules.short:
         if dense > rules.link_density:
             return BAD
-        words = WORD.findall(block.text.lower())
-        stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-        if stops >= rules.stop_high:
+        stops = _stops(block)
+        if stops >= rules.stop_high or not known:
             return GOOD
-        if stops >= rules.stop_low or block.zone == "main":
+        if stops > 0 or block.zone == "main":
             return UNSURE
         return BAD
     if dense > rules.link_density and block.zone != "main":
@@ -218,6 +224,19 @@ def first_pass(block: Block, rules: Rules) -> int:
     return UNSURE
 
 
+def labels_of(blocks: list[Block], rules: Rules) -> list[int]:
+    """The first pass over a page. Its language is known if enough of its running text has many stop words."""
+    labels = [first_pass(b, rules) for b in blocks]
+    long = [
+        (len(b.text), label == GOOD)
+        for b, label in zip(blocks, labels)
+        if b.zone in ("page", "main") and len(b.text) >= rules.short and b.links <= rules.link_density * len(b.text)
+    ]
+    if sum(n for n, good in long if good) >= rules.known * sum(n for n, _ in long):
+        return labels
+    return [first_pass(b, rules, False) for b in blocks]
+
+
 def second_pass(blocks: list[Block], labels: list[int]) -> list[bool]:
     """Unsure blocks take the label of the nearest decided blocks before and after them in the same container; where
     these differ the nearer one counts, at equal distance the good one. Without a decided block a container is kept if
@@ -259,7 +278,7 @@ def main_text(page: str | None, rules: Rules = Rules()) -> str:
 def _kept(blocks: list[Block], rules: Rules) -> list[Block]:
     article = [b for b in blocks if b.zone == "main"]  # a page that names its article has the rest around it
     blocks = [b for b in article if b.zone_id > 0] or article or blocks
-    keep = second_pass(blocks, [first_pass(b, rules) for b in blocks])
+    keep = second_pass(blocks, labels_of(blocks, rules))
     return [b for b, k in zip(blocks, keep) if k]
 
 

@@ -118,6 +118,20 @@ def test_pages_without_an_article():
         assert htmltext.main_text(page) in ("", "<")
 
 
+def test_pages_in_other_languages_and_dense_text():
+    polish = "Rząd zdecydował podnieść podatki dla dużych przedsiębiorstw, podczas gdy obywatele żądają lepszych usług."
+    russian = "Правительство решило повысить налоги для крупных предприятий, а граждане требуют лучших услуг и школ."
+    chinese = "政府决定提高在通信行业经营的大型企业的税收，而公民则要求为他们的子女提供更好的服务和更好的学校。" * 2
+    links = "<ul><li>" + "".join(f'<a href="/{i}">Odnośnik numer {i}</a> ' for i in range(12)) + "</ul>"
+    for text in (polish, russian, chinese):
+        assert htmltext.main_text(f"<div>{links}<h1>Top</h1><p>{text}</p><p>Short.</p><p>{text}</p>{links}</div>") == f"Top {text} Short. {text}"
+        assert htmltext.main_text(f"<article><p>{text}</p></article>") == text
+    long = "This is the text of the page, and it is as long as it has to be for the rules to see what it is."
+    names = "Present: Anna Kowalska, Bob Miller, Chen Wei, Dora Novak, Emil Brandt, Finn Olsen, Gina Rossi and Hugo Weber, Oslo 1994."
+    assert htmltext.main_text(f"<div><p>{long}</p><p>{names}</p><p>{long}</p></div>") == f"{long} {names} {long}"
+    assert htmltext.main_text(f"<div><p>{names}</p></div>") == names
+
+
 def test_wrappers_named_after_what_is_beside_them():
     long = "This is the text of the page, and it is as long as it has to be for the rules to see what it is."
     junk = '<div class="related-posts"><article><p>' + long.replace("text", "teaser") + "</p></article></div>"
