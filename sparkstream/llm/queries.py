@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, neardup, packing, pieces, urlrules
+from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, neardup, packing, pieces, simhash, urlrules
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,8 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), end=RANKS_END, pad=RANKS_END)
+
+
+@query()
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
