@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, neardup, packing, pieces, simhash, urlrules
+from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, manifest, neardup, packing, pieces, simhash, urlrules
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,3 +131,69 @@ def op10_packed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH RECURSIVE field AS (
+      SELECT row_number() OVER () AS row_id, doc_id, lang,
+        [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)] AS head, text,
+        list_reduce(
+          list_concat([4294967295::BIGINT], list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ascii(substr(CAST(doc_id AS VARCHAR), i, 1))::BIGINT)),
+          lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)
+        ) AS crc
+      FROM documents
+    ), shown AS (
+      SELECT row_id, doc_id, lang, head, text,
+        CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS other
+      FROM field
+    ), leaves AS (
+      SELECT row_id, doc_id, lang,
+        sha256(array_to_string(list_transform(list_append(head, text), lambda f: coalesce(strlen(f) || ':' || f, '-')), '')) AS leaf,
+        sha256(array_to_string(list_transform(list_append(head, other), lambda f: coalesce(strlen(f) || ':' || f, '-')), '')) AS presented
+      FROM shown
+    ), placed AS (
+      SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+      FROM leaves
+    ), nodes AS (
+      SELECT 0 AS lvl, tree, idx, leaf AS node, n FROM placed
+      UNION ALL
+      SELECT lvl + 1, tree, idx // 8, sha256(string_agg(node, '' ORDER BY idx)), (n + 7) // 8 FROM nodes WHERE n > 1 GROUP BY lvl, tree, idx // 8, n
+    ), subroots AS (
+      SELECT tree, node AS subroot, count(*) OVER () AS n FROM nodes WHERE n = 1
+    ), upper_nodes AS (
+      SELECT 0 AS lvl, tree AS idx, subroot AS node, n FROM subroots
+      UNION ALL
+      SELECT lvl + 1, idx // 8, sha256(string_agg(node, '' ORDER BY idx)), (n + 7) // 8 FROM upper_nodes WHERE n > 1 GROUP BY lvl, idx // 8, n
+    ), steps AS (
+      SELECT 'lower' AS part, lvl, tree, idx,
+        coalesce(string_agg(node, '') OVER (PARTITION BY lvl, tree, idx // 8 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(node, '') OVER (PARTITION BY lvl, tree, idx // 8 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+      FROM nodes WHERE n > 1
+      UNION ALL
+      SELECT 'upper', lvl, 0, idx,
+        coalesce(string_agg(node, '') OVER (PARTITION BY lvl, idx // 8 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''),
+        coalesce(string_agg(node, '') OVER (PARTITION BY lvl, idx // 8 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '')
+      FROM upper_nodes WHERE n > 1
+    ), lower_fold AS (
+      SELECT row_id, tree, idx, 0 AS lvl, presented AS node, '' AS said FROM placed
+      UNION ALL
+      SELECT f.row_id, f.tree, f.idx, f.lvl + 1, sha256(s.l || f.node || s.r), f.said || s.l || s.r
+      FROM lower_fold f JOIN steps s ON s.part = 'lower' AND s.lvl = f.lvl AND s.tree = f.tree AND s.idx = f.idx >> (3 * f.lvl)
+    ), halfway AS (
+      SELECT row_id, tree, arg_max(node, lvl) AS node, arg_max(said, lvl) AS said FROM lower_fold GROUP BY row_id, tree
+    ), upper_fold AS (
+      SELECT row_id, tree, 0 AS lvl, node, said FROM halfway
+      UNION ALL
+      SELECT f.row_id, f.tree, f.lvl + 1, sha256(s.l || f.node || s.r), f.said || s.l || s.r
+      FROM upper_fold f JOIN steps s ON s.part = 'upper' AND s.lvl = f.lvl AND s.idx = f.tree >> (3 * f.lvl)
+    ), ends AS (
+      SELECT row_id, arg_max(node, lvl) AS folded_root, sha256(arg_max(said, lvl)) AS proof_sha256 FROM upper_fold GROUP BY row_id
+    )
+    SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+    FROM placed JOIN subroots USING (tree) JOIN ends USING (row_id) CROSS JOIN (SELECT node AS root FROM upper_nodes WHERE n = 1)
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.audit(table(spark, sf_dir, "documents"))
