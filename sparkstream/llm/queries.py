@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, manifest, neardup, packing, pieces, simhash, urlrules
+from sparkstream.llm import chat, htmltext, langid, leaks, licences, linecrf, manifest, neardup, packing, phrases, pieces, simhash, urlrules
 from sparkstream.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,46 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.audit(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\n\\x0B\\f\\r]')) AS piece
+      FROM documents
+    ), lists AS (
+      SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda w: w <> '') AS ws FROM pieces
+    ), totals AS (
+      SELECT lang, sum(length(ws))::BIGINT AS n FROM lists GROUP BY lang
+    ), starts AS (
+      SELECT lang, ws, unnest(range(1, length(ws) + 1)) AS i FROM lists
+    ), occurrences AS (
+      SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase
+      FROM starts, (VALUES (1), (2), (3), (4)) ks(k) WHERE i + k - 1 <= length(ws)
+    ), f AS (
+      SELECT lang, k, phrase, count(*) AS a FROM occurrences GROUP BY lang, k, phrase HAVING count(*) >= 30
+    ), named AS (
+      SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1
+    ), cuts AS (
+      SELECT c.lang, c.phrase, c.a, c.cut, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM named) c
+      JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : c.cut], ' ')
+      JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1 : c.k], ' ')
+    ), worst AS (
+      SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+    ), held AS (
+      SELECT w.lang, array_to_string(w.ws[i : i + c - 1], ' ') AS phrase, max(w.a) AS longer
+      FROM named w, (VALUES (2), (3)) cs(c), (VALUES (1), (2), (3)) starts_at(i)
+      WHERE c < w.k AND i + c - 1 <= w.k GROUP BY 1, 2
+    ), ranked AS (
+      SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank, w.phrase, w.a, w.l, w.r,
+        t.n, w.score::BIGINT AS score
+      FROM worst w JOIN totals t ON t.lang = w.lang LEFT JOIN held h ON h.lang = w.lang AND h.phrase = w.phrase
+      WHERE h.longer IS NULL OR 100 * h.longer::HUGEINT < 80 * w.a::HUGEINT
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """
+)
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
