@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkstream.llm.common import fresh, kept, mix, ngram_hashes, ready, word_hashes
+from sparkstream.llm.graph import components
 
-#: Verification tasks get at most two blocks of about so many texts, and about so many n-grams, at once.
-BLOCK_TEXTS, BLOCK_GRAMS = 256, 400_000
+#: A block of a bucket has about so many texts, and about so many n-grams, at most; a task verifies two blocks at once.
+BLOCK_TEXTS, BLOCK_GRAMS = 1024, 400_000
 
 
 class Banding(NamedTuple):
@@ -77,8 +78,8 @@ def _gram_sets(n: int):
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64)))],
-                names=["rep", "grams"],
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.view(np.int64))), batch.column(2)],
+                names=["rep", "grams", "bands"],
             )
 
     return run
@@ -111,104 +112,61 @@ def _verify(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reps, counts, roots = [], [], []
+            found = []
             band = batch.column("band").to_numpy(zero_copy_only=False)
             same = batch.column("same").to_numpy(zero_copy_only=False)
-            members = batch.column("members")
             for i in range(batch.num_rows):
-                rows = members[i].values
-                rep = rows.field("rep").to_numpy(zero_copy_only=False)
-                side = rows.field("side").to_numpy(zero_copy_only=False)
-                sets, keys = rows.field("grams"), rows.field("bands")
-                sizes = np.diff(sets.offsets.to_numpy())
-                flat = sets.flatten().to_numpy(zero_copy_only=False)
-                bands = keys.flatten().to_numpy(zero_copy_only=False).reshape(len(rep), -1)
-                both = _shared(flat, sizes)
-                linked = both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9
-                np.fill_diagonal(linked, False)
-                for b in range(int(band[i])):  # counted where an earlier band brought the two together
-                    linked &= bands[:, None, b] != bands[None, :, b]
-                if not same[i]:
-                    linked &= side[:, None] != side[None, :]
-                if not linked.any():
-                    continue
-                root = np.arange(len(rep))
-                order = np.argsort(rep, kind="stable")
-                place = np.empty(len(rep), dtype=np.int64)
-                place[order] = np.arange(len(rep))
-                near = linked | np.eye(len(rep), dtype=bool)
-                root = place.copy()
-                while True:  # smallest id that links lead to within this task
-                    lower = np.where(near, root[None, :], len(rep)).min(axis=1)
-                    if (lower == root).all():
-                        break
-                    root = lower
-                got = np.flatnonzero(linked.any(axis=1))
-                reps.append(rep[got])
-                counts.append(linked.sum(axis=1)[got])
-                roots.append(rep[order[root[got]]])
-            if reps:
+                sides = batch.column("members")[i].values
+                side = np.repeat(np.arange(len(sides)), np.diff(sides.offsets.to_numpy()))
+                found += _links_of(sides.flatten(), side, int(band[i]), bool(same[i]), threshold)
+            if found:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x).astype(np.int64)) for x in (reps, roots, counts)],
-                    names=["rep", "root", "links"],
+                    [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*found)], names=["rep", "root", "links"]
                 )
 
     return run
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(node, root): the smallest node each node is connected to.
-
-    Every round joins all nodes to the smallest neighbour and their neighbours to that (large star, small star), so
-    rounds grow with the logarithm of the longest chain. Each round is written to the shared folder. A node with very
-    many neighbours is read by an aggregate with partial results, never as one list.
-    """
-    now = kept(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    while True:
-        # large star: larger neighbours of a node go to its smallest neighbour
-        ways = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = ways.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = ways.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = kept(large, "edges")
-        # small star: smaller neighbours of a node, and itself, go to its smallest
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
-        )
-        after = kept(small.distinct(), "edges")
-        stamp = after.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.xxhash64("v", "u") % 1_000_003)).first()
-        if stamp == before:
+def _links_of(rows: pa.StructArray, side: np.ndarray, band: int, same: bool, threshold: float) -> list[tuple]:
+    """(texts, the smallest text that links lead to from each, number of links of each) of one task's block or two."""
+    keys = rows.field("bands").flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+    open_pairs = np.ones((len(rows), len(rows)), dtype=bool) if same else side[:, None] != side[None, :]
+    np.fill_diagonal(open_pairs, False)
+    for b in range(band):  # counted where an earlier band brought the two together
+        open_pairs &= keys[:, None, b] != keys[None, :, b]
+    live = np.flatnonzero(open_pairs.any(axis=1))
+    if not len(live):
+        return []
+    rows, open_pairs = rows.take(pa.array(live)), open_pairs[np.ix_(live, live)]
+    rep = rows.field("rep").to_numpy(zero_copy_only=False)
+    sets = rows.field("grams")
+    sizes = np.diff(sets.offsets.to_numpy())
+    both = _shared(sets.flatten().to_numpy(zero_copy_only=False), sizes)
+    linked = open_pairs & (both >= threshold * (sizes[:, None] + sizes[None, :] - both) - 1e-9)
+    got = np.flatnonzero(linked.any(axis=1))
+    if not len(got):
+        return []
+    order = np.argsort(rep, kind="stable")
+    root = np.empty(len(rep), dtype=np.int64)
+    root[order] = np.arange(len(rep))
+    near = linked | np.eye(len(rep), dtype=bool)
+    while True:  # smallest text that links lead to within this task
+        lower = np.where(near, root[None, :], len(rep)).min(axis=1)
+        if (lower == root).all():
             break
-        now, before = after, stamp
-    roots = after.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return after.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
-
+        root = lower
+    return [(rep[got], rep[order[root[got]]], linked.sum(axis=1)[got])]
 
-def near_duplicates(
-    docs: DataFrame,
-    n: int = 5,
-    threshold: float = 0.8,
-    recall: float = 0.9999,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """One row per input row: ``doc_id``, ``class_id``, ``copy_id``, ``n_links``.
 
-    ``copy_id`` is the smallest id with the very same text. Texts are linked if the Jaccard similarity of their sets
-    of word n-grams (words: runs without ASCII white space; a text of fewer than n words has one n-gram, itself) is at
-    least ``threshold``. ``n_links`` counts the different texts that a row's text is linked to. ``class_id`` is the
-    smallest id that copies and links lead to.
+class Classes(NamedTuple):
+    rows: DataFrame
+    texts: DataFrame
 
-    Texts without a word (null, empty, white space) are linked to nothing and keep their own id as class; rows with a
-    null id have a null class, and no links. Repeated rows give repeated rows. Other columns are not read.
 
-    Copies are reduced to one text by an aggregate with partial results. Band hashes are shuffled for one text of each
-    class only. A band bucket of many texts is cut into blocks, every two blocks are one task, and a task gives a
-    count and a root for each of its texts, so no list of pairs exists anywhere. Buckets with the same members are
-    checked once.
-    """
+def classes(docs: DataFrame, n: int, threshold: float, recall: float, doc_id: str, text: str) -> Classes:
+    """``rows``: (doc_id, copy) of every input row, copy being the digest of its text. ``texts``: each different text
+    with a word and an id, (copy, root, least, class_id, n_links), least being the smallest id that has it. Texts of a
+    class have one root; two classes may have the same class_id if ids repeat."""
     spark = ready(docs.sparkSession)
     plan = banding(threshold, recall)
     rows = docs.select(
@@ -219,13 +177,11 @@ def near_duplicates(
     signed = kept(
         rows.mapInArrow(_signatures(n, plan), "doc_id bigint, copy binary, n_grams bigint, bands array<bigint>"), "signed"
     )
-    # one text of each class of copies
-    reps = kept(
-        signed.where("n_grams > 0 and doc_id is not null")
-        .groupBy("copy")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")),
-        "reps",
+    # one row for each different text; its number is the node of buckets, links and components
+    reps = signed.where("n_grams > 0 and doc_id is not null").groupBy("copy").agg(
+        F.min("doc_id").alias("least"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")
     )
+    reps = kept(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
     keyed = reps.select("rep", "n_grams", F.posexplode("bands").alias("band", "key"))
     mark = F.xxhash64("rep")
     buckets = keyed.groupBy("band", "key").agg(
@@ -237,63 +193,101 @@ def near_duplicates(
         "first.key",
         F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.least(F.col("n"), F.ceil(F.col("size") / BLOCK_GRAMS))).cast("int").alias("blocks"),
     )
-    members = kept(keyed.join(buckets, ["band", "key"]).select("band", "key", "blocks", "rep"), "members")
-    # full n-gram sets of the texts that share a bucket
-    wanted = members.select("rep").distinct()
-    texts = rows.select(F.col("doc_id").alias("rep"), "copy", "text").join(
-        reps.select("rep", "copy", "bands").join(wanted, "rep"), ["rep", "copy"]
+    members = keyed.join(buckets, ["band", "key"]).select(
+        "band", "key", "blocks", "rep", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int").alias("block")
     )
+    members = kept(members, "members")
+    # full n-gram sets of the texts that share a bucket
+    wanted = reps.select("rep", "copy", "least", "bands").join(members.select("rep").distinct(), "rep")
+    texts = rows.withColumnRenamed("doc_id", "least").join(wanted, ["copy", "least"])
     texts = texts.groupBy("rep").agg(F.first("text").alias("text"), F.first("bands").alias("bands"))
     sets = kept(
-        texts.select("rep", "text").mapInArrow(_gram_sets(n), "rep bigint, grams array<bigint>"), "sets"
+        texts.mapInArrow(_gram_sets(n), "rep bigint, grams array<bigint>, bands array<bigint>"), "sets"
     )
-    block = F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = (
-        members.withColumn("block", block)
-        .withColumn("other", other)
-        .select(
-            "band", "key", "rep", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-            (F.col("block") > F.col("other")).alias("side"),
-        )
+    # each set goes once to its block; the blocks of a bucket meet two by two, as rows of many texts
+    held = members.join(sets, "rep").groupBy("band", "key", "blocks", "block").agg(
+        F.collect_list(F.struct("rep", "grams", "bands")).alias("texts")
     )
-    tasks = (
-        spread.join(sets, "rep")
-        .join(reps.select("rep", "bands"), "rep")
-        .groupBy("band", "key", "i", "j")
-        .agg(F.collect_list(F.struct("rep", "side", "grams", "bands")).alias("members"))
-        .where(F.size("members") > 1)
+    alone = held.where("blocks = 1").select("band", F.lit(True).alias("same"), F.array("texts").alias("members"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = (
+        held.where("blocks > 1")
+        .select("band", "key", "block", other, "texts")
+        .groupBy("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        .agg(F.collect_list("texts").alias("members"))
         .select("band", (F.col("i") == F.col("j")).alias("same"), "members")
     )
+    tasks = alone.unionByName(pairs)
     found = kept(tasks.mapInArrow(_verify(threshold), "rep bigint, root bigint, links bigint"), "found")
     links = found.groupBy("rep").agg(F.sum("links").alias("n_links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    classes = (
-        reps.select("copy", "rep")
-        .join(links, "rep", "left")
-        .join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("copy", "rep", F.coalesce("root", "rep").alias("root"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    owned = reps.select("copy", "least", "rep").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    owned = owned.withColumn("root", F.coalesce("root", "rep"))
+    least = owned.groupBy("root").agg(F.min("least").alias("class_id"))
+    return Classes(
+        signed.select("doc_id", "copy"),
+        owned.join(least, "root").select("copy", "root", "least", "class_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")),
     )
-    return signed.select("doc_id", "copy").join(classes, "copy", "left").select(
+
+
+def near_duplicates(
+    docs: DataFrame,
+    n: int = 5,
+    threshold: float = 0.8,
+    recall: float = 0.9999,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """One row per input row: ``doc_id``, ``class_id``, ``copy_id``, ``n_links``.
+
+    ``copy_id`` is the smallest id with the very same text. Texts are linked if the Jaccard similarity of their sets
+    of word n-grams (words: runs without ASCII white space; a text of fewer than n words has one n-gram, itself) is at
+    least ``threshold``. ``n_links`` counts the different texts that a row's text is linked to. ``class_id`` is the
+    smallest id that copies and links lead to.
+
+    Texts without a word (null, empty, white space) are linked to nothing and keep their own id as class; rows with a
+    null id have a null class, and no links. Repeated rows give repeated rows. Different texts of one id are different
+    texts, each with its own links and class. Other columns are not read.
+
+    Copies are reduced to one text by an aggregate with partial results. Band hashes are shuffled for one text of each
+    class only. A band bucket of many texts is cut into blocks; a set goes to its block once, every two blocks are one
+    task, and a task gives a count and a root for each of its texts, so no list of pairs exists anywhere. Buckets with
+    the same members are checked once, and pairs that an earlier band has brought together are left out.
+    """
+    rows, texts = classes(docs, n, threshold, recall, doc_id, text)
+    return rows.join(texts, "copy", "left").select(
         "doc_id",
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id")).alias("class_id"),
-        F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("copy_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
+        F.when(F.col("doc_id").isNotNull(), F.coalesce("least", "doc_id")).alias("copy_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("bigint").alias("n_links"),
     )
 
 
-def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
+def one_of_each(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, recall: float = 0.9999
+) -> DataFrame:
     """``docs`` with one row of each class: the one with the smallest id.
 
-    Of rows that repeat an id within a class, the one with the smallest digest of its text stays. Rows with a null id,
+    A row is judged by its id and its text, so different texts of one id stay or go on their own; of texts of a class
+    that share the smallest id the one with the smallest digest stays, of rows that repeat both, one. Rows with a null id,
     and rows whose text has no word, are in no class and stay. Columns are unchanged.
     """
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **how)
-    go = found.where("class_id <> doc_id").select(F.col("doc_id").alias("__gone")).distinct()
-    gone, rank = fresh(docs, "__gone"), fresh(docs, "__rank")
-    left = docs.join(go.withColumnRenamed("__gone", gone), F.col(doc_id).cast("bigint") == F.col(gone), "left_anti")
-    digest = F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary"))
-    wordless = F.col(doc_id).isNull() | ~F.coalesce(F.col(text).cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    salt = F.when(wordless, F.monotonically_increasing_id())
-    first = left.withColumn(rank, F.row_number().over(Window.partitionBy(doc_id, salt).orderBy(digest)))
-    return first.where(F.col(rank) == 1).drop(rank)
+    rows, texts = classes(docs, n, threshold, recall, doc_id, text)
+    first = texts.groupBy("root").agg(F.min(F.struct("least", "copy")).alias("first"))
+    copies = texts.join(first, "root").select("copy", F.expr("struct(least, copy) = first").alias("stays"), "least")
+    # ids and texts that go, and those that stay in one of several rows
+    judged = rows.where("doc_id is not null").groupBy("doc_id", "copy").agg(F.count("*").alias("n")).join(copies, "copy").select(
+        "doc_id", "copy", F.when(F.col("stays") & (F.col("doc_id") == F.col("least")), F.when(F.col("n") > 1, "one")).otherwise("go").alias("say")
+    ).where("say is not null")
+    judged = kept(judged, "judged")
+    names = {c: fresh(docs, f"__{c}") for c in ("doc_id", "copy", "rank")}
+    marked = docs.withColumns({
+        names["doc_id"]: F.col(doc_id).cast("bigint"), names["copy"]: F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
+    })
+    to = judged.select(F.col("doc_id").alias(names["doc_id"]), F.col("copy").alias(names["copy"]), "say")
+    on = [names["doc_id"], names["copy"]]
+    alone = marked.join(to.drop("say"), on, "left_anti").select(*docs.columns)
+    several = marked.join(to.where("say = 'one'").drop("say"), on, "left_semi")
+    rank = F.row_number().over(Window.partitionBy(*on).orderBy(names["doc_id"]))
+    one = several.withColumn(names["rank"], rank).where(F.col(names["rank"]) == 1).select(*docs.columns)
+    return alone.unionByName(one)

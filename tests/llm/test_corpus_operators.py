@@ -81,6 +81,18 @@ def test_near_duplicates_against_all_pairs(spark, monkeypatch, small):
     assert ids.count(None) == 1
 
 
+def test_different_texts_of_one_id(spark):
+    a, b, near = "alpha beta gamma delta epsilon zeta eta theta", "one two three four five six seven", "alpha beta gamma delta epsilon zeta eta theta iota"
+    rows = [(7, a), (7, b), (1, a), (9, b), (9, b), (3, near), (None, a), (None, a), (8, " "), (8, " ")]
+    df = spark.createDataFrame([(*r, "clash", 1, "clash") for r in rows], SCHEMA)
+    got = sorted((r["doc_id"], r["class_id"], r["copy_id"], r["n_links"]) for r in neardup.near_duplicates(df).collect() if r["doc_id"] is not None)
+    assert got == sorted([(7, 1, 1, 1), (7, 7, 7, 0), (1, 1, 1, 1), (9, 7, 7, 0), (9, 7, 7, 0), (3, 1, 3, 1), (8, 8, 8, 0), (8, 8, 8, 0)])
+    left = sorted(((r["doc_id"], r["text"]) for r in neardup.one_of_each(df).collect()), key=str)
+    assert left == sorted([(7, b), (1, a), (None, a), (None, a), (8, " "), (8, " ")], key=str)
+    two = spark.createDataFrame([(7, a, "", 1, ""), (7, b, "", 1, ""), (7, b, "", 1, "")], SCHEMA)
+    assert sorted(r["text"] for r in neardup.one_of_each(two).collect()) == [a, b]
+
+
 def test_near_duplicates_of_nothing(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert neardup.near_duplicates(df).count() == 0 and neardup.one_of_each(df).count() == 0
