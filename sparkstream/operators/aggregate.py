@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkstream.plans.cells import WHOLE_KEYS, fullest, measure_cells, rows_per_cell
-from sparkstream.plans.scan import numbered, running_max as max_so_far, running_sum as sum_so_far, scan
+from sparkstream.plans.scan import Running, numbered, running_max as max_so_far, running_sum as sum_so_far, scan
 
 FOLD_BLOCK = 1000
 
@@ -28,6 +28,18 @@ class Agg:
     def of_parts(self, name: str) -> Column:
         return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[self.kind](name)
 
+    def running(self) -> Running:
+        """The partial result over the rows so far."""
+        if self.kind == "count":
+            return Running("sum", F.when(self.value.isNotNull(), 1).otherwise(0).cast("long"))
+        return Running(self.kind, self.value)
+
+    def of_two(self, a: Column, b: Column) -> Column:
+        """Two partial results as one; a missing one (null) adds nothing."""
+        if self.kind in ("min", "max"):
+            return {"min": F.least, "max": F.greatest}[self.kind](a, b)
+        return F.coalesce(a + b, a, b)
+
 
 def keyed_sum(df: DataFrame, key: Sequence[str], value: Column, out: str = "total") -> DataFrame:
     return df.groupBy(*key).agg(F.sum(value).alias(out))

@@ -31,7 +31,21 @@ def tumbling(spark, sf_dir):
     GROUP BY 1, 2, 3"""
 )
 def sliding(spark, sf_dir):
-    return wn.sliding(load(spark, sf_dir, "events"), ["user_id"], "ts", "12 hours", "6 hours", _sums())
+    sums = {"n": Agg("count", F.lit(1)), "total": Agg("sum", cents())}
+    return wn.sliding(load(spark, sf_dir, "events"), ["user_id"], "ts", "12 hours", "6 hours", sums)
+
+
+@query(
+    f"""SELECT event_type, s AS window_start, s + INTERVAL '60 hours' AS window_end, CAST(count(*) AS BIGINT) AS n,
+    CAST(sum({CENTS}) AS BIGINT) AS total, max(value) AS top FROM (
+      SELECT event_type, value, time_bucket(INTERVAL '1 hour', ts) - INTERVAL '1 hour' * back AS s
+      FROM events, range(60) AS r(back))
+    GROUP BY 1, 2, 3"""
+)
+def sliding_panes(spark, sf_dir):
+    """Sixty windows over each row: rows are aggregated by the hour, hours are handed to their windows."""
+    aggs = {"n": Agg("count", F.lit(1)), "total": Agg("sum", cents()), "top": Agg("max", F.col("value"))}
+    return wn.sliding(load(spark, sf_dir, "events"), ["event_type"], "ts", "60 hours", "1 hour", aggs)
 
 
 @query(
@@ -66,10 +80,23 @@ def count_tumbling(spark, sf_dir):
 )
 def count_sliding(spark, sf_dir):
     return wn.count_sliding(
-        load(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], 5, 3, {"total": F.sum(cents())}
+        load(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], 5, 3, {"total": Agg("sum", cents())}
     )
 
 
+@query(
+    f"""SELECT event_type, CAST(pos AS BIGINT) AS window_no, CAST(total AS BIGINT) AS total, top, CAST(n AS BIGINT) AS n FROM (
+      SELECT event_type, row_number() OVER w AS pos, sum({CENTS}) OVER last60 AS total, max(value) OVER last60 AS top,
+        count(value) OVER last60 AS n
+      FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id),
+        last60 AS (PARTITION BY event_type ORDER BY ts, event_id ROWS 59 PRECEDING))"""
+)
+def count_sliding_blocks(spark, sf_dir):
+    """Sum, maximum and count of the last sixty rows at every row."""
+    aggs = {"total": Agg("sum", cents()), "top": Agg("max", F.col("value")), "n": Agg("count", F.col("value"))}
+    return wn.count_sliding(load(spark, sf_dir, "events"), ["event_type"], ["ts", "event_id"], 60, 1, aggs)
+
+
 @query(
     """SELECT user_id, time_bucket(INTERVAL '1 day', ts) AS window_start,
     time_bucket(INTERVAL '1 day', ts) + INTERVAL '1 day' AS window_end, ts FROM events"""

@@ -1,7 +1,8 @@
 """Streaming forms that run a batch operator on every micro-batch and keep their state as files.
 
 What a micro-batch leaves for the next one is written under its batch number; a batch that runs again
-after a failure reads the same input and overwrites the same output, so results stay exact.
+after a failure reads the same input and overwrites the same output, so results stay exact. State by key is a
+:class:`~sparkstream.streaming.store.KeyedLog`: a batch reads and writes the buckets of its own keys.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.window import Window
 
 from sparkstream.operators.aggregate import Agg
 from sparkstream.operators.changelog import IS_ADD, to_changelog
@@ -18,9 +20,11 @@ from sparkstream.operators.joins import enrich
 from sparkstream.operators.lateness import ALLOWED, LATE, ON_TIME, classify, is_open, watermark_at
 from sparkstream.operators.patterns import Matches, Pattern, match
 from sparkstream.operators.rules import match_rules
-from sparkstream.operators.windows import top_n_per
+from sparkstream.operators.windows import block_windows, top_n_per
 from sparkstream.plans.scan import Running, running_count, scan
-from sparkstream.streaming.sinks import BATCH, FOLD_EVERY, append_to_log, last_per_key, log_before, read_batches, write_batch
+from sparkstream.streaming import files
+from sparkstream.streaming.sinks import BATCH, last_per_key, read_batches, write_batch
+from sparkstream.streaming.store import KeyedLog
 
 
 def enrich_stream(
@@ -59,18 +63,19 @@ def top_n_stream(
 ) -> DataStreamWriter:
     """Ranks within the groups ``by`` whose totals changed (ranking is not allowed on the stream itself).
 
-    ``totals`` has one current value per ``by`` and ``key``. Each trigger hands over the changed ones; they go to a log
-    of current values (``values``), and only the groups they touch are ranked again (``ranks``, by trigger).
+    ``totals`` has one current value per ``by`` and ``key``. Each trigger hands over the changed ones; the stored values
+    of the groups they touch are read, and only these groups are ranked again (``ranks``, by trigger).
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        changed = _landed(batch, f"{path}/changed", batch_id).withColumn(ORDER, F.lit(batch_id))
-        append_to_log(changed, f"{path}/values", [*by, *key], [ORDER], batch_id)
-        known = log_before(spark, f"{path}/values", batch_id + 1).drop(BATCH)
-        touched = known.join(changed.select(*by).distinct(), list(by), "left_semi")
-        current = last_per_key(touched, [*by, *key], [ORDER]).drop(ORDER)
+        values = KeyedLog(batch.sparkSession, f"{path}/values", [*by, *key], by)
+        changed = _landed(batch, f"{path}/changed", batch_id).withColumn(ORDER, F.lit(1))
+        known = values.before(batch_id, changed)
+        rows = changed if known is None else changed.unionByName(known.withColumn(ORDER, F.lit(0)))
+        current = last_per_key(rows, [*by, *key], [ORDER]).drop(ORDER)
         write_batch(top_n_per(current, by, value, tie, n), f"{path}/ranks", batch_id)
+        values.write(batch_id, changed.drop(ORDER))
+        files.remove(batch.sparkSession, f"{path}/changed")
 
     return totals.writeStream.outputMode("update").foreachBatch(on_batch)
 
@@ -86,16 +91,13 @@ FIRST = "__first"
 ORDER = "__order"
 
 
-def _with_carried(batch: DataFrame, key, outs: Mapping[str, Running], state: str, batch_id: int) -> DataFrame:
+def _with_carried(batch: DataFrame, outs: Mapping[str, Running], stored: DataFrame | None) -> DataFrame:
     """The batch's rows with their values in columns named like the outputs' inputs, and for every key
     of the batch that is known from earlier batches one row before the first, holding its last values."""
     rows = batch.withColumns({_value(n): r.value for n, r in outs.items()}).withColumn(FIRST, F.lit(1))
-    if batch_id == 0:
+    if stored is None:
         return rows
-    earlier = log_before(batch.sparkSession, state, batch_id)
-    known = earlier.join(batch.select(*key).distinct(), list(key), "left_semi")
-    carried = last_per_key(known, key, [BATCH]).drop(BATCH).withColumn(FIRST, F.lit(0))
-    return rows.unionByName(carried, allowMissingColumns=True)
+    return rows.unionByName(stored.withColumn(FIRST, F.lit(0)), allowMissingColumns=True)
 
 
 def _value(name: str) -> str:
@@ -106,13 +108,10 @@ def _of_values(outs: Mapping[str, Running]) -> dict[str, Running]:
     return {n: Running(r.kind, F.col(_value(n))) for n, r in outs.items()}
 
 
-def _remember(done: DataFrame, key, order, outs, state: str, batch_id: int) -> None:
+def _last(done: DataFrame, key, order, outs) -> DataFrame:
+    """The last values of every key, as they enter the next batch."""
     last = last_per_key(done.select(*key, *order, *outs), key, order)
-    stored = last.select(*key, *[F.col(n).alias(_value(n)) for n in outs])
-    if batch_id and batch_id % FOLD_EVERY == 0:
-        older = log_before(done.sparkSession, state, batch_id).unionByName(stored.withColumn(BATCH, F.lit(batch_id)))
-        stored = last_per_key(older, key, [BATCH]).drop(BATCH)
-    write_batch(stored, state, batch_id)
+    return last.select(*key, *[F.col(n).alias(_value(n)) for n in outs])
 
 
 def _written(spark, path: str, batch_id: int) -> DataFrame:
@@ -135,11 +134,13 @@ def scan_stream(
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        last = KeyedLog(batch.sparkSession, f"{state}/last", key)
         batch = _landed(batch, f"{state}/arrived", batch_id)
-        rows = _with_carried(batch, key, outs, f"{state}/last", batch_id)
+        rows = _with_carried(batch, outs, last.before(batch_id, batch))
         done = scan(rows, key, [FIRST, *order], _of_values(outs)).where(F.col(FIRST) == 1)
         write_batch(done.select(*batch.columns, *outs), path, batch_id)
-        _remember(_written(batch.sparkSession, path, batch_id), key, order, outs, f"{state}/last", batch_id)
+        last.write(batch_id, _last(_written(batch.sparkSession, path, batch_id), key, order, outs))
+        files.remove(batch.sparkSession, f"{state}/arrived")
 
     return df.writeStream.foreachBatch(on_batch)
 
@@ -150,44 +151,58 @@ def changelog_batches(
     """The change log of running aggregates over a stream, for keys of any size."""
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        last = KeyedLog(batch.sparkSession, f"{state}/last", key)
         batch = _landed(batch, f"{state}/arrived", batch_id)
-        rows = _with_carried(batch, key, outs, f"{state}/last", batch_id)
+        rows = _with_carried(batch, outs, last.before(batch_id, batch))
         log = to_changelog(rows, key, [FIRST, *order], _of_values(outs)).where(F.col(FIRST) == 1).drop(FIRST)
         write_batch(log, path, batch_id)
         adds = _written(batch.sparkSession, path, batch_id).where(F.col(IS_ADD))
-        _remember(adds, key, order, outs, f"{state}/last", batch_id)
+        last.write(batch_id, _last(adds, key, order, outs))
+        files.remove(batch.sparkSession, f"{state}/arrived")
 
     return df.writeStream.foreachBatch(on_batch)
 
 
+def _placed(batch: DataFrame, key, order, stored: DataFrame | None, state: str, batch_id: int) -> DataFrame:
+    """The batch's rows with their place ``pos`` in their key's order, counted on from earlier batches."""
+    count = {"pos": running_count()}
+    rows = _with_carried(batch, count, stored if stored is None else stored.select(*key, _value("pos")).distinct())
+    placed = scan(rows, key, [FIRST, *order], _of_values(count)).where(F.col(FIRST) == 1)
+    write_batch(placed.select(*batch.columns, "pos"), f"{state}/rows", batch_id)
+    return _written(batch.sparkSession, f"{state}/rows", batch_id)
+
+
 def count_tumbling_batches(
     df: DataFrame, key: Sequence[str], order: Sequence[str], n: int, aggs: Mapping[str, Agg], path: str, state: str
 ) -> DataStreamWriter:
     """Count windows over a stream, for keys of any size.
 
-    Rows are numbered across micro-batches by the running count; a window that is not full yet waits as
-    one row of partial aggregates (``open`` under the state folder) and is merged with the next batch.
+    Rows are numbered across micro-batches. The state of a key is one row: how many rows it had, and the partial
+    aggregates of its window that is not full yet. A batch reads and writes it for the keys it brings.
     """
-    count = {"pos": running_count()}
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        open_ = KeyedLog(spark, f"{state}/open", key)
         batch = _landed(batch, f"{state}/arrived", batch_id)
-        rows = _with_carried(batch, key, count, f"{state}/pos", batch_id)
-        placed = scan(rows, key, [FIRST, *order], _of_values(count)).where(F.col(FIRST) == 1)
-        write_batch(placed.select(*batch.columns, "pos"), f"{state}/rows", batch_id)
-        placed = _written(spark, f"{state}/rows", batch_id)
-        _remember(placed, key, order, count, f"{state}/pos", batch_id)
+        stored = open_.before(batch_id, batch)
+        placed = _placed(batch, key, order, stored, state, batch_id)
         parts = placed.groupBy(*key, F.floor((F.col("pos") - 1) / n).alias("window_no")).agg(
             F.count(F.lit(1)).alias("__n"), *[a.of_rows().alias(name) for name, a in aggs.items()]
         )
-        if batch_id:
-            waiting = _written(spark, f"{state}/open", batch_id - 1)
+        if stored is not None:
+            waiting = stored.where(F.col("window_no").isNotNull()).drop(_value("pos"))
             parts = parts.unionByName(waiting).groupBy(*key, "window_no").agg(
                 F.sum("__n").alias("__n"), *[a.of_parts(name).alias(name) for name, a in aggs.items()]
             )
+        parts = _landed(parts, f"{state}/parts", batch_id)
         write_batch(parts.where(F.col("__n") == n).drop("__n"), path, batch_id)
-        write_batch(parts.where(F.col("__n") < n), f"{state}/open", batch_id)
+        ends = placed.groupBy(*key).agg(F.max("pos").alias(_value("pos")))
+        both = ends.unionByName(parts.where(F.col("__n") < n), allowMissingColumns=True)
+        rest = [c for c in both.columns if c not in key]
+        open_.write(batch_id, both.groupBy(*key).agg(*[F.first(c, ignorenulls=True).alias(c) for c in rest]))
+        for name in ("arrived", "rows", "parts"):
+            files.remove(spark, f"{state}/{name}")
 
     return df.writeStream.foreachBatch(on_batch)
 
@@ -197,39 +212,29 @@ def count_sliding_batches(
 ) -> DataStreamWriter:
     """The last ``size`` rows of a key at every ``slide``-th row, over a stream.
 
-    Rows are numbered across micro-batches. What windows of later rows still need, the last ``size`` rows of every key,
-    waits under ``tail``; a batch joins it for the keys it brings.
+    Rows are numbered across micro-batches. The state of a key is what windows of later rows still need, its last
+    ``size`` rows; a batch reads and writes it for the keys it brings.
     """
-    count = {"pos": running_count()}
     names = list(dict.fromkeys([*key, *order, *[f"__a{i}" for i in range(len(aggs))]]))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        tails = KeyedLog(spark, f"{state}/tail", key)
         batch = batch.withColumns({f"__a{i}": a.value for i, a in enumerate(aggs.values())}).select(*names)
         batch = _landed(batch, f"{state}/arrived", batch_id)
-        rows = _with_carried(batch, key, count, f"{state}/pos", batch_id)
-        placed = scan(rows, key, [FIRST, *order], _of_values(count)).where(F.col(FIRST) == 1)
-        write_batch(placed.select(*names, "pos"), f"{state}/rows", batch_id)
-        placed = _written(spark, f"{state}/rows", batch_id)
-        _remember(placed, key, order, count, f"{state}/pos", batch_id)
-        new = placed.withColumn("__new", F.lit(True))
-        if batch_id:
-            new = new.unionByName(_written(spark, f"{state}/tail", batch_id - 1).withColumn("__new", F.lit(False)))
-        # a row is in the windows that end at the next multiples of slide, up to size - 1 rows on
-        first = F.ceil(F.col("pos") / slide)
-        last = F.floor((F.col("pos") + size - 1) / slide)
-        copies = new.where(first <= last).withColumn("window_no", F.explode(F.sequence(first, last)))
+        stored = tails.before(batch_id, batch)
+        ends = None if stored is None else stored.groupBy(*key).agg(F.max("pos").alias(_value("pos")))
+        new = _placed(batch, key, order, ends, state, batch_id).withColumn("__new", F.lit(True))
+        if stored is not None:
+            new = new.unionByName(stored.withColumn("__new", F.lit(False)))
         made = {name: Agg(a.kind, F.col(f"__a{i}")) for i, (name, a) in enumerate(aggs.items())}
-        fired = copies.groupBy(*key, "window_no").agg(
-            F.max("pos").alias("__last"), F.bool_or("__new").alias("__now"), *[a.of_rows().alias(n) for n, a in made.items()]
-        )
-        done = fired.where((F.col("__last") == F.col("window_no") * slide) & F.col("__now"))
-        # a window that ended before has no new row, so it does not fire again
-        write_batch(done.select(*key, "window_no", *aggs), path, batch_id)
-        # of every key the rows that lie behind its last one by less than size
-        end = new.groupBy(*key).agg(F.max("pos").alias("__end"))
-        tail = new.join(end, list(key)).where(F.col("pos") > F.col("__end") - size).select(*names, "pos")
-        write_batch(tail, f"{state}/tail", batch_id)
+        write_batch(block_windows(new, key, "pos", size, slide, made, fires=F.col("__new")), path, batch_id)
+        # of every key of the batch the rows that lie behind its last one by less than size
+        end = F.max("pos").over(Window.partitionBy(*key))
+        tail = new.withColumn("__end", end).where(F.col("pos") > F.col("__end") - size)
+        tails.write(batch_id, tail.select(*names, "pos"))
+        for name in ("arrived", "rows"):
+            files.remove(spark, f"{state}/{name}")
 
     return df.writeStream.foreachBatch(on_batch)
 

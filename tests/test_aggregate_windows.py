@@ -140,6 +140,29 @@ def test_sliding_covers_each_row_twice(spark):
     assert sorted((int(r.window_start.timestamp()), r.total) for r in got) == [(0, 10), (5, 11), (10, 1)]
 
 
+def test_panes_give_the_same_windows(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), rng.choice([None, *range(9)]), rng.randrange(500)) for _ in range(300)]
+    df = timed(spark, rows, "k INT, c INT, s BIGINT").withColumn("t", F.when(F.col("s") % 17 > 0, F.col("t")))
+    plain = {"total": F.sum("c"), "top": F.max("c"), "low": F.min("c"), "n": F.count("c")}
+    made = {name: ag.Agg(kind, F.col("c")) for name, kind in zip(plain, ("sum", "max", "min", "count"))}
+    for size, slide in (("60 seconds", "1 second"), ("10 seconds", "4 seconds"), ("7 seconds", "7 seconds")):
+        one, two = (wn.sliding(df, ["k"], "t", size, slide, aggs) for aggs in (plain, made))
+        assert one.columns == two.columns and sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
+
+
+def test_blocks_give_the_same_windows(spark, layout):
+    rng = random.Random(6)
+    rows = [(i, rng.choice(["x", "x", "y", None]), rng.choice([None, *range(50)])) for i in range(90)]
+    df = spark.createDataFrame(rows, "n INT, k STRING, v INT")
+    plain = {"total": F.sum("v"), "top": F.max("v"), "low": F.min("v"), "c": F.count("v")}
+    made = {name: ag.Agg(kind, F.col("v")) for name, kind in zip(plain, ("sum", "max", "min", "count"))}
+    for size, slide in ((5, 5), (5, 3), (2, 3), (4, 1), (1, 1), (40, 7)):
+        one, two = (wn.count_sliding(df, ["k"], ["n"], size, slide, aggs) for aggs in (plain, made))
+        assert sorted(map(str, one.collect())) == sorted(map(str, two.select(one.columns).collect()))
+    assert "Generate" not in wn.count_sliding(df, ["k"], ["n"], 40, 1, made)._jdf.queryExecution().toString()
+
+
 def test_session_touching_rows_share_a_window(spark, layout):
     df = timed(spark, [(1, 0), (1, 10), (1, 21)], "k INT, s BIGINT")
     got = wn.session(df, ["k"], "t", "10 seconds", {"n": ag.Agg("count", F.col("k"))}).collect()

@@ -21,6 +21,7 @@ from sparkstream.sources.topics import read_topic_files
 from sparkstream.streaming import batches as bt
 from sparkstream.streaming import sinks as sk
 from sparkstream.streaming import stateful as st
+from sparkstream.streaming import store
 from sparkstream.streaming.runner import drain, run_stream, write_every
 
 DDL = "n BIGINT, k INT, kind STRING, v BIGINT, t TIMESTAMP"
@@ -88,9 +89,10 @@ def test_stream_joins(spark, feed, tmp_path):
 
 @pytest.fixture(params=["whole", "cells"])
 def small_folds(request, spark, monkeypatch):
-    """Fold the state log every second batch, with and without keys cut into cells."""
+    """Few buckets and early merges of stored runs, with and without keys cut into cells."""
     monkeypatch.setattr(sk, "FOLD_EVERY", 2)
-    monkeypatch.setattr(bt, "FOLD_EVERY", 2)
+    monkeypatch.setattr(store, "FAN", 2)
+    monkeypatch.setattr(store, "BUCKETS", 3)
     if request.param == "cells":
         spark.conf.set(ROWS_CONF, "10")
     yield
@@ -217,11 +219,13 @@ def test_top_n_of_changed_groups(spark, feed, tmp_path, small_folds):
 
 
 def test_sliding_count_windows_over_micro_batches(spark, feed, tmp_path, small_folds):
-    for size, slide in ((7, 3), (3, 7)):
-        aggs, base = {"total": ag.Agg("sum", F.col("v"))}, f"{tmp_path}/{size}"
+    for size, slide in ((7, 3), (3, 7), (5, 1)):
+        aggs = {"total": ag.Agg("sum", F.col("v")), "top": ag.Agg("max", F.col("v")), "n": ag.Agg("count", F.col("v"))}
+        base = f"{tmp_path}/{size}"
         writer = bt.count_sliding_batches(stream(spark, feed), ["k"], ["t", "n"], size, slide, aggs, f"{base}/o", f"{base}/s")
         drain(writer, f"{base}/ckpt")
-        want = wn.count_sliding(feed[0], ["k"], ["t", "n"], size, slide, {"total": F.sum("v")})
+        plain = {"total": F.sum("v"), "top": F.max("v"), "n": F.count("v")}
+        want = wn.count_sliding(feed[0], ["k"], ["t", "n"], size, slide, plain)
         same(sk.read_batches(spark, f"{base}/o").drop(sk.BATCH), want)
 
 
