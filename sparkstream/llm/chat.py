@@ -27,16 +27,18 @@ class Layout(NamedTuple):
     ``skeleton`` is a JSON record with the layout's nested fields; values do not matter. ``turns`` lists, in order,
     ``(role, path)`` for one turn with a fixed role, ``(None, path, role field, text field)`` for an array of turns, or
     ``("=", role path, text path)`` for one turn whose role is a field. Turns without a text field value are kept with an
-    empty text, except fixed ones, which are left out if null or empty.
+    empty text, except fixed ones, which are left out if null or empty. ``own_roles`` are taken as they are; in other
+    layouts roles of other names get the usual ones.
     """
 
     name: str
     skeleton: str
     turns: tuple[tuple, ...]
+    own_roles: bool = False
 
 
 LAYOUTS = (
-    Layout("turn", '{"role":"","text":""}', (("=", "$.role", "$.text"),)),
+    Layout("turn", '{"role":"","text":""}', (("=", "$.role", "$.text"),), own_roles=True),
     Layout("prompt_response", '{"prompt":"","response":""}', (("user", "$.prompt"), ("assistant", "$.response"))),
     Layout("prompt_completion", '{"prompt":"","completion":""}', (("user", "$.prompt"), ("assistant", "$.completion"))),
     Layout("question_answer", '{"question":"","answer":""}', (("user", "$.question"), ("assistant", "$.answer"))),
@@ -108,7 +110,8 @@ def canonical_turns(
         layout = F.when(same, F.lit(x.name)).otherwise(layout)
         turns = F.when(same, _turns_of(F.col("record"), x)).otherwise(turns)
     named = F.create_map(*[F.lit(v) for pair in roles.items() for v in pair])
-    role = F.coalesce(F.try_element_at(named, F.lower("t.role")), F.col("t.role"), F.lit(""))
+    own = F.col("layout").isin([x.name for x in layouts if x.own_roles])
+    role = F.coalesce(F.when(~own, F.try_element_at(named, F.lower("t.role"))), F.col("t.role"), F.lit(""))
     exploded = rows.select(*names, layout.alias("layout"), turns.alias("turns")).select(
         *names, "layout", F.posexplode_outer("turns").alias("place", "t")
     )

@@ -204,8 +204,8 @@ def _stops(block: Block) -> float:
 
 def first_pass(block: Block, rules: Rules, known: bool = True) -> int:
     """What a block's own figures say: containers around the article and link lists are out, running text with enough
-    stop words is in, the rest is unsure; outside the article long text without any stop word is out as well. On a page
-    in no ``known`` language length and links alone decide, and all running text is in."""
+    stop words is in, the rest is unsure, also long text without any stop word (code, tables of figures, lists of
+    names). On a page in no ``known`` language length and links alone decide, and all running text is in."""
     if block.zone in ("chrome", "named", "soft"):
         return BAD
     length = len(block.text)
@@ -216,9 +216,7 @@ def first_pass(block: Block, rules: Rules, known: bool = True) -> int:
         stops = _stops(block)
         if stops >= rules.stop_high or not known:
             return GOOD
-        if stops > 0 or block.zone == "main":
-            return UNSURE
-        return BAD
+        return UNSURE
     if dense > rules.link_density and block.zone != "main":
         return BAD
     return UNSURE

@@ -199,8 +199,9 @@ def predict(docs: DataFrame, model: Model, switch: float = SWITCH, doc_id: str =
     ``lang_pred`` is the language with the most letters in its words on the best path (of equals the first by name).
     Words in a script of no learned language belong to none. ``score`` is the language's share of all letters, times a
     factor for how well they fit it: by how much they are likelier than letters drawn one by one, as a share of what is
-    usual for the language, 1 from ``SURE`` and 0 up to ``STRANGE``. A null text, one without letters or with none in a
-    learned script, and any text under a model of no language give ``und`` and 0. Repeated rows give repeated rows;
+    usual for the language, 1 from ``SURE`` and 0 up to ``STRANGE``. Letters in no learned script alone
+    give the first language by name, and 0. A null text, one without letters, and any text under a model of no language
+    give ``und`` and 0. Repeated rows give repeated rows;
     other columns are not read.
     """
 
@@ -236,7 +237,8 @@ def _documents(texts: list[str | None], model: Model, switch: float) -> tuple[li
     share = most / np.maximum(np.bincount(owner, size, len(words)), 1)
     fit = excess[row, best] / np.maximum(most, 1) / np.maximum(model.usual[best], 1e-9)
     score = share * np.clip((fit - STRANGE) / (SURE - STRANGE), 0, 1)
-    return [model.languages[b] if m else UNKNOWN for b, m in zip(best, most)], score
+    # letters in no learned script leave the first language, with a score of 0
+    return [model.languages[b] if n else UNKNOWN for b, n in zip(best, counts)], score
 
 
 def spans(docs: DataFrame, model: Model, switch: float = SWITCH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

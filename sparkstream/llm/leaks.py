@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -94,14 +95,12 @@ def _starts(length: int, size: int, step: int) -> np.ndarray:
 
 
 def strips(item: int, text: str, rate: float) -> list[Strip]:
-    """What is searched of an item: the whole or its long windows, and its parts. Parts of an item that is also searched
-    as a whole must occur as they are."""
+    """What is searched of an item: the whole or its long windows, and its parts, all by the same rate."""
     length = len(text)
     size = min(length, WINDOW)
     out = [Strip(item, text, size, _starts(length, size, WINDOW // 2), budget_of(size, rate))] if length else []
     if length > PART:
-        most = budget_of(PART, rate) if length > WINDOW else 0
-        out.append(Strip(item, text, PART, _starts(length, PART, STEP), most))
+        out.append(Strip(item, text, PART, _starts(length, PART, STEP), budget_of(PART, rate)))
     return out
 
 
@@ -240,11 +239,10 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, doc_id: str
     """Where documents hold benchmark items: ``doc_id``, ``item_id``, ``start``, ``stop``, ``edits``.
 
     Both sides are compared in lower case with white space as single blanks; ``start`` and ``stop`` count code points
-    of that form. An item of up to 120 characters is found if a stretch of the document is within ``rate`` edits a
-    character of it, or if the document holds one of its parts of 60 characters as it is; a longer one if a stretch is
-    within ``rate`` edits a character of one of its windows of 120 characters, which overlap by half, or of one of its
-    parts of 60. A part begins every 10 characters, so each excerpt of 69 characters holds one. ``edits`` are those of
-    the longest windows found.
+    of that form. An item is found if a stretch of the document is within ``rate`` edits a character of it, or of one of
+    its windows of 120 characters, which overlap by half, or of one of its parts of 60. A part begins every 10 characters,
+    so each excerpt of 69 characters holds one, whatever the length of the item. ``edits`` are those of the longest
+    windows found.
 
     The benchmark is the query set: its items are held against all documents in blocks of at most ``BLOCK_CHARS``
     characters, one pass without a shuffle each; an item longer than that is a block of its own. Items or documents
@@ -252,19 +250,24 @@ def find(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, doc_id: str
     matches in one document, overlapping ones are one row.
     """
     ready(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    found = None
+    for texts in _blocks(benchmark):
+        got = rows.mapInArrow(_searcher(texts, rate), SCHEMA)
+        found = got if found is None else found.unionByName(got)
+    return found
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
+    """The different items in plain form, in blocks of a bounded number of characters; one empty block if there is none."""
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item"), F.col("text").cast("string").alias("text")).where(
         "text is not null"
     )
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(2 * chars / BLOCK_CHARS))
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    found = None
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block)
-        texts = sorted({(-1 if r["item"] is None else r["item"], plain(r["text"])) for r in part.toLocalIterator()})
-        got = rows.mapInArrow(_searcher(texts, rate), SCHEMA)
-        found = got if found is None else found.unionByName(got)
-    return found
+        yield sorted({(r["item"], plain(r["text"])) for r in part.toLocalIterator()}, key=str)
 
 
 #: The index a worker has built last; the name tells whether it belongs to the running search.
@@ -284,18 +287,26 @@ def groups(texts: Iterator[str]) -> Iterator[tuple[int, list[str]]]:
         yield low, some
 
 
-def _searcher(items: list[tuple[int, str]], rate: float):
+def _indexed(name: str, items: list[tuple[int | None, str]], rate: float) -> Index:
+    if name not in _BUILT:
+        _BUILT.clear()
+        _BUILT[name] = Index(items, rate)
+    return _BUILT[name]
+
+
+def _searcher(items: list[tuple[int | None, str]], rate: float):
     name = uuid.uuid4().hex
+    # an id that no item has stands for null
+    none = min((i for i, _ in items if i is not None), default=0) - 1
+    items = [(none if i is None else i, text) for i, text in items]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _BUILT:
-            _BUILT.clear()
-            _BUILT[name] = Index(items, rate)
-        index = _BUILT[name]
+        index = _indexed(name, items, rate)
         for batch in batches:
             keys, out = batch.column(0).to_pylist(), []
             for low, texts in groups(plain(value.as_py()) for value in batch.column(1)):
-                out += [(keys[low + place], *row) for place, *row in index.search(texts)]
+                for place, item, *row in index.search(texts):
+                    out.append((keys[low + place], None if item == none else item, *row))
             columns = list(zip(*out)) or [[]] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "start", "stop", "edits"]
@@ -304,9 +315,25 @@ def _searcher(items: list[tuple[int, str]], rate: float):
     return run
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with their columns unchanged; rows with a null id are judged by
-    the same search, and go if any of them holds one."""
-    gone = fresh(docs, "__leak")
-    leaks = find(docs, benchmark, rate, doc_id, text).select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(leaks, F.col(doc_id).cast("bigint").eqNullSafe(F.col(gone)), "left_anti")
+def _clear(items: list[tuple[int | None, str]], rate: float):
+    name = uuid.uuid4().hex
+    items = [(i, text) for i, (_, text) in enumerate(items)]
+
+    @F.pandas_udf("boolean")
+    def clear(texts: pd.Series) -> pd.Series:
+        index, hit = _indexed(name, items, rate), set()
+        for low, some in groups(plain(t if isinstance(t, str) else None) for t in texts):
+            hit |= {low + place for place, *_ in index.search(some)}
+        return pd.Series([i not in hit for i in range(len(texts))], dtype=bool)
+
+    return clear
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.08, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no benchmark item, with their columns unchanged. Each row is judged by its own
+    text, where it is: ids play no part, and nothing is shuffled."""
+    ready(docs.sparkSession)
+    mark = fresh(docs, "__clear")
+    for items in _blocks(benchmark):
+        docs = docs.withColumn(mark, _clear(items, rate)(F.col(text).cast("string"))).where(F.col(mark)).drop(mark)
+    return docs

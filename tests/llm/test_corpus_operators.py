@@ -161,7 +161,7 @@ def altered(rng, text, n):
 
 
 def test_leaks_against_a_plain_search(spark):
-    """Short items, so that each is one window: a row exactly where some stretch is within the budget."""
+    """Short items, each one window and its parts: a row exactly where some stretch is within a budget."""
     rng = random.Random(12)
     prose = lambda n: "".join(rng.choice("abcdefgh tion the ") for _ in range(n))
     items = [(i, leaks.plain(prose(rng.randint(30, 118)))) for i in range(12)]
@@ -176,15 +176,38 @@ def test_leaks_against_a_plain_search(spark):
     for k, doc in enumerate(docs[:-1]):
         text = leaks.plain(doc)
         for i, item in items:
-            fewest = edits(item, text)
-            assert ((k, i) in got) == (fewest <= leaks.budget_of(len(item), 0.08)), (k, i, fewest, len(item))
-            if (k, i) in got:
+            fewest, size = edits(item, text), leaks.PART
+            parts = [item[a : a + size] for a in leaks._starts(len(item), size, leaks.STEP)] if len(item) > size else []
+            near = fewest <= leaks.budget_of(len(item), 0.08)
+            assert ((k, i) in got) == (near or any(edits(p, text) <= leaks.budget_of(size, 0.08) for p in parts)), (k, i, fewest, len(item))
+            if near:
                 assert got[k, i]["edits"] == fewest
     clean = leaks.without_leaks(df, bench)
     assert clean.columns == df.columns
     assert {r["doc_id"] for r in clean.collect()} == set(range(len(docs))) - {k for k, _ in got}
 
 
+def test_one_rule_for_excerpts_of_items_of_any_length(spark):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    items = [(n, leaks.plain(" ".join(word() for _ in range(80)))[:n].strip().ljust(n, "z")) for n in (100, 118, 119, 120, 121, 122, 200)]
+    docs = [(n, "q " * 30 + t[10:50] + "Q" + t[51:90] + " r" * 30) for n, t in items]  # 80 characters with one typo
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leaks.find(df, bench).collect()}
+    assert got == {(n, n) for n, _ in items}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    leak = "this passage is part of the benchmark and nobody is meant to train on any of it at all"
+    rows = [(None, leak, 1), (None, "clean", 2), (3, "clean", 3), (3, "so it goes: " + leak, 4), (3, None, 5), (3, "", 6)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, __clear int")
+    bench = spark.createDataFrame([(None, leak), (-1, "another item that is long enough to be found if it is there")], "item_id bigint, text string")
+    assert sorted(r["__clear"] for r in leaks.without_leaks(df, bench).collect()) == [2, 3, 5, 6]
+    assert {(r["doc_id"], r["item_id"]) for r in leaks.find(df, bench).collect()} == {(None, None), (3, None)}
+    assert leaks.without_leaks(df, bench.limit(0)).count() == 6
+
+
 def test_leaks_of_parts_blocks_and_nothing(spark, monkeypatch):
     rng = random.Random(5)
     items = [(i, "".join(rng.choice("abcdefghij klmnop") for _ in range(400))) for i in range(6)]
