@@ -254,12 +254,18 @@ def rescale_rows(spark, sf_dir):
     return counts.agg(F.sum("n").alias("n_rows"), F.count("*").alias("partitions"))
 
 
-@query("SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey BETWEEN (SELECT min(o_orderkey) FROM orders) AND (SELECT min(o_orderkey) + 999 FROM orders)")
-def sequence_lookup(spark, sf_dir):
-    """Whole numbers between two ends, both included, looked up as order keys."""
+@query(
+    """SELECT o_orderkey, o_orderstatus IS NOT NULL AS taken, o_orderstatus
+    FROM (SELECT unnest(range(min(o_orderkey), max(o_orderkey) + 1)) AS o_orderkey FROM orders) LEFT JOIN orders USING (o_orderkey)"""
+)
+def sequence_range(spark, sf_dir):
+    """Whole numbers from the first order key to the last, both included, looked up as order keys."""
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
-    low = orders.agg(F.min("o_orderkey")).first()[0] or 0
-    return src.sequence(spark, low, low + 999, "o_orderkey").join(orders, "o_orderkey")
+    low, high = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    keys = src.sequence(spark, low, high, "o_orderkey") if low is not None else orders.select("o_orderkey")
+    return keys.join(orders, "o_orderkey", "left").select(
+        "o_orderkey", F.col("o_orderstatus").isNotNull().alias("taken"), "o_orderstatus"
+    )
 
 
 @query("SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY 1")

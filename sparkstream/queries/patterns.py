@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sparkstream.operators.patterns import Pattern, match
-from sparkstream.operators.rules import match_rules
+from sparkstream.operators.rules import match_indexed, match_rules
 from sparkstream.queries.joins import HOUR
 from sparkstream.queries.registry import query
 from sparkstream.sources.basic import from_rows
@@ -221,3 +221,33 @@ def rule_matches(spark, sf_dir):
         F.map_concat(k, F.create_map(F.lit("value"), "value")).alias("fields"),
     )
     return match_rules(events, rules).select("event_id", "rule_id")
+
+
+CUSTOMER_RULES = """SELECT c_custkey AS rule_id, c_custkey AS user_id,
+      CASE c_custkey % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'purchase' END AS event_type, c_nationkey AS least FROM customer"""
+
+
+@query(
+    f"""SELECT e.event_id, r.rule_id FROM events e JOIN ({CUSTOMER_RULES}) r
+      ON e.user_id = r.user_id AND e.event_type = r.event_type AND e.value > r.least
+    UNION ALL SELECT e.event_id, -1 - n_nationkey AS rule_id FROM events e JOIN nation
+      ON e.event_type = 'error' AND e.value >= 4 * n_nationkey AND e.value < 4 * n_nationkey + 4"""
+)
+def rules_from_tables(spark, sf_dir):
+    """A rule for each customer (user, kind and a least value) and one for each nation (a range of values of errors)."""
+    number = "named_struct('field', 'value', 'op', '{}', 'value', cast({} as double))"
+    customers = load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("rule_id"),
+        F.expr("""array(named_struct('field', 'user_id', 'value', cast(c_custkey as string)), named_struct('field', 'event_type',
+          'value', CASE c_custkey % 3 WHEN 0 THEN 'view' WHEN 1 THEN 'click' ELSE 'purchase' END))""").alias("equals"),
+        F.expr(f"array({number.format('>', 'c_nationkey')})").alias("bounds"),
+    )
+    nations = load(spark, sf_dir, "nation").select(
+        F.expr("cast(-1 - n_nationkey as bigint)").alias("rule_id"),
+        F.expr("array(named_struct('field', 'event_type', 'value', 'error'))").alias("equals"),
+        F.expr(f"array({number.format('>=', '4 * n_nationkey')}, {number.format('<', '4 * n_nationkey + 4')})").alias("bounds"),
+    )
+    events = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    fields = {name: F.col(name) for name in ("user_id", "event_type", "value")}
+    rules = customers.withColumn("rule_id", F.col("rule_id").cast("bigint")).unionByName(nations)
+    return match_indexed(events, rules, fields).select("event_id", "rule_id")

@@ -7,10 +7,12 @@ after a failure reads the same input and overwrites the same output, so results
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.window import Window
 
@@ -24,7 +26,7 @@ from sparkstream.operators.windows import block_windows, top_n_per
 from sparkstream.plans.scan import Running, running_count, scan
 from sparkstream.streaming import files
 from sparkstream.streaming.sinks import BATCH, last_per_key, read_batches, write_batch
-from sparkstream.streaming.store import KeyedLog
+from sparkstream.streaming.store import BUCKET, BUCKETS, KeyedLog
 
 
 def enrich_stream(
@@ -307,10 +309,11 @@ def match_stream(
 ) -> DataStreamWriter:
     """Patterns over a stream, in event time, with rows up to ``delay_us`` out of order.
 
-    Rows wait until the watermark (largest time seen - delay) has passed them. Each micro-batch matches
-    the rows released so far that are young enough to matter, and keeps the matches that this batch
-    completed. Rows older than watermark - within are forgotten. Under ``path``:
-    ``matches``, ``timeouts`` and ``late`` hold the outputs, ``arrived``, ``buffer`` and ``marks`` the state.
+    Rows wait until the watermark (largest time seen - delay) has passed them. Each row is written once, in the slice of
+    its micro-batch; the commit record names the slices with their times. A micro-batch looks at the keys that have rows
+    between the last watermark and this one, or a start whose time ran out between them, and matches only their rows,
+    from the slices that reach into the time a match can take. Slices older than watermark - within are removed. Under
+    ``path``: ``matches``, ``timeouts`` and ``late`` hold the outputs, ``slices`` and ``commits`` the state.
     """
     if pattern.within_us is None:
         raise ValueError("a pattern over a stream needs within")
@@ -319,34 +322,77 @@ def match_stream(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before, held = None, None
-        if batch_id > 0:
-            before = spark.read.parquet(f"{path}/marks/{BATCH}={batch_id - 1}").first()[0]
-            held = spark.read.parquet(f"{path}/buffer/{BATCH}={batch_id - 1}")
-        fresh = _landed(batch.select(*cols), f"{path}/arrived", batch_id)
-        newest = fresh.agg(F.max(F.unix_micros(t))).first()[0]
-        mark = max((m for m in (before, None if newest is None else newest - delay_us) if m is not None), default=None)
-        spark.createDataFrame([(mark,)], "mark BIGINT").write.mode("overwrite").parquet(f"{path}/marks/{BATCH}={batch_id}")
+        held = _slices(spark, path, batch_id - 1)
+        before = held["mark"]
         at = F.unix_micros(t)
         # a row without a time can never be released: it is set aside with the late ones
-        in_time = at.isNotNull() if before is None else F.coalesce(at > before, F.lit(False))
-        on_time = fresh.where(in_time)
-        write_batch(fresh.where(~in_time), f"{path}/late", batch_id)
-        rows = on_time if held is None else held.unionByName(on_time)
-        _advance(rows, pattern, key, order, keep, t, before, mark, path, batch_id, select)
-        kept = rows if mark is None else rows.where(at > mark - pattern.within_us)
-        write_batch(kept, f"{path}/buffer", batch_id)
+        late = at.isNull() if before is None else F.coalesce(at <= before, F.lit(True))
+        here = f"{path}/slices/{batch_id}"
+        bucket = F.pmod(F.xxhash64(*key), F.lit(BUCKETS)) if key else F.lit(0)
+        sorted_ = batch.select(*cols, bucket.cast("int").alias(BUCKET), late.alias("__late")).sortWithinPartitions(BUCKET)
+        sorted_.write.mode("overwrite").partitionBy("__late").parquet(here)
+        schema = batch.select(*cols).schema
+        found = files.names(spark, here)
+        slices, mark = list(held["slices"]), before
+        if "__late=false" in found:
+            low, high = spark.read.schema(schema).parquet(f"{here}/__late=false").agg(F.min(at), F.max(at)).first()
+            slices.append({"name": f"{batch_id}/__late=false", "low": low, "high": high})
+            mark = max(m for m in (before, high - delay_us) if m is not None)
+        if "__late=true" in found:
+            write_batch(spark.read.schema(schema).parquet(f"{here}/__late=true"), f"{path}/late", batch_id)
+        elif batch_id == 0:
+            write_batch(spark.createDataFrame([], schema), f"{path}/late", batch_id)
+        if mark is not None:
+            _advance(_young(spark, path, slices, schema, pattern, key, t, before, mark), pattern, key, order, keep, t, before, mark, path, batch_id, select)
+        young = [x for x in slices if mark is None or x["high"] > mark - pattern.within_us]
+        record = {"mark": mark, "slices": young, "schema": schema.json()}
+        files.write_text(spark, f"{path}/commits/{batch_id}.json", json.dumps(record))
+        named = {x["name"].split("/")[0] for x in [*held["slices"], *young]}
+        for name in files.names(spark, f"{path}/slices"):
+            if name not in named:
+                files.remove(spark, f"{path}/slices/{name}")
 
     return events.writeStream.foreachBatch(on_batch)
 
 
+def _slices(spark, path: str, batch_id: int) -> dict:
+    text = files.read_text(spark, f"{path}/commits/{batch_id}.json") if batch_id >= 0 else None
+    return json.loads(text) if text else {"mark": None, "slices": [], "schema": None}
+
+
+def _young(spark, path: str, slices: list[dict], schema, pattern: Pattern, key, t: str, before: int | None, mark: int | None) -> DataFrame:
+    """Rows up to ``mark`` (all when None) that matches or timeouts after ``before`` can hold, of the keys that have any."""
+    at = F.unix_micros(t)
+    least = None if before is None else before - pattern.within_us
+
+    def between(low: int | None, high: int | None) -> DataFrame:
+        some = [x["name"] for x in slices if (low is None or x["high"] > low) and (high is None or x["low"] <= high)]
+        wide = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        rows = spark.read.schema(wide).parquet(*[f"{path}/slices/{n}" for n in some]) if some else spark.createDataFrame([], wide)
+        if low is not None:
+            rows = rows.where(at > low)
+        return rows if high is None else rows.where(at <= high)
+
+    rows = between(least, mark)
+    if not key or before is None:
+        return rows.drop(BUCKET)
+    due = between(least, None if mark is None else mark - pattern.within_us)
+    if pattern.stages[0].cond is not None:
+        due = due.where(pattern.stages[0].cond)
+    touched = between(before, mark).select(*key, BUCKET).unionByName(due.select(*key, BUCKET)).distinct()
+    return rows.join(touched, [*key, BUCKET], "left_semi").drop(BUCKET)
+
+
 def flush_matches(
     spark, pattern: Pattern, key, t: str, tie, path: str, last_batch: int, keep=(), select=None
 ) -> None:
     """End of the stream: treat everything still waiting as released, and open starts as timed out."""
-    before = spark.read.parquet(f"{path}/marks/{BATCH}={last_batch}").first()[0]
-    rows = spark.read.parquet(f"{path}/buffer/{BATCH}={last_batch}")
-    _advance(rows, pattern, key, [t, *tie], keep, t, before, None, path, last_batch + 1, select)
+    held = _slices(spark, path, last_batch)
+    if held["schema"] is None:
+        return
+    schema = T.StructType.fromJson(json.loads(held["schema"]))
+    rows = _young(spark, path, held["slices"], schema, pattern, key, t, held["mark"], None)
+    _advance(rows, pattern, key, [t, *tie], keep, t, held["mark"], None, path, last_batch + 1, select)
 
 
 def _advance(rows, pattern, key, order, keep, t, before, mark, path, batch_id, select) -> None:
