@@ -284,10 +284,11 @@ def one_of_each(
     marked = docs.withColumns({
         names["doc_id"]: F.col(doc_id).cast("bigint"), names["copy"]: F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
     })
+    # the same plan at every size: rows go once to their id and digest, for both joins
     to = judged.select(F.col("doc_id").alias(names["doc_id"]), F.col("copy").alias(names["copy"]), "say")
     on = [names["doc_id"], names["copy"]]
-    alone = marked.join(to.drop("say"), on, "left_anti").select(*docs.columns)
-    several = marked.join(to.where("say = 'one'").drop("say"), on, "left_semi")
+    alone = marked.join(to.drop("say").hint("merge"), on, "left_anti").select(*docs.columns)
+    several = marked.join(to.where("say = 'one'").drop("say").hint("merge"), on, "left_semi")
     rank = F.row_number().over(Window.partitionBy(*on).orderBy(names["doc_id"]))
     one = several.withColumn(names["rank"], rank).where(F.col(names["rank"]) == 1).select(*docs.columns)
     return alone.unionByName(one)
