@@ -7,19 +7,24 @@ from pyspark.sql import functions as F
 
 from sparkstream.llm.common import ready
 
-# Equivalent spellings, as licence matching guidelines list them; the left one becomes the right one.
+# Equivalent spellings, as licence matching guidelines list them; the left one becomes the right one,
+# wherever blanks stand for marks and line ends.
 SPELLINGS = (
-    ("licence", "license"), ("licencing", "licensing"), ("sub-license", "sublicense"), ("non-commercial", "noncommercial"),
+    ("licence", "license"), ("licencing", "licensing"), ("sub license", "sublicense"), ("non commercial", "noncommercial"),
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("authoris", "authoriz"), ("centre", "center"),
     ("favour", "favor"), ("fulfilment", "fulfillment"), ("judgement", "judgment"), ("labelled", "labeled"),
     ("organis", "organiz"), ("recognis", "recogniz"), ("utilis", "utiliz"), ("whilst", "while"), ("per cent", "percent"),
-    ("copyright owner", "copyright holder"), ("https://", "http://"),
+    ("copyright owner", "copyright holder"), ("https", "http"),
 )
 
-#: A copyright line: it opens with the word or the sign, after comment marks at most.
-COPYRIGHT = r"(^|\n)[ \t*#/;-]*(copyright|\(c\)|©)[^\n]*"
+#: A copyright line: after comment marks at most, it opens with the sign, or with the word or a bracketed c and has a sign, a year or
+#: a place for one, or reserves rights. A line that a wrap makes begin with the word is none, nor is an item (c) of a list.
+COPYRIGHT = (
+    r"(^|\n)[ \t*#/;-]*(©|copyright[^\n]*(©|\(c\)|[12][0-9][0-9][0-9]|[\[<{](year|yyyy)|rights reserved)"
+    r"|\(c\)[ \t]*(copyright|[\[<{(]?(year|yyyy|[12][0-9][0-9][0-9])))[^\n]*"
+)
 #: Each known text holds one of these, so a text without any is none of them.
-KEY = r"licen[cs]|rights|permission|public domain|warrant"
+KEY = r"licen[cs]|rights|permission|public domain|warrant|redistribution"
 
 _WITHOUT_WARRANTY = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE '
@@ -40,8 +45,64 @@ _ISC_REST = (
     "ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 )
 
+_BSD_GRANT = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_NAME = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived "
+    "from this software without specific prior written permission. "
+)
+_BSD_REST = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT '
+    "NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL "
+    "THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES "
+    "(INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE "
+    "OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+    "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or "
+    "non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate "
+    "any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at "
+    "large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+    "perpetuity of all present and future rights to this software under copyright law. "
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, "
+    "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE "
+    "SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+    "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+    "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this "
+    "software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a "
+    "product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must "
+    "be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or "
+    "altered from any source distribution."
+)
+_MPL = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
+    "this file, You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+
+
+def _gnu_header(name: str, version: str) -> str:
+    """The notice that the GNU licences ask for at the head of a file."""
+    return (
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the {name} as published by the "
+        f"Free Software Foundation, either version {version} of the License, or (at your option) any later version. This program is "
+        "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
+        f"or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details. You should have received a copy of the {name} along "
+        "with this program. If not, see <https://www.gnu.org/licenses/>."
+    )
+
+
 # Identifiers and texts of licences and of the notices that point to them.
-KNOWN = (
+_TEXTS = (
     ("MIT", _MIT_GRANT + ", subject to the following conditions: The above copyright notice and this permission notice shall be included "
             "in all copies or substantial portions of the Software. " + _WITHOUT_WARRANTY),
     ("MIT", "MIT License\n" + _MIT_GRANT + ", subject to the following conditions: The above copyright notice and this permission notice "
@@ -64,23 +125,59 @@ KNOWN = (
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC0-1.0", "This work is dedicated to the public domain."),
     ("reserved", "All rights reserved."),
+    ("BSD-2-Clause", _BSD_GRANT + _BSD_REST),
+    ("BSD-2-Clause", "BSD 2-Clause License\n" + _BSD_GRANT + _BSD_REST),
+    ("BSD-3-Clause", _BSD_GRANT + _BSD_NAME + _BSD_REST),
+    ("BSD-3-Clause", "BSD 3-Clause License\n" + _BSD_GRANT + _BSD_NAME + _BSD_REST),
+    ("Unlicense", _UNLICENSE),
+    ("Unlicense", _UNLICENSE + " For more information, please refer to <https://unlicense.org>"),
+    ("Unlicense", _UNLICENSE + " For more information, please refer to <https://unlicense.org/>"),
+    ("Zlib", _ZLIB),
+    ("MPL-2.0", _MPL),
+    ("GPL-2.0-or-later", _gnu_header("GNU General Public License", "2")),
+    ("GPL-3.0-or-later", _gnu_header("GNU General Public License", "3")),
+    ("LGPL-3.0-or-later", _gnu_header("GNU Lesser General Public License", "3")),
+    ("AGPL-3.0-or-later", _gnu_header("GNU Affero General Public License", "3")),
+)
+
+# Identifiers that a tag line may name, and the names of licences in notices of one sentence.
+TAGGED = (
+    "MIT", "MIT-0", "ISC", "0BSD", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", "Unlicense", "Zlib", "BSL-1.0", "EPL-2.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0",
 )
+NAMED = (
+    ("MIT", "MIT License"), ("ISC", "ISC License"), ("BSD-2-Clause", "BSD 2-Clause License"), ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("Apache-2.0", "Apache License, Version 2.0"), ("Apache-2.0", "Apache License 2.0"), ("Apache-2.0", "Apache 2.0 License"),
+    ("MPL-2.0", "Mozilla Public License 2.0"), ("MPL-2.0", "Mozilla Public License, version 2.0"), ("Unlicense", "Unlicense license"),
+    ("GPL-2.0", "GNU General Public License v2.0"), ("GPL-3.0", "GNU General Public License v3.0"),
+    ("LGPL-3.0", "GNU Lesser General Public License v3.0"), ("AGPL-3.0", "GNU Affero General Public License v3.0"),
+)
+NOTICES = ("Licensed under the {}.", "Released under the {}.", "Distributed under the {}.", "This project is licensed under the {}.")
+
+KNOWN = (
+    *_TEXTS,
+    *[(name, f"SPDX-License-Identifier: {name}") for name in TAGGED],
+    *[(name, notice.format(title)) for name, title in NAMED for notice in NOTICES],
+)
 
 
 def canonical(text) -> F.Column:
-    """Lower case, no copyright lines, one of each equivalent spelling, and one blank for whatever is no letter or digit."""
+    """Lower case, no copyright lines, one blank for whatever is no letter or digit, and one of each equivalent spelling."""
     out = F.regexp_replace(F.lower(text), COPYRIGHT, "\n")
+    out = F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
-    return F.trim(F.regexp_replace(out, r"[^\p{L}\p{N}]+", " "))
+    return out
 
 
 def canonical_sql(text: str) -> str:
     """The same in SQL, for an expression ``text``."""
     out = f"regexp_replace(lower({text}), '{COPYRIGHT}', chr(10), 'g')"
+    out = f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     for one, other in SPELLINGS:
         out = f"replace({out}, '{one}', '{other}')"
-    return f"trim(regexp_replace({out}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
+    return out
 
 
 def known_table(spark, known=KNOWN) -> DataFrame:

@@ -23,6 +23,9 @@ SCHEMA = (
 )
 #: Labelled documents the model is fitted on, at most about so many; everything else covers all rows.
 SAMPLE = 600
+#: The fit takes sampled texts of up to so many characters, and of each at most so many stretches of so many lines, spread
+#: evenly over the text. Rows are judged on all of their lines, whatever their length.
+FIT_CHARS, FIT_STRETCHES, STRETCH = 200_000, 8, 256
 FEATURES = ("bias", "symbols", "capitals", "repeats", "marks", "digits", "length", "word_length", "copied", "lone_words")
 BOILERPLATE, CONTENT = 0, 1
 
@@ -89,20 +92,29 @@ def repeated_words(words: list[str]) -> int:
     return sum(hit)
 
 
+def stretches(n: int, size: int = STRETCH, most: int = FIT_STRETCHES) -> list[tuple[int, int]]:
+    """``(from, to)`` of the lines that the fit takes of a text of ``n`` lines: all of them, or ``most`` stretches."""
+    starts = range(0, n, size)
+    if len(starts) > most:
+        starts = [starts[k * (len(starts) - 1) // (most - 1)] for k in range(most)]
+    return [(a, min(a + size, n)) for a in starts]
+
+
 def fit_crf(texts: list[str | None], good: list[bool], rounds: int = 300, penalty: float = 1e-5) -> Crf:
     """Fits the CRF to line labels that follow from the labels of documents, by gradient ascent on its likelihood.
 
     A line of a good document is content. A line of another document is boilerplate, unless a good document has the
-    same line. With no text at all, every line counts as content.
+    same line. With no text at all, every line counts as content. Long texts enter as stretches of lines
+    (:func:`stretches`), so the memory follows the number of texts and not the longest one.
     """
     known = {line for t, g in zip(texts, good) if g for line in (t or "").split("\n")}
     rows, labels, lengths = [], [], []
     for text, fine in zip(texts, good):
         lines, copied = lines_of(text)
-        if lines:
-            rows.append(matrix(lines, copied))
-            labels.append(np.array([fine or line in known for line in lines], dtype=np.int64))
-            lengths.append(len(lines))
+        for a, b in stretches(len(lines)):
+            rows.append(matrix(lines[a:b], copied[a:b]))
+            labels.append(np.array([fine or line in known for line in lines[a:b]], dtype=np.int64))
+            lengths.append(b - a)
     weights, move = np.zeros(len(FEATURES)), np.zeros((2, 2))
     if not rows:
         weights[0] = 1.0
@@ -153,7 +165,8 @@ def fit_crf(texts: list[str | None], good: list[bool], rounds: int = 300, penalt
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text") -> Crf:
     """Fits the CRF on about ``sample`` labelled documents, chosen by a hash of their ids (all, if they are fewer).
 
-    Both quality labels get half of the sample. Documents with contradicting labels are left out.
+    Both quality labels get half of the sample. Documents with contradicting labels are left out, and so are texts of
+    more than ``FIT_CHARS`` characters, which do not travel to the driver.
     """
     ready(docs.sparkSession)
     marks = (
@@ -170,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, doc_id: str
     chosen = marks.where(F.col("draw") < bound).orderBy("draw").limit(2 * sample)
     rows = docs.select(F.col(doc_id).cast("bigint").alias("key"), F.col(text).cast("string").alias("text")).join(
         F.broadcast(chosen), "key"
-    )
+    ).where(F.coalesce(F.length("text"), F.lit(0)) <= FIT_CHARS)
     got = sorted({(r["key"], r["text"] or "", r["good"]) for r in rows.select("key", "text", "good").collect()})
     return fit_crf([t for _, t, _ in got], [g for _, _, g in got])
 

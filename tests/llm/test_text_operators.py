@@ -1,8 +1,10 @@
 """Operators on single texts: extraction, rules, languages, pieces, urls, licences, chat, packing."""
 
 import hashlib
+import itertools
 import random
 import re
+import textwrap
 
 import numpy as np
 import public_tokenizers
@@ -216,6 +218,48 @@ def test_line_labels_of_held_out_documents(spark, sf_dir):
     assert all(r["kept"] for r in test if r["quality"]) or np.mean([r["kept"] for r in test if r["quality"]]) > 0.95
 
 
+def test_fit_of_long_texts_is_bounded():
+    """One text of 200 000 lines among many: the fit takes stretches of it, and the model still tells the lines apart."""
+    assert linecrf.stretches(0) == [] and linecrf.stretches(300, 256) == [(0, 256), (256, 300)]
+    some = linecrf.stretches(200_000, 256, 8)
+    assert len(some) == 8 and some[0] == (0, 256) and some[-1][1] == 200_000
+    good = [f"An ordinary line of prose number {i} with some words in it.\n" * 3 for i in range(40)]
+    bad = ["$$$ BUY NOW !!! ### CLICK <<< HERE >>>\n" * 5 for _ in range(39)]
+    model = linecrf.fit_crf([*good, *bad, "### $$$ BUY\n" * 200_000], [True] * 40 + [False] * 40, rounds=40)
+    _, _, _, shares = linecrf.measure([good[0] * 30, bad[0] * 30], model, 0.5)
+    assert shares[0] > 0.9 and shares[1] < 0.1
+
+
+def plain_likelihood(lines, labels, weights, move):
+    """The log-likelihood of a label sequence by listing all sequences."""
+    score = lambda path: sum(float(x @ weights) * k for x, k in zip(lines, path)) + sum(move[a, b] for a, b in zip(path, path[1:]))
+    every = [score(p) for p in itertools.product((0, 1), repeat=len(lines))]
+    return score(labels) - np.logaddexp.reduce(every)
+
+
+def test_fit_climbs_the_likelihood():
+    """The fitted weights reach the likelihood, counted by brute force, that plain ascent on it reaches."""
+    texts = ["Good prose line here.\nAnother fine line 7.\nBUY $$$ NOW", "BUY $$$ NOW\n### !!!\nfine line", "Fine line.\n$$ $$", "## ## ##"]
+    good = [True, False, True, False]
+    model = linecrf.fit_crf(texts, good, rounds=3000, penalty=0.02)
+    known = {line for t, g in zip(texts, good) if g for line in t.split("\n")}
+    cases = []
+    for t, g in zip(texts, good):
+        lines, copied = linecrf.lines_of(t)
+        cases.append((linecrf.matrix(lines, copied), tuple(int(g or line in known) for line in lines)))
+    total = sum(len(y) for _, y in cases)
+
+    def value(point):
+        weights, move = point[:-4], point[-4:].reshape(2, 2)
+        return sum(plain_likelihood(x, y, weights, move) for x, y in cases) / total - 0.01 * float(point @ point)
+
+    climbed = np.zeros(len(model.weights) + 4)
+    for _ in range(400):
+        climbed += [(value(climbed + step) - value(climbed - step)) / 2e-4 for step in 1e-4 * np.eye(len(climbed))]
+    fitted = value(np.concatenate([model.weights, model.move.ravel()]))
+    assert value(0 * climbed) + 0.2 < value(climbed) and fitted > value(climbed) - 2e-3
+
+
 def test_quality_odd_rows(spark):
     docs = odd_docs(spark)
     model = linecrf.learn(docs, spark.createDataFrame([], "doc_id bigint, quality int"))
@@ -341,6 +385,37 @@ def test_licences(spark):
     assert got[6] == ("reserved", "reserved", 2)
     assert licences.scan(docs.limit(0)).count() == 0
     assert all(re.search(licences.KEY, t.lower()) for _, t in licences.KNOWN)
+    digests = [(r["licence"], r["digest"]) for r in licences.known_table(spark).collect()]
+    assert len({d for _, d in digests}) == len(digests), "no text stands for two licences"
+
+
+def test_licence_texts_in_any_wrapping(spark):
+    """Full texts wrapped at every width, with copyright lines of several kinds and comment marks, are still known."""
+    names = ("MIT", "BSD-3-Clause", "BSD-2-Clause", "Unlicense", "Zlib", "MPL-2.0", "GPL-3.0-or-later")
+    full = {name: max((t for n, t in licences.KNOWN if n == name), key=len) for name in names}
+    owners = ("Copyright (c) 2020 Somebody", "Copyright 1999-2024 The Authors. All rights reserved.", "© Somebody", "(c) 2001 A. Body",
+              "Copyright [yyyy] [name of owner]", "Copyright Somebody, 2011", "")
+    rows, want = [], {}
+    for name, text in full.items():
+        for width in range(50, 100):
+            lines = textwrap.wrap(text, width)
+            mark = ("", "# ", " * ", "// ")[width % 4]
+            want[len(rows)] = name
+            rows.append((len(rows), "\n".join(mark + line for line in [owners[width % len(owners)], "", *lines])))
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == want
+
+
+def test_licence_notices(spark):
+    texts = [
+        ("// SPDX-License-Identifier: Apache-2.0\nint x;", "Apache-2.0"), ("# spdx-license-identifier: MIT", "MIT"),
+        ("This project is licensed under the BSD 3-Clause Licence", "BSD-3-Clause"), ("released under the Apache License 2.0", "Apache-2.0"),
+        ("copyright notices must be kept\nCopyright holders be liable", ""), ("(c) You must retain all copyright notices", ""),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["notices"] for r in licences.scan(docs).collect()} == {i: n for i, (_, n) in enumerate(texts)}
+    kept = docs.where("doc_id >= 4").select(licences.canonical(F.col("text")).alias("c")).collect()
+    assert {r["c"] for r in kept} == {"copyright notices must be kept copyright holders be liable", "c you must retain all copyright notices"}
 
 
 # ---------------------------------------------------------------- chat
