@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -13,11 +14,9 @@ from pyspark.sql import functions as F
 
 from sparkstream.llm.common import ready
 
-TAG = re.compile(
-    r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<raw>.*?)(?:\]\]>|$)|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*(?:>|$)",
-    re.DOTALL,
-)
+OPENING = re.compile(r"<(?:(?P<comment>!--)|(?P<raw>!\[CDATA\[)|(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)|[!?/])")
+MARK = re.compile(r"[>\"']")
+NUMBER = re.compile(r"&#(?:0*([0-9]+)|([xX])0*([0-9a-fA-F]+))")
 ATTRIBUTE = re.compile(r"([a-zA-Z_:-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 # Element names of HTML, by what they mean for a block.
@@ -100,6 +99,76 @@ def _is_chrome(name: str, rest: str, parts: bool = True) -> str:
     return why
 
 
+class Tag(NamedTuple):
+    """Markup from ``start`` to ``end``; comments and declarations have no name. ``raw`` is text that stands as it is."""
+
+    start: int
+    end: int
+    name: str | None = None
+    closing: bool = False
+    rest: str = ""
+    raw: str | None = None
+
+
+class Tags:
+    """The markup of a page from any place on, in time that follows the length of the page, whatever is in it.
+
+    A quoted attribute may hold ``>``. A quote that is never closed is a mark like any other. A tag whose ``>`` all lie in
+    quotes ends at the first of them, and so does every tag behind it. Without any ``>`` behind it, ``<`` is text.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.unclosed, self.plain = page, set(), False
+
+    def next(self, at: int) -> Tag | None:
+        page = self.page
+        found = OPENING.search(page, at)
+        if not found:
+            return None
+        start, inside = found.span()
+        if found["comment"]:
+            end = page.find("-->", inside)
+            return Tag(start, end + 3 if end >= 0 else len(page))
+        if found["raw"]:
+            end = page.find("]]>", inside)
+            return Tag(start, end + 3 if end >= 0 else len(page), raw=page[inside : end if end >= 0 else len(page)])
+        if not found["name"]:
+            end = page.find(">", inside)
+            return Tag(start, end + 1 if end >= 0 else len(page))
+        end = self._end(inside)
+        return Tag(start, end + 1, found["name"].lower(), bool(found["end"]), page[inside:end]) if end >= 0 else None
+
+    def _end(self, at: int) -> int:
+        """Where the ``>`` of a tag is, or -1."""
+        first = self.page.find(">", at)
+        if first < 0 or self.plain:
+            return first
+        if not self.page.count("'", at, first) and self.page.count('"', at, first) % 2 == 0:
+            return first
+        while mark := MARK.search(self.page, at):
+            at = mark.end()
+            if mark[0] == ">":
+                return mark.start()
+            if mark[0] not in self.unclosed:
+                close = self.page.find(mark[0], at)
+                if close < 0:
+                    self.unclosed.add(mark[0])
+                else:
+                    at = close + 1
+        self.plain = True
+        return first
+
+
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers beyond any character, of any length, give the replacement character."""
+
+    def short(found: re.Match) -> str:
+        digits = found[1] or found[3]
+        return f"&#{found[2] or ''}{digits if len(digits) < 10 else '9999999'}"
+
+    return html.unescape(NUMBER.sub(short, text) if "&#" in text else text)
+
+
 def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
     """The text blocks of a page in order. A block ends at any tag that is not inline; white space inside is one space.
 
@@ -111,11 +180,12 @@ def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
     stack: list[tuple[str, str, int]] = [("", "page", 0)]
     parts: list[str] = []
     links, in_link, heading, zones, at, size = 0, 0, False, 0, 0, len(page)
+    tags, opened = Tags(page), Counter()
 
     def close() -> None:
         nonlocal parts, links, heading
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join(unescaped("".join(parts)).split())
             if text:
                 _, zone, zone_id = stack[-1]
                 if zone == "lead":  # of a header inside the article only the headings belong to it
@@ -124,41 +194,40 @@ def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
         parts, links = [], 0
 
     while at < size:
-        tag = TAG.search(page, at)
-        text = page[at : tag.start() if tag else size]
+        tag = tags.next(at)
+        text = page[at : tag.start if tag else size]
         if text:
             parts.append(text)
             if in_link:
                 links += len(" ".join(text.split()))
         if not tag:
             break
-        at = tag.end()
-        if tag["raw"] is not None:
-            parts.append(html.escape(tag["raw"]))
+        at, name = tag.end, tag.name
+        if tag.raw is not None:
+            parts.append(html.escape(tag.raw))
             continue
-        name = tag["name"]
         if name is None:
             continue
-        name = name.lower()
-        if name in HEADINGS and not tag["end"]:
+        if name in HEADINGS and not tag.closing:
             close()
             heading = True
             continue
         if name in INLINE:
             if name == "a":
-                in_link = 0 if tag["end"] else 1
+                in_link = 0 if tag.closing else 1
             continue
         close()
         heading = False
-        if tag["end"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth][0] == name:
-                    del stack[depth:]
+        if tag.closing:
+            while opened[name]:
+                last = stack.pop()[0]
+                opened[last] -= 1
+                if last == name:
                     break
             continue
         if name in VOID:
             continue
-        rest = tag["rest"] or ""
+        rest = tag.rest
         if name in RAW:
             found = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(page, at)
             at = found.end() if found else size
@@ -166,15 +235,16 @@ def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
         if rest.endswith("/") and name in DROPPED:
             continue
         _, zone, zone_id = stack[-1]
+        depth = len(stack)
         if name == "body":
-            stack = [("", "page", 0)]
+            stack, opened = [("", "page", 0)], Counter()
         elif name in DROPPED:
             zones += 1
             stack.append((name, "dropped", zones))
         elif zone == "dropped":
             stack.append((name, zone, zone_id))
         elif name != "html" and (why := _is_chrome(name, rest, parts_count)) and not (
-            why == "name" and (name == "main" or (name == "article" and all(x[0] != "article" for x in stack)))
+            why == "name" and (name == "main" or (name == "article" and not opened["article"]))
         ):
             zones += 1
             stack.append((name, "chrome" if why == "state" or zone == "chrome" else "named", zones))
@@ -186,13 +256,15 @@ def blocks_of(page: str, parts_count: bool = True) -> list[Block]:
         elif name in MAIN and zone in ("page", "soft", "main", "named"):
             if zone == "main":
                 stack.append((name, zone, zone_id))
-            elif zone == "named" and any(x[0] in MAIN for x in stack):  # a comment, or what else is named inside the text
+            elif zone == "named" and any(opened[x] for x in MAIN):  # a comment, or what else is named inside the text
                 stack.append((name, zone, zone_id))
             else:
                 zones += 1
                 stack.append((name, "main", -zones if zone == "named" and name == "article" else zones))
         elif name not in ("p", "li", "dt", "dd", "tr", "td", "th", "html"):
             stack.append((name, zone, zone_id))
+        if len(stack) > depth:
+            opened[name] += 1
     close()
     return [b for b in out if b.zone != "dropped"]
 

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import textwrap
+import time
 
 import numpy as np
 import public_tokenizers
@@ -366,6 +367,23 @@ def test_url_rules_against_every_rule(spark):
     assert urlrules.judge(df.limit(0), table, ["page_id"]).count() == 0
 
 
+def test_hostile_markup_takes_linear_time():
+    """Pages of a megabyte of unclosed quotes, stray end tags and deep nesting take seconds, and large numbers do not fail."""
+    pages = [
+        "<a '" * 250_000, "<a '" * 250_000 + ">", "<a \"'" * 200_000 + ">", "<p title='>' " * 80_000, "<a " * 300_000,
+        "<div>" * 100_000 + "</section>" * 50_000, "<div><article>" * 40_000 + "</main>" * 40_000, "<!--" * 200_000, "<![CDATA[" * 100_000,
+        "</" * 400_000, "<script>" * 100_000, "&" * 500_000, "&#" + "9" * 500_000 + ";", "a=" + " " * 500_000, "<p " + "a= " * 300_000 + ">",
+    ]
+    for page in pages:
+        began = time.process_time()
+        htmltext.blocks_of(page)
+        assert time.process_time() - began < 8, page[:20]
+    text = lambda page: " ".join(b.text for b in htmltext.blocks_of(page))
+    assert text("<p title='a>b' id=\"x>y\">in</p>it's <b c=\"d'e\">out</b>") == "in it's out"
+    assert text("one <b two='>three") == "one three" and text("1 < 2 and <b no end") == "1 < 2 and <b no end"
+    assert text(f"&#{'9' * 5000};&#{'0' * 5000}65;&#x{'0' * 50}42;&#x1F600;&amp;") == "\ufffdAB\U0001f600&"
+
+
 # ---------------------------------------------------------------- licences
 
 
