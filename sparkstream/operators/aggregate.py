@@ -95,21 +95,37 @@ def keyed_max(df: DataFrame, key: Sequence[str], value: str, out: str = "max") -
 
 
 def descending(df: DataFrame, col: str) -> Column:
-    """A number that sorts the other way round."""
-    if isinstance(df.schema[col].dataType, T.IntegralType):
-        return F.bitwise_not(col)
-    return -F.col(col)
+    """A value of any simple type that sorts the other way round; null stays null."""
+    kind, value = df.schema[col].dataType, F.col(col)
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(value)
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(value.isNotNull(), F.struct(~F.isnan(value), -value))  # NaN is the greatest number
+    if isinstance(kind, T.DateType):
+        return -F.unix_date(value)
+    if isinstance(kind, T.TimestampType):
+        return -F.unix_micros(value)
+    if isinstance(kind, T.TimestampNTZType):
+        return -F.unix_micros(value.cast("timestamp"))
+    if isinstance(kind, T.BooleanType):
+        return ~value
+    if isinstance(kind, T.StringType):  # of two texts the one that goes on is now the lesser
+        points = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c: -F.ascii(c))
+        return F.when(value.isNotNull(), F.concat(points, F.array(F.lit(1))))
+    return -value
 
 
 def keyed_max_by(df: DataFrame, key: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
-    """The whole row of each key's maximum, the earliest one among equals.
+    """The whole row of each key's maximum, the earliest one among equals; a null value or order comes first.
 
-    One aggregate with map-side partial results, so a large key is reduced before it is shuffled.
+    Values and orders may be of any type that has an order, as Spark orders it: NaN is the greatest number. One
+    aggregate with map-side partial results, so a large key is reduced before it is shuffled.
     """
     rest = [c for c in df.columns if c not in key]
-    rank = [F.col(value).isNull().alias("r0"), descending(df, value).alias("r1")]
-    rank += [F.col(o).alias(f"o{i}") for i, o in enumerate(order)]
-    best = F.min(F.struct(*rank, F.struct(*rest).alias("row"))).alias("__best")
+    rank = [F.col(value).alias("r")]
+    for i, o in enumerate(order):
+        rank += [F.col(o).isNull().alias(f"n{i}"), descending(df, o).alias(f"o{i}")]
+    best = F.max(F.struct(*rank, F.struct(*rest).alias("row"))).alias("__best")
     return df.groupBy(*key).agg(best).select(*key, "__best.row.*")
 
 

@@ -86,6 +86,42 @@ def apply_changes(snapshot: DataFrame, changes: DataFrame, key: Sequence[str], o
     return merged.where(F.col("__last.op") != "d").select("__last.after.*").select(*cols)
 
 
+def reconcile_chunks(
+    snapshot: DataFrame, ranges: DataFrame, changes: DataFrame, key: str, pos: str = "pos"
+) -> DataFrame:
+    """The current table from a snapshot that was read range by range while changes arrived.
+
+    ``ranges`` are half-open key ranges (``low``, ``high``, as :func:`~sparkstream.sources.jdbc.key_ranges` gives them)
+    with ``low_pos`` and ``high_pos``: where the log stood before and after the range was read. A row of ``snapshot``
+    shows its key at some position between these two. Changes up to the low position are in the snapshot and fall away;
+    a key that was changed after it, also while the range was read, is what its last change says. All other rows stand
+    as read.
+
+    Each change takes the low position of its range from one ordered pass over changes and range starts; nothing is
+    compared range by range. Then one aggregate by key with partial results.
+    """
+    cols = snapshot.columns
+    moved = moved_keys(changes.where(F.col("op").isNotNull()), [key])
+    named = moved.select(F.coalesce(F.col("after")[key], F.col("before")[key]).alias(key), pos, "op", "after")
+    first = ranges.where(F.col("low").isNull()).select("low_pos").first()
+    starts = ranges.where(F.col("low").isNotNull()).select(
+        F.col("low").alias(key), F.lit(0).alias("__is_change"), F.lit(0).cast("long").alias("__pos"), F.col("low_pos").alias("__low")
+    )
+    logged = named.withColumns({"__is_change": F.lit(1), "__pos": F.col(pos)})
+    placed = scan(
+        logged.unionByName(starts, allowMissingColumns=True), [], [key, "__is_change", "__pos"], {"__from": latest(F.col("__low"))}
+    )
+    before = F.coalesce(F.col("__from"), F.lit(first.low_pos if first else None))
+    later = placed.where(F.col("__is_change") == 1).where(F.col(pos) > before)
+    read = snapshot.select(
+        key, F.lit(None).cast(changes.schema[pos].dataType).alias(pos), F.lit("r").alias("op"),
+        F.struct(*cols).cast(changes.schema["after"].dataType).alias("after"),
+    )
+    last = F.max_by(F.struct("op", "after"), F.struct(F.col(pos).isNotNull(), F.col(pos), F.col("op") != "d")).alias("__last")
+    merged = later.select(key, pos, "op", "after").unionByName(read).groupBy(key).agg(last)
+    return merged.where(F.col("__last.op") != "d").select("__last.after.*").select(*cols)
+
+
 def moved_keys(changes: DataFrame, key: Sequence[str]) -> DataFrame:
     """Updates that change the key itself, rewritten as a delete of the old and an insert of the new."""
     same: Column = F.lit(True)

@@ -212,6 +212,68 @@ def cdc_schema_events(spark, sf_dir):
     return feed.schema_events.select(F.col("source.table").alias("tab"), F.col("source.pos").alias("pos"))
 
 
+#: How often a feed position counts a key: all changes of one time lie before those of the next.
+TIMES = 10_000_000_000
+
+
+def _timed_feed(spark, sf_dir):
+    """The row changes with positions in order of time."""
+    feed = _feed(spark, sf_dir).withColumn("o_orderkey", F.coalesce("after.o_orderkey", "before.o_orderkey"))
+    return feed.withColumn("pos", F.col("ts_ms") * TIMES + F.col("o_orderkey"))
+
+
+@query(CURRENT)
+def cdc_chunked_snapshot(spark, sf_dir):
+    """A snapshot read range by range, each range at another time and not at one moment, brought together with the log.
+
+    Range ``c`` is read between time ``1 + c % 4`` and the next; of its rows the even keys show the later state.
+    """
+    feed = _timed_feed(spark, sf_dir)
+    chunks = key_ranges(load(spark, sf_dir, "orders"), "o_orderkey", 1000)
+    at = 1 + F.col("chunk") % 4
+    ranges = chunks.withColumns({"low_pos": (at + 1) * TIMES - 1, "high_pos": (at + 2) * TIMES - 1})
+    first, step = chunks.where("low is not null").agg(F.min("low"), F.min(F.col("high") - F.col("low"))).first()
+    chunk = F.lit(0) if first is None else F.floor((F.col("o_orderkey") - first) / (step or 1)) + 1
+    chunk = F.least(F.greatest(chunk, F.lit(0)), F.lit(chunks.count() - 1))
+    seen = feed.where(F.col("ts_ms") <= 1 + chunk % 4 + F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0))
+    snapshot = cl.current_rows(seen, ["o_orderkey"], ["pos"]).where("op <> 'd'").select("after.*")
+    return cl.reconcile_chunks(snapshot, ranges, feed.where("op <> 'r'").drop("o_orderkey"), "o_orderkey")
+
+
+@query(
+    f"""WITH {FEED}, last_ AS (SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY ts_ms DESC) AS rn FROM feed)
+    SELECT o_orderkey, CAST(a_cents AS DECIMAL(20, 0)) AS amount, CASE WHEN ts_ms >= 2 THEN 'note ' || ts_ms END AS note
+    FROM last_ WHERE rn = 1 AND op <> 'd'"""
+)
+def cdc_schema_applied(spark, sf_dir):
+    """A feed whose table gains a column, has one renamed and retyped and loses one, folded into the table of the end."""
+    feed = _timed_feed(spark, sf_dir)
+
+    def image(name):
+        row, key, late = F.col(name), F.col("o_orderkey"), F.col("ts_ms") >= 3
+        fields = F.struct(
+            key.alias("o_orderkey"), F.when(~late, row["o_orderstatus"]).alias("o_orderstatus"), F.when(~late, row["cents"]).alias("cents"),
+            F.when(late, row["cents"]).alias("amount"), F.when(F.col("ts_ms") >= 2, F.format_string("note %d", "ts_ms")).alias("note"),
+        )
+        return F.when(row.isNotNull(), fields).alias(name)
+
+    source = F.struct("source.db", "source.table", "pos").alias("source")
+    rows = feed.select(image("before"), image("after"), "op", "ts_ms", source).select(F.to_json(F.struct("*")).alias("value"))
+    statements = {
+        2: "ADD COLUMN note STRING", 3: "RENAME COLUMN cents TO amount", 4: "DROP COLUMN o_orderstatus",
+    }
+    line = '{"source": {"db": "shop", "table": "orders", "pos": %d}, "ts_ms": %d, "ddl": "ALTER TABLE orders %s"}'
+    events = [line % (ms * TIMES, ms, what) for ms, what in statements.items()]
+    events.append(line % (4 * TIMES + 1, 4, "ALTER COLUMN amount TYPE DECIMAL(20, 0)"))
+    lines = rows.unionByName(spark.createDataFrame([(e,) for e in events], "value STRING"))
+    changes, _ = ch.parse_changes(lines.where(F.col("value").contains('"ddl"')), ROW_DDL)
+    columns = ch.lineage(ROW_DDL, ch.column_changes(ch.split_schema_changes(changes)[1]))
+    last = cl.current_rows(
+        ch.parse_evolving(lines, columns).withColumn("o_orderkey", F.coalesce("after.o_orderkey", "before.o_orderkey")), ["o_orderkey"], ["pos"]
+    )
+    return last.where("op <> 'd'").select("after.*")
+
+
 STARTS = {"initial": None, "earliest": None, "never": None, "timestamp": 3, "offset": 20_003, "latest": 20_003}
 
 

@@ -267,6 +267,41 @@ def stream_enrich(spark, sf_dir):
     return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "name")
 
 
+#: The micro-batch that fails after it wrote its rows; the dimension changes before it runs again.
+FAILING = 2
+
+
+@query(
+    f"""WITH s AS (SELECT min(epoch_us(ts)) AS low, (max(epoch_us(ts)) - min(epoch_us(ts))) // {DELIVERIES} + 1 AS width FROM events)
+    SELECT e.event_id, e.user_id, c.c_name || CASE WHEN (epoch_us(e.ts) - low) // width > {FAILING} THEN ' moved' ELSE '' END AS name
+    FROM events e JOIN customer c ON e.user_id = c.c_custkey, s"""
+)
+def stream_enrich_replayed(spark, sf_dir):
+    """A micro-batch fails, the dimension changes, and the batch runs again: it gives the rows it gave before."""
+    base, suffix = scratch(spark, "replayed"), [""]
+
+    def users():
+        name = F.concat("c_name", F.lit(suffix[0])).alias("name")
+        return load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), name)
+
+    on_batch = bt.enrich_batches(users, ["user_id"], f"{base}/out")
+
+    def failing(batch, batch_id):
+        on_batch(batch, batch_id)
+        if batch_id == FAILING and not suffix[0]:
+            suffix[0] = " moved"
+            raise RuntimeError("lost before the batch was noted as done")
+
+    events = delivered(spark, sf_dir, in_order=True).select("event_id", "user_id")
+
+    def start():
+        writer = events.writeStream.foreachBatch(failing).trigger(availableNow=True)
+        return writer.option("checkpointLocation", f"{base}/checkpoint").start()
+
+    run_stream(start, retries=1, wait_seconds=0.1)
+    return sk.read_batches(spark, f"{base}/out").select("event_id", "user_id", "name")
+
+
 @query(
     """SELECT event_id, 1 AS rule_id FROM events WHERE event_type = 'error' AND value > 10
     UNION ALL SELECT event_id, 2 AS rule_id FROM events WHERE event_type IN ('view', 'click') AND value < 1"""

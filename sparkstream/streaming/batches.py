@@ -33,11 +33,33 @@ def enrich_stream(
     events: DataFrame, read_dim: Callable[[], DataFrame], key: Sequence[str], path: str, how: str = "inner"
 ) -> DataStreamWriter:
     """Events joined with a dimension that is read again for every micro-batch (replace-all update)."""
+    return events.writeStream.foreachBatch(enrich_batches(read_dim, key, path, how))
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(enrich(batch, read_dim(), key, how), path, batch_id)
 
-    return events.writeStream.foreachBatch(on_batch)
+def enrich_batches(
+    read_dim: Callable[[], DataFrame], key: Sequence[str], path: str, how: str = "inner"
+) -> Callable[[DataFrame, int], None]:
+    """What :func:`enrich_stream` does with a micro-batch.
+
+    The rows of the dimension that the batch asks for are kept under the batch number before they are used, so a batch
+    that runs again gives the same rows, whatever has become of the dimension. Kept rows follow the batch in number and
+    go two batches later.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        spark, here = batch.sparkSession, f"{path}/_dims/{batch_id}"
+        kept = files.read_text(spark, f"{here}/schema.json")
+        if kept is None:
+            asked = read_dim().join(batch.select(*key).distinct(), list(key), "left_semi")
+            asked.write.mode("overwrite").parquet(f"{here}/rows")
+            kept = asked.schema.json()
+            files.write_text(spark, f"{here}/schema.json", kept)
+        dim = spark.read.schema(T.StructType.fromJson(json.loads(kept))).parquet(f"{here}/rows")
+        write_batch(enrich(batch, dim, key, how), path, batch_id)
+        if batch_id > 1:
+            files.remove(spark, f"{path}/_dims/{batch_id - 2}")
+
+    return on_batch
 
 
 def rules_stream(events: DataFrame, read_rules: Callable[[], DataFrame], path: str) -> DataStreamWriter:

@@ -231,3 +231,20 @@ def test_money_and_lookup(spark):
     assert [str(r[0]) for r in near.select(sc.money_round(F.col("m"))).collect()] == ["0.00", "0.01", "-0.01"]
     tags = spark.createDataFrame([({"a": "x"},)], "tags MAP<STRING, STRING>")
     assert tags.select(sc.lookup("tags", "a").alias("a"), sc.lookup("tags", "b").alias("b")).first() == ("x", None)
+
+
+def test_max_by_of_any_type(spark):
+    rows = [
+        (1, 1.5, "b", "2024-01-02", 2.0, True), (1, float("nan"), "ab", "2024-03-01", 1.0, False), (1, None, "abc", None, 3.0, True),
+        (1, float("nan"), "é", "2024-03-01", float("nan"), True), (2, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, "k INT, d DOUBLE, s STRING, t STRING, e DOUBLE, f BOOLEAN").withColumns(
+        {"day": F.to_date("t"), "at": F.to_timestamp("t"), "local": F.to_timestamp("t").cast("timestamp_ntz"), "money": F.col("e").cast("string")}
+    )
+    best = lambda value, *order: {r.k: r.s for r in ag.keyed_max_by(df, ["k"], value, order).collect()}
+    assert best("d", "s") == {1: "ab", 2: None}  # NaN is the maximum, of equals the least text
+    assert best("s", "d")[1] == "é" and best("day", "e")[1] == "ab"  # NaN comes last as an order
+    assert best("at", "f")[1] == "ab" and best("local", "local", "s")[1] == "ab" and best("t", "at", "day", "money")[1] == "ab"
+    same_value = df.withColumn("one", F.lit(1))
+    least = {r.k: r.s for r in ag.keyed_max_by(same_value, ["k"], "one", ["s"]).collect()}
+    assert least == {1: "ab", 2: None}

@@ -196,3 +196,58 @@ def test_log_is_folded_and_keeps_the_latest(spark, tmp_path, monkeypatch):
 def test_show_sink_prints_a_label(spark, capsys):
     sk.show_sink(spark.range(1), "odd:")
     assert "odd:" in capsys.readouterr().out
+
+
+def test_chunks_read_while_changes_arrive(spark):
+    """Every range is read at its own time; the log decides what changed since, in all orders of reading and changing."""
+    ddl = "k BIGINT, v STRING"
+    row = "STRUCT<k: BIGINT, v: STRING>"
+    log = [
+        ("u", (1, "a"), (1, "b"), 5), ("d", (2, "a"), None, 6), ("c", None, (3, "new"), 7), ("u", (12, "a"), (12, "b"), 8),
+        ("d", (13, "a"), None, 15), ("c", None, (14, "new"), 16), ("u", (15, "a"), (15, "b"), 25), ("u", (4, "a"), (16, "moved"), 30),
+        ("d", (21, "a"), None, 35),
+    ]
+    changes = spark.createDataFrame(log, f"op STRING, before {row}, after {row}, pos BIGINT")
+    # range ..10 is read in 4 .. 7, before and after its changes; range 10 .. 20 in 10 .. 20; range 20 .. in 40 .. 41, after all
+    ranges = spark.createDataFrame(
+        [(0, None, 10, 4, 7), (1, 10, 20, 10, 20), (2, 20, None, 40, 41)], "chunk BIGINT, low BIGINT, high BIGINT, low_pos BIGINT, high_pos BIGINT"
+    )
+    read = [(1, "b"), (2, "a"), (4, "a"), (5, "a"), (12, "b"), (13, "a"), (14, "new"), (15, "a"), (20, "a")]
+    got = cl.reconcile_chunks(spark.createDataFrame(read, ddl), ranges, changes, "k")
+    want = {(1, "b"), (3, "new"), (5, "a"), (12, "b"), (14, "new"), (15, "b"), (16, "moved"), (20, "a")}
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    one = spark.createDataFrame([(0, None, None, 0, 40)], ranges.schema)
+    whole = cl.reconcile_chunks(spark.createDataFrame([(1, "a"), (5, "a")], ddl), one, changes, "k")
+    assert ("d" not in whole.columns) and {(1, "b"), (5, "a"), (16, "moved")} <= {tuple(r) for r in whole.collect()}
+    none = cl.reconcile_chunks(spark.createDataFrame([], ddl), one, changes.limit(0), "k")
+    assert none.columns == ["k", "v"] and none.count() == 0
+
+
+def test_column_changes_are_applied(spark):
+    def line(op, pos, before, after):
+        return json.dumps({"op": op, "before": before, "after": after, "ts_ms": pos, "source": {"db": "d", "table": "t", "pos": pos}})
+
+    def ddl(pos, text):
+        return json.dumps({"ddl": text, "ts_ms": pos, "source": {"db": "d", "table": "t", "pos": pos}})
+
+    lines = [
+        line("c", 1, None, {"id": 1, "a": "7", "b": "x"}), ddl(2, "ALTER TABLE t ADD COLUMN `n` INT"),
+        line("c", 3, None, {"id": 2, "a": "8", "b": "y", "n": 5}), ddl(4, "alter table t rename column a to c;"),
+        ddl(5, "ALTER TABLE t ALTER COLUMN c TYPE BIGINT"), ddl(6, "ALTER TABLE t DROP COLUMN b"),
+        line("u", 7, {"id": 1, "c": 7, "n": None}, {"id": 1, "c": 9, "n": 1}), ddl(8, "ALTER TABLE t ADD COLUMN b DATE"),
+        line("c", 9, None, {"id": 3, "c": 1, "n": 2, "b": "2024-01-02"}), ddl(8, "ALTER TABLE t ADD COLUMN b DATE"),
+    ]
+    text = spark.createDataFrame([(v,) for v in lines], "value STRING")
+    rows, events = ch.split_schema_changes(ch.parse_changes(text, "id BIGINT, a STRING, b STRING")[0])
+    assert events.count() == 6
+    columns = ch.lineage("id BIGINT, a STRING, b STRING", ch.column_changes(events))
+    assert [(c.name, c.kind) for c in columns] == [("id", "BIGINT"), ("c", "BIGINT"), ("n", "INT"), ("b", "DATE")]
+    got = {r.pos: r for r in ch.parse_evolving(text, columns).collect()}
+    assert tuple(got[1].after) == (1, 7, None, None) and tuple(got[3].after) == (2, 8, 5, None)
+    assert tuple(got[7].before) == (1, 7, None, None) and tuple(got[7].after) == (1, 9, 1, None)
+    assert str(got[9].after.b) == "2024-01-02" and got[9].before is None
+    with pytest.raises(ValueError, match="not there"):
+        ch.lineage("id BIGINT", ch.column_changes(events))
+    odd = ch.parse_changes(spark.createDataFrame([(ddl(1, "TRUNCATE TABLE t"),)], "value STRING"), "id BIGINT")[0]
+    with pytest.raises(Exception, match="no change of a column"):
+        ch.column_changes(odd).collect()

@@ -1,5 +1,6 @@
 """Streams fed file by file give what the batch operators give; restarts neither lose nor repeat rows."""
 
+import os
 import random
 import time
 
@@ -195,6 +196,22 @@ def test_enrichment_reads_the_dimension_again(spark, feed, tmp_path):
     assert names == {"v1", "v2"}
 
 
+def test_a_batch_that_runs_again_reads_the_same_dimension(spark, feed, tmp_path):
+    dim = {"rows": [(0, "old"), (1, "x"), (2, "y")]}
+    read = lambda: spark.createDataFrame(dim["rows"], "k INT, name STRING")
+    on_batch = bt.enrich_batches(read, ["k"], f"{tmp_path}/e", "left")
+    on_batch(feed[0], 0)
+    first = sorted(map(tuple, sk.read_batches(spark, f"{tmp_path}/e").collect()), key=str)
+    dim["rows"] = [(0, "new")]
+    on_batch(feed[0], 0)
+    assert sorted(map(tuple, sk.read_batches(spark, f"{tmp_path}/e").collect()), key=str) == first
+    dim["rows"] = []
+    for batch_id in (1, 2):
+        on_batch(feed[0], batch_id)
+    assert sk.read_batches(spark, f"{tmp_path}/e").where("batch_id > 0 and name is not null").count() == 0
+    assert sorted(os.listdir(f"{tmp_path}/e/_dims")) == ["1", "2"]
+
+
 def test_rules_are_read_again(spark, feed, tmp_path):
     rules = [("r1", "kind = 'a' AND v > 25")]
 
