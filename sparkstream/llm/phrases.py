@@ -18,7 +18,7 @@ SCALE = 2_000_000
 #: Stands between two pieces in a list of words.
 BREAK = ""
 #: Words looked at together in a task.
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 19
 RELATION = "lang string, words array<string>"
 #: Lists of the first rows of each lang before they are ranked together.
 SALTS = 64
