@@ -18,8 +18,10 @@ SCALE = 2_000_000
 #: Stands between two pieces in a list of words.
 BREAK = ""
 #: Words looked at together in a task.
-BATCH_WORDS = 1 << 18
+BATCH_WORDS = 1 << 20
 RELATION = "lang string, words array<string>"
+#: The relation once its words are numbered.
+NUMBERED = "lang string, words array<int>"
 #: Lists of the first rows of each lang before they are ranked together.
 SALTS = 64
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -51,13 +53,15 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Joined:
     """The merge join of a stretch of the relation with itself at adjacent positions of a piece: its phrases of k words."""
 
+    gap: str | int = BREAK
+
     def __init__(self, batch: pa.RecordBatch, k: int) -> None:
         lists = batch.column(1)
         self.lang, self.words, self.k = batch.column(0).cast(pa.string()), lists.flatten(), k
         self.bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         size = len(self.words)
         # every list ends with a break, and a phrase lies in one piece if there is none in its stretch
-        breaks = pc.equal(self.words, BREAK).to_numpy(zero_copy_only=False)
+        breaks = pc.equal(self.words, self.gap).to_numpy(zero_copy_only=False)
         seen = np.concatenate([[0], np.cumsum(breaks)])
         self.at = np.flatnonzero(seen[k:] == seen[: size - k + 1]) if size >= k else np.zeros(0, np.int64)
         self.owner = np.searchsorted(self.bounds, self.at, side="right") - 1
@@ -72,6 +76,31 @@ class Joined:
             yield key
 
 
+class Coded(Joined):
+    """The same for words that are numbers. A phrase is the number of the phrase without its last word, and that word."""
+
+    gap = -1
+
+    def codes(self, known: list[pa.Array]) -> pa.Array:
+        """Of each occurrence. ``known``: words, and codes of frequent phrases of 2 words and more; a place is a number."""
+        words = self.words.to_numpy(zero_copy_only=False).astype(np.int64)
+        code = words[self.at]
+        for j in range(1, self.k):
+            prefix = _places(pa.array(code), known[j - 1]) if j > 1 else code
+            code = prefix << 32 | words[self.at + j]
+        return pa.array(code)
+
+
+def _places(values: pa.Array, known: pa.Array) -> np.ndarray:
+    """Where each value stands in what is known, or -1."""
+    return pc.fill_null(pc.index_in(values, value_set=known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _spelled(keys: pa.Array) -> pa.Array:
+    """The words of keys of one word (a lang may hold a tab)."""
+    return pc.list_element(pc.split_pattern(keys, "\t", max_splits=1, reverse=True), 1)
+
+
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A few batches as one, up to about ``BATCH_WORDS`` words."""
     some, size = [], 0
@@ -102,6 +131,34 @@ def _counter(k: int):
     return run
 
 
+def _code_counter(k: int, known):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _stretches(batches):
+            values, counts = pc.value_counts(Coded(batch, k).codes(known.value)).flatten()
+            for low in range(0, len(values), 1 << 16):
+                yield pa.RecordBatch.from_arrays([values.slice(low, 1 << 16), counts.slice(low, 1 << 16)], names=["code", "f"])
+
+    return run
+
+
+def _namer(k: int, known):
+    """Codes of phrases of k words as keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = _spelled(known.value[0])
+        for batch in batches:
+            code, rest = batch.column(0).to_numpy(zero_copy_only=False), []
+            for j in range(k - 1, 0, -1):
+                rest.insert(0, words.take(pa.array(code & 0xFFFFFFFF)))
+                code = code >> 32
+                if j > 1:
+                    code = known.value[j - 1].take(pa.array(code)).to_numpy(zero_copy_only=False)
+            key = pc.binary_join_element_wise(known.value[0].take(pa.array(code)), *rest, " ")
+            yield pa.RecordBatch.from_arrays([key, batch.column(1)], names=["key", "f"])
+
+    return run
+
+
 def _runs(joined: Joined, frequent: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     """Of a stretch, the words of frequent phrases of k words with a frequent neighbour, a break after each run; and
     the new bounds of the lists."""
@@ -119,7 +176,7 @@ def _runs(joined: Joined, frequent: np.ndarray) -> tuple[pa.Array, np.ndarray]:
     begin = np.cumsum(length) - length
     source = np.arange(total) - np.repeat(begin - first, length)
     source[begin + length - 1] = size  # the break
-    words = pa.concat_arrays([joined.words, pa.array([BREAK])]).take(pa.array(source))
+    words = pa.concat_arrays([joined.words, pa.array([joined.gap], joined.words.type)]).take(pa.array(source))
     return words, np.concatenate([[0], np.cumsum(length)])[np.searchsorted(first, joined.bounds)]
 
 
@@ -135,6 +192,49 @@ def _cutter(k: int, known):
     return run
 
 
+def _word_numberer(known):
+    """The relation cut to runs of frequent words, as numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _stretches(batches):
+            joined = Joined(batch, 1)
+            found = [_places(keys, known.value[0]) for keys in joined.keys()]
+            numbers = np.full(len(joined.words), Coded.gap, np.int32)
+            numbers[joined.at] = np.concatenate(found) if found else []
+            frequent = numbers[joined.at] >= 0
+            joined.words, joined.gap = pa.array(numbers), Coded.gap
+            yield from _relation(batch.column(0), *_runs(joined, frequent))
+
+    return run
+
+
+def _code_cutter(k: int, known):
+    """The numbered relation cut to runs of frequent phrases of k words, the last of ``known``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _stretches(batches):
+            joined = Coded(batch, k)
+            frequent = _places(joined.codes(known.value), known.value[k - 1]) >= 0
+            yield from _relation(batch.column(0), *_runs(joined, frequent))
+
+    return run
+
+
+def _speller(known):
+    """The numbered relation with its words as text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = pa.concat_arrays([_spelled(known.value[0]), pa.array([BREAK])])
+        for batch in batches:
+            lists = batch.column(1)
+            numbers = lists.flatten().to_numpy(zero_copy_only=False)
+            text = words.take(pa.array(np.where(numbers == Coded.gap, len(words) - 1, numbers)))
+            bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            yield from _relation(batch.column(0).cast(pa.string()), text, bounds)
+
+    return run
+
+
 def _marked_cutter(k: int):
     """The same, where each row brings the places of its frequent phrases."""
 
@@ -174,18 +274,23 @@ def _located(k: int):
     return run
 
 
-def _semi_joined(relation: DataFrame, frequent: DataFrame, k: int, max_rows: int, max_bytes: int) -> DataFrame:
+def _fitting(frequent: DataFrame, column: str, kind: pa.DataType, max_rows: int, max_bytes: int) -> pa.Array | None:
+    """The frequent phrases, if they are measured to be few enough to be with every task."""
+    size = F.octet_length(F.col(column).cast("string")) + 8
+    rows, held = frequent.select(size.alias("size")).limit(max_rows + 1).agg(F.count("*"), F.sum("size")).first()
+    if rows > max_rows or (held or 0) > max_bytes:
+        return None
+    return frequent.select(column).toArrow().column(column).combine_chunks().cast(kind)
+
+
+def _semi_joined(relation: DataFrame, frequent: DataFrame, k: int, few: pa.Array | None) -> DataFrame:
     """The occurrences of frequent phrases of k words that have a frequent neighbour.
 
-    A measured small set of phrases goes to every task. A larger one is joined by shuffles: occurrences go to their
-    phrase, the places that are left back to their list.
+    A small set of phrases goes to every task. A larger one is joined by shuffles: occurrences go to their phrase, the
+    places that are left back to their list.
     """
-    size = F.octet_length("key") + 8
-    rows, held = frequent.select(size.alias("size")).limit(max_rows + 1).agg(F.count("*"), F.sum("size")).first()
-    if rows <= max_rows and (held or 0) <= max_bytes:
-        keys = frequent.select("key").toArrow().column("key").combine_chunks().cast(pa.string())
-        known = relation.sparkSession.sparkContext.broadcast(keys)
-        return relation.mapInArrow(_cutter(k, known), RELATION)
+    if few is not None:
+        return relation.mapInArrow(_cutter(k, relation.sparkSession.sparkContext.broadcast(few)), RELATION)
     listed = kept(relation.withColumn("row", F.monotonically_increasing_id()), "listed")
     found = listed.mapInArrow(_located(k), "row bigint, place int, key string")
     left = found.join(frequent.select("key"), "key", "left_semi").groupBy("row").agg(F.collect_list("place").alias("places"))
@@ -203,8 +308,12 @@ def frequencies(
     the shared folder. In each round the relation is joined with itself at adjacent positions of a piece, the phrases are
     counted in groups with partial counts in the tasks, and the relation is semi-joined with the frequent ones: what is
     left, written again, are runs of occurrences that can still grow by a word.
+
+    As long as the frequent phrases are few enough to be with every task (``max_rows``, ``max_bytes``, measured each
+    round), words go by their number and a phrase by the number of the phrase before its last word, and that word: 64
+    bits instead of text are counted and shuffled. From the first round with more of them, text is used.
     """
-    ready(docs.sparkSession)
+    spark = ready(docs.sparkSession)
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.col(text).cast("string").cast("binary").alias("text"),
@@ -212,13 +321,30 @@ def frequencies(
     relation = kept(rows.mapInArrow(_occurrences, f"{RELATION}, n bigint"), "occurrences")
     words = relation.groupBy("lang").agg(F.sum("n").alias("n"))
     relation = relation.select("lang", "words")
-    found = None
+    found, known, coded = None, [], False
     for k in range(1, longest + 1):
-        counted = relation.mapInArrow(_counter(k), "key string, f bigint").groupBy("key").agg(F.sum("f").alias("f"))
-        frequent = kept(counted.where(F.col("f") >= least).withColumn("k", F.lit(k)), "frequent")
+        if coded:
+            shared = spark.sparkContext.broadcast(list(known))
+            counted = relation.mapInArrow(_code_counter(k, shared), "code bigint, f bigint").groupBy("code").agg(F.sum("f").alias("f"))
+            codes = kept(counted.where(F.col("f") >= least), "codes")
+            frequent = codes.mapInArrow(_namer(k, shared), "key string, f bigint").withColumn("k", F.lit(k))
+            few = _fitting(codes, "code", pa.int64(), max_rows, max_bytes) if k < longest else None
+        else:
+            counted = relation.mapInArrow(_counter(k), "key string, f bigint").groupBy("key").agg(F.sum("f").alias("f"))
+            frequent = kept(counted.where(F.col("f") >= least).withColumn("k", F.lit(k)), "frequent")
+            few = _fitting(frequent, "key", pa.string(), max_rows, max_bytes) if k < longest else None
         found = frequent if found is None else found.unionByName(frequent)
-        if k < longest:
-            relation = kept(_semi_joined(relation, frequent, k, max_rows, max_bytes), "occurrences")
+        if k == longest:
+            break
+        if few is not None and (coded or k == 1):
+            known, coded = [*known, few], True
+            shared = spark.sparkContext.broadcast(list(known))
+            cut = _word_numberer(shared) if k == 1 else _code_cutter(k, shared)
+            relation = kept(relation.mapInArrow(cut, NUMBERED), "occurrences")
+            continue
+        if coded:
+            relation, coded = relation.mapInArrow(_speller(shared), RELATION), False
+        relation = kept(_semi_joined(relation, frequent, k, few), "occurrences")
     return found, words
 
 

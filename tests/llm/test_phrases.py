@@ -49,7 +49,7 @@ def texts(rng, n):
     return rows
 
 
-@pytest.mark.parametrize("max_rows", [500_000, 0])
+@pytest.mark.parametrize("max_rows", [500_000, 100, 0])  # numbers, numbers then text, text
 def test_against_all_phrases(spark, monkeypatch, max_rows):
     rng = random.Random(max_rows)
     rows = texts(rng, 400) + [(None, "en"), ("", None), (" \t\n", "en"), ("lone", "xx"), ("new york " * 20_000, "en")]
