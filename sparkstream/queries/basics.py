@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from sparkstream.functions import scalars as sc
 from sparkstream.functions import text as tx
 from sparkstream.operators import aggregate as ag
+from sparkstream.operators import heavy as hv
 from sparkstream.operators import routing as rt
+from sparkstream.operators.accumulate import Accumulator, accumulate
 from sparkstream.plans.scan import settled
 from sparkstream.queries.registry import query
 from sparkstream.sources import basic as src
@@ -208,6 +210,30 @@ def route_counts(spark, sf_dir):
     return rt.partition_counts(rt.route(load(spark, sf_dir, "lineitem"), rule, 8))
 
 
+REACH = 10_000
+
+
+@query(
+    f"""SELECT reach, CAST(count(*) AS BIGINT) AS n, TRUE AS within, CAST(4 AS BIGINT) AS partitions
+    FROM (SELECT {REACH} // (1 + l_partkey % {REACH}) AS reach FROM lineitem)
+    GROUP BY reach HAVING count(*) * 50 >= (SELECT count(*) FROM lineitem)"""
+)
+def heavy_spread(spark, sf_dir):
+    """The keys that hold a fiftieth of the rows, found by a sketch and spread over four partitions each; the others are
+    hashed. Their rows, whether the sketch's bounds hold, and the partitions they are in."""
+    rows = load(spark, sf_dir, "lineitem").select(
+        F.expr(f"{REACH} div (1 + l_partkey % {REACH})").alias("reach"), F.struct("l_orderkey", "l_linenumber").alias("id")
+    )
+    found = hv.heavy_keys(rows, "reach", 0.02)
+    routed = rt.route(rows, rt.heavy_rule("reach", hv.is_heavy("reach", found), 4, 16, F.xxhash64("id")), 16)
+    counts = routed.groupBy("reach", F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"))
+    per_key = counts.groupBy("reach").agg(F.sum("n").alias("n"), F.count("*").alias("partitions"))
+    bounds = spark.createDataFrame([tuple(f) for f in found], "reach BIGINT, low BIGINT, high BIGINT")
+    return per_key.join(F.broadcast(bounds), "reach").where(F.col("n") * 50 >= rows.count()).select(
+        "reach", "n", F.col("n").between(F.col("low"), F.col("high")).alias("within"), "partitions"
+    )
+
+
 @query("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(4 AS BIGINT) AS partitions, TRUE AS even FROM lineitem WHERE l_quantity > 10")
 def rebalance_skew(spark, sf_dir):
     """After a filter, rows are dealt out again; sizes differ by no more than the tasks that dealt."""
@@ -380,6 +406,30 @@ def custom_aggregate(spark, sf_dir):
     )
 
 
+def _largest(state, batch):
+    prices = batch.column(0).drop_null().unique().to_pylist()
+    return state[0] + batch.num_rows, sorted({*state[1], *prices}, reverse=True)[:3]
+
+
+#: Rows, and the three largest different values.
+LARGEST = Accumulator(
+    create=lambda: (0, []), add=_largest,
+    merge=lambda a, b: (a[0] + b[0], sorted({*a[1], *b[1]}, reverse=True)[:3]),
+    result=lambda state: (state[0], state[1][0] if state[1] else None, state[1][-1] if state[1] else None),
+    returns="n BIGINT, first_price DOUBLE, third_price DOUBLE",
+)
+
+
+@query(
+    """SELECT l_returnflag, l_suppkey, CAST(count(*) AS BIGINT) AS n, max(p) AS first_price, min(p) FILTER (r <= 3) AS third_price
+    FROM (SELECT *, l_extendedprice AS p, dense_rank() OVER (PARTITION BY l_returnflag, l_suppkey ORDER BY l_extendedprice DESC) AS r FROM lineitem)
+    GROUP BY 1, 2"""
+)
+def user_accumulator(spark, sf_dir):
+    """An accumulator of the user's own: the first and the third of each group's different prices."""
+    return accumulate(load(spark, sf_dir, "lineitem"), ["l_returnflag", "l_suppkey"], ["l_extendedprice"], LARGEST)
+
+
 @query(
     """SELECT o_custkey, CAST(count(*) AS BIGINT) AS frequency FROM orders
     GROUP BY o_custkey HAVING count(*) = 12"""

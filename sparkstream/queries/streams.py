@@ -24,6 +24,7 @@ from sparkstream.sources.polled import polled, ticks
 from sparkstream.streaming import batches as bt
 from sparkstream.streaming import sinks as sk
 from sparkstream.streaming import stateful as st
+from sparkstream.streaming.manifest import CommitTable
 from sparkstream.streaming.runner import drain, run_stream
 from sparkstream.tables import load, stream_table
 
@@ -189,6 +190,32 @@ def exactly_once_counts(spark, sf_dir):
     return sk.last_per_key(log, ["user_id"], [sk.BATCH]).select("user_id", "n")
 
 
+@query(
+    f"""SELECT user_id, CAST(count(*) AS BIGINT) AS n, CAST(sum({CENTS}) AS BIGINT) AS total FROM events GROUP BY user_id"""
+)
+def stream_committed_rows(spark, sf_dir):
+    """Events in a table of committed batches; an attempt is lost between its files and its record, and is run again."""
+    base, lost = scratch(spark, "committed"), []
+    rows = delivered(spark, sf_dir).select("event_id", "user_id", "value")
+
+    def on_batch(batch, batch_id):
+        table = CommitTable(spark, f"{base}/table", fan=3)
+        if batch_id == 2 and not lost:
+            lost.append(batch_id)
+            batch.write.parquet(f"{base}/table/data/batch-lost")
+            raise RuntimeError("lost before the record")
+        table.write(batch, batch_id)
+
+    def start():
+        writer = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", f"{base}/checkpoint")
+        return writer.trigger(availableNow=True).start()
+
+    ran(run_stream(start, retries=1, wait_seconds=0.1))
+    return CommitTable(spark, f"{base}/table").read().groupBy("user_id").agg(
+        F.count("*").alias("n"), F.sum(cents()).alias("total")
+    )
+
+
 @query(
     """SELECT user_id, event_id, event_type FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1"""
