@@ -95,8 +95,11 @@ def feed_lines(spark, sf_dir):
     return exploded.select(F.to_json("r", {"ignoreNullFields": "false"}).alias("value"))
 
 
-def _feed(spark, sf_dir):
-    return ch.split_schema_changes(ch.parse_changes(feed_lines(spark, sf_dir), ROW_DDL)[0])[0]
+KEY_DDL = "o_orderkey BIGINT"
+
+
+def _feed(spark, sf_dir, after=ROW_DDL, before=None):
+    return ch.split_schema_changes(ch.parse_changes(feed_lines(spark, sf_dir), after, before=before)[0])[0]
 
 
 @query(
@@ -108,7 +111,7 @@ def cdc_current(spark, sf_dir):
     snapshot = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderstatus", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
     )
-    return cl.apply_changes(snapshot, ch.starting(_feed(spark, sf_dir), "earliest"), ["o_orderkey"])
+    return cl.apply_changes(snapshot, ch.starting(_feed(spark, sf_dir, before=KEY_DDL), "earliest"), ["o_orderkey"])
 
 
 @query(
@@ -124,13 +127,13 @@ def cdc_changelog(spark, sf_dir):
 @query(f"WITH {FEED} SELECT op, CAST(count(*) AS BIGINT) AS n FROM feed WHERE ts_ms >= 3 AND o_orderkey % 2 = 0 GROUP BY op")
 def cdc_table_from_time(spark, sf_dir):
     """One table of the feed, read from a point in time on."""
-    part = ch.starting(ch.of_tables(_feed(spark, sf_dir), ["shop.orders_0"]), "timestamp", 3)
+    part = ch.starting(ch.of_tables(_feed(spark, sf_dir, "", ""), ["shop.orders_0"]), "timestamp", 3)
     return part.groupBy("op").agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {FEED} SELECT max(o_orderkey * 10 + ts_ms) AS last_pos, o_orderkey FROM feed GROUP BY o_orderkey")
 def cdc_last_change(spark, sf_dir):
-    rows = _feed(spark, sf_dir).withColumn("o_orderkey", F.coalesce("after.o_orderkey", "before.o_orderkey"))
+    rows = _feed(spark, sf_dir, KEY_DDL, KEY_DDL).withColumn("o_orderkey", F.coalesce("after.o_orderkey", "before.o_orderkey"))
     return cl.current_rows(rows, ["o_orderkey"]).select("o_orderkey", F.col("pos").alias("last_pos"))
 
 

@@ -30,6 +30,8 @@ from sparkstream.tables import load, stream_table
 
 #: Files the events are delivered in, one per micro-batch, and how much later than their time rows may come.
 DELIVERIES, DISORDER = 6, 6
+#: Rows of a delivered file.
+FILE_ROWS = 1_000_000
 
 
 def delivered(spark, sf_dir, in_order=False, events=None, t="ts"):
@@ -42,13 +44,27 @@ def delivered(spark, sf_dir, in_order=False, events=None, t="ts"):
     events = load(spark, sf_dir, "events") if events is None else events
     late = F.lit(0) if in_order else F.pmod("event_id", F.lit(DISORDER + 1)) * 3_600_000_000
     placed = events.withColumn("due", F.unix_micros(t) + late)
-    low, high = placed.agg(F.min("due"), F.max("due")).first()
-    path = scratch(spark, "delivered")
+    low, high, n = placed.agg(F.min("due"), F.max("due"), F.count("*")).first()
     width = ((high or 0) - (low or 0)) // DELIVERIES + 1
-    for k in range(DELIVERIES):
-        part = placed.where(F.floor((F.col("due") - (low or 0)) / width) == k)
-        part.drop("due").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    dealt = placed.withColumn("delivery", F.floor((F.col("due") - (low or 0)) / width).cast("int")).drop("due")
+    path, files = delivery_folder(spark, dealt, DELIVERIES, n, "parquet")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def delivery_folder(spark, dealt, deliveries, n, form):
+    """Rows with a number ``delivery`` as a folder that deliveries come to one after another, and the files of each.
+
+    The rows are dealt to their deliveries in one job, so the table is read once, by all tasks; each delivery is then
+    copied from its own part, in files of up to ``FILE_ROWS`` rows.
+    """
+    staged, path = scratch(spark, "staged"), scratch(spark, "delivered")
+    dealt.write.partitionBy("delivery").format(form).save(staged)
+    files = -(-n // (deliveries * FILE_ROWS)) or 1
+    rows = dealt.drop("delivery").schema
+    read = spark.read.schema(rows.add("delivery", "integer")).format(form).load(staged)
+    for k in range(deliveries):
+        read.where(F.col("delivery") == k).drop("delivery").repartition(files).write.mode("append").format(form).save(path)
+    return path, files
 
 
 def ran(query, least=DELIVERIES):
@@ -415,9 +431,9 @@ def stream_line_words(spark, sf_dir):
     """Lines that arrive in a folder, split into words, counted as they come."""
     base = scratch(spark, "lines")
     orders = load(spark, sf_dir, "orders")
-    for k in range(3):
-        orders.where(F.col("o_orderkey") % 3 == k).select("o_orderpriority").coalesce(1).write.mode("append").text(f"{base}/lines")
-    words = stream_lines(spark, f"{base}/lines", files_per_batch=1).select(F.explode(F.split("line", "-")).alias("word"))
+    dealt = orders.select(F.col("o_orderpriority").alias("value"), F.pmod("o_orderkey", F.lit(3)).cast("int").alias("delivery"))
+    path, files = delivery_folder(spark, dealt, 3, orders.count(), "text")
+    words = stream_lines(spark, path, files_per_batch=files).select(F.explode(F.split("line", "-")).alias("word"))
     log = collected(spark, "words", words.groupBy("word").agg(F.count("*").alias("n")), "update", 3)
     return sk.last_per_key(log, ["word"], [sk.BATCH]).drop(sk.BATCH)
 

@@ -21,15 +21,24 @@ class Feed(NamedTuple):
     schema_events: DataFrame
 
 
-def envelope(row_ddl: str) -> str:
-    """The schema of a change record whose row has the columns of ``row_ddl``."""
-    row = ", ".join(part.strip().replace(" ", ": ", 1) for part in row_ddl.split(","))
-    return f"before STRUCT<{row}>, after STRUCT<{row}>, op STRING, ts_ms BIGINT, source {SOURCE_DDL}, ddl STRING"
-
-
-def parse_changes(lines: DataFrame, row_ddl: str, col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """``(changes, bad)``: typed change records, and lines that are not JSON objects."""
-    ddl = envelope(row_ddl) + ", _bad STRING"
+def envelope(row_ddl: str, before: str | None = None) -> str:
+    """The schema of a change record whose rows have the columns of ``row_ddl`` after a change, and those of ``before``
+    (by default the same) before it. No columns, no such image."""
+    ddl = "op STRING, ts_ms BIGINT, source " + SOURCE_DDL + ", ddl STRING"
+    for image, columns in (("after", row_ddl), ("before", row_ddl if before is None else before)):
+        if columns:
+            row = ", ".join(part.strip().replace(" ", ": ", 1) for part in columns.split(","))
+            ddl = f"{image} STRUCT<{row}>, {ddl}"
+    return ddl
+
+
+def parse_changes(lines: DataFrame, row_ddl: str, col: str = "value", before: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(changes, bad)``: typed change records, and lines that are not JSON objects.
+
+    Only the columns named are parsed: those of ``row_ddl`` after a change, those of ``before`` (by default the same) before
+    it; an empty text leaves the image out. A value of a wrong type makes a line bad only if its column is named.
+    """
+    ddl = envelope(row_ddl, before) + ", _bad STRING"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = lines.withColumn("__r", parsed_once(F.from_json(col, ddl, options)))
     broken = F.col("__r").isNull() | F.col("__r._bad").isNotNull()
@@ -152,11 +161,11 @@ def starting(changes: DataFrame, start: str = "initial", at: int | None = None)
 
 def read_changes(
     spark: SparkSession, path: str, row_ddl: str, tables: Sequence[str] | None = None, start: str = "initial",
-    at: int | None = None, streaming: bool = False, files_per_batch: int = 100,
+    at: int | None = None, streaming: bool = False, files_per_batch: int = 100, before: str | None = None,
 ) -> Feed:
     """A change feed from a directory of JSON lines. Bad lines belong to no table and no time, so all are given."""
     lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path) if streaming else spark.read.text(path)
-    good, bad = parse_changes(lines, row_ddl)
+    good, bad = parse_changes(lines, row_ddl, before=before)
     if tables:
         good = of_tables(good, tables)
     rows, schema_events = split_schema_changes(good)

@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from sparkstream.streaming import files
+
 BATCH = "batch_id"
 FOLD_EVERY = 50
+FOLD_MARK = "_fold_every"
 
 
 def show_sink(df: DataFrame, label: str = "", rows: int = 20) -> DataStreamWriter | None:
@@ -75,16 +78,19 @@ def append_to_log(rows: DataFrame, path: str, key: Sequence[str], order: Sequenc
     """One row per key of this batch, as partition ``batch_id`` of the log.
 
     The cost follows the batch and not the size of the store. Every ``FOLD_EVERY`` batches the
-    partition holds all keys instead, so readers never look further back than the last such one.
+    partition holds all keys instead, so readers never look further back than the last such one. The
+    number is kept with the log from its first batch: a changed default loses nothing.
     """
-    if batch_id and batch_id % FOLD_EVERY == 0:
+    if batch_id == 0:
+        files.write_text(rows.sparkSession, f"{path}/{FOLD_MARK}", str(FOLD_EVERY))
+    if batch_id and _folded(rows.sparkSession, path, batch_id) == batch_id:
         rows = log_before(rows.sparkSession, path, batch_id).drop(BATCH).unionByName(rows)
     write_batch(last_per_key(rows, key, order), path, batch_id)
 
 
 def log_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
     """The part of a log that describes the state just before a batch; other partitions are pruned."""
-    folded = (batch_id - 1) // FOLD_EVERY * FOLD_EVERY
+    folded = _folded(spark, path, batch_id - 1)
     return read_batches(spark, path).where((F.col(BATCH) >= folded) & (F.col(BATCH) < batch_id))
 
 
@@ -92,7 +98,13 @@ def latest_rows(spark: SparkSession, path: str, key: Sequence[str], order: Seque
     """The current row of every key; by default the one of the latest batch."""
     log = read_batches(spark, path)
     last = log.agg(F.max(BATCH)).first()[0]
-    return last_per_key(log.where(F.col(BATCH) >= last // FOLD_EVERY * FOLD_EVERY), key, order).drop(BATCH)
+    return last_per_key(log.where(F.col(BATCH) >= _folded(spark, path, last)), key, order).drop(BATCH)
+
+
+def _folded(spark: SparkSession, path: str, batch_id: int) -> int:
+    """The last batch up to this one that holds all keys; the first batch if the log is not folded."""
+    every = files.read_text(spark, f"{path}/{FOLD_MARK}")
+    return batch_id // int(every) * int(every) if every else 0
 
 
 def last_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

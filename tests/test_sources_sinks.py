@@ -174,6 +174,17 @@ def test_text_sink_writer_count(spark, tmp_path):
     assert stamped.endswith("out-20210506070809")
 
 
+def test_only_the_columns_named_are_parsed(spark):
+    lines = spark.createDataFrame([(x,) for x in FEED], "value STRING")
+    whole = ch.parse_changes(lines, ROW)[0]
+    some, bad = ch.parse_changes(lines, ROW, before="id BIGINT")
+    assert some.schema["before"].dataType.names == ["id"] and some.columns == whole.columns
+    same = whole.withColumn("before", F.when(F.col("before").isNotNull(), F.struct("before.id")))
+    assert sorted(map(str, some.collect())) == sorted(map(str, same.collect())) and bad.count() == ch.parse_changes(lines, ROW)[1].count()
+    none = ch.parse_changes(lines, "", before="")[0]
+    assert not {"before", "after"} & set(none.columns) and none.count() == whole.count()
+
+
 def test_insert_from_itself_doubles_rows(spark):
     spark.sql("CREATE TABLE people (id BIGINT, name STRING) USING parquet")
     sk.insert_into(spark.createDataFrame([(1, "a"), (2, "b")], ROW), "people", writers=2)
@@ -187,12 +198,20 @@ def test_log_is_folded_and_keeps_the_latest(spark, tmp_path, monkeypatch):
     batches = [[("a", 1)], [("b", 5)], [("a", 2)], [("c", 3)], [("b", 4)], [("d", 9)]]
     for batch, rows in enumerate(batches):
         sk.append_to_log(spark.createDataFrame(rows, "k STRING, v INT"), log, ["k"], ["v"], batch)
+    monkeypatch.setattr(sk, "FOLD_EVERY", 5)  # the log keeps the number it was begun with
     got = sk.latest_rows(spark, log, ["k"], ["v"])
     assert sorted(tuple(r) for r in got.collect()) == [("a", 2), ("b", 5), ("c", 3), ("d", 9)]
     assert spark.read.parquet(f"{log}/batch_id=3").count() == 3
     assert sorted(r.k for r in sk.log_before(spark, log, 5).select("k").distinct().collect()) == ["a", "b", "c"]
 
 
+def test_a_log_that_is_not_folded_is_read_whole(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for batch, rows in {0: [("a", 1)], 49: [("b", 5)], 50: [("c", 2)]}.items():
+        sk.write_batch(spark.createDataFrame(rows, "k STRING, v INT"), log, batch)
+    assert sorted(tuple(r) for r in sk.latest_rows(spark, log, ["k"]).collect()) == [("a", 1), ("b", 5), ("c", 2)]
+
+
 def test_show_sink_prints_a_label(spark, capsys):
     sk.show_sink(spark.range(1), "odd:")
     assert "odd:" in capsys.readouterr().out
