@@ -26,7 +26,7 @@ from sparkstream.streaming import sinks as sk
 from sparkstream.streaming import stateful as st
 from sparkstream.streaming.manifest import CommitTable
 from sparkstream.streaming.runner import drain, run_stream
-from sparkstream.tables import load, stream_table
+from sparkstream.tables import load
 
 #: Files the events are delivered in, one per micro-batch, and how much later than their time rows may come.
 DELIVERIES, DISORDER = 6, 6
@@ -46,7 +46,8 @@ def delivered(spark, sf_dir, in_order=False, events=None, t="ts"):
     placed = events.withColumn("due", F.unix_micros(t) + late)
     low, high, n = placed.agg(F.min("due"), F.max("due"), F.count("*")).first()
     width = ((high or 0) - (low or 0)) // DELIVERIES + 1
-    dealt = placed.withColumn("delivery", F.floor((F.col("due") - (low or 0)) / width).cast("int")).drop("due")
+    number = F.floor((F.col("due") - (low or 0)) / width).cast("int")
+    dealt = placed.withColumn("delivery", F.coalesce(number, F.lit(0))).drop("due")  # no time: with the first
     path, files = delivery_folder(spark, dealt, DELIVERIES, n, "parquet")
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(path)
 
@@ -508,9 +509,9 @@ def stream_cdc_current(spark, sf_dir):
 def stream_split(spark, sf_dir):
     """One stream written to one folder per tag."""
     base = scratch(spark, "split")
-    orders = stream_table(spark, sf_dir, "orders", "o_orderkey BIGINT")
+    orders = delivered(spark, sf_dir, True, load(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
     rules = {"even": F.col("o_orderkey") % 2 == 0, "odd": F.col("o_orderkey") % 2 != 0}
-    drain(bt.split_stream(orders, rules, f"{base}/out"), f"{base}/checkpoint")
+    ran(drain(bt.split_stream(orders.select("o_orderkey"), rules, f"{base}/out"), f"{base}/checkpoint"))
     return sk.read_batches(spark, f"{base}/out").select("o_orderkey", "tag")
 
 

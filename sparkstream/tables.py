@@ -38,14 +38,14 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return zoned(prepare(spark).read.parquet(path_of(sf_dir, name)))
 
 
-def stream_table(spark: SparkSession, sf_dir: str, name: str, ddl: str) -> DataFrame:
-    """A table as a file stream, whether it is one file or a folder of files.
+def stream_table(spark: SparkSession, sf_dir: str, name: str, ddl: str, files_per_batch: int = 100) -> DataFrame:
+    """A table as a file stream, whether it is one file or a folder of files; a micro-batch takes ``files_per_batch`` of them.
 
     The path is given as a glob (the last letter in brackets), because a plain path to a single file
     is refused by the file stream source.
     """
     path = path_of(sf_dir, name)
-    return zoned(prepare(spark).readStream.schema(ddl).parquet(f"{path[:-1]}[{path[-1]}]"))
+    return zoned(prepare(spark).readStream.schema(ddl).option("maxFilesPerTrigger", files_per_batch).parquet(f"{path[:-1]}[{path[-1]}]"))
 
 
 def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
