@@ -16,6 +16,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Keys whose accumulators a task holds before it hands them on.
 HELD = 10_000
+#: Rows, or bytes, that a task gathers before it folds them key by key: the more rows of a key are added at once, the fewer calls.
+BLOCK_ROWS, BLOCK_BYTES = 1_000_000, 64 << 20
 #: Tasks that may share the partial results of one key.
 WAYS = 32
 _STATE, _WAY = "__state", "__way"
@@ -39,7 +41,8 @@ class Accumulator:
 def accumulate(df: DataFrame, key: Sequence[str], columns: Sequence[str], acc: Accumulator, held: int = HELD, ways: int = WAYS) -> DataFrame:
     """One row per key: the key, and what ``acc`` makes of its rows' ``columns``.
 
-    Rows are folded where they are read, batch by batch, and only states are shuffled. A key's states are first dealt to
+    Rows are folded where they are read, block by block, and only states are shuffled. ``add`` is called once for each key of
+    a block of up to ``BLOCK_ROWS`` rows or ``BLOCK_BYTES`` bytes (and the Arrow batch that passes them), brought into order by key once. A key's states are first dealt to
     ``ways`` tasks by the task they come from, merged there, and the at most ``ways`` results merged again, so a key
     that every task has is not left to one. Merging reads sorted states one after another and holds one of them. A task
     holds the states of ``held`` keys and then hands them on.
@@ -65,32 +68,48 @@ def accumulate(df: DataFrame, key: Sequence[str], columns: Sequence[str], acc: A
     return out.select(*[F.col(n).alias(k) for k, n in zip(key, keys)], *made.names)
 
 
-def _groups(batch: pa.RecordBatch, keys: list[str]) -> Iterator[tuple[tuple, pa.Array | None]]:
-    """The different keys of a batch and where their rows are."""
+def _groups(batches: list[pa.RecordBatch], keys: list[str], columns: list[str]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
+    """The different keys of some batches, each with its rows as one batch."""
+    rows = _joined(pa.Table.from_batches(batches))
+    wanted = rows.select(columns)
     if not keys:
-        yield (), None
+        yield (), wanted
         return
-    places = pa.Table.from_batches([batch.select(keys)]).append_column("__at", pa.array(range(batch.num_rows), pa.int64()))
-    found = places.group_by(keys).aggregate([("__at", "list")])
-    lists = found.column("__at_list").combine_chunks()
-    for values, at in zip(zip(*[found.column(k).to_pylist() for k in keys]), lists):
-        yield values, at.values
+    places = pa.Table.from_batches([rows.select(keys)]).append_column("__at", pa.array(range(rows.num_rows), pa.int64()))
+    found = _joined(places.group_by(keys).aggregate([("__at", "list")]))
+    at = found.column("__at_list")
+    ordered, ends = wanted.take(at.flatten()), at.offsets.to_pylist()
+    for i, values in enumerate(zip(*[found.column(k).to_pylist() for k in keys])):
+        yield values, ordered.slice(ends[i] - ends[0], ends[i + 1] - ends[i])
+
+
+def _joined(table: pa.Table) -> pa.RecordBatch:
+    return table.combine_chunks().to_batches()[0]
 
 
 def _folder(keys: list[str], columns: list[str], acc: Accumulator, held: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states, types = {}, []
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+        block, rows, size = [], 0, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            types = [batch.schema.field(k).type for k in keys]
-            wanted = batch.select(columns)
-            for values, at in _groups(batch, keys):
-                state = states[values] if values in states else acc.create()
-                states[values] = acc.add(state, wanted if at is None else wanted.take(at))
-            if len(states) >= held:
-                yield _pickled(states, keys, types)
-                states = {}
+            block.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            if rows >= BLOCK_ROWS or size >= BLOCK_BYTES:
+                yield block
+                block, rows, size = [], 0, 0
+        if block:
+            yield block
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states, types = {}, []
+        for block in blocks(batches):
+            types = [block[0].schema.field(k).type for k in keys]
+            for values, rows in _groups(block, keys, columns):
+                states[values] = acc.add(states[values] if values in states else acc.create(), rows)
+                if len(states) >= held:
+                    yield _pickled(states, keys, types)
+                    states = {}
         if states:
             yield _pickled(states, keys, types)
 

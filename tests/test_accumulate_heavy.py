@@ -1,12 +1,15 @@
 """User accumulators against plain folds; heavy keys against full counts."""
 
+import pickle
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
+from sparkstream.operators import accumulate as accumulate_
 from sparkstream.operators import heavy as hv
 from sparkstream.operators.accumulate import Accumulator, accumulate
 from sparkstream.operators.routing import heavy_rule, route
@@ -106,3 +109,15 @@ def test_found_keys_are_spread(spark):
     placed = route(df, heavy_rule("k", hv.is_heavy("k", found), 3, 12, F.col("id")), 12)
     sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 1300 and sum(sizes) == 9000
+
+
+def test_rows_of_a_key_are_added_together_block_by_block(monkeypatch):
+    made = pa.table({"__k0": [i % 3 for i in range(100)], "v": list(range(100))}).to_batches(max_chunksize=10)
+    acc = Accumulator(lambda: (0, 0), lambda s, rows: (s[0] + 1, s[1] + sum(rows.column(0).to_pylist())), None, None, "")
+    for block, calls in ((1_000, 1), (45, 2), (1, 10)):
+        monkeypatch.setattr(accumulate_, "BLOCK_ROWS", block)
+        states = pa.Table.from_batches(accumulate_._folder(["__k0"], ["v"], acc, 10)(iter(made))).to_pylist()
+        assert {r["__k0"]: pickle.loads(r["__state"]) for r in states} == {k: (calls, sum(range(k, 100, 3))) for k in range(3)}
+    monkeypatch.setattr(accumulate_, "BLOCK_BYTES", 1)
+    (whole,) = accumulate_._folder([], ["v"], acc, 10)(iter(made))
+    assert pickle.loads(whole.column("__state")[0].as_py()) == (10, 4950)
