@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from sparkstream.operators import changelog as cl
-from sparkstream.plans.scan import running_count, running_sum
+from sparkstream.plans.scan import running_count, running_sum, settled
 from sparkstream.queries.basics import CENTS, cents
 from sparkstream.queries.registry import query
 from sparkstream.sources import changes as ch
@@ -219,9 +219,9 @@ def cdc_schema_events(spark, sf_dir):
 TIMES = 10_000_000_000
 
 
-def _timed_feed(spark, sf_dir):
+def _timed_feed(spark, sf_dir, before=None):
     """The row changes with positions in order of time."""
-    feed = _feed(spark, sf_dir).withColumn("o_orderkey", F.coalesce("after.o_orderkey", "before.o_orderkey"))
+    feed = _feed(spark, sf_dir, before=before).withColumn("o_orderkey", F.coalesce("after.o_orderkey", "before.o_orderkey"))
     return feed.withColumn("pos", F.col("ts_ms") * TIMES + F.col("o_orderkey"))
 
 
@@ -231,7 +231,8 @@ def cdc_chunked_snapshot(spark, sf_dir):
 
     Range ``c`` is read between time ``1 + c % 4`` and the next; of its rows the even keys show the later state.
     """
-    feed = _timed_feed(spark, sf_dir)
+    # read by several passes (snapshot, cells of the ordered pass, the pass itself): the text is made and parsed for all of them once
+    feed = settled(_timed_feed(spark, sf_dir, KEY_DDL).select("o_orderkey", "op", "ts_ms", "pos", "before", "after"), True, "feed")
     chunks = key_ranges(load(spark, sf_dir, "orders"), "o_orderkey", 1000)
     at = 1 + F.col("chunk") % 4
     ranges = chunks.withColumns({"low_pos": (at + 1) * TIMES - 1, "high_pos": (at + 2) * TIMES - 1})
@@ -239,7 +240,7 @@ def cdc_chunked_snapshot(spark, sf_dir):
     chunk = F.lit(0) if first is None else F.floor((F.col("o_orderkey") - first) / (step or 1)) + 1
     chunk = F.least(F.greatest(chunk, F.lit(0)), F.lit(chunks.count() - 1))
     seen = feed.where(F.col("ts_ms") <= 1 + chunk % 4 + F.when(F.col("o_orderkey") % 2 == 0, 1).otherwise(0))
-    snapshot = cl.current_rows(seen, ["o_orderkey"], ["pos"]).where("op <> 'd'").select("after.*")
+    snapshot = cl.current_rows(seen.select("o_orderkey", "op", "pos", "after"), ["o_orderkey"], ["pos"]).where("op <> 'd'").select("after.*")
     return cl.reconcile_chunks(snapshot, ranges, feed.where("op <> 'r'").drop("o_orderkey"), "o_orderkey")
 
 

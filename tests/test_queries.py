@@ -39,3 +39,8 @@ def test_entry_returns_rows(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_chunked_snapshot_parses_its_feed_once(spark, sf_dir):
+    plan = entry.queries()["cdc_chunked_snapshot"](spark, sf_dir)._jdf.queryExecution().toString()
+    assert "from_json" not in plan
