@@ -386,3 +386,9 @@ def test_console_sink_and_writer_settings(spark, feed, tmp_path):
     assert spark.table("counts_by_key").agg(F.sum("count")).first()[0] == 240
     shown = sk.show_sink(stream(spark, feed, 6), "late:").trigger(availableNow=True).start()
     shown.awaitTermination()
+
+
+def test_join_keeps_one_store_in_a_partition(spark, feed, tmp_path):
+    run(st.deadline_stream(*item_streams(stream(spark, feed, 3)), ["item"], "o", "c", 3000, "0 seconds"), tmp_path, "one-store")
+    stores = os.listdir(tmp_path / "one-store-ckpt/state/0/0")
+    assert stores and not [s for s in stores if s.startswith(("left-", "right-"))]
