@@ -30,8 +30,10 @@ from sparkstream.tables import load
 
 #: Files the events are delivered in, one per micro-batch, and how much later than their time rows may come.
 DELIVERIES, DISORDER = 6, 6
-#: Rows of a delivered file.
-FILE_ROWS = 1_000_000
+#: Rows of a delivered file; from the smaller number on a delivery is cut so that every task slot has a file to read.
+FILE_ROWS, SHARED_ROWS = 1_000_000, 50_000
+#: A delivery has this many rows for each of its files: none stays without a file, however the rows are read.
+LEAST_ROWS = 1_000
 
 
 def delivered(spark, sf_dir, in_order=False, events=None, t="ts"):
@@ -56,13 +58,18 @@ def delivery_folder(spark, dealt, deliveries, n, form):
     """Rows with a number ``delivery`` as a folder that deliveries come to one after another, and the files of each.
 
     The rows are dealt to their deliveries in one job, so the table is read once, by all tasks; each delivery is then
-    copied from its own part, in files of up to ``FILE_ROWS`` rows.
+    copied from its own part. All have the same number of files, for a micro-batch takes that many: files of up to
+    ``FILE_ROWS`` rows, and of fewer where task slots would stay idle, but no more than the smallest delivery can fill.
     """
     staged, path = scratch(spark, "staged"), scratch(spark, "delivered")
     dealt.write.partitionBy("delivery").format(form).save(staged)
-    files = -(-n // (deliveries * FILE_ROWS)) or 1
     rows = dealt.drop("delivery").schema
     read = spark.read.schema(rows.add("delivery", "integer")).format(form).load(staged)
+    slots = min(spark.sparkContext.defaultParallelism, n // (deliveries * SHARED_ROWS))
+    files = max(-(-n // (deliveries * FILE_ROWS)), slots, 1)
+    if files > 1:
+        sizes = [r["count"] for r in read.groupBy("delivery").count().collect()]
+        files = max(1, min(files, min(sizes) // LEAST_ROWS if len(sizes) == deliveries else 1))
     for k in range(deliveries):
         read.where(F.col("delivery") == k).drop("delivery").repartition(files).write.mode("append").format(form).save(path)
     return path, files

@@ -392,3 +392,17 @@ def test_join_keeps_one_store_in_a_partition(spark, feed, tmp_path):
     run(st.deadline_stream(*item_streams(stream(spark, feed, 3)), ["item"], "o", "c", 3000, "0 seconds"), tmp_path, "one-store")
     stores = os.listdir(tmp_path / "one-store-ckpt/state/0/0")
     assert stores and not [s for s in stores if s.startswith(("left-", "right-"))]
+
+
+@pytest.mark.parametrize("sizes,files", [((500, 400, 300), 3), ((500, 699, 1), 1), ((600, 600, 0), 1), ((50, 50, 50), 1)])
+def test_deliveries_are_cut_for_all_slots(spark, monkeypatch, sizes, files):
+    from sparkstream.queries import streams
+
+    monkeypatch.setattr(streams, "SHARED_ROWS", 100)
+    monkeypatch.setattr(streams, "LEAST_ROWS", 100)
+    rows = [(f"{k}", k) for k, n in enumerate(sizes) for _ in range(n)]
+    dealt = spark.createDataFrame(rows, "v STRING, delivery INT").repartition(5)
+    path, made = streams.delivery_folder(spark, dealt, 3, len(rows), "parquet")
+    assert made == files
+    written = spark.read.parquet(path).withColumn("file", F.input_file_name()).groupBy("v").agg(F.count_distinct("file"), F.count("*"))
+    assert sorted(map(tuple, written.collect())) == [(f"{k}", files, n) for k, n in enumerate(sizes) if n]
