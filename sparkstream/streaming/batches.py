@@ -282,7 +282,8 @@ def lateness_stream(
         rows = _landed(batch.withColumn("__v", value), f"{path}/arrived", batch_id)
         newest = rows.agg(F.max(t)).first()[0]
         mark = max((m for m in (before, newest) if m is not None), default=None)
-        write_batch(spark.createDataFrame([(mark,)], "mark TIMESTAMP"), f"{path}/marks", batch_id)
+        one = spark.range(0, 1, 1, 1).select(F.lit(mark).cast("timestamp").alias("mark"))
+        write_batch(one, f"{path}/marks", batch_id)
         timed = rows.where(F.col(t).isNotNull())
         placed = classify(timed, t, arrival, size, delay, lateness, F.lit(before).cast("timestamp"))
         placed = _landed(placed, f"{path}/placed", batch_id)

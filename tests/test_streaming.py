@@ -406,3 +406,17 @@ def test_deliveries_are_cut_for_all_slots(spark, monkeypatch, sizes, files):
     assert made == files
     written = spark.read.parquet(path).withColumn("file", F.input_file_name()).groupBy("v").agg(F.count_distinct("file"), F.count("*"))
     assert sorted(map(tuple, written.collect())) == [(f"{k}", files, n) for k, n in enumerate(sizes) if n]
+
+
+def _files(path):
+    return [n for n in os.listdir(path) if n.endswith(".parquet")]
+
+
+def test_the_largest_time_of_a_batch_is_one_file(spark, feed, tmp_path):
+    base = str(tmp_path / "lateness")
+    writer = bt.lateness_stream(stream(spark, feed, 3), ["k"], "t", ["n"], "20 seconds", "5 seconds", "5 seconds", F.col("v"), base)
+    drain(writer, f"{base}/checkpoint")
+    marks = [f"{base}/marks/{sk.BATCH}={i}" for i in (0, 1)]
+    assert [len(_files(m)) for m in marks] == [1, 1]
+    newest = [feed[0].where(F.col("n") < n).agg(F.max("t")).first()[0] for n in (120, 240)]
+    assert [spark.read.parquet(m).first()[0] for m in marks] == newest
