@@ -364,7 +364,7 @@ def match_stream(
         if "__late=true" in found:
             write_batch(spark.read.schema(schema).parquet(f"{here}/__late=true"), f"{path}/late", batch_id)
         elif batch_id == 0:
-            write_batch(spark.createDataFrame([], schema), f"{path}/late", batch_id)
+            write_batch(spark.createDataFrame([], schema).coalesce(1), f"{path}/late", batch_id)
         if mark is not None:
             _advance(_young(spark, path, slices, schema, pattern, key, t, before, mark), pattern, key, order, keep, t, before, mark, path, batch_id, select)
         young = [x for x in slices if mark is None or x["high"] > mark - pattern.within_us]

@@ -420,3 +420,9 @@ def test_the_largest_time_of_a_batch_is_one_file(spark, feed, tmp_path):
     assert [len(_files(m)) for m in marks] == [1, 1]
     newest = [feed[0].where(F.col("n") < n).agg(F.max("t")).first()[0] for n in (120, 240)]
     assert [spark.read.parquet(m).first()[0] for m in marks] == newest
+
+
+def test_no_late_rows_are_one_empty_file(spark, feed, tmp_path):
+    base = str(tmp_path / "pairs")
+    drain(bt.match_stream(stream(spark, feed, 3), PATTERNS["pair"](), ["k"], "t", ["n"], 5 * SEC, base, ["kind"]), f"{base}/checkpoint")
+    assert len(_files(f"{base}/late/{sk.BATCH}=0")) == 1 and sk.read_batches(spark, f"{base}/late").count() == 0
