@@ -1,12 +1,17 @@
 """Phrase collocations against counts of all phrases in one place."""
 
+import glob
+import os
 import random
 import re
+import uuid
 from collections import Counter
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
-from sparkstream.llm import phrases
+from sparkstream.llm import common, phrases
 
 SCHEMA = "key string, text string, lang string, n int, k string"
 ASCII_LOWER = {i: i + 32 for i in range(65, 91)}
@@ -71,3 +76,52 @@ def test_nothing(spark):
 def test_words_and_pieces():
     assert phrases.words_of("A b.\tÉa\x0b;c  d".encode()) == [b"a", b"b", b"", "Éa".encode(), b"", b"c", b"d", b""]
     assert phrases.words_of(b" .;\n") == []
+
+
+def shuffled(spark):
+    """Bytes of shuffle files on the disk."""
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return sum(os.path.getsize(f) for d in dirs for f in glob.glob(f"{d}/*/shuffle_*.data"))
+
+
+def test_many_phrases_stay_numbers(spark, monkeypatch, tmp_path):
+    # 40 words, 1 600 phrases of 2 words, all frequent: more phrases than words may be numbered
+    rng = random.Random(1)
+    rows = [(" ".join(f"w{rng.randrange(40)}" for _ in range(400)), "en") for _ in range(300)]
+    df = spark.createDataFrame([("", t, lang, 1, "") for t, lang in rows], SCHEMA).repartition(3)
+    monkeypatch.setattr(common, "scratch", lambda _, label: f"{tmp_path}/{label}-{uuid.uuid4().hex}")
+    before = shuffled(spark)
+    found, _ = phrases.frequencies(df, 2, max_rows=100)
+    left = shuffled(spark)
+    got = {r.key: r.f for r in found.collect()}
+    texts = [t.split() for t, _ in rows]
+    counts = Counter(f"en\t{' '.join(w[i : i + k])}" for w in texts for k in range(1, 5) for i in range(len(w) - k + 1))
+    assert got == {p: a for p, a in counts.items() if a >= 2}
+    kinds = [pq.read_schema(glob.glob(f"{d}/*.parquet")[0]).field("words").type.value_type for d in glob.glob(f"{tmp_path}/occurrences-*")]
+    assert sorted(map(str, kinds)) == ["int32", "int32", "int32", "string"]
+    assert not glob.glob(f"{tmp_path}/listed-*")  # the relation is not written twice to join it by shuffles
+    assert left <= before + 10_000  # a round's shuffle files go with the round
+    assert spark.conf.get(phrases._CLEANUP) == "false"
+
+
+@pytest.mark.parametrize("max_rows", [4_000_000, 0])
+def test_a_full_sieve(spark, monkeypatch, max_rows):
+    monkeypatch.setattr(phrases, "SIEVE_MOST", 1 << 15)
+    monkeypatch.setattr(phrases, "_sieve", lambda *_, f=phrases._sieve: f(*_) | 0x55)  # half of all others pass as well
+    rows = texts(random.Random(5), 200)
+    df = spark.createDataFrame([("clash", t, lang, 1, "clash") for t, lang in rows], SCHEMA).repartition(3)
+    got = phrases.collocations(df, 3, 200, max_rows=max_rows)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 3, 200)
+    if max_rows:
+        six = phrases.collocations(df, 3, 200, longest=6)  # three numbers a phrase
+        assert sorted(tuple(r) for r in six.collect()) == brute(rows, 3, 200, longest=6)
+
+
+def test_places_and_hashes():
+    known = pa.array(["c", "a", "b"])
+    assert phrases._places(pa.array(["a", "x", "a", "c"]), known).tolist() == [1, -1, 1, 0]
+    assert phrases._places(pa.array([], pa.string()), known).tolist() == []
+    keys = pa.array(["", "a", "aa", "ab", "ba", "é", "a", "en\tnew york"] * 20_000)
+    hashes = phrases._key_hashes(keys)
+    assert len(set(hashes.tolist())) == 7 and hashes[1] == hashes[6]
+    assert phrases._key_hashes(keys.slice(3, 90_000)).tolist() == hashes[3:90_003].tolist()
